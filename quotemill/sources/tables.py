@@ -1,0 +1,8 @@
+"""Parquet tables by directory and name."""
+
+from pyspark.sql import DataFrame, SparkSession
+
+
+def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """The table ``name`` under ``sf_dir``; its path may be any that Spark's readers open."""
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
