@@ -5,6 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from quotemill.llm.common import read
+from quotemill.llm.mixing import MIX_REPORT_SQL, mix_report
+from quotemill.llm.packing import packed_documents
+from quotemill.llm.quality import quality_report
 from quotemill.llm.simhash import simhash_components
 
 
@@ -12,7 +15,24 @@ def op3_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash_components(read(spark, sf_dir, "documents"))
 
 
+def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mix_report(read(spark, sf_dir, "documents"))
+
+
+def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packed_documents(read(spark, sf_dir, "documents"))
+
+
+def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_report(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
+
+
 QUERIES = {
     "op3_simhash": op3_simhash,
+    "op5_mixing": op5_mixing,
+    "op6_packing": op6_packing,
+    "op9_quality_rules": op9_quality_rules,
+}
+ORACLE: dict[str, str] = {
+    "op5_mixing": MIX_REPORT_SQL,
 }
-ORACLE: dict[str, str] = {}
