@@ -8,13 +8,21 @@ from quotemill.llm.common import read
 from quotemill.llm.mixing import MIX_REPORT_SQL, mix_report
 from quotemill.llm.packing import packed_documents
 from quotemill.llm.quality import quality_report
+from quotemill.llm.secrets import secret_report
+from quotemill.llm.sharding import shard_report
 from quotemill.llm.simhash import simhash_components
+from quotemill.llm.toxicity import toxicity
+from quotemill.llm.url_filter import URL_SQL, default_list, url_verdicts
 
 
 def op3_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash_components(read(spark, sf_dir, "documents"))
 
 
+def op4_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return url_verdicts(read(spark, sf_dir, "pages"), default_list(spark))
+
+
 def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix_report(read(spark, sf_dir, "documents"))
 
@@ -23,16 +31,33 @@ def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packed_documents(read(spark, sf_dir, "documents"))
 
 
+def op7_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secret_report(read(spark, sf_dir, "documents"))
+
+
+def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
+
+
 def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_report(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
 
 
+def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return shard_report(read(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op3_simhash": op3_simhash,
+    "op4_url_filter": op4_url_filter,
     "op5_mixing": op5_mixing,
     "op6_packing": op6_packing,
+    "op7_secrets": op7_secrets,
+    "op8_toxicity": op8_toxicity,
     "op9_quality_rules": op9_quality_rules,
+    "op10_sharding": op10_sharding,
 }
 ORACLE: dict[str, str] = {
+    "op4_url_filter": URL_SQL,
     "op5_mixing": MIX_REPORT_SQL,
 }
