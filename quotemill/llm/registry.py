@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from quotemill.llm.ann import search_report
 from quotemill.llm.common import read
 from quotemill.llm.mixing import MIX_REPORT_SQL, mix_report
 from quotemill.llm.packing import packed_documents
@@ -15,6 +16,10 @@ from quotemill.llm.toxicity import toxicity
 from quotemill.llm.url_filter import URL_SQL, default_list, url_verdicts
 
 
+def op2_ann(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return search_report(read(spark, sf_dir, "embeddings"))
+
+
 def op3_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash_components(read(spark, sf_dir, "documents"))
 
@@ -48,6 +53,7 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op2_ann": op2_ann,
     "op3_simhash": op3_simhash,
     "op4_url_filter": op4_url_filter,
     "op5_mixing": op5_mixing,
