@@ -14,7 +14,7 @@ import math
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from quotemill.llm.common import GAP, free
+from quotemill.llm.common import GAP, free, let
 
 SPACES = " \t\n\x0b\f\r"
 SYMBOLS = r"[#*$%&|<>]"
@@ -73,27 +73,20 @@ def with_quality(docs: DataFrame, ratios: list[float], text_col: str = "text", t
     texts. Rows stay one to one, whatever repeats or nulls other columns have.
     """
     out = {c: c for c in ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "score", "kept")} | (names or {})
-    text, words, windows, ordered, at = free(docs, "text_", "words_", "windows_", "ordered_", "at_")
+    text, words = free(docs, "text_", "words_")
     t, w = F.col(text), F.col(words)
     table = F.split(F.lit(",".join(map(repr, ratios))), ",").cast("array<double>")
     df = docs.withColumn(text, F.coalesce(F.col(text_col), F.lit(""))).withColumn(words, words_of(t))
     lines = F.filter(F.split(t, "\n"), lambda x: x.rlike(r"[^\x20\x09-\x0D]"))
-    n_words = F.when(w[0] == "", F.lit(0)).otherwise(F.size(w))
     df = df.withColumns(
         {
-            out["n_words"]: n_words.cast("long"),
+            out["n_words"]: F.when(w[0] == "", F.lit(0)).otherwise(F.size(w)).cast("long"),
             out["word_chars"]: F.char_length(F.array_join(w, "")).cast("long"),
             out["n_symbols"]: F.regexp_count(t, F.lit(SYMBOLS)).cast("long"),
             out["n_dup_lines"]: _repeats(lines).cast("long"),
-            windows: F.transform(F.slice(w, F.lit(1), F.greatest(F.size(w) - 2, F.lit(0))), lambda x, i: F.struct(F.xxhash64(x, F.get(w, i + 1), F.get(w, i + 2)).alias("h"), i.alias("i"))),
+            out["n_repeat_words"]: repeated_words(w),
         }
-    )
-    df = df.withColumn(ordered, F.sort_array(F.col(windows))).drop(windows, words)
-    o, p = F.col(ordered), F.col(at)
-    same = F.filter(o, lambda x, k: (x["h"] == F.get(o, k - 1)["h"]).eqNullSafe(F.lit(True)) | (x["h"] == F.get(o, k + 1)["h"]).eqNullSafe(F.lit(True)))
-    df = df.withColumn(at, F.sort_array(F.transform(same, lambda x: x["i"]))).drop(ordered)
-    covered = F.transform(p, lambda x, k: F.least(F.lit(3), F.coalesce(F.get(p, k + 1) - x, F.lit(3))))
-    df = df.withColumn(out["n_repeat_words"], F.aggregate(covered, F.lit(0).cast("long"), lambda a, x: a + x)).drop(at)
+    ).drop(words)
     grams = _grams(pieces_of(t))
     zero = F.struct(F.lit(0.0).alias("s"), F.lit(0).alias("n"))
 
@@ -110,6 +103,28 @@ def with_quality(docs: DataFrame, ratios: list[float], text_col: str = "text", t
     return df.withColumn(out["kept"], ~F.col(out["base_failed"]) & (F.col(out["score"]) >= threshold)).drop(text)
 
 
+def repeated_words(words: Column, window: int = 3) -> Column:
+    """How many words are in windows of ``window`` words that the text has more than once.
+
+    Arrays are bound by let(), since the optimizer writes out columns that a filter asks for, and
+    would compute an array again for each of its elements.
+    """
+
+    def hashed(w: Column) -> Column:
+        starts = F.slice(w, F.lit(1), F.greatest(F.size(w) - (window - 1), F.lit(0)))
+        return F.sort_array(F.transform(starts, lambda x, i: F.struct(F.xxhash64(x, *[F.get(w, i + k) for k in range(1, window)]).alias("h"), i.alias("i"))))
+
+    def repeated(o: Column) -> Column:
+        like = lambda x, k: F.coalesce(x["h"] == F.get(o, k)["h"], F.lit(False))
+        return F.sort_array(F.transform(F.filter(o, lambda x, k: like(x, k - 1) | like(x, k + 1)), lambda x: x["i"]))
+
+    def covered(p: Column) -> Column:
+        new = F.transform(p, lambda x, k: F.least(F.lit(window), F.coalesce(F.get(p, k + 1) - x, F.lit(window))))
+        return F.aggregate(new, F.lit(0).cast("long"), lambda a, x: a + x)
+
+    return let(let(let(words, hashed), repeated), covered)
+
+
 def _repeats(items: Column) -> Column:
     return F.size(items) - F.size(F.array_distinct(items))
 

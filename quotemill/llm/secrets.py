@@ -17,7 +17,7 @@ from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quotemill.llm.common import free, let
+from quotemill.llm.common import let
 from quotemill.llm.quality import words_of
 
 MIN_LENGTH = 16
@@ -193,10 +193,9 @@ def secret_findings(docs: DataFrame, findings: DataFrame | None = None, id_col:
 def mask_secrets(docs: DataFrame, findings: DataFrame | None = None, text_col: str = "text", path_col: str = "source") -> DataFrame:
     """docs with every value found to be a secret replaced by MASK, wherever it stands in its text; null texts stay null."""
     printed = forest(labelled_findings(docs.sparkSession) if findings is None else findings)
-    found = free(docs, "secrets_")[0]
-    df = docs.withColumn(found, F.filter(findings_of(F.col(text_col), F.coalesce(F.col(path_col).cast("string"), F.lit("")), printed), lambda x: x["score"] >= 0.5))
-    masked = F.aggregate(F.col(found), F.col(text_col), lambda t, x: F.call_function("replace", t, x["value"], F.lit(MASK)))
-    return df.withColumn(text_col, F.when(F.size(found) > 0, masked).otherwise(F.col(text_col))).drop(found)
+    found = F.filter(findings_of(F.col(text_col), F.coalesce(F.col(path_col).cast("string"), F.lit("")), printed), lambda x: x["score"] >= 0.5)
+    mask = lambda text, x: F.call_function("replace", text, x["value"], F.lit(MASK))
+    return docs.withColumn(text_col, let(found, lambda xs: F.aggregate(xs, F.col(text_col), mask))).select(*docs.columns)
 
 
 def secret_report(docs: DataFrame) -> DataFrame:
