@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+import corpus_pipeline
 from quotemill.llm.ann import search_report
 from quotemill.llm.common import read
 from quotemill.llm.mixing import MIX_REPORT_SQL, mix_report
@@ -12,10 +13,15 @@ from quotemill.llm.quality import quality_report
 from quotemill.llm.secrets import secret_report
 from quotemill.llm.sharding import shard_report
 from quotemill.llm.simhash import simhash_components
+from quotemill.llm.site_quality import site_quality
 from quotemill.llm.toxicity import toxicity
 from quotemill.llm.url_filter import URL_SQL, default_list, url_verdicts
 
 
+def op1_site_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return site_quality(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
+
+
 def op2_ann(spark: SparkSession, sf_dir: str) -> DataFrame:
     return search_report(read(spark, sf_dir, "embeddings"))
 
@@ -53,6 +59,7 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_site_quality": op1_site_quality,
     "op2_ann": op2_ann,
     "op3_simhash": op3_simhash,
     "op4_url_filter": op4_url_filter,
@@ -62,6 +69,7 @@ QUERIES = {
     "op8_toxicity": op8_toxicity,
     "op9_quality_rules": op9_quality_rules,
     "op10_sharding": op10_sharding,
+    "pipeline": corpus_pipeline.run,
 }
 ORACLE: dict[str, str] = {
     "op4_url_filter": URL_SQL,
