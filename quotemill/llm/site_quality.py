@@ -69,22 +69,15 @@ def _logit(p: Column) -> Column:
     return F.log(p) - F.log(1 - p)
 
 
-def _weight(groups: DataFrame, toward: Column, n: str, total: str) -> float:
-    """How many documents the prior counts as: p(1-p) over the variance between groups, beyond what their size explains."""
-    p = F.least(F.greatest(toward, F.lit(1e-6)), F.lit(1 - 1e-6))
-    gap = F.col(total) / F.col(n) - p
-    row = groups.agg(
-        F.sum(F.col(n) * gap * gap).alias("spread"),
-        F.sum(p * (1 - p)).alias("noise"),
-        F.sum(F.col(n) * p * (1 - p)).alias("inner"),
-        F.sum(n).alias("n"),
-        F.count("*").alias("groups"),
-    ).first()
-    if not row["n"] or row["groups"] < 2:
+def prior_weight(spread: float, noise: float, inner: float, n: float, groups: int) -> float:
+    """How many documents the prior counts as: p(1-p) over the variance between groups, beyond what their size explains.
+
+    spread: sum of n (mean - p)^2 over groups; noise: sum of p(1-p); inner: sum of n p(1-p).
+    """
+    if not n or groups < 2:
         return MOST_WEIGHT
-    between = (row["spread"] - row["noise"]) / row["n"]
-    within = row["inner"] / row["n"]
-    return float(min(MOST_WEIGHT, max(LEAST_WEIGHT, within / between))) if between > 0 else MOST_WEIGHT
+    between = (spread - noise) / n
+    return float(min(MOST_WEIGHT, max(LEAST_WEIGHT, inner / n / between))) if between > 0 else MOST_WEIGHT
 
 
 def site_quality(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", host_col: str = "source", path_col: str = "lang", threshold: float = 0.5) -> DataFrame:
@@ -108,15 +101,19 @@ def site_quality(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", tex
         own = own + v * F.lit(float(w))
     own = F.least(F.greatest(own, F.lit(-MOST_LOGIT)), F.lit(MOST_LOGIT))
     judged = staged(rows.select("doc_id", "host", "path", (1 / (1 + F.exp(-own))).alias("p_text")), "judged")
-    paths = staged(judged.groupBy("host", "path").agg(F.count("*").alias("n"), F.sum("p_text").alias("good")), "paths")
+    paths = judged.groupBy("host", "path").agg(F.count("*").alias("n"), F.sum("p_text").alias("good"))  # a few numbers a path; read three times
     hosts = paths.groupBy(F.col("host").alias("host_name")).agg(F.sum("n").alias("host_n"), F.sum("good").alias("host_good"))
-    n, total = hosts.agg(F.sum("host_n"), F.sum("host_good")).first()
-    rate = (total + 0.5) / (n + 1) if n else 0.5
-    weight = _weight(hosts, F.lit(rate), "host_n", "host_good")
+    row = hosts.agg(F.sum("host_n").alias("n"), F.sum("host_good").alias("good"), F.sum(F.col("host_good") * F.col("host_good") / F.col("host_n")).alias("squares"), F.count("*").alias("groups")).first()
+    n = row["n"] or 0
+    rate = (row["good"] + 0.5) / (n + 1) if n else 0.5
+    spread = row["squares"] - 2 * rate * row["good"] + rate * rate * n if n else 0.0
+    weight = prior_weight(spread, row["groups"] * rate * (1 - rate), n * rate * (1 - rate), n, row["groups"])
     hosts = hosts.withColumn("host_rate", (F.col("host_good") + rate * weight) / (F.col("host_n") + weight))
     sites = paths.join(hosts, F.col("host").eqNullSafe(F.col("host_name"))).select("host", "path", "n", "good", "host_rate")
-    weight = _weight(sites, F.col("host_rate"), "n", "good")
-    sites = staged(sites.withColumn("path_rate", (F.col("good") + F.col("host_rate") * weight) / (F.col("n") + weight)), "sites")
+    p, gap = F.col("host_rate"), F.col("good") / F.col("n") - F.col("host_rate")
+    row = sites.agg(F.sum(F.col("n") * gap * gap).alias("spread"), F.sum(p * (1 - p)).alias("noise"), F.sum(F.col("n") * p * (1 - p)).alias("inner"), F.sum("n").alias("n"), F.count("*").alias("groups")).first()
+    weight = prior_weight(row["spread"], row["noise"], row["inner"], row["n"], row["groups"])
+    sites = sites.withColumn("path_rate", (F.col("good") + F.col("host_rate") * weight) / (F.col("n") + weight))
     sites = sites.select(F.col("host").alias("site_host"), F.col("path").alias("site_path"), "host_rate", "path_rate")
     both = judged.join(sites, F.col("host").eqNullSafe(F.col("site_host")) & F.col("path").eqNullSafe(F.col("site_path")))
     odds = _logit(F.col("p_text")) + _logit(F.col("path_rate")) - F.lit(float(np.log(rate / (1 - rate))))
