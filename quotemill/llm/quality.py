@@ -21,7 +21,7 @@ SYMBOLS = r"[#*$%&|<>]"
 #: Rows labelled good that stand for trusted text: those with the smallest hash of their id.
 TRUSTED_ROWS = 8192
 BUCKETS = 1 << 14
-SMOOTHING = 0.5
+SMOOTHING = 4.0
 #: Texts whose n-grams are less than e^-0.5 times as likely in trusted text go.
 THRESHOLD = -0.5
 
@@ -52,7 +52,11 @@ def trusted_ids(labels: DataFrame, rows: int = TRUSTED_ROWS) -> DataFrame:
 
 
 def log_ratios(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> list[float]:
-    """ln p_trusted - ln p_corpus by bucket; ``BUCKETS`` numbers whatever the corpus."""
+    """ln p_trusted - ln p_corpus by bucket; ``BUCKETS`` numbers whatever the corpus.
+
+    Both multinomials are smoothed by the same count in every bucket, the corpus's after scaling
+    it to the size of the trusted sample. What the sample is too small to show so weighs little.
+    """
     ids = trusted_ids(labels).select(F.col("doc_id").alias("good_id"))
     rows = docs.select(F.col(id_col).alias("id"), pieces_of(F.coalesce(F.col(text_col), F.lit(""))).alias("pieces"))
     rows = rows.join(F.broadcast(ids), F.col("id") == F.col("good_id"), "left")  # TRUSTED_ROWS longs at most
@@ -62,8 +66,8 @@ def log_ratios(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_
     raw, good = [0] * BUCKETS, [0] * BUCKETS
     for row in counts:
         raw[row["bucket"]], good[row["bucket"]] = row["n"], row["good"]
-    all_raw, all_good = sum(raw) + SMOOTHING * BUCKETS, sum(good) + SMOOTHING * BUCKETS
-    return [math.log((g + SMOOTHING) / all_good) - math.log((r + SMOOTHING) / all_raw) for g, r in zip(good, raw, strict=True)]
+    scale = sum(good) / max(1, sum(raw))
+    return [math.log(g + SMOOTHING) - math.log(r * scale + SMOOTHING) for g, r in zip(good, raw, strict=True)]
 
 
 def with_quality(docs: DataFrame, ratios: list[float], text_col: str = "text", threshold: float = THRESHOLD, names: dict[str, str] | None = None) -> DataFrame:
