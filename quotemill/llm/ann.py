@@ -190,7 +190,7 @@ def search(vectors: DataFrame, queries: Column, id_col: str = "vec_id", vector_c
 
     def compare(q: pd.DataFrame, p: pd.DataFrame) -> pd.DataFrame:
         if not len(q) or not len(p):
-            return pd.DataFrame({"q": [], "p": [], "score": [], "ids": []})
+            return pd.DataFrame({"q": [], "p": [], "score": [], "ids": []}, dtype=object)
         x = np.stack(p["v"].to_numpy()).astype(np.float64)
         first = np.array([i[0] for i in p["ids"]], np.int64)
         order = np.argsort(first, kind="stable")

@@ -141,10 +141,11 @@ def labelled_findings(spark: SparkSession, per_kind: int = PER_KIND) -> DataFram
 
 
 def forest(findings: DataFrame, trees: int = TREES, depth: int = DEPTH) -> str:
-    """The trained forest in Spark's own printed form."""
+    """The trained forest's trees in Spark's own printed form."""
     rows = findings.select(F.col("label").cast("double").alias("label"), *[c.alias(n) for n, c in zip(FEATURES, features(F.col("value"), F.col("left"), F.col("path")), strict=True)]).coalesce(1)
     data = VectorAssembler(inputCols=list(FEATURES), outputCol="features").transform(rows)
-    return RandomForestClassifier(numTrees=trees, maxDepth=depth, seed=SEED, featureSubsetStrategy="sqrt").fit(data).toDebugString
+    printed = RandomForestClassifier(numTrees=trees, maxDepth=depth, seed=SEED, featureSubsetStrategy="sqrt").fit(data).toDebugString
+    return printed.split("\n", 1)[1]  # without the name that Spark makes up
 
 
 def _tree(lines: list[str], at: int, field) -> tuple[Column, int]:

@@ -64,7 +64,8 @@ def example_rows(docs: DataFrame, labels: DataFrame, rows: int = EXAMPLES) -> Da
     ids = labels.where("doc_id is not null and toxic is not null").where(~held_out(F.col("doc_id"))).groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
     ids = ids.orderBy(F.xxhash64("doc_id"), "doc_id").limit(rows).withColumnRenamed("doc_id", "example_id")
     found = docs.join(F.broadcast(ids), F.col("doc_id") == F.col("example_id"))  # EXAMPLES pairs of numbers at most
-    return found.select("doc_id", F.coalesce("text", F.lit("")).alias("text"), "toxic")
+    found = found.groupBy("doc_id").agg(F.min(F.coalesce("text", F.lit(""))).alias("text"), F.max("toxic").alias("toxic"))  # of repeated ids the first text
+    return found.select("doc_id", "text", "toxic")
 
 
 def choose_terms(examples: DataFrame, most: int = TERMS) -> list[str]:
@@ -78,7 +79,8 @@ def choose_terms(examples: DataFrame, most: int = TERMS) -> list[str]:
                 n.update(got)
                 if toxic:
                     bad.update(got)
-            yield pd.DataFrame({"term": list(n), "n": list(n.values()), "bad": [bad[t] for t in n]})
+            if n:
+                yield pd.DataFrame({"term": list(n), "n": list(n.values()), "bad": [bad[t] for t in n]})
 
     counts = examples.select("text", "toxic").mapInPandas(run, "term string, n long, bad long").groupBy("term").agg(F.sum("n").alias("n"), F.sum("bad").alias("bad"))
     p, n, z = F.col("bad") / F.col("n"), F.col("n").cast("double"), 1.96
