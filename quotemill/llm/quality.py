@@ -92,16 +92,12 @@ def with_quality(docs: DataFrame, ratios: list[float], text_col: str = "text", t
         }
     ).drop(words)
     grams = _grams(pieces_of(t))
-    zero = F.struct(F.lit(0.0).alias("s"), F.lit(0).alias("n"))
 
     def add(acc: Column, x: Column) -> Column:
-        second = x.getField("1").isNotNull()
-        return F.struct(
-            (acc["s"] + F.get(table, _bucket(x.getField("0"))) + F.when(second, F.get(table, _bucket(x.getField("0"), x.getField("1")))).otherwise(0.0)).alias("s"),
-            (acc["n"] + F.when(second, 2).otherwise(1)).alias("n"),
-        )
+        one, two = F.get(table, _bucket(x.getField("0"))), F.get(table, _bucket(x.getField("0"), x.getField("1")))
+        return acc + one + F.when(x.getField("1").isNotNull(), two).otherwise(0.0)
 
-    mean = F.aggregate(grams, zero, add, lambda acc: acc["s"] / acc["n"])
+    mean = let(grams, lambda g: F.aggregate(g, F.lit(0.0), add) / (F.size(g) * 2 - 1))  # as many bigrams as unigrams, less one
     n, r = F.col(out["n_words"]), F.col(out["n_repeat_words"])
     df = df.withColumn(out["base_failed"], (n < 50) | (r * 100 > n * 50)).withColumn(out["score"], F.when(n == 0, F.lit(0.0)).otherwise(mean))
     return df.withColumn(out["kept"], ~F.col(out["base_failed"]) & (F.col(out["score"]) >= threshold)).drop(text)
