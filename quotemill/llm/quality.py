@@ -91,13 +91,15 @@ def with_quality(docs: DataFrame, ratios: list[float], text_col: str = "text", t
             out["n_repeat_words"]: repeated_words(w),
         }
     ).drop(words)
-    grams = _grams(pieces_of(t))
 
-    def add(acc: Column, x: Column) -> Column:
-        one, two = F.get(table, _bucket(x.getField("0"))), F.get(table, _bucket(x.getField("0"), x.getField("1")))
-        return acc + one + F.when(x.getField("1").isNotNull(), two).otherwise(0.0)
+    def scored(pieces: Column) -> Column:
+        def each(x: Column, i: Column) -> Column:
+            after = F.get(pieces, i + 1)
+            return F.get(table, _bucket(x)) + F.when(after.isNotNull(), F.get(table, _bucket(x, after))).otherwise(0.0)
 
-    mean = let(grams, lambda g: F.aggregate(g, F.lit(0.0), add) / (F.size(g) * 2 - 1))  # as many bigrams as unigrams, less one
+        return F.aggregate(F.transform(pieces, each), F.lit(0.0), lambda a, x: a + x) / (F.size(pieces) * 2 - 1)  # as many bigrams as unigrams, less one
+
+    mean = let(pieces_of(t), scored)
     n, r = F.col(out["n_words"]), F.col(out["n_repeat_words"])
     df = df.withColumn(out["base_failed"], (n < 50) | (r * 100 > n * 50)).withColumn(out["score"], F.when(n == 0, F.lit(0.0)).otherwise(mean))
     return df.withColumn(out["kept"], ~F.col(out["base_failed"]) & (F.col(out["score"]) >= threshold)).drop(text)
