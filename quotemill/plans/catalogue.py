@@ -220,8 +220,15 @@ def signal_entry_prices(spark, sf_dir):
 
 
 def _priced(spark, sf_dir) -> DataFrame:
+    return doubles(risk.priced(features(spark, sf_dir), gap=GAP), "entry_price")
+
+
+@query(f"WITH {PRICED_SQL.format(gap=GAP)} SELECT trade_date, symbol, strategy, entry_date, entry_source, entry_price, stop_price, target_price FROM priced")
+def signal_prices_joined(spark, sf_dir):
+    """The same prices by joins, for signals that come from elsewhere."""
     f = features(spark, sf_dir)
-    return doubles(risk.with_risk(risk.with_entries(signals.all_signals(f, gap=GAP), f), f), "entry_price")
+    df = doubles(risk.with_risk(risk.with_entries(signals.all_signals(f, gap=GAP), f), f), "entry_price")
+    return df.select("trade_date", "symbol", "strategy", "entry_date", "entry_source", "entry_price", "stop_price", "target_price")
 
 
 @query(f"WITH {PRICED_SQL.format(gap=GAP)} SELECT trade_date, symbol, strategy, signal_type, entry_price, stop_price, target_price, stop_imputed, target_imputed, method FROM priced")

@@ -14,20 +14,19 @@ def bars(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Daily bars: lineitem by supplier and ship date.
 
     The first and last price of a day are found with one fixed-width key (order, line, price in
-    cents) in a decimal, so that a hash aggregation with map-side partials does it.
+    cents) in a decimal, so that a hash aggregation with map-side partials does it; what follows
+    from the supplier is put on afterwards.
     """
     rows = table(spark, sf_dir, "lineitem").select(
-        F.concat(F.lit("S"), F.col("l_suppkey")).alias("symbol"),
+        "l_suppkey",
         F.to_date("l_shipdate").alias("trade_date"),
         F.col("l_extendedprice").cast("decimal(18,2)").alias("price"),
         F.col("l_quantity").cast("bigint").alias("qty"),
         (F.col("l_orderkey") * 8 + F.col("l_linenumber")).alias("seq"),
-        F.when(F.col("l_suppkey") % 10 == 9, 1).otherwise(0).alias("mkt_flag"),
-        F.when(F.col("l_suppkey") % 7 == 6, "Y").otherwise("N").alias("ind_sec"),
     )
     key = (F.col("seq").cast("decimal(20,0)") * F.lit(CENTS).cast("decimal(15,0)") + (F.col("price") * 100).cast("decimal(15,0)")).cast("decimal(38,0)")
     price_of = lambda c: (F.pmod(c, F.lit(CENTS).cast("decimal(15,0)")).cast("decimal(18,2)") / 100).cast("decimal(18,2)")
-    days = rows.groupBy("symbol", "trade_date").agg(
+    days = rows.groupBy("l_suppkey", "trade_date").agg(
         F.min(key).alias("first_key"),
         F.max(key).alias("last_key"),
         F.max("price").alias("high"),
@@ -35,11 +34,9 @@ def bars(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sum("price").alias("value"),
         F.sum("qty").alias("net_trdqty"),
         F.count("*").alias("trades"),
-        F.max("mkt_flag").alias("mkt_flag"),
-        F.max("ind_sec").alias("ind_sec"),
     )
     return days.select(
-        "symbol",
+        F.concat(F.lit("S"), F.col("l_suppkey")).alias("symbol"),
         "trade_date",
         F.unix_date("trade_date").alias("day"),
         price_of(F.col("first_key")).alias("open"),
@@ -49,8 +46,8 @@ def bars(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("value").cast("decimal(24,2)").alias("net_trdval"),
         "net_trdqty",
         "trades",
-        "mkt_flag",
-        "ind_sec",
+        F.when(F.col("l_suppkey") % 10 == 9, 1).otherwise(0).alias("mkt_flag"),
+        F.when(F.col("l_suppkey") % 7 == 6, "Y").otherwise("N").alias("ind_sec"),
     )
 
 
