@@ -24,7 +24,7 @@ SENTENCES = {
     "HIGH_MISSED": "Significant missed opportunities detected.",
     "LOW_MISSED": "Missed opportunities are under control.",
 }
-#: (metric, direction, bound, urgent bound, confidence, supporting text)
+#: Fixed values: (metric, direction, bound, urgent bound, confidence, supporting text).
 SUGGESTIONS = (
     ("conversion_rate", -1, 0.4, 0.3, 0.7, "conversion_rate below threshold"),
     ("failure_rate", 1, 0.5, 0.6, 0.6, "failure_rate above threshold"),

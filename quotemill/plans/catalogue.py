@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from quotemill.functions import coerce, names
-from quotemill.operators import candidates, hold, indicators, instruments, labels, liquidity, risk, selection, sessions, signals, trading_days
+from quotemill.operators import candidates, hold, indicators, instruments, labels, liquidity, risk, scans, selection, sessions, signals, trading_days
 from quotemill.plans.fragments import CANDLES_SQL, FEATURES_SQL, LABELS_SQL, METRICS_SQL, OUTCOMES_SQL, PRICED_SQL, SELECTION_SQL, SIGNALS_SQL, VWAP_SQL
 from quotemill.sources import archive, store
 from quotemill.sources.standin import BARS_SQL, bars, candles
@@ -20,7 +20,7 @@ from quotemill.streaming import candles as streams
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
-#: The stand-in prices jump, so that the reference's 2 percent would keep nearly every bar.
+#: The stand-in prices jump, so that a gap of 2 percent would keep nearly every bar.
 GAP = 200.0
 #: The stand-in's barriers, for hold days that differ.
 TARGET, STOP = 3.0, 0.95
@@ -728,6 +728,80 @@ def json_props(spark, sf_dir):
     return table(spark, sf_dir, "events").select("event_id", coerce.canonical_json(F.col("props")).alias("canonical"), coerce.canonical_json(F.col("event_type")).alias("quoted"), F.get_json_object("props", "$.k").cast("bigint").alias("k"))
 
 
+# scans
+
+
+@query(f"WITH {BARS_SQL} SELECT symbol, trade_date, close::DOUBLE AS close FROM bars WHERE trade_date BETWEEN DATE '1995-01-01' AND DATE '1996-12-31' AND mkt_flag = 0 AND ind_sec = 'N'")
+def bars_range_scan(spark, sf_dir):
+    return doubles(scans.bars_between(bars(spark, sf_dir), "1995-01-01", "1996-12-31"), "close").select("symbol", "trade_date", "close")
+
+
+@query(
+    f"""WITH {BARS_SQL} SELECT symbol, trade_date, close::DOUBLE AS close, (lag(close) OVER (PARTITION BY symbol ORDER BY trade_date))::DOUBLE AS prev_close FROM bars
+    WHERE trade_date BETWEEN DATE '1996-06-30' - 200 AND DATE '1996-06-30' AND symbol IN (SELECT 'S' || s_suppkey FROM supplier WHERE s_acctbal > 0)"""
+)
+def bars_for_symbols(spark, sf_dir):
+    wanted = table(spark, sf_dir, "supplier").where("s_acctbal > 0").select(F.concat(F.lit(" s"), F.col("s_suppkey")).alias("symbol"))
+    return doubles(scans.bars_for_symbols(bars(spark, sf_dir), wanted, "1996-06-30", 100), "close", "prev_close").select("symbol", "trade_date", "close", "prev_close")
+
+
+@query(f"WITH {BARS_SQL} SELECT symbol, trade_date FROM (SELECT *, row_number() OVER (PARTITION BY symbol ORDER BY trade_date DESC) AS nth FROM bars) WHERE nth <= 292")
+def latest_bars(spark, sf_dir):
+    return scans.latest_bars(bars(spark, sf_dir), 292).select("symbol", "trade_date")
+
+
+@query(f"WITH {SIGNALS_SQL.format(gap=GAP)} SELECT symbol, trade_date, high::DOUBLE AS high FROM bars WHERE (symbol, trade_date) IN (SELECT (symbol, trade_date) FROM gaps)")
+def bars_for_pairs(spark, sf_dir):
+    f = features(spark, sf_dir)
+    return doubles(scans.bars_for_pairs(bars(spark, sf_dir), signals.gap_signals(f, GAP)), "high").select("symbol", "trade_date", "high")
+
+
+@query(f"WITH {SIGNALS_SQL.format(gap=GAP)} SELECT DISTINCT g.symbol, g.trade_date, f.atr_14, f.rsi_14 FROM gaps g LEFT JOIN features f ON f.symbol = g.symbol AND f.trade_date = g.trade_date")
+def feature_lookup(spark, sf_dir):
+    f = features(spark, sf_dir)
+    return scans.feature_lookup(indicators.long_features(f), signals.gap_signals(f, GAP), ("atr_14", "rsi_14"))
+
+
+@query(f"WITH {BARS_SQL} SELECT trade_date FROM (SELECT DISTINCT trade_date FROM bars ORDER BY trade_date DESC LIMIT 30) UNION SELECT DISTINCT trade_date FROM bars WHERE trades > 3")
+def last_dates(spark, sf_dir):
+    rows = bars(spark, sf_dir)
+    return scans.last_dates(rows, 30, rows.where("trades > 3"))
+
+
+@query(f"WITH {OUTCOMES_SQL} SELECT coalesce(outcome, 'MISSING') AS outcome, count(*) AS n FROM outcomes GROUP BY 1")
+def outcome_tallies(spark, sf_dir):
+    return scans.tallied(sessions.stock_outcome(bars(spark, sf_dir)), "outcome")
+
+
+@query("""SELECT s_suppkey, '{"bal":' || s_acctbal::DECIMAL(12,2)::DOUBLE || ',"name":"' || s_name || '","nation":' || s_nationkey || '}' AS extras FROM supplier""")
+def extras_packed(spark, sf_dir):
+    rows = table(spark, sf_dir, "supplier").select("s_suppkey", F.col("s_acctbal").cast("decimal(12,2)").alias("bal"), F.col("s_name").alias("name"), F.col("s_nationkey").alias("nation"))
+    return rows.select("s_suppkey", scans.extras(rows, ("s_suppkey",)).alias("extras"))
+
+
+@query("SELECT s_suppkey, upper(left(s_name, 1)) = 'Y' OR s_nationkey < 8 AS flagged, CASE WHEN s_nationkey < 8 THEN 1 ELSE 0 END AS mkt_flag FROM supplier")
+def market_flags(spark, sf_dir):
+    rows = table(spark, sf_dir, "supplier").withColumn("mkt", F.when(F.col("s_nationkey") < 8, " y ").otherwise("N"))
+    return rows.select("s_suppkey", (coerce.market_flag(F.col("mkt")) == 1).alias("flagged"), coerce.market_flag(F.col("mkt")).alias("mkt_flag"))
+
+
+@query(f"WITH {BARS_SQL} SELECT symbol, trade_date, open::DOUBLE AS open, high::DOUBLE AS high, low::DOUBLE AS low, close::DOUBLE AS close FROM bars")
+def columns_resolved(spark, sf_dir):
+    rows = bars(spark, sf_dir).select(F.col("symbol").alias("Ticker"), F.col("trade_date").alias("DATE"), F.col("open").alias("Open_Price"), F.col("high").alias("HIGH"), F.col("low").alias("l"), F.col("close").alias("CLOSE_PRIC"))
+    return doubles(scans.resolved_columns(rows), *OHLC)
+
+
+@query("SELECT o_orderkey, CASE WHEN o_orderstatus = 'F' THEN 'PR' || o_custkey || '.zip' ELSE 'other.zip' END AS file, o_orderdate::DATE AS trading_date FROM orders WHERE o_orderstatus <> 'P'")
+def report_match(spark, sf_dir):
+    rows = table(spark, sf_dir, "orders").where("o_orderstatus <> 'P'")
+    day = F.date_format("o_orderdate", "dd-MMM-yyyy")
+    entry = lambda name: F.array(F.struct(name.alias("file"), day.alias("tradingDate")))
+    wanted = F.concat(F.lit("PR"), F.col("o_custkey"), F.lit(".zip"))
+    text = F.to_json(F.struct(entry(F.lit("other.zip")).alias("CurrentDay"), F.when(F.col("o_orderstatus") == "F", entry(wanted)).alias("PreviousDay")))
+    entries = scans.report_entries(rows.select("o_orderkey", "o_custkey", F.to_date("o_orderdate").alias("day"), text.alias("json")))
+    return scans.matching_entry(entries, F.concat(F.lit("PR"), F.col("o_custkey"), F.lit(".zip")), F.col("day"), "o_orderkey").select("o_orderkey", "file", "trading_date")
+
+
 # archives and streams
 
 
