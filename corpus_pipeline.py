@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from quotemill.llm.common import read, staged
+from quotemill.llm.common import new_path, read, removed, written
 from quotemill.llm.mixing import mixed
 from quotemill.llm.packing import packed_documents
 from quotemill.llm.quality import quality_filter
@@ -55,8 +55,11 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over documents, each written and read again."""
-    docs = read(spark, sf_dir, "documents")
+    """All stages over documents, each written and read again; a stage's table goes when the next one stands."""
+    docs, before = read(spark, sf_dir, "documents"), None
     for name, stage in STAGES[:-1]:
-        docs = staged(stage(spark, docs, sf_dir), name)
+        path = new_path(spark, name)
+        docs = written(stage(spark, docs, sf_dir), path)
+        removed(spark, before)
+        before = path
     return STAGES[-1][1](spark, docs, sf_dir)

@@ -25,13 +25,32 @@ def shared_dir(spark: SparkSession) -> str:
     return sc.getCheckpointDir()
 
 
-def staged(df: DataFrame, name: str) -> DataFrame:
-    """df as a table written to the shared folder and read again: lineage ends there, and a lost executor costs no recomputation."""
-    path = f"{shared_dir(df.sparkSession)}/{name}-{uuid.uuid4().hex}"
+def new_path(spark: SparkSession, name: str) -> str:
+    """A path in the shared folder that nothing else has."""
+    return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
+
+
+def written(df: DataFrame, path: str) -> DataFrame:
+    """df as a table at path, read again."""
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def staged(df: DataFrame, name: str) -> DataFrame:
+    """df as a table in the shared folder: lineage ends there, and a lost executor costs no recomputation.
+
+    The table stays as long as the shared folder does, since the plans that read it may run later.
+    """
+    return written(df, new_path(df.sparkSession, name))
+
+
+def removed(spark: SparkSession, path: str | None) -> None:
+    """Deletes a table that no plan reads any more."""
+    if path:
+        at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+        at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(at, True)
+
+
 def free(df: DataFrame, *names: str) -> list[str]:
     """Column names that df doesn't have, whatever the case."""
     taken = {c.lower() for c in df.columns}
@@ -60,16 +79,18 @@ def components(edges: DataFrame, a: str, b: str, max_rounds: int = 60) -> DataFr
     Alternates two star contractions, each a grouped minimum joined back to its neighbours, and
     writes every round to the shared folder. Nodes without an edge to another node don't appear.
     """
-    name = "edges"
-    pairs = staged(edges.select(F.greatest(a, b).alias("u"), F.least(a, b).alias("v")).where("u <> v").distinct(), name)
-    mark = None
+    spark = edges.sparkSession
+    path, mark = new_path(spark, "edges"), None
+    pairs = written(edges.select(F.greatest(a, b).alias("u"), F.least(a, b).alias("v")).where("u <> v").distinct(), path)
     for _ in range(max_rounds):
         both = pairs.unionByName(pairs.select(F.col("v").alias("u"), F.col("u").alias("v")))
         low = both.groupBy("u").agg(F.least(F.min("v"), F.first("u")).alias("m"))
         large = both.join(low, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v").distinct()
         low = large.groupBy("u").agg(F.min("v").alias("m"))
         small = large.join(low, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v").unionByName(low.select("u", F.col("m").alias("v")))
-        pairs = staged(small.distinct(), name)
+        before, path = path, new_path(spark, "edges")
+        pairs = written(small.distinct(), path)
+        removed(spark, before)
         row = pairs.agg(F.count("*"), F.sum(F.xxhash64("u", "v") % 1_000_003), F.bit_xor(F.xxhash64("u", "v"))).first()
         if tuple(row) == mark:
             break
