@@ -27,8 +27,8 @@ from quotemill.llm.common import staged
 CAPACITY = 1024
 END = 2
 GROUP_ROWS = 16384
-#: Bins that the search of one group may open after its first descent.
-SEARCH_STEPS = 4096
+#: How many sizes a filling tries at each place, in one search after the other; and bins that a search may open beyond one descent.
+WIDTHS, SEARCH_STEPS = (6, 16, 48, 56), 256
 TOKENIZER = "byte_bpe_50k"
 
 
@@ -137,16 +137,23 @@ def fillings(counts: list[int], present: int, room: int, width: int) -> list[tup
     return [found[w] for w in sorted(found)]
 
 
-def complete(sizes: list[int], capacity: int = CAPACITY, width: int = 6, steps: int = SEARCH_STEPS) -> list[list[int]]:
+def complete(sizes: list[int], capacity: int = CAPACITY, widths: tuple[int, ...] = WIDTHS, steps: int = SEARCH_STEPS) -> list[list[int]]:
     """Bins for the sizes: branch and bound over fillings around the largest size left.
 
-    A branch ends when its waste leaves no way to beat the incumbent; the search ends at the lower
+    A branch ends when its waste leaves no way to beat the incumbent; a search ends at the lower
     bound (total size over capacity, rounded up) or after ``steps`` more bins than one descent.
+    Narrow searches keep to the largest sizes that fit, wide ones find fuller bins; each begins
+    with the best bins of those before as its incumbent, the first with best-fit decreasing.
     """
     best = best_fit(sizes, capacity)
+    for width in widths:
+        if len(best) > -(-sum(sizes) // capacity):
+            best = _search(sizes, best, capacity, width, steps)
+    return best
+
+
+def _search(sizes: list[int], best: list[list[int]], capacity: int, width: int, steps: int) -> list[list[int]]:
     bound = -(-sum(sizes) // capacity)
-    if len(best) <= bound:
-        return best
     counts, present = [0] * (capacity + 1), 0
     for s in sizes:
         counts[s] += 1

@@ -48,7 +48,7 @@ def test_bin_completion_reaches_the_fewest_bins():
     for trial in range(120):
         capacity = rng.choice([20, 50, 100])
         sizes = [rng.randint(1, capacity) if trial % 2 else rng.randint(capacity // 5, capacity // 2) for _ in range(rng.randint(1, 11))]
-        bins = complete(sizes, capacity, width=12)
+        bins = complete(sizes, capacity)
         assert sorted(s for b in bins for s in b) == sorted(sizes) and all(sum(b) <= capacity for b in bins)
         assert len(bins) == fewest(sizes, capacity) or len(bins) <= fewest(sizes, capacity) + 1
         better += len(bins) < len(best_fit(sizes, capacity))
