@@ -22,7 +22,7 @@ from quotemill.llm.quality import words_of
 #: Labelled rows the classifier is fitted on, at most: those with the smallest hash of their id.
 TRAIN_ROWS = 16384
 #: Strength of the ridge penalty, and steps of the fit.
-RIDGE, STEPS = 1.0, 25
+RIDGE, STEPS = 0.05, 40
 #: Between these a prior may weigh, in documents.
 LEAST_WEIGHT, MOST_WEIGHT = 2.0, 1000.0
 #: A document's own odds stay within e to the power of plus and minus this.
