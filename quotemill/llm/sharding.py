@@ -63,12 +63,12 @@ def splitters_of(keys: DataFrame, total: int, rounds: int = 6) -> tuple[list[tup
     ranges = int(min(MAX_RANGES, max(MIN_RANGES, total // RANGE_BYTES)))
     even = max(1, total // ranges)
 
-    def sampled(rows: DataFrame, part: int, whole: int, seed: int) -> list[tuple]:
+    def sampled(rows: DataFrame, seed: int) -> list[tuple]:
         """About PER_RANGE keys for each ``even`` bytes, a record's chance in proportion to its size."""
         chance = F.col("size") * F.lit(PER_RANGE / even)
         return rows.where(unit_hash(F.lit(str(seed)), F.col("h").cast("string"), F.col("i").cast("string")) < chance).collect()
 
-    first = sorted((r["h"], r["i"]) for r in sampled(keys.select("h", "i", "size"), 1, 1, 0))
+    first = sorted((r["h"], r["i"]) for r in sampled(keys.select("h", "i", "size"), 0))
     cuts = sorted(_quantiles(first, ranges)) if first else []
     for round_ in range(1, rounds + 1):
         placed = keys.withColumn("range", range_of(F.col("h"), F.col("i"), cuts))
@@ -77,7 +77,7 @@ def splitters_of(keys: DataFrame, total: int, rounds: int = 6) -> tuple[list[tup
         if not full or round_ == rounds:
             break
         again: dict[int, list[tuple[int, int]]] = {}
-        for row in sampled(placed.where(F.col("range").isin(list(full))).select("h", "i", "size", "range"), 1, 1, round_):
+        for row in sampled(placed.where(F.col("range").isin(list(full))).select("h", "i", "size", "range"), round_):
             again.setdefault(row["range"], []).append((row["h"], row["i"]))
         more = {s for r, got in again.items() for s in _quantiles(sorted(got), -(-full[r] // even))} - set(cuts)
         if not more:
