@@ -11,10 +11,10 @@ from pyspark.sql import DataFrame, SparkSession
 
 from quotemill.llm.common import new_path, read, removed, written
 from quotemill.llm.mixing import mixed
+from quotemill.llm.near_copies import near_copy_dedup
 from quotemill.llm.packing import packed_documents
 from quotemill.llm.quality import quality_filter
 from quotemill.llm.secrets import mask_secrets
-from quotemill.llm.simhash import simhash_dedup
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -23,8 +23,8 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies, by the links of op3."""
-    return simhash_dedup(docs)
+    """One document of each group of near copies, linked at a Jaccard similarity of 0.8 or more over 5-word shingles."""
+    return near_copy_dedup(docs)
 
 
 def secret_scan(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -50,7 +50,7 @@ STAGES = [
     ("pack_sequences", pack_sequences),
 ]
 
-#: SimHash, the forest and the tokenizer can't be expressed in SQL; the stages are tested against brute force.
+#: MinHash, the forest and the tokenizer can't be expressed in SQL; the stages are tested against brute force.
 ORACLE_SQL = None
 
 
