@@ -2,8 +2,9 @@
 
 Vectors are grouped around centroids. A vector near the boundary of its cell is written to the
 lists of several centroids. Centroids are searched by best-first walks on a graph of neighbouring
-centroids held in memory, and a query reads the lists whose centroids are at most a ratio farther
-than the nearest one. Largest inner product becomes smallest distance by one more coordinate, that
+centroids held in memory. A query reads its nearest lists first, which bounds the scores that still
+matter, and then all lists whose centroids are at most a ratio farther than the nearest one, however
+many there are: they are read by the cell of lists, and only scores within the bound come out. Largest inner product becomes smallest distance by one more coordinate, that
 brings all vectors to the same length.
 
 The centroids, MAX_CENTROIDS at most, are fitted on a bounded sample, split so that no cell is much
@@ -31,10 +32,12 @@ MAX_CENTROIDS = 8192
 LIST_ROWS, LIST_AT = 256, 50_000
 #: A vector goes to lists up to this much farther than its nearest, and to so many.
 REPLICA_RATIO, REPLICAS = 1.1, 4
-#: A query reads lists up to this much farther than its nearest, and between so many.
-PROBE_RATIO, LEAST_PROBES, PROBES = 1.4, 32, 64
+#: A query reads lists up to this much farther than its nearest, and so many at least.
+PROBE_RATIO, LEAST_PROBES = 1.4, 32
 #: Entries, and queries, of a block.
 BLOCK = 4096
+#: Entries of a block of a cell, whose lists are read together.
+CELL_BLOCK = 16384
 DEGREE = 24
 
 
@@ -139,17 +142,37 @@ def _padded(vectors: pd.Series, longest: float | None) -> np.ndarray:
     return np.hstack([x, extra[:, None]])
 
 
-def _lists(graph: CentroidGraph, longest: float | None, ratio: float, least: int, most: int, keep: list[str]):
-    """A row for each list that a vector goes to, or that a query reads."""
+def _lists(graph: CentroidGraph, longest: float | None):
+    """A row for each list that a vector goes to; nth is 0 for the nearest."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for rows in batches:
             for lo in range(0, len(rows), 512):
                 part = rows.iloc[lo : lo + 512]
-                ids, dist = graph.search(_padded(part["v"], longest), most + 8)
-                take = (ids >= 0) & (np.arange(ids.shape[1]) < most) & ((dist <= ratio * dist[:, :1]) | (np.arange(ids.shape[1]) < least))
-                at, k = np.nonzero(take)
-                yield part.iloc[at][keep].assign(list=ids[at, k])
+                ids, dist = graph.search(_padded(part["v"], longest), REPLICAS + 8)
+                at, k = np.nonzero((ids >= 0) & (np.arange(ids.shape[1]) < REPLICAS) & ((dist <= REPLICA_RATIO * dist[:, :1]) | (np.arange(ids.shape[1]) < 1)))
+                yield part.iloc[at][["key", "v", "ids"]].assign(list=ids[at, k], nth=k)
+
+    return run
+
+
+def _probes(centroids: np.ndarray, per_cell: int | None = None):
+    """A row for each of a query's nearest lists; with ``per_cell`` for each cell of so many lists that has a further one within the ratio."""
+    least = min(LEAST_PROBES, len(centroids))
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for rows in batches:
+            for lo in range(0, len(rows), 512):
+                part = rows.iloc[lo : lo + 512]
+                dist = _distances(_padded(part["v"], None), centroids)
+                order = np.argsort(dist, axis=1, kind="stable")[:, :least]
+                if per_cell is None:
+                    yield part.loc[part.index.repeat(least)].assign(list=order.ravel())
+                    continue
+                further = dist <= PROBE_RATIO * dist.min(axis=1, keepdims=True)
+                np.put_along_axis(further, order, False, 1)
+                at, cell = np.nonzero(np.add.reduceat(further, np.arange(0, len(centroids), per_cell), axis=1, dtype=np.int64))
+                yield part.iloc[at].assign(list=cell)
 
     return run
 
@@ -178,15 +201,14 @@ def search(vectors: DataFrame, queries: Column, id_col: str = "vec_id", vector_c
     sample = entries.orderBy(F.xxhash64("key"), "key").limit(train_rows).select("v").toPandas()
     list_rows = max(32.0, LIST_ROWS * math.sqrt(n / LIST_AT))
     graph = CentroidGraph(fit_centroids(_padded(sample["v"], longest), int(min(MAX_CENTROIDS, max(1, round(n / list_rows))))))
+    lists = len(graph.points)
     kinds = dict(rows.dtypes)
-    posted = staged(entries.mapInPandas(_lists(graph, longest, REPLICA_RATIO, 1, REPLICAS, ["key", "v", "ids"]), f"key {kinds['key']}, v {kinds['v']}, ids array<long>, list long"), "postings")
+    posted = staged(entries.mapInPandas(_lists(graph, longest), f"key {kinds['key']}, v {kinds['v']}, ids array<long>, list long, nth long"), "postings")
     asked = rows.where("is_query").dropDuplicates(["key"]).select("key", "v")
-    asked = staged(asked.mapInPandas(_lists(graph, None, PROBE_RATIO, LEAST_PROBES, PROBES, ["key", "v"]), f"key {kinds['key']}, v {kinds['v']}, list long"), "probes")
-    blocks = posted.groupBy("list").agg(F.ceil(F.count("*") / BLOCK).alias("p")).join(asked.groupBy("list").agg(F.ceil(F.count("*") / BLOCK).alias("q")), "list")  # MAX_CENTROIDS rows at most
+    probed = f"key {kinds['key']}, v {kinds['v']}, list long"
     of = lambda count: F.pmod(F.xxhash64("key"), F.col(count))
     every = lambda count: F.explode(F.sequence(F.lit(0).cast("long"), F.col(count) - 1))
-    left = asked.join(F.broadcast(blocks), "list").withColumn("qb", of("q")).withColumn("pb", every("p")).select("list", "pb", "qb", "key", "v")
-    right = posted.join(F.broadcast(blocks), "list").withColumn("pb", of("p")).withColumn("qb", every("q")).select("list", "pb", "qb", "key", "v", "ids")
+    cell = ["list", "pb", "qb"]
 
     def compare(q: pd.DataFrame, p: pd.DataFrame) -> pd.DataFrame:
         if not len(q) or not len(p):
@@ -195,23 +217,49 @@ def search(vectors: DataFrame, queries: Column, id_col: str = "vec_id", vector_c
         first = np.array([i[0] for i in p["ids"]], np.int64)
         order = np.argsort(first, kind="stable")
         x, p = x[order], p.iloc[order]
+        longest_p = np.sqrt((x * x).sum(1).max())
         qs, ps, scores = [], [], []
         most = min(k + 1, len(p))
         for lo in range(0, len(q), 256):
             y = np.stack(q["v"].iloc[lo : lo + 256].to_numpy()).astype(np.float64)
             s = y @ x.T
-            top = np.argsort(-s, axis=1, kind="stable")[:, :most]  # of equal scores the smaller id first
-            qs.append(np.repeat(np.arange(lo, lo + len(y)), most))
-            ps.append(top.ravel())
-            scores.append(np.einsum("qd,qkd->qk", y, x[top]).ravel())
+            floor = q["floor"].iloc[lo : lo + 256].to_numpy(np.float64) - 1e-9 * longest_p * np.sqrt((y * y).sum(1))
+            over = s >= floor[:, None]
+            crowded = over.sum(axis=1) > most
+            over[crowded] = False
+            row, col = np.nonzero(over)
+            top = np.argsort(-s[crowded], axis=1, kind="stable")[:, :most]  # of equal scores the smaller id first
+            row, col = np.concatenate([row, np.repeat(np.flatnonzero(crowded), most)]), np.concatenate([col, top.ravel()])
+            qs.append(row + lo)
+            ps.append(col)
+            scores.append(np.einsum("nd,nd->n", y[row], x[col]))
         at = np.concatenate(ps)
         return pd.DataFrame({"q": q["key"].iloc[np.concatenate(qs)].to_numpy(), "p": p["key"].iloc[at].to_numpy(), "score": np.concatenate(scores), "ids": p["ids"].iloc[at].to_numpy()})
 
-    cell = ["list", "pb", "qb"]
-    pairs = left.groupBy(cell).cogroup(right.groupBy(cell)).applyInPandas(compare, f"q {kinds['key']}, p {kinds['key']}, score double, ids array<long>")
+    def compared(asked: DataFrame, posted: DataFrame, block: int) -> DataFrame:
+        """The scores that matter of queries (list, key, v, floor) and entries (list, key, v, ids) with the same list."""
+        blocks = posted.groupBy("list").agg(F.ceil(F.count("*") / block).alias("p")).join(asked.groupBy("list").agg(F.ceil(F.count("*") / BLOCK).alias("q")), "list")  # MAX_CENTROIDS rows at most
+        left = asked.join(F.broadcast(blocks), "list").withColumn("qb", of("q")).withColumn("pb", every("p")).select(*cell, "key", "v", "floor")
+        right = posted.join(F.broadcast(blocks), "list").withColumn("pb", of("p")).withColumn("qb", every("q")).select(*cell, "key", "v", "ids")
+        return left.groupBy(cell).cogroup(right.groupBy(cell)).applyInPandas(compare, f"q {kinds['key']}, p {kinds['key']}, score double, ids array<long>")
+
     best = Window.partitionBy("q").orderBy(F.desc("score"), "id")
-    found = pairs.groupBy("q", "p").agg(F.max(F.struct("score", "ids")).alias("x")).select("q", "x.score", F.explode("x.ids").alias("id"))
-    found = found.distinct().withColumn("nth", F.row_number().over(best)).where(F.col("nth") <= k + 1).groupBy("q").agg(F.sort_array(F.collect_list(F.struct("nth", "id", "score"))).alias("near"))
+
+    def nearest(pairs: DataFrame) -> DataFrame:
+        found = pairs.groupBy("q", "p").agg(F.max(F.struct("score", "ids")).alias("x")).select("q", "x.score", F.explode("x.ids").alias("id"))
+        return found.distinct().withColumn("nth", F.row_number().over(best)).where(F.col("nth") <= k + 1)
+
+    probes = staged(asked.mapInPandas(_probes(graph.points), probed).withColumn("floor", F.lit(-math.inf)), "probes")
+    found = nearest(compared(probes, posted, BLOCK))
+    if lists > LEAST_PROBES:
+        found = staged(found, "found")
+        floors = found.where(F.col("nth") == k + 1).select(F.col("q").alias("key"), F.col("score").alias("floor"))
+        per_cell = math.isqrt(lists)
+        wide = staged(asked.mapInPandas(_probes(graph.points, per_cell), probed).join(floors, "key", "left").withColumn("floor", F.coalesce("floor", F.lit(-math.inf))), "probes")
+        cells = posted.where("nth = 0").withColumn("list", F.floor(F.col("list") / per_cell))
+        more = compared(wide, cells, CELL_BLOCK).select("q", "score", F.explode("ids").alias("id"))
+        found = found.select("q", "score", "id").unionByName(more).groupBy("q", "id").agg(F.max("score").alias("score")).withColumn("nth", F.row_number().over(best)).where(F.col("nth") <= k + 1)
+    found = found.groupBy("q").agg(F.sort_array(F.collect_list(F.struct("nth", "id", "score"))).alias("near"))
     # a query's results are its vector's, less itself
     own = rows.where("is_query").select(F.col("id").alias("query_id"), F.col("key").alias("q")).join(found, "q")
     others = F.slice(F.filter("near", lambda x: x["id"] != F.col("query_id")), 1, k)

@@ -1,6 +1,7 @@
 import numpy as np
 from pyspark.sql import functions as F
 
+from quotemill.llm import ann
 from quotemill.llm.ann import CentroidGraph, fit_centroids, search, search_report
 
 
@@ -67,3 +68,18 @@ def test_graph_search_finds_the_nearest_centroids():
     true = np.argsort(((queries[:, None] - centroids[None]) ** 2).sum(-1), axis=1)[:, :10]
     assert np.mean([len(set(a[:10]) & set(b)) / 10 for a, b in zip(ids, true, strict=True)]) > 0.95
     assert (np.diff(dist, axis=1) >= 0).all()
+
+
+def test_recall_does_not_fall_with_the_number_of_lists(spark, monkeypatch):
+    monkeypatch.setattr(ann, "LIST_ROWS", 1)  # the shortest lists: 375 of them
+    rng = np.random.default_rng(6)
+    x = rng.normal(size=(12000, 64))
+    x = (x / np.linalg.norm(x, axis=1, keepdims=True)).astype(np.float32).astype(np.float64)
+    df = frame(spark, np.arange(len(x)), x)
+    got = {}
+    for r in search(df, F.col("vec_id") < 100).collect():
+        got.setdefault(r["query_id"], set()).add(r["vec_id"])
+    s = x[:100] @ x.T
+    s[np.arange(100), np.arange(100)] = -np.inf
+    want = np.argsort(-s, axis=1)[:, :20]
+    assert np.mean([len(got[q] & set(want[q].tolist())) / 20 for q in range(100)]) > 0.995
