@@ -1,8 +1,8 @@
-"""Secret scans: long tokens with digits, judged by a random forest on what they and their surroundings look like.
+"""Secret scans: assigned values and long tokens, judged by a random forest on what they and their surroundings look like.
 
-A candidate is a run of at least ``MIN_LENGTH`` letters, digits, ``+ / _ -`` with a digit, in a
-word of the text. Features: its length, shares of character classes, class changes between
-neighbouring characters, coverage by dictionary words, the path it was found under, and words
+A candidate is a value of any length and characters assigned to a word that announces a secret, or
+a run of at least ``MIN_LENGTH`` letters, digits, ``+ / _ -`` with a digit, in a word of the text.
+Features: its length, shares of character classes, class changes between neighbouring characters, coverage by dictionary words, the path it was found under, and words
 before it. The forest is trained from labelled findings, to tell real secrets from hashes,
 numbers, identifiers and placeholders, and then written out as one Column expression, so that
 scanning and masking stay inside each row: no join, no shuffle, no Python.
@@ -39,7 +39,13 @@ DICTIONARY = (
     "utils value version video view web window work world write your zone"
 ).split()
 
-FEATURES = ("length", "digits", "upper", "lower", "other", "changes", "hex", "only_digits", "coverage", "known_prefix", "assigned", "near_secret", "near_hash", "near_contact", "path_test")
+#: Words that passphrases are made of in the labelled findings; one by itself is taken for prose.
+UNCOMMON = (
+    "horse battery staple correct dragon monkey hunter falcon marble copper velvet thunder pepper orchid saddle winter tiger rocket harbor cactus "
+    "lantern walnut ginger breeze meadow pirate anchor violet summer coffee turtle rabbit silver panther troubador pumpkin galaxy shadow wizard castle"
+).split()
+
+FEATURES = ("length", "digits", "upper", "lower", "other", "symbols", "changes", "hex", "only_digits", "coverage", "known_prefix", "assigned", "near_secret", "near_hash", "near_contact", "path_test")
 
 #: Words that announce a secret, a digest, or contact and number data; paths of examples and tests; prefixes of known key formats.
 NEAR_SECRET = r"(?i)(pass(word|wd|phrase)?|pwd|secret|token|api[_-]?key|access[_-]?key|auth|bearer|credential|private[_-]?key|client[_-]?secret)"
@@ -49,6 +55,12 @@ PATH_TEST = r"(?i)(test|example|sample|fixture|mock|demo|docs?)([/_.-]|$)"
 KNOWN_PREFIX = r"^(AKIA[0-9A-Z]{16}|ASIA[0-9A-Z]{16}|gh[pousr]_[0-9A-Za-z]{30,}|sk_(live|test)_[0-9A-Za-z]{16,}|xox[abprs]-[0-9A-Za-z-]{16,}|AIza[0-9A-Za-z_-]{30,}|glpat-[0-9A-Za-z_-]{16,})"
 
 _RUN = rf"([A-Za-z0-9+/_-]{{{MIN_LENGTH},}})"
+#: A secret-announcing word and what assigns to it, at the end of what precedes a value; and a value in the same word.
+_ASSIGN = NEAR_SECRET + r"s?\d*[\"'\])]*\s?[:=]{1,2}>?\s?[\"'(<]*"
+_ASSIGNED = rf"{_ASSIGN}$|(?i)bearer\s?$"
+_INSIDE = rf"{_ASSIGN}(?=[^\s\"'(<:=>])"
+#: Quotes and brackets around a value, and what ends a clause after it.
+_OPENING, _CLOSING = r"^[\"'(<]+", r"[\"',;)>\]]*[.,;]?$"
 
 
 def _share(value: Column, pattern: str) -> Column:
@@ -65,6 +77,7 @@ def features(value: Column, left: Column, path: Column) -> list[Column]:
         _share(value, "[A-Z]"),
         _share(value, "[a-z]"),
         _share(value, "[+/_-]"),
+        _share(value, "[^A-Za-z0-9+/_-]"),
         F.regexp_count(value, F.lit(r"(?<=[0-9])[A-Za-z]|(?<=[A-Za-z])[0-9]|(?<=[a-z])[A-Z]|(?<=[A-Z])[a-z]")) / F.length(value),
         flag(value.rlike("^([0-9a-f]+|[0-9A-F]+)$")),
         flag(value.rlike("^[0-9+/_-]+$")),
@@ -80,15 +93,28 @@ def features(value: Column, left: Column, path: Column) -> list[Column]:
 
 
 def candidates(text: Column) -> Column:
-    """array<struct<value, left>>: each candidate, and the two words before it with what precedes it in its own."""
+    """array<struct<value, left>>: each candidate, and the two words before it with what precedes it in its own.
+
+    An assigned value comes before the runs inside it, and a run that is the whole of it doesn't come again.
+    """
+    none = F.lit(None).cast("string")
 
     def found(words: Column) -> Column:
-        at = F.filter(F.transform(words, lambda w, i: F.struct(w.alias("w"), i.alias("i"))), lambda x: (F.length(x["w"]) >= MIN_LENGTH) & x["w"].rlike("[0-9]") & x["w"].rlike(_RUN))
+        before = lambda i: F.concat_ws(" ", F.get(words, i - 2), F.get(words, i - 1))
+        opens = lambda w: w.rlike("[:=]>?[\"'(<]*$") | w.rlike("(?i)bearer$")
+        assigned = lambda w, i: (  # noqa: E731  what is assigned by, or in, the word
+            F.when(w.rlike("[:=].") & w.rlike(_INSIDE), F.regexp_replace(w, rf"^.*?{_INSIDE}", ""))
+            .when(F.coalesce(opens(F.get(words, i - 1)), F.lit(False)) & before(i).rlike(_ASSIGNED) & w.rlike("[A-Za-z0-9]"), F.regexp_replace(w, _OPENING, ""))
+            .otherwise(none)
+        )
+        value = lambda w, i: F.nullif(F.regexp_replace(assigned(w, i), _CLOSING, ""), F.lit(""))
+        at = F.transform(words, lambda w, i: F.struct(w.alias("w"), i.alias("i"), value(w, i).alias("v")))
+        at = F.filter(at, lambda x: x["v"].isNotNull() | (F.length(x["w"]) >= MIN_LENGTH) & x["w"].rlike("[0-9]") & x["w"].rlike(_RUN))
 
         def each(x: Column) -> Column:
-            before = F.concat_ws(" ", F.get(words, x["i"] - 2), F.get(words, x["i"] - 1))
-            runs = F.filter(F.regexp_extract_all(x["w"], F.lit(_RUN), F.lit(1)), lambda v: v.rlike("[0-9]"))
-            return F.transform(runs, lambda v: F.struct(v.alias("value"), F.concat_ws(" ", before, F.call_function("substring_index", x["w"], v, F.lit(1))).alias("left")))
+            runs = F.filter(F.regexp_extract_all(x["w"], F.lit(_RUN), F.lit(1)), lambda v: v.rlike("[0-9]") & ~v.eqNullSafe(x["v"]))
+            values = F.concat(F.filter(F.array(x["v"]), lambda v: v.isNotNull()), runs)
+            return F.transform(values, lambda v: F.struct(v.alias("value"), F.concat_ws(" ", before(x["i"]), F.call_function("substring_index", x["w"], v, F.lit(1))).alias("left")))
 
         return F.flatten(F.transform(at, each))
 
@@ -108,6 +134,10 @@ def labelled_findings(spark: SparkSession, per_kind: int = PER_KIND) -> DataFram
     contact = ("card number", "phone:", "order id", "call", "account", "pay with", "de", "que")
     files = ("src/app.py", "conf/settings.yml", "web", "notes.txt")
     tests = ("tests/data.py", "docs/example.md", "samples/demo.txt", "fixtures/a.json")
+    one = lambda tag, xs: F.element_at(F.array(*[F.lit(x) for x in xs]), (F.pmod(F.xxhash64(F.lit(tag), F.col("id")), F.lit(len(xs))) + 1).cast("int"))
+    phrase = lambda tag, sep: F.concat_ws(sep, *[one(f"{tag}{k}", UNCOMMON) for k in range(4)])
+    leet = lambda tag: F.translate(F.initcap(one(tag, UNCOMMON)), "aeiost", "@31057")
+    mixed_case = lambda tag, n: F.translate(rnd(tag, n), "0123456789abcdef", "aQxWzLmKPvJtRyHe")  # noqa: E731  no digits
     kinds = [
         (F.concat(F.lit("AKIA"), b32("a", 16)), plain + secret, files, 1),
         (rnd("t", 40), secret, files, 1),
@@ -118,6 +148,30 @@ def labelled_findings(spark: SparkSession, per_kind: int = PER_KIND) -> DataFram
         (F.concat(F.lit("ghp_"), b64("g", 36)), plain + secret, files, 1),
         (F.concat(F.lit("sk_live_"), F.translate(b64("s", 24), "_-", "xy")), plain + secret, files, 1),
         (F.concat(F.lit("xoxb-"), digits("x", 12), F.lit("-"), b64("y", 24)), plain + secret, files, 1),
+        (F.concat(leet("A"), digits("B", 2)), secret, files, 1),
+        (F.concat(one("C", UNCOMMON), digits("D", 1), F.lit("-"), digits("E", 4)), secret, files, 1),
+        (F.concat(F.initcap(one("F", UNCOMMON)), one("G", ("!", "@", "#", "$", "&")), digits("H", 4)), secret, files, 1),
+        (phrase("I", "_"), secret, files, 1),
+        (phrase("J", "-"), secret, files, 1),
+        (phrase("K", "."), secret, files, 1),
+        (F.concat(b64("L", 8), one("M", (".", "=", "!", "@", "&", "~")), b64("N", 8)), secret, files, 1),
+        (b64("O", 8), secret, files, 1),
+        (b64("P", 12), secret, files, 1),
+        (mixed_case("Q", 12), secret, files, 1),
+        (mixed_case("R", 24), secret, files, 1),
+        (F.concat(rnd("S", 6), one("T", ("!", "~", ".", "&")), mixed_case("U", 5)), secret, files, 1),
+        (one("V", DICTIONARY), secret, files, 0),
+        (one("W", UNCOMMON), secret, files, 0),
+        (one("X", ("null", "None", "true", "false", "required", "optional", "string", "xxxxxxxx", "********", "...", "str", "the", "der", "que", "les", "REDACTED", "changeme", "undefined")), secret, files, 0),
+        (words("Y", 2), secret, files, 0),
+        (F.translate(words("Z", 2), "_", "."), secret, files, 0),
+        (F.translate(words("ab", 3), "_", "-"), secret, files, 0),
+        (F.concat(F.lit("${"), F.upper(words("ac", 2)), F.lit("}")), secret, files, 0),
+        (F.concat(F.lit("{{"), words("ad", 1), F.lit("}}")), secret, files, 0),
+        (F.concat(words("ae", 2), F.lit("()")), secret, files, 0),
+        (F.concat(F.lit("os.environ['"), F.upper(words("af", 2))), secret, files, 0),
+        (digits("ag", 3), secret, files, 0),
+        (F.concat(F.lit("https://"), words("ah", 1), F.lit("."), words("ai", 1), F.lit(".com/")), secret, files, 0),
         (rnd("c", 40), hashes + plain, files, 0),
         (rnd("m", 32), hashes + plain, files, 0),
         (F.concat_ws("-", rnd("d", 8), rnd("e", 4), rnd("f", 4), rnd("h", 4), rnd("i", 12)), hashes + plain + contact, files, 0),
@@ -195,7 +249,9 @@ def mask_secrets(docs: DataFrame, findings: DataFrame | None = None, text_col: s
     """docs with every value found to be a secret replaced by MASK, wherever it stands in its text; null texts stay null."""
     printed = forest(labelled_findings(docs.sparkSession) if findings is None else findings)
     found = F.filter(findings_of(F.col(text_col), F.coalesce(F.col(path_col).cast("string"), F.lit("")), printed), lambda x: x["score"] >= 0.5)
-    mask = lambda text, x: F.call_function("replace", text, x["value"], F.lit(MASK))
+    # a short value isn't masked inside of longer words
+    quoted = lambda v: F.concat(F.lit(r"(?<![A-Za-z0-9])\Q"), F.call_function("replace", v, F.lit("\\E"), F.lit(r"\E\\E\Q")), F.lit(r"\E(?![A-Za-z0-9])"))
+    mask = lambda text, x: F.when(F.length(x["value"]) >= MIN_LENGTH, F.call_function("replace", text, x["value"], F.lit(MASK))).otherwise(F.regexp_replace(text, quoted(x["value"]), F.lit(MASK)))
     return docs.withColumn(text_col, let(found, lambda xs: F.aggregate(xs, F.col(text_col), mask))).select(*docs.columns)
 
 

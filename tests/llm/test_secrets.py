@@ -57,3 +57,13 @@ def test_forest_is_the_same_every_time_and_right_on_new_findings(spark):
 def test_empty_and_odd_tables(spark, odd_docs, no_docs):
     assert secret_report(no_docs).count() == 0 and mask_secrets(no_docs).count() == 0
     assert mask_secrets(odd_docs).count() == odd_docs.count()
+
+
+def test_short_digitless_and_punctuated_secrets_are_found_when_assigned(spark):
+    secrets = ["Tr0ub4dor9", "hunter2-2024", "correct_horse_battery_staple", "aG7.xK2=pQ9!vT4", "Zk3@mR8~wL5&uY1"]
+    texts = [f"login password={secrets[0]} ok", f"with pwd: {secrets[1]}, then", f'secret = "{secrets[2]}" done', f"api_key={secrets[3]} x", f"token: {secrets[4]} y"]
+    texts += ["password=changeme now", "password: required field", "token: ${API_TOKEN} there", "the secret: never again", "auth: none", "no password here"]
+    df = spark.createDataFrame([(i, t, "s") for i, t in enumerate(texts)], "doc_id long, text string, source string")
+    got = {r["doc_id"]: r["text"] for r in mask_secrets(df).collect()}
+    assert got == {i: t.replace(secrets[i], MASK) if i < 5 else t for i, t in enumerate(texts)}
+    assert {r["value"] for r in secret_findings(df).collect() if r["is_secret"]} == set(secrets)
