@@ -15,7 +15,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from quotemill.llm.common import free, staged, unit_hash
+from quotemill.llm.common import free, let, staged, unit_hash
 
 SEED = 17
 #: Without given weights, a source's target share goes with its size to this power.
@@ -61,37 +61,53 @@ def source_rates(docs: DataFrame, source_col: str = "source", text_col: str = "t
     return staged(rated.withColumn("cdf", F.transform(F.aggregate(steps, first, step), lambda x: x["c"])), "rates")
 
 
+def _copies(docs: DataFrame, id_col: str, source_col: str, text_col: str, seed: int, out: dict[str, str], digest: str, rates: dict) -> DataFrame:
+    """docs with the columns of ``out`` and the text's MD5 in ``digest``, a row for each copy.
+
+    All of a row's copies are one array, bound by let() on the text's MD5 and on the number drawn, so
+    that either is computed once a row; an empty array is a document without copies.
+    """
+    table = source_rates(docs, source_col, text_col, **rates)
+    src, parts, cdf, each = free(docs.select("*", *[F.lit(0).alias(x) for x in (*out.values(), digest)]), "source_of", "parts", "cdf", "each")
+    table = table.select(F.col("source").alias(src), F.col("rate").alias(out["rate"]), F.col("parts").alias(parts), F.col("cdf").alias(cdf))
+    df = docs.join(table, F.col(source_col).eqNullSafe(F.col(src)))
+    own = lambda d: (F.lit(str(seed)), F.coalesce(F.col(id_col).cast("string"), F.lit("")), d)
+    one = lambda d, j: let(unit_hash(*own(d), j.cast("string")), lambda u: F.size(F.filter(F.col(cdf), lambda c: c <= u)))
+    drawn = lambda d: F.when(F.col(parts) == 1, one(d, F.lit(1))).otherwise(F.aggregate(F.sequence(F.lit(1), F.col(parts)), F.lit(0), lambda a, j: a + one(d, j))).cast("int")
+    key = lambda d, c: F.conv(F.substring(F.md5(F.concat_ws("|", *own(d), F.lit("order"), c.cast("string"))), 1, 13), 16, 10).cast("long")
+
+    def copies(d: Column, n: Column) -> Column:
+        numbers = F.when(n > 0, F.sequence(F.lit(0), n - 1)).otherwise(F.array().cast("array<int>"))
+        return F.transform(numbers, lambda c: F.struct(n.alias("n"), c.alias("copy"), key(d, c).alias("key"), d.alias("digest")))
+
+    df = df.withColumn(each, F.explode(let(F.md5(F.coalesce(F.col(text_col), F.lit(""))), lambda d: let(drawn(d), lambda n: copies(d, n)))))
+    df = df.withColumns({out["n_copies"]: F.col(f"{each}.n"), out["copy"]: F.col(f"{each}.copy"), out["shuffle_key"]: F.col(f"{each}.key"), digest: F.col(f"{each}.digest")})
+    return df.drop(src, parts, cdf, each).repartition(F.col(out["shuffle_key"])).sortWithinPartitions(out["shuffle_key"])
+
+
+OURS = ("rate", "n_copies", "copy", "shuffle_key")
+
+
 def mix_sources(docs: DataFrame, id_col: str = "doc_id", source_col: str = "source", text_col: str = "text", seed: int = SEED, names: dict[str, str] | None = None, **rates) -> DataFrame:
     """docs repeated to the target weights and shuffled: every column of docs, with rate, n_copies, copy (from 0) and shuffle_key.
 
     Null texts count as empty ones. Repeated rows are drawn alike, and each is repeated. An empty
     table gives an empty result. ``names`` renames the four new columns.
     """
-    out = {c: c for c in ("rate", "n_copies", "copy", "shuffle_key")} | (names or {})
-    table = source_rates(docs, source_col, text_col, **rates)
-    src, parts, cdf, digest = free(docs, "source_of", "parts", "cdf", "digest")
-    table = table.select(F.col("source").alias(src), F.col("rate").alias(out["rate"]), F.col("parts").alias(parts), F.col("cdf").alias(cdf))
-    df = docs.join(table, F.col(source_col).eqNullSafe(F.col(src)))
-    df = df.withColumn(digest, F.md5(F.coalesce(F.col(text_col), F.lit(""))))
-    own = (F.lit(str(seed)), F.coalesce(F.col(id_col).cast("string"), F.lit("")), F.col(digest))
-    one = lambda j: F.size(F.filter(F.col(cdf), lambda c: c <= unit_hash(*own, j.cast("string"))))
-    drawn = F.when(F.col(parts) == 1, one(F.lit(1))).otherwise(F.aggregate(F.sequence(F.lit(1), F.col(parts)), F.lit(0), lambda a, j: a + one(j)))
-    df = df.withColumn(out["n_copies"], drawn.cast("int")).where(F.col(out["n_copies"]) > 0)
-    df = df.withColumn(out["copy"], F.explode(F.sequence(F.lit(0), F.col(out["n_copies"]) - 1)))
-    df = df.withColumn(out["shuffle_key"], F.conv(F.substring(F.md5(F.concat_ws("|", *own, F.lit("order"), F.col(out["copy"]).cast("string"))), 1, 13), 16, 10).cast("long"))
-    return df.repartition(F.col(out["shuffle_key"])).sortWithinPartitions(out["shuffle_key"]).drop(src, parts, cdf, digest)
+    out = {c: c for c in OURS} | (names or {})
+    (digest,) = free(docs.select("*", *[F.lit(0).alias(x) for x in out.values()]), "digest")
+    return _copies(docs, id_col, source_col, text_col, seed, out, digest, rates).drop(digest)
 
 
 def mixed(docs: DataFrame, **how) -> DataFrame:
     """The shuffled copies with the columns of docs only."""
-    ours = ("rate", "n_copies", "copy", "shuffle_key")
-    return mix_sources(docs, names=dict(zip(ours, free(docs, *ours), strict=True)), **how).select(*docs.columns)
+    return mix_sources(docs, names=dict(zip(OURS, free(docs, *OURS), strict=True)), **how).select(*docs.columns)
 
 
 def mix_report(docs: DataFrame) -> DataFrame:
     """One row for each copy: doc_id, source, rate, n_copies, copy, shuffle_key and the MD5 of the text that was shuffled."""
-    rows = docs.select("doc_id", "source", "text")
-    return mix_sources(rows).select("doc_id", "source", "rate", "n_copies", "copy", "shuffle_key", F.md5(F.coalesce("text", F.lit(""))).alias("text_md5"))
+    rows = mix_sources(docs.select("doc_id", "source", "text"))
+    return rows.select("doc_id", "source", *OURS, F.md5(F.coalesce("text", F.lit(""))).alias("text_md5"))
 
 
 #: mix_report() in SQL, for means up to LARGEST_MEAN.
