@@ -1,15 +1,19 @@
 """Approximate nearest neighbours by balanced posting lists.
 
 Vectors are grouped around centroids. A vector near the boundary of its cell is written to the
-lists of several centroids. Centroids are searched by best-first walks on a graph of neighbouring
-centroids held in memory. A query reads its nearest lists first, which bounds the scores that still
-matter, and then all lists whose centroids are at most a ratio farther than the nearest one, however
-many there are: they are read by the cell of lists, and only scores within the bound come out. Largest inner product becomes smallest distance by one more coordinate, that
-brings all vectors to the same length.
+lists of several centroids: those at most REPLICA_RATIO farther than its nearest. Centroids are searched on a graph of neighbouring
+centroids held in memory: a beam search finds the nearest, and a walk from those every list within
+a limit. A query reads the lists whose distance is at most a ratio of that of its ANCHOR-th nearest
+list. The ratio isn't guessed: PILOTS vectors are compared with all rows, and it is the least one
+under which they find the share TARGET of their true neighbours. So the number of lists read
+follows the data and the query, and is not capped. Largest inner product becomes smallest distance
+by one more coordinate, that brings all vectors to the same length.
 
 The centroids, MAX_CENTROIDS at most, are fitted on a bounded sample, split so that no cell is much
 larger than another; every vector is indexed. Equal vectors are one entry with the ids that can be
-among the results. Lists and their queries are cut in blocks, so that a hot list is many tasks.
+among the results. Neighbouring lists make up a cell, which a query's vector is sent to once, with
+the lists it reads there; cells and their queries are cut in blocks, so that a hot one is many
+tasks. The nearest lists are read first, and give the bound that other scores have to reach.
 """
 
 from __future__ import annotations
@@ -27,17 +31,19 @@ from quotemill.llm.common import staged
 NEIGHBOURS = 20
 #: Rows that centroids are fitted on, at most: those with the smallest hash.
 TRAIN_ROWS = 32768
-MAX_CENTROIDS = 8192
-#: Entries of a list aimed at, when there are LIST_AT vectors; it goes with the square root of their number.
-LIST_ROWS, LIST_AT = 256, 50_000
+MAX_CENTROIDS = 16384
+#: There are so many times the square root of the number of vectors as many lists, but no shorter ones than LEAST_ROWS on average.
+LISTS, LEAST_ROWS = 7.0, 12
 #: A vector goes to lists up to this much farther than its nearest, and to so many.
-REPLICA_RATIO, REPLICAS = 1.1, 4
-#: A query reads lists up to this much farther than its nearest, and so many at least.
-PROBE_RATIO, LEAST_PROBES = 1.4, 32
-#: Entries, and queries, of a block.
-BLOCK = 4096
-#: Entries of a block of a cell, whose lists are read together.
-CELL_BLOCK = 16384
+REPLICA_RATIO, REPLICAS = 1.01, 4
+#: Distances are taken in proportion to that of a query's list of this rank.
+ANCHOR = 32
+#: Vectors that are compared with all rows to choose the ratio, and the share of their neighbours to be found.
+PILOTS, TARGET = 512, 0.93
+#: Lists read first.
+FIRST = 8
+#: Entries of a cell aimed at, and the most of a block; queries of a block.
+CELL_ROWS, BLOCK, QUERY_BLOCK = 8192, 16384, 4096
 DEGREE = 24
 
 
@@ -62,13 +68,19 @@ def _halves(points: np.ndarray, rng: np.random.Generator) -> np.ndarray:
 
 
 def fit_centroids(points: np.ndarray, k: int, seed: int = 5) -> np.ndarray:
-    """k means of cells of even size, then two rounds that let points choose the nearest mean."""
-    rng, cells = np.random.default_rng(seed), [np.arange(len(points))]
-    while len(cells) < min(k, len(points)):
-        cells.sort(key=len)
-        cell = cells.pop()
+    """About k means: cells are halved evenly until they are small enough; then two rounds let points choose the nearest mean.
+
+    Means stand in the order of the halving, so that neighbours in the list are mostly neighbours in space.
+    """
+    rng = np.random.default_rng(seed)
+
+    def split(cell: np.ndarray, parts: int) -> list[np.ndarray]:
+        if parts < 2 or len(cell) < 2:
+            return [cell]
         right = _halves(points[cell], rng)
-        cells += [cell[~right], cell[right]]
+        return split(cell[~right], parts - parts // 2) + split(cell[right], parts // 2)
+
+    cells = split(np.arange(len(points)), min(k, len(points)))
     means = np.stack([points[c].mean(0) for c in cells])
     for _ in range(2):
         near = np.concatenate([_distances(part, means).argmin(1) for part in np.array_split(points, max(1, len(points) // 2048))])
@@ -88,14 +100,17 @@ class CentroidGraph:
     def __init__(self, centroids: np.ndarray, degree: int = DEGREE) -> None:
         self.points, n = centroids, len(centroids)
         lists: list[list[int]] = []
-        for i in range(n):
-            d = _distances(centroids[i : i + 1], centroids)[0]
-            order = [int(j) for j in np.argsort(d, kind="stable")[: 3 * degree + 1] if j != i]
-            kept: list[int] = []
-            for j in order:
-                if len(kept) < degree // 2 and (not kept or d[j] < _distances(centroids[j : j + 1], centroids[kept]).min()):
-                    kept.append(j)
-            lists.append(list(dict.fromkeys(kept + order[: degree // 2])))
+        for lo in range(0, n, 512):
+            block = _distances(centroids[lo : lo + 512], centroids)
+            some = min(3 * degree + 1, n)
+            nearest = np.argpartition(block, some - 1, axis=1)[:, :some]
+            for i, (d, near) in enumerate(zip(block, nearest, strict=True), lo):
+                order = [int(j) for j in near[np.argsort(d[near], kind="stable")] if j != i]
+                kept: list[int] = []
+                for j in order:
+                    if len(kept) < degree // 2 and (not kept or d[j] < _distances(centroids[j : j + 1], centroids[kept]).min()):
+                        kept.append(j)
+                lists.append(list(dict.fromkeys(kept + order[: degree // 2])))
         back: list[list[int]] = [[] for _ in range(n)]
         for i, js in enumerate(lists):
             for j in js:
@@ -134,136 +149,224 @@ class CentroidGraph:
             ids, dist, done = (np.take_along_axis(x, order, 1) for x in (ids, dist, done))
         return ids, dist
 
+    def within(self, query: np.ndarray, start: np.ndarray, limit: float) -> tuple[np.ndarray, np.ndarray]:
+        """(ids, distances) of the centroids within ``limit`` that a walk from ``start`` comes to over others within it."""
+        seen = np.zeros(len(self.points), bool)
+        seen[start] = True
+        ids, dists, at = [], [], start
+        while len(at):
+            d = _distances(query[None], self.points[at])[0]
+            at, d = at[d <= limit], d[d <= limit]
+            ids.append(at)
+            dists.append(d)
+            new = np.unique(self.near[at])
+            at = new[~seen[new]]
+            seen[at] = True
+        return np.concatenate(ids), np.concatenate(dists)
+
 
-def _padded(vectors: pd.Series, longest: float | None) -> np.ndarray:
-    """The vectors with the coordinate that makes them all as long as the longest; for queries that coordinate is 0."""
-    x = np.stack(vectors.to_numpy()).astype(np.float64) if len(vectors) else np.zeros((0, 1))
-    extra = np.zeros(len(x)) if longest is None else np.sqrt(np.maximum(0, longest**2 - (x * x).sum(1)))
-    return np.hstack([x, extra[:, None]])
+def _stack(vectors: pd.Series) -> np.ndarray:
+    return np.stack(vectors.to_numpy()).astype(np.float64) if len(vectors) else np.zeros((0, 1))
 
 
-def _lists(graph: CentroidGraph, longest: float | None):
-    """A row for each list that a vector goes to; nth is 0 for the nearest."""
+def _entries(x: np.ndarray, longest: float) -> np.ndarray:
+    """The vectors with the coordinate that makes them all as long as the longest."""
+    return np.hstack([x, np.sqrt(np.maximum(0, longest**2 - (x * x).sum(1)))[:, None]])
+
+
+def _queries(x: np.ndarray, longest: float) -> np.ndarray:
+    """The vectors at that length, which leaves their neighbours the same; that coordinate is 0."""
+    return np.hstack([x * (longest / np.sqrt((x * x).sum(1)))[:, None], np.zeros((len(x), 1))])
+
+
+def _lists(graph: CentroidGraph, longest: float):
+    """A row for each list that a vector goes to."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for rows in batches:
             for lo in range(0, len(rows), 512):
                 part = rows.iloc[lo : lo + 512]
-                ids, dist = graph.search(_padded(part["v"], longest), REPLICAS + 8)
-                at, k = np.nonzero((ids >= 0) & (np.arange(ids.shape[1]) < REPLICAS) & ((dist <= REPLICA_RATIO * dist[:, :1]) | (np.arange(ids.shape[1]) < 1)))
-                yield part.iloc[at][["key", "v", "ids"]].assign(list=ids[at, k], nth=k)
+                ids, dist = graph.search(_entries(_stack(part["v"]), longest), REPLICAS + 8)
+                take = (ids >= 0) & (np.arange(ids.shape[1]) < REPLICAS) & (dist <= REPLICA_RATIO * dist[:, :1])
+                take[:, 0] = True
+                at, k = np.nonzero(take)
+                yield part.iloc[at][["key", "v", "ids"]].assign(list=ids[at, k])
 
     return run
 
 
-def _probes(centroids: np.ndarray, per_cell: int | None = None):
-    """A row for each of a query's nearest lists; with ``per_cell`` for each cell of so many lists that has a further one within the ratio."""
-    least = min(LEAST_PROBES, len(centroids))
+def _anchors(graph: CentroidGraph, queries: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The nearest lists, nearest first (-1 where there are fewer), and the distance that others are measured by."""
+    rank = max(1, min(ANCHOR, len(graph.points) // 8))
+    ids, dist = graph.search(queries, max(rank, FIRST) + 8)
+    return ids, dist[:, rank - 1]
+
+
+def _probes(graph: CentroidGraph, longest: float, ratio: float, per_cell: int, first: bool):
+    """A row for each cell that a query reads lists of: of its FIRST nearest, or of all others within the ratio."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for rows in batches:
             for lo in range(0, len(rows), 512):
                 part = rows.iloc[lo : lo + 512]
-                dist = _distances(_padded(part["v"], None), centroids)
-                order = np.argsort(dist, axis=1, kind="stable")[:, :least]
-                if per_cell is None:
-                    yield part.loc[part.index.repeat(least)].assign(list=order.ravel())
-                    continue
-                further = dist <= PROBE_RATIO * dist.min(axis=1, keepdims=True)
-                np.put_along_axis(further, order, False, 1)
-                at, cell = np.nonzero(np.add.reduceat(further, np.arange(0, len(centroids), per_cell), axis=1, dtype=np.int64))
-                yield part.iloc[at].assign(list=cell)
+                queries = _queries(_stack(part["v"]), longest)
+                near, anchor = _anchors(graph, queries)
+                at, cells, lists = [], [], []
+                for i, q in enumerate(queries):
+                    own = near[i][near[i] >= 0]
+                    read = own[:FIRST] if first else np.setdiff1d(graph.within(q, own, ratio * anchor[i])[0], own[:FIRST])
+                    read = np.sort(read)
+                    cell = read // per_cell
+                    for part_of in np.split(np.arange(len(read)), np.flatnonzero(np.diff(cell)) + 1) if len(read) else ():
+                        at.append(i)
+                        cells.append(cell[part_of[0]])
+                        lists.append(read[part_of].astype(np.int32))
+                yield part.iloc[at].reset_index(drop=True).assign(cell=np.array(cells, np.int64), lists=pd.Series(lists, dtype=object))
+
+    return run
+
+
+def _pilot_scores(vectors: np.ndarray, most: int):
+    """For each pilot the entries of a task with the largest products, ``most`` at most."""
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        keys, scores = np.empty((len(vectors), 0), object), np.empty((len(vectors), 0))
+        for rows in batches:
+            if len(rows):
+                scores = np.hstack([scores, vectors @ _stack(rows["v"]).T])
+                keys = np.hstack([keys, np.broadcast_to(rows["key"].to_numpy(object), (len(vectors), len(rows)))])
+                top = np.argpartition(-scores, min(most, scores.shape[1]) - 1, axis=1)[:, :most]
+                keys, scores = np.take_along_axis(keys, top, 1), np.take_along_axis(scores, top, 1)
+        yield pd.DataFrame({"pilot": np.repeat(np.arange(len(vectors)), scores.shape[1]), "key": keys.ravel(), "score": scores.ravel()})
+
+    return run
+
+
+def choose_ratio(entries: DataFrame, posted: DataFrame, graph: CentroidGraph, longest: float, k: int, pilots: int = PILOTS, target: float = TARGET) -> float:
+    """The least ratio of distances under which pilots find the share ``target`` of their k true neighbours."""
+    sample = entries.orderBy(F.xxhash64(F.lit(3), "key"), "key").limit(pilots).select("key", "v").toPandas()
+    vectors = _stack(sample["v"])
+    true = entries.select("key", "v").mapInPandas(_pilot_scores(vectors, k + 1), "pilot int, key string, score double")
+    best = Window.partitionBy("pilot").orderBy(F.desc("score"), "key")
+    true = true.withColumn("nth", F.row_number().over(best)).where((F.col("nth") > 1) & (F.col("nth") <= k + 1))  # the first is the pilot's own vector, or one that beats it
+    where = true.join(posted.select("key", "list"), "key").groupBy("pilot", "key").agg(F.collect_list("list").alias("lists")).collect()  # PILOTS * NEIGHBOURS short rows at most
+    if not where:
+        return 1.0
+    queries = _queries(vectors, longest)
+    _, anchor = _anchors(graph, queries)
+    far = _distances(queries, graph.points) / np.maximum(anchor, 1e-12)[:, None]
+    needed = sorted(far[r["pilot"], r["lists"]].min() for r in where)
+    return float(needed[min(len(needed) - 1, math.ceil(target * len(needed)) - 1)]) * (1 + 1e-9)
+
+
+def _compare(k: int):
+    """The largest scores of a block of queries (key, v, floor, lists) and one of entries (key, v, ids, list), over the lists that each query reads."""
+
+    none = pd.DataFrame({"q": [], "score": [], "ids": []}, dtype=object)
+
+    def run(q: pd.DataFrame, p: pd.DataFrame) -> pd.DataFrame:
+        if not len(q) or not len(p):
+            return none
+        p = p.assign(first=[i[0] for i in p["ids"]]).sort_values(["list", "first"], kind="stable")
+        x, lists = _stack(p["v"]), p["list"].to_numpy()
+        edge = np.flatnonzero(np.r_[True, lists[1:] != lists[:-1], True])
+        first, entry = p["first"].to_numpy(np.int64), pd.factorize(p["key"])[0]
+        longest_p, most = np.sqrt((x * x).sum(1).max()), k + 1
+        qs, ps, scores = [], [], []
+        for lo in range(0, len(q), 256):
+            part = q.iloc[lo : lo + 256]
+            y = _stack(part["v"])
+            asked, owner = np.concatenate(part["lists"].to_numpy()), np.repeat(np.arange(len(part)), [len(a) for a in part["lists"]])
+            order = np.argsort(asked, kind="stable")
+            asked, owner = asked[order], owner[order]
+            s = np.full((len(part), len(p)), -np.inf)
+            for a, b in zip(edge[:-1], edge[1:], strict=True):
+                rows = owner[np.searchsorted(asked, lists[a]) : np.searchsorted(asked, lists[a], side="right")]
+                if len(rows):
+                    s[rows, a:b] = y[rows] @ x[a:b].T
+            floor = part["floor"].to_numpy(np.float64) - 1e-9 * longest_p * np.sqrt((y * y).sum(1))
+            s[s < floor[:, None]] = -np.inf
+            for i in np.flatnonzero(np.isfinite(s).any(axis=1)):
+                at = np.flatnonzero(np.isfinite(s[i]))
+                if len(at) > most:  # the best entries, each once
+                    enough = min(len(at), REPLICAS * most)
+                    at = at[s[i, at] >= np.partition(s[i, at], -enough)[-enough] - 1e-9]
+                    at = at[np.lexsort((first[at], -s[i, at]))]
+                    at = at[np.sort(np.unique(entry[at], return_index=True)[1])][:most]
+                qs.append(np.full(len(at), lo + i))
+                ps.append(at)
+                scores.append(np.einsum("d,nd->n", y[i], x[at]))
+        if not qs:
+            return none
+        at, row = np.concatenate(ps), np.concatenate(qs)
+        return pd.DataFrame({"q": q["key"].iloc[row].to_numpy(), "score": np.concatenate(scores), "ids": p["ids"].iloc[at].to_numpy()})
 
     return run
 
 
-def search(vectors: DataFrame, queries: Column, id_col: str = "vec_id", vector_col: str = "embedding", k: int = NEIGHBOURS, train_rows: int = TRAIN_ROWS) -> DataFrame:
+def search(vectors: DataFrame, queries: Column, id_col: str = "vec_id", vector_col: str = "embedding", k: int = NEIGHBOURS, train_rows: int = TRAIN_ROWS, target: float = TARGET) -> DataFrame:
     """query_id, rank (from 1), vec_id, score: for each row where ``queries`` holds, the k rows found with the largest inner product.
 
     Scores are in double precision on the vectors as they are; ties go to the smaller vec_id; a
     query's own id is not among its results. Rows take no part if their id is null, or their vector
-    is null, zero, has a null or non-finite component, or isn't as long as most. A row that is
-    repeated counts once. No usable rows, or no queries, give no rows.
+    is null, zero or has a null or non-finite component. A vector that is shorter than others counts
+    as going on with zeros. A row that is repeated counts once. No usable rows, or no queries, give
+    no rows.
     """
     spark = vectors.sparkSession
     rows = vectors.select(F.col(id_col).alias("id"), F.col(vector_col).alias("v"), F.coalesce(queries, F.lit(False)).alias("is_query")).where(F.col("id").isNotNull() & usable(F.col("v")))
-    sizes = rows.groupBy(F.size("v").alias("d")).agg(F.count("*").alias("n")).orderBy(F.desc("n"), F.desc("d")).limit(1).collect()
+    shape = rows.agg(F.min(F.size("v")).alias("least"), F.max(F.size("v")).alias("most")).first()
+    schema = "query_id long, rank int, vec_id long, score double"
+    if shape["most"] is None:
+        return spark.createDataFrame([], schema)
+    if shape["least"] < shape["most"]:
+        zero = F.lit(0).cast(rows.schema["v"].dataType.elementType)
+        rows = rows.withColumn("v", F.concat("v", F.array_repeat(zero, F.lit(shape["most"]) - F.size("v"))))
     length = F.sqrt(F.aggregate("v", F.lit(0.0), lambda a, x: a + x.cast("double") * x.cast("double")))
-    key = F.struct(F.xxhash64("v").alias("a"), F.xxhash64(F.lit(7), F.col("v")).alias("b"))
-    rows = staged(rows.where(F.size("v") == (sizes[0]["d"] if sizes else 0)).withColumn("key", key).dropDuplicates(["id", "key"]), "vectors")
+    key = F.concat(F.hex(F.xxhash64("v")), F.lit("-"), F.hex(F.xxhash64(F.lit(7), F.col("v"))))
+    rows = staged(rows.withColumn("key", key).dropDuplicates(["id", "key"]), "vectors")
     few = Window.partitionBy("key").orderBy("id")
     entries = rows.withColumn("nth", F.row_number().over(few)).where(F.col("nth") <= k + 1)
     entries = staged(entries.groupBy("key").agg(F.first("v").alias("v"), F.sort_array(F.collect_list("id")).alias("ids")), "entries")
     n, longest = entries.agg(F.count("*"), F.max(length)).first()
-    schema = "query_id long, rank int, vec_id long, score double"
-    if not n:
-        return spark.createDataFrame([], schema)
     sample = entries.orderBy(F.xxhash64("key"), "key").limit(train_rows).select("v").toPandas()
-    list_rows = max(32.0, LIST_ROWS * math.sqrt(n / LIST_AT))
-    graph = CentroidGraph(fit_centroids(_padded(sample["v"], longest), int(min(MAX_CENTROIDS, max(1, round(n / list_rows))))))
+    lists = int(min(MAX_CENTROIDS, max(1, min(n / LEAST_ROWS, LISTS * math.sqrt(n)))))
+    graph = CentroidGraph(fit_centroids(_entries(_stack(sample["v"]), longest), lists))
     lists = len(graph.points)
     kinds = dict(rows.dtypes)
-    posted = staged(entries.mapInPandas(_lists(graph, longest), f"key {kinds['key']}, v {kinds['v']}, ids array<long>, list long, nth long"), "postings")
-    asked = rows.where("is_query").dropDuplicates(["key"]).select("key", "v")
-    probed = f"key {kinds['key']}, v {kinds['v']}, list long"
+    posted = staged(entries.mapInPandas(_lists(graph, longest), f"key string, v {kinds['v']}, ids array<long>, list long"), "postings")
+    ratio = choose_ratio(entries, posted, graph, longest, k, target=target)
+    per_cell = max(1, round(lists * CELL_ROWS / n))
+    asked = staged(rows.where("is_query").dropDuplicates(["key"]).select("key", "v").repartition(max(spark.sparkContext.defaultParallelism, math.ceil(n / 200_000))), "asked")
+    posted = posted.withColumn("cell", F.floor(F.col("list") / per_cell))
     of = lambda count: F.pmod(F.xxhash64("key"), F.col(count))
     every = lambda count: F.explode(F.sequence(F.lit(0).cast("long"), F.col(count) - 1))
-    cell = ["list", "pb", "qb"]
-
-    def compare(q: pd.DataFrame, p: pd.DataFrame) -> pd.DataFrame:
-        if not len(q) or not len(p):
-            return pd.DataFrame({"q": [], "p": [], "score": [], "ids": []}, dtype=object)
-        x = np.stack(p["v"].to_numpy()).astype(np.float64)
-        first = np.array([i[0] for i in p["ids"]], np.int64)
-        order = np.argsort(first, kind="stable")
-        x, p = x[order], p.iloc[order]
-        longest_p = np.sqrt((x * x).sum(1).max())
-        qs, ps, scores = [], [], []
-        most = min(k + 1, len(p))
-        for lo in range(0, len(q), 256):
-            y = np.stack(q["v"].iloc[lo : lo + 256].to_numpy()).astype(np.float64)
-            s = y @ x.T
-            floor = q["floor"].iloc[lo : lo + 256].to_numpy(np.float64) - 1e-9 * longest_p * np.sqrt((y * y).sum(1))
-            over = s >= floor[:, None]
-            crowded = over.sum(axis=1) > most
-            over[crowded] = False
-            row, col = np.nonzero(over)
-            top = np.argsort(-s[crowded], axis=1, kind="stable")[:, :most]  # of equal scores the smaller id first
-            row, col = np.concatenate([row, np.repeat(np.flatnonzero(crowded), most)]), np.concatenate([col, top.ravel()])
-            qs.append(row + lo)
-            ps.append(col)
-            scores.append(np.einsum("nd,nd->n", y[row], x[col]))
-        at = np.concatenate(ps)
-        return pd.DataFrame({"q": q["key"].iloc[np.concatenate(qs)].to_numpy(), "p": p["key"].iloc[at].to_numpy(), "score": np.concatenate(scores), "ids": p["ids"].iloc[at].to_numpy()})
-
-    def compared(asked: DataFrame, posted: DataFrame, block: int) -> DataFrame:
-        """The scores that matter of queries (list, key, v, floor) and entries (list, key, v, ids) with the same list."""
-        blocks = posted.groupBy("list").agg(F.ceil(F.count("*") / block).alias("p")).join(asked.groupBy("list").agg(F.ceil(F.count("*") / BLOCK).alias("q")), "list")  # MAX_CENTROIDS rows at most
-        left = asked.join(F.broadcast(blocks), "list").withColumn("qb", of("q")).withColumn("pb", every("p")).select(*cell, "key", "v", "floor")
-        right = posted.join(F.broadcast(blocks), "list").withColumn("pb", of("p")).withColumn("qb", every("q")).select(*cell, "key", "v", "ids")
-        return left.groupBy(cell).cogroup(right.groupBy(cell)).applyInPandas(compare, f"q {kinds['key']}, p {kinds['key']}, score double, ids array<long>")
-
+    at = ["cell", "pb", "qb"]
+    probe = f"key string, v {kinds['v']}, floor double, cell long, lists array<int>"
+    held = posted.groupBy("cell").agg(F.ceil(F.count("*") / BLOCK).alias("p"))
     best = Window.partitionBy("q").orderBy(F.desc("score"), "id")
 
-    def nearest(pairs: DataFrame) -> DataFrame:
-        found = pairs.groupBy("q", "p").agg(F.max(F.struct("score", "ids")).alias("x")).select("q", "x.score", F.explode("x.ids").alias("id"))
-        return found.distinct().withColumn("nth", F.row_number().over(best)).where(F.col("nth") <= k + 1)
-
-    probes = staged(asked.mapInPandas(_probes(graph.points), probed).withColumn("floor", F.lit(-math.inf)), "probes")
-    found = nearest(compared(probes, posted, BLOCK))
-    if lists > LEAST_PROBES:
-        found = staged(found, "found")
-        floors = found.where(F.col("nth") == k + 1).select(F.col("q").alias("key"), F.col("score").alias("floor"))
-        per_cell = math.isqrt(lists)
-        wide = staged(asked.mapInPandas(_probes(graph.points, per_cell), probed).join(floors, "key", "left").withColumn("floor", F.coalesce("floor", F.lit(-math.inf))), "probes")
-        cells = posted.where("nth = 0").withColumn("list", F.floor(F.col("list") / per_cell))
-        more = compared(wide, cells, CELL_BLOCK).select("q", "score", F.explode("ids").alias("id"))
-        found = found.select("q", "score", "id").unionByName(more).groupBy("q", "id").agg(F.max("score").alias("score")).withColumn("nth", F.row_number().over(best)).where(F.col("nth") <= k + 1)
+    def compared(asked: DataFrame, first: bool) -> DataFrame:
+        """(q, score, id) over the lists that come first, or the others."""
+        probes = staged(asked.mapInPandas(_probes(graph, longest, ratio, per_cell, first), probe), "probes")
+        blocks = held.join(probes.groupBy("cell").agg(F.ceil(F.count("*") / QUERY_BLOCK).alias("q")), "cell")  # MAX_CENTROIDS rows at most
+        left = probes.join(F.broadcast(blocks), "cell").withColumn("qb", of("q")).withColumn("pb", every("p")).select(*at, "key", "v", "floor", "lists")
+        right = posted.join(F.broadcast(blocks), "cell").withColumn("pb", of("p")).withColumn("qb", every("q")).select(*at, "key", "v", "ids", "list")
+        found = left.groupBy(at).cogroup(right.groupBy(at)).applyInPandas(_compare(k), "q string, score double, ids array<long>")
+        return found.select("q", "score", F.explode("ids").alias("id"))
+
+    def nearest(found: DataFrame) -> DataFrame:
+        return found.groupBy("q", "id").agg(F.max("score").alias("score")).withColumn("nth", F.row_number().over(best)).where(F.col("nth") <= k + 1)
+
+    found = staged(nearest(compared(asked.withColumn("floor", F.lit(-math.inf)), True)), "found")
+    floors = found.where(F.col("nth") == k + 1).select("q", F.col("score").alias("floor"))
+    others = asked.join(floors.withColumnRenamed("q", "key"), "key", "left").select("key", "v", F.coalesce("floor", F.lit(-math.inf)).alias("floor"))
+    found = nearest(found.select("q", "score", "id").unionByName(compared(others, False)))
     found = found.groupBy("q").agg(F.sort_array(F.collect_list(F.struct("nth", "id", "score"))).alias("near"))
     # a query's results are its vector's, less itself
     own = rows.where("is_query").select(F.col("id").alias("query_id"), F.col("key").alias("q")).join(found, "q")
-    others = F.slice(F.filter("near", lambda x: x["id"] != F.col("query_id")), 1, k)
-    out = own.select("query_id", F.posexplode(others).alias("at", "x"))
+    rest = F.slice(F.filter("near", lambda x: x["id"] != F.col("query_id")), 1, k)
+    out = own.select("query_id", F.posexplode(rest).alias("at", "x"))
     return out.select(F.col("query_id").cast("long").alias("query_id"), (F.col("at") + 1).cast("int").alias("rank"), F.col("x.id").cast("long").alias("vec_id"), F.col("x.score").alias("score"))
 
 

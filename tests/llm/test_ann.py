@@ -1,4 +1,5 @@
 import numpy as np
+import pytest
 from pyspark.sql import functions as F
 
 from quotemill.llm import ann
@@ -41,7 +42,7 @@ def test_copies_ties_and_odd_rows(spark):
     rng = np.random.default_rng(2)
     x = np.vstack([np.ones((90, 4)), rng.normal(size=(30, 4))]).astype(np.float32).astype(np.float64)
     ids = np.arange(120)
-    odd = [(200, None), (220, [0.0] * 4), (240, [1.0, None, 0.0, 0.0]), (260, [float("nan")] * 4), (280, [float("inf"), 0.0, 0.0, 0.0]), (300, [1.0]), (None, [9.0] * 4), (0, [1.0] * 4)]
+    odd = [(200, None), (220, [0.0] * 4), (240, [1.0, None, 0.0, 0.0]), (260, [float("nan")] * 4), (280, [float("inf"), 0.0, 0.0, 0.0]), (None, [9.0] * 4), (0, [1.0] * 4)]
     df = frame(spark, ids, x).unionByName(spark.createDataFrame(odd, "vec_id long, embedding array<float>")).withColumn("score", F.lit("mine"))
     got = {}
     for r in search_report(df).collect():
@@ -70,16 +71,62 @@ def test_graph_search_finds_the_nearest_centroids():
     assert (np.diff(dist, axis=1) >= 0).all()
 
 
-def test_recall_does_not_fall_with_the_number_of_lists(spark, monkeypatch):
-    monkeypatch.setattr(ann, "LIST_ROWS", 1)  # the shortest lists: 375 of them
-    rng = np.random.default_rng(6)
-    x = rng.normal(size=(12000, 64))
-    x = (x / np.linalg.norm(x, axis=1, keepdims=True)).astype(np.float32).astype(np.float64)
-    df = frame(spark, np.arange(len(x)), x)
+def isotropic(n, d=64, seed=6):
+    x = np.random.default_rng(seed).normal(size=(n, d))
+    return (x / np.linalg.norm(x, axis=1, keepdims=True)).astype(np.float32).astype(np.float64)
+
+
+def recall(got, x, queries, k=20):
+    s = x[:queries] @ x.T
+    s[np.arange(queries), np.arange(queries)] = -np.inf
+    want = np.argsort(-s, axis=1)[:, :k]
+    return np.mean([len(got[q] & set(want[q].tolist())) / k for q in range(queries)])
+
+
+@pytest.mark.parametrize("n", [2000, 12000])
+def test_ratio_selects_lists_and_keeps_recall_where_nothing_is_near(spark, monkeypatch, n):
+    tables = {}
+    monkeypatch.setattr(ann, "staged", lambda df, name, old=ann.staged: tables.setdefault(name, []).append(old(df, name)) or tables[name][-1])
+    x, got = isotropic(n), {}
+    for r in search(frame(spark, np.arange(n), x), F.col("vec_id") < 100).collect():
+        got.setdefault(r["query_id"], set()).add(r["vec_id"])
+    assert recall(got, x, 100) > 0.9
+    size = {r["list"]: r["count"] for r in tables["postings"][0].groupBy("list").count().collect()}
+    assert n <= sum(size.values()) < 2 * n
+    read = {}
+    for probes in tables["probes"]:
+        for r in probes.select("key", "lists").collect():
+            assert not set(r["lists"]) & read.setdefault(r["key"], set())  # none is read twice
+            read[r["key"]] |= set(r["lists"])
+    assert len({len(v) for v in read.values()}) > 10
+    pairs = sum(size.get(k, 0) for v in read.values() for k in v)
+    assert pairs < (0.8 if n == 2000 else 0.6) * 100 * n
+
+
+def test_clustered_vectors_need_few_lists(spark, monkeypatch):
+    ratios = []
+    monkeypatch.setattr(ann, "choose_ratio", lambda *a, old=ann.choose_ratio, **k: ratios.append(old(*a, **k)) or ratios[-1])
+    rng = np.random.default_rng(8)
+    x = (rng.normal(size=(60, 32))[rng.integers(0, 60, 6000)] + rng.normal(size=(6000, 32)) * 0.1).astype(np.float32).astype(np.float64)
     got = {}
-    for r in search(df, F.col("vec_id") < 100).collect():
+    for r in search(frame(spark, np.arange(6000), x), F.col("vec_id") < 60).collect():
         got.setdefault(r["query_id"], set()).add(r["vec_id"])
-    s = x[:100] @ x.T
-    s[np.arange(100), np.arange(100)] = -np.inf
-    want = np.argsort(-s, axis=1)[:, :20]
-    assert np.mean([len(got[q] & set(want[q].tolist())) / 20 for q in range(100)]) > 0.995
+    assert recall(got, x, 60) > 0.9 and ratios[0] < 1
+
+
+def test_walk_finds_the_lists_within_a_limit():
+    rng = np.random.default_rng(4)
+    centroids = fit_centroids(isotropic(4000, 16), 300)
+    graph, found, there = CentroidGraph(centroids), 0, 0
+    for q in rng.normal(size=(40, 16)):
+        d = np.sqrt(((centroids - q) ** 2).sum(1))
+        limit = np.quantile(d, 0.2)
+        ids, dist = graph.within(q, graph.search(q[None], 8)[0][0], limit)
+        assert np.allclose(np.sort(dist), np.sort(d[ids])) and len(set(ids)) == len(ids) and (d[ids] <= limit + 1e-9).all()
+        found, there = found + len(ids), there + (d <= limit).sum()
+    assert found / there > 0.98
+
+
+def test_shorter_vectors_go_on_with_zeros(spark):
+    df = spark.createDataFrame([(0, [1.0, 2.0]), (1, [3.0]), (2, [1.0, 1.0])], "vec_id long, embedding array<double>")
+    assert sorted(map(tuple, search(df, F.col("vec_id") == 0).collect())) == [(0, 1, 1, 3.0), (0, 2, 2, 3.0)]
