@@ -27,12 +27,16 @@ def symbol_key(c: Column) -> Column:
     return F.upper(F.trim(c))
 
 
-def file_date(name: Column) -> Column:
-    """The date in a file name: 8 digits as YYYYMMDD, then DDMMYYYY; 6 digits as DDMMYY, then MMDDYY."""
+def file_date(name: Column, last_year: Column | None = None) -> Column:
+    """The date in a file name: 8 digits as YYYYMMDD, then DDMMYYYY; 6 digits as DDMMYY, then MMDDYY.
+
+    Two digits are a year of this century up to ``last_year`` (five years from now unless given), and of the last one beyond.
+    """
+    last_year = F.year(F.current_date()) + 5 if last_year is None else last_year
     eight, six = F.nullif(F.regexp_extract(name, r"(\d{8})", 1), F.lit("")), F.nullif(F.regexp_extract(name, r"(\d{6})", 1), F.lit(""))
     day = lambda text, year, month, day_: F.try_to_date(F.concat_ws("-", year(text), month(text), day_(text)), "yyyy-MM-dd")
     cut = lambda a, n: lambda t: F.substring(t, a, n)
-    short = lambda t: F.concat(F.lit("20"), F.substring(t, 5, 2))
+    short = lambda t: F.concat(F.when(F.substring(t, 5, 2).cast("int") <= last_year % 100, F.lit("20")).otherwise(F.lit("19")), F.substring(t, 5, 2))
     ymd = day(eight, cut(1, 4), cut(5, 2), cut(7, 2))
     plausible = F.year(ymd).between(1990, 2100)
     return F.coalesce(F.when(plausible, ymd), day(eight, cut(5, 4), cut(3, 2), cut(1, 2)), day(six, short, cut(3, 2), cut(1, 2)), day(six, short, cut(1, 2), cut(3, 2)))

@@ -24,6 +24,7 @@ SYNONYMS = {
     "trades": ("trades", "no_of_trades"),
 }
 ESSENTIAL = ("symbol", "trade_date", "open", "high", "low", "close")
+#: Names of the five-minute interval, the only one that candles are asked for at.
 INTERVALS = ("5minute", "5m", "5", "5min")
 
 
@@ -36,6 +37,11 @@ def resolved_columns(df: DataFrame, synonyms: dict[str, tuple[str, ...]] = SYNON
     return df.select(*[F.col(f"`{c}`").alias(n) for n, c in found.items() if c])
 
 
+def five_minutes(interval: Column) -> Column:
+    """Whether a text names the five-minute interval."""
+    return F.coalesce(F.lower(F.trim(interval)).isin(*INTERVALS), F.lit(False))
+
+
 def bars_between(bars: DataFrame, first: str, last: str) -> DataFrame:
     """Main-board bars of a range of dates, bounds included; on a table partitioned by date only those partitions are read."""
     return main_board(bars.where(F.col("trade_date").between(F.lit(first).cast("date"), F.lit(last).cast("date"))))

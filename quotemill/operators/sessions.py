@@ -1,4 +1,7 @@
-"""Analytics of intraday sessions from candles (session, ts, open, high, low, close, volume)."""
+"""Analytics of intraday sessions from candles (session, ts, open, high, low, close, volume).
+
+Candles of several instruments have a column symbol as well; sessions are then an instrument's.
+"""
 
 from __future__ import annotations
 
@@ -7,14 +10,21 @@ from pyspark.sql import functions as F
 
 from quotemill.functions.coerce import exact, ratio
 
+#: India's clock is so far ahead of UTC, the whole year.
+INDIA_SECONDS = 19800
+
+
+def _keys(candles: DataFrame) -> list[str]:
+    return [c for c in ("symbol", "session") if c in candles.columns]
+
 
-def _session(by: str = "session"):
-    return Window.partitionBy(by).orderBy("ts")
+def _session(candles: DataFrame):
+    return Window.partitionBy(*_keys(candles)).orderBy("ts")
 
 
-def with_vwap(candles: DataFrame, by: str = "session") -> DataFrame:
+def with_vwap(candles: DataFrame) -> DataFrame:
     """Candles with vwap_equal (mean typical price so far) and vwap_volume (weighted by volume; null before any)."""
-    w = _session(by).rowsBetween(Window.unboundedPreceding, 0)
+    w = _session(candles).rowsBetween(Window.unboundedPreceding, 0)
     three = exact(F.col("high") + F.col("low") + F.col("close"))
     return candles.withColumns(
         {
@@ -24,16 +34,16 @@ def with_vwap(candles: DataFrame, by: str = "session") -> DataFrame:
     )
 
 
-def with_crosses(candles: DataFrame, vwap: str = "vwap_equal", by: str = "session") -> DataFrame:
+def with_crosses(candles: DataFrame, vwap: str = "vwap_equal") -> DataFrame:
     """Candles with crossed: close and VWAP changed sides since the candle before; touching isn't crossing."""
     gap = F.col("close").cast("double") - F.col(vwap)
-    return candles.withColumn("gap", gap).withColumn("crossed", F.coalesce(F.lag("gap").over(_session(by)) * F.col("gap") < 0, F.lit(False)))
+    return candles.withColumn("gap", gap).withColumn("crossed", F.coalesce(F.lag("gap").over(_session(candles)) * F.col("gap") < 0, F.lit(False)))
 
 
 def session_summary(candles: DataFrame) -> DataFrame:
     """One row a session: range, net move, trend strength, pullback, VWAP crosses and hold; 0 where the range is 0."""
     rows = with_crosses(with_vwap(candles))
-    ends = rows.groupBy("session").agg(
+    ends = rows.groupBy(*_keys(candles)).agg(
         F.min_by("open", "ts").alias("day_open"),
         F.max_by("close", "ts").alias("day_close"),
         F.max("high").alias("high"),
@@ -46,7 +56,7 @@ def session_summary(candles: DataFrame) -> DataFrame:
     span, move = F.col("high") - F.col("low"), F.col("day_close") - F.col("day_open")
     share = lambda c: F.when(span == 0, F.lit(0.0)).otherwise(ratio(c, span))
     return ends.select(
-        "session",
+        *_keys(candles),
         "candles",
         span.cast("double").alias("total_range"),
         move.cast("double").alias("net_move"),
@@ -64,10 +74,10 @@ def structure(candles: DataFrame) -> DataFrame:
     traded back through it, NO if it did, NO_GAP if equal, null for the first session. A session of
     one candle rises and falls at once, and counts as rising.
     """
-    w = _session()
+    w = _session(candles)
     step = {f"{d}_{c}": F.coalesce((F.col(c) > F.lag(c).over(w)) if d == "up" else (F.col(c) < F.lag(c).over(w)), F.lag(c).over(w).isNull()) for d in ("up", "down") for c in ("high", "low")}
     rows = with_vwap(candles).withColumns(step)
-    days = rows.groupBy("session").agg(
+    days = rows.groupBy(*_keys(candles)).agg(
         *[F.bool_and(c).alias(c) for c in step],
         F.min_by("open", "ts").alias("day_open"),
         F.max_by("close", "ts").alias("day_close"),
@@ -75,13 +85,14 @@ def structure(candles: DataFrame) -> DataFrame:
         F.max("high").alias("high"),
         F.min("low").alias("low"),
     )
-    days = days.withColumn("before", F.lag("day_close").over(Window.orderBy("session")))  # a row a session
+    chain = Window.partitionBy("symbol") if "symbol" in candles.columns else Window.partitionBy(F.lit(0))  # a row a session of an instrument
+    days = days.withColumn("before", F.lag("day_close").over(chain.orderBy("session")))
     form = F.when(F.col("up_high") & F.col("up_low"), "LONG_VALID").when(F.col("down_high") & F.col("down_low"), "SHORT_VALID").otherwise("INVALID")
     yes_no = lambda c: F.when(c, "YES").otherwise("NO")
     hold = F.when(F.col("day_open") > F.col("before"), yes_no(F.col("low") >= F.col("before"))).when(F.col("day_open") < F.col("before"), yes_no(F.col("high") <= F.col("before"))).when(F.col("before").isNotNull(), "NO_GAP")
     last = F.col("day_close").cast("double")
     side = F.when(last > F.col("last_vwap"), "ABOVE_VWAP").when(last < F.col("last_vwap"), "BELOW_VWAP").otherwise("AT_VWAP")
-    return days.select("session", form.alias("structure"), hold.alias("gap_hold"), (ratio(F.col("day_open") - F.col("before"), F.col("before")) * 100).alias("gap_pct"), side.alias("price_vs_vwap"))
+    return days.select(*_keys(candles), form.alias("structure"), hold.alias("gap_hold"), (ratio(F.col("day_open") - F.col("before"), F.col("before")) * 100).alias("gap_pct"), side.alias("price_vs_vwap"))
 
 
 def stock_outcome(bars: DataFrame, side: str = "LONG", up: float = 1.5, down: float = -1.0) -> DataFrame:
@@ -96,16 +107,18 @@ def stock_outcome(bars: DataFrame, side: str = "LONG", up: float = 1.5, down: fl
 def normal_candles(raw: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
     """Text candles (timestamp or date or datetime, open, high, low, close, volume) as typed ones with valid and reason.
 
-    Epochs are seconds, or milliseconds beyond 1e12; times without a zone are UTC; times come out
-    in India's zone, whole seconds. A row that can't be read is kept with valid = false. Columns
+    Epochs are seconds, or milliseconds beyond 1e12; times without a zone are UTC, whatever the
+    session's zone; times come out as India's wall clock, whole seconds. A row that can't be read is kept with valid = false. Columns
     named in ``keep`` stay.
     """
     names = [c for c in ("timestamp", "date", "datetime") if c in raw.columns]
     text = F.trim(F.coalesce(*[F.col(c).cast("string") for c in names]))
     epoch = F.when(text.rlike(r"^\d+(\.\d+)?$"), text.try_cast("double"))
-    at = F.coalesce(F.timestamp_micros((F.when(epoch > 1e12, epoch / 1000).otherwise(epoch) * 1_000_000).cast("bigint")), F.when(text.rlike(r"^\d{4}-\d{2}-\d{2}"), text.try_cast("timestamp")))
+    zoned = F.when(text.rlike(r"(Z|[+-]\d{2}:?\d{2})$") & text.rlike(r"\d{2}:\d{2}"), text).when(text.rlike(r"^\d{4}-\d{2}-\d{2}$"), F.concat(text, F.lit(" 00:00:00Z"))).otherwise(F.concat(text, F.lit("Z")))
+    seconds = F.coalesce(F.floor(F.when(epoch > 1e12, epoch / 1000).otherwise(epoch)), F.when(text.rlike(r"^\d{4}-\d{2}-\d{2}"), F.unix_seconds(zoned.try_cast("timestamp"))))
+    india = F.lit("1970-01-01 00:00:00").cast("timestamp_ntz") + F.make_dt_interval(secs=seconds + INDIA_SECONDS)
     numbers = {c: F.col(c).cast("string").try_cast("double") for c in ("open", "high", "low", "close", "volume")}
-    df = raw.select(*keep, F.date_trunc("second", F.from_utc_timestamp(at, "Asia/Kolkata")).alias("ts"), *[v.alias(c) for c, v in numbers.items()])
+    df = raw.select(*keep, india.alias("ts"), *[v.alias(c) for c, v in numbers.items()])
     odd = lambda c: F.col(c).isNull() | F.isnan(c) | (F.abs(c) == float("inf"))
     reason = F.when(F.col("ts").isNull(), "timestamp")
     for c in numbers:

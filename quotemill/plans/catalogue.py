@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
+import io
 import os
-import tempfile
 import zipfile
 from collections.abc import Callable
 
+import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -14,8 +15,8 @@ from quotemill.functions import coerce, names
 from quotemill.operators import candidates, hold, indicators, instruments, labels, liquidity, risk, scans, selection, sessions, signals, trading_days
 from quotemill.plans.fragments import CANDLES_SQL, FEATURES_SQL, LABELS_SQL, METRICS_SQL, OUTCOMES_SQL, PRICED_SQL, SELECTION_SQL, SIGNALS_SQL, VWAP_SQL
 from quotemill.sources import archive, store
-from quotemill.sources.standin import BARS_SQL, bars, candles
-from quotemill.sources.table_io import table
+from quotemill.sources.standin import BARS_SQL, bars, candles, candles_of
+from quotemill.sources.table_io import shared_dir, table
 from quotemill.streaming import candles as streams
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -365,6 +366,29 @@ def session_summary(spark, sf_dir):
     return sessions.session_summary(candles(spark, sf_dir))
 
 
+_BY_SYMBOL = """candles AS (
+  SELECT event_type AS symbol, time_bucket(INTERVAL 5 MINUTE, ts)::DATE AS session, time_bucket(INTERVAL 5 MINUTE, ts) AS ts,
+    arg_min(value::DECIMAL(18,4), row(ts, event_id)) AS open, max(value::DECIMAL(18,4)) AS high, min(value::DECIMAL(18,4)) AS low, arg_max(value::DECIMAL(18,4), row(ts, event_id)) AS close, count(*) AS volume
+  FROM events WHERE ts IS NOT NULL AND value IS NOT NULL GROUP BY 1, 2, 3),
+days AS (SELECT symbol, session, count(*) AS candles, arg_min(open, ts) AS o, arg_max(close, ts) AS c, max(high) AS h, min(low) AS l FROM candles GROUP BY 1, 2)"""
+
+
+def _candles_by_symbol(spark, sf_dir):
+    """5-minute candles of each event type, which stands for an instrument."""
+    rows = table(spark, sf_dir, "events").select("ts", "event_id", F.col("event_type").alias("symbol"), F.col("value").cast("decimal(18,4)").alias("price"))
+    return candles_of(rows, ("symbol",))
+
+
+@query(f"WITH {_BY_SYMBOL} SELECT symbol, session, candles, (h - l)::DOUBLE AS total_range, (c - o)::DOUBLE AS net_move FROM days")
+def session_summary_by_symbol(spark, sf_dir):
+    return sessions.session_summary(_candles_by_symbol(spark, sf_dir)).select("symbol", "session", "candles", "total_range", "net_move")
+
+
+@query(f"WITH {_BY_SYMBOL}, chained AS (SELECT *, lag(c) OVER (PARTITION BY symbol ORDER BY session) AS before FROM days) SELECT symbol, session, (o - before)::DOUBLE / nullif(before, 0)::DOUBLE * 100 AS gap_pct FROM chained")
+def session_gaps_by_symbol(spark, sf_dir):
+    return sessions.structure(_candles_by_symbol(spark, sf_dir)).select("symbol", "session", "gap_pct")
+
+
 @query(f"WITH {VWAP_SQL} SELECT session, ts, vwap_equal FROM vwaps")
 def vwap_equal_weight(spark, sf_dir):
     return sessions.with_vwap(candles(spark, sf_dir)).select("session", "ts", "vwap_equal")
@@ -396,9 +420,10 @@ def structure_flags(spark, sf_dir):
 @query("SELECT event_id, date_trunc('second', ts + INTERVAL 330 MINUTE) AS ts, value AS open, value AS high, value AS low, value AS close, 1.0::DOUBLE AS volume, TRUE AS valid FROM events")
 def candle_normalised(spark, sf_dir):
     rows = table(spark, sf_dir, "events")
-    text = F.date_format(F.col("ts").cast("timestamp"), "yyyy-MM-dd HH:mm:ss.SSSSSS")
+    form = lambda c: F.date_format(c.cast("timestamp"), "yyyy-MM-dd HH:mm:ss.SSSSSS")
+    text = F.when(F.col("event_id") % 2 == 0, form(F.col("ts"))).otherwise(F.concat(form(F.col("ts") + F.make_dt_interval(hours=F.lit(2))), F.lit("+02:00")))  # without a zone, and two hours ahead of UTC
     flat = rows.select("event_id", text.alias("timestamp"), *[F.col("value").cast("string").alias(c) for c in OHLC], F.lit("1").alias("volume"))
-    return sessions.normal_candles(flat, keep=("event_id",)).select("event_id", F.col("ts").cast("timestamp_ntz").alias("ts"), *OHLC, "volume", "valid")
+    return sessions.normal_candles(flat, keep=("event_id",)).select("event_id", "ts", *OHLC, "volume", "valid")
 
 
 @query(
@@ -671,14 +696,26 @@ def upsert_coalesce(spark, sf_dir):
     rows = bars(spark, sf_dir)
     old = rows.select("symbol", "trade_date", F.col("close").cast("double").alias("score"), F.col("low").cast("double").alias("stop"))
     new = rows.where("trades > 1").select("symbol", "trade_date", F.col("open").cast("double").alias("score"), F.when(F.col("close") > F.col("open"), F.col("high").cast("double")).alias("stop"))
-    return store.coalesced(old, new, ["symbol", "trade_date"], ("stop",))
+    new = new.withColumn("version", F.lit(2)).unionByName(new.withColumns({"version": F.lit(1), "score": F.lit(-1.0), "stop": F.lit(-1.0)}))  # every key twice, the second one counts
+    return store.coalesced(old, new, ["symbol", "trade_date"], ("stop",), ("version",))
+
+
+@query(f"WITH {BARS_SQL} SELECT symbol, trade_date, CASE WHEN trades > 1 THEN open ELSE close END::DOUBLE AS price, high::DOUBLE AS high FROM bars")
+def row_update(spark, sf_dir):
+    rows = doubles(bars(spark, sf_dir), "open", "high", "close")
+    old = rows.select("symbol", "trade_date", F.col("close").alias("price"), "high")
+    new = rows.where("trades > 1").select("symbol", "trade_date", F.col("open").alias("price"), F.explode(F.array(F.lit(1), F.lit(2))).alias("version"))
+    new = new.withColumn("price", F.when(F.col("version") == 2, F.col("price")).otherwise(F.lit(None)))
+    return store.updated(old, new, ["symbol", "trade_date"], ("price",), ("version",))
 
 
 @query(f"WITH {BARS_SQL} SELECT symbol, trade_date, CASE WHEN trades > 1 THEN open ELSE close END::DOUBLE AS price FROM bars")
 def upsert_replace(spark, sf_dir):
     rows = doubles(bars(spark, sf_dir), "open", "close")
     old = rows.select("symbol", "trade_date", F.col("close").alias("price"))
-    return store.replaced(old, rows.where("trades > 1").select("symbol", "trade_date", F.col("open").alias("price")), ["symbol", "trade_date"])
+    new = rows.where("trades > 1").select("symbol", "trade_date", F.col("open").alias("price"), F.explode(F.array(F.lit(1), F.lit(2))).alias("version"))
+    new = new.withColumn("price", F.when(F.col("version") == 2, F.col("price")).otherwise(F.lit(-1.0)))  # every key twice, the second one counts
+    return store.replaced(old, new, ["symbol", "trade_date"], ("version",))
 
 
 # dates
@@ -716,11 +753,14 @@ def date_mode(spark, sf_dir):
     return table(spark, sf_dir, "orders").groupBy("o_custkey").agg(F.mode(F.to_date("o_orderdate"), True).alias("day"))
 
 
-@query("SELECT o_orderkey, o_orderdate::DATE AS day FROM orders")
+@query("SELECT o_orderkey, CASE WHEN o_orderkey % 5 = 4 AND year(o_orderdate) > 1994 THEN o_orderdate::DATE WHEN o_orderkey % 5 = 4 THEN (o_orderdate + INTERVAL 100 YEAR)::DATE ELSE o_orderdate::DATE END AS day FROM orders WHERE NOT (o_orderkey % 5 = 4 AND month(o_orderdate) = 2 AND day(o_orderdate) = 29)")
 def file_dates(spark, sf_dir):
+    """Two-digit years up to 94 are of this century here, those beyond of the last one."""
     form = lambda f: F.date_format("o_orderdate", f)
-    name = F.when(F.col("o_orderstatus") == "F", form("'PR'yyyyMMdd'.zip'")).when(F.col("o_orderstatus") == "O", form("'PR'ddMMyyyy'.zip'")).otherwise(F.concat(form("'PR'dd"), form("MMyyyy'.csv'")))
-    return table(spark, sf_dir, "orders").select("o_orderkey", names.file_date(name).alias("day"))
+    eight = F.when(F.col("o_orderstatus") == "F", form("'PR'yyyyMMdd'.zip'")).when(F.col("o_orderstatus") == "O", form("'PR'ddMMyyyy'.zip'")).otherwise(F.concat(form("'PR'dd"), form("MMyyyy'.csv'")))
+    name = F.when(F.col("o_orderkey") % 5 == 4, form("'PR'ddMMyy'.zip'")).otherwise(eight)
+    rows = table(spark, sf_dir, "orders").where(~((F.col("o_orderkey") % 5 == 4) & (F.month("o_orderdate") == 2) & (F.dayofmonth("o_orderdate") == 29)))
+    return rows.select("o_orderkey", names.file_date(name, F.lit(2094)).alias("day"))
 
 
 @query("""SELECT event_id, json(props)::VARCHAR AS canonical, '"' || event_type || '"' AS quoted, (props->>'$.k')::BIGINT AS k FROM events""")
@@ -805,30 +845,30 @@ def report_match(spark, sf_dir):
 # archives and streams
 
 
-@query()
-def archive_scan(spark, sf_dir):
-    """Suppliers written to a daily archive and read back through it."""
-    rows = table(spark, sf_dir, "supplier").orderBy("s_suppkey").collect()
-    where = os.path.join(_shared(spark), "PR031025.zip")
-    lines = ["Security ,close_price,prev_cl_pr"] + [f'"{r["s_name"]}","1,{abs(r["s_acctbal"]):.2f}",{r["s_nationkey"]}' for r in rows] + ["broken line"]
-    with tempfile.TemporaryDirectory() as d:
-        with zipfile.ZipFile(f"{d}/a.zip", "w") as z:
-            z.writestr("x/GL031025.csv", "\n".join(lines))
-            z.writestr("readme.txt", "no table")
-        _put(spark, f"{d}/a.zip", where)
-    df = archive.projected(archive.members(spark, where), "GL", {"security": ("SECURITY",), "close": ("CLOSE_PRIC", "CLOSE_PRICE")})
-    return df.select("trade_date", "row_seq", "security", coerce.number_text(F.col("close")).alias("close"), "extras")
+def _archive(key, rows: pd.DataFrame) -> pd.DataFrame:
+    """A ZIP archive with a member of the rows' lines, one line that can't be read, and one member that is no table."""
+    lines = ["Security ,close_price,prev_cl_pr", *rows.sort_values("s_suppkey")["line"], "broken line"]
+    made = io.BytesIO()
+    with zipfile.ZipFile(made, "w") as z:
+        z.writestr("x/GL031025.csv", "\n".join(lines))
+        z.writestr("readme.txt", "no table")
+    return pd.DataFrame({"path": [f"/{key[0]}/PR031025.zip"], "content": [made.getvalue()]})
 
 
-def _shared(spark: SparkSession) -> str:
-    return spark.sparkContext.getCheckpointDir() or tempfile.mkdtemp(prefix="quotemill-")
+@query("""SELECT s_nationkey::VARCHAR AS nation, DATE '2025-10-03' AS trade_date, row_number() OVER (PARTITION BY s_nationkey ORDER BY s_suppkey) - 1 AS row_seq, s_name AS security,
+  (1000 + abs(s_acctbal::DECIMAL(18,2)) % 1000)::DOUBLE AS close, '{"PREV_CL_PR":"' || s_nationkey || '"}' AS extras FROM supplier""")
+def archive_scan(spark, sf_dir):
+    """Suppliers of each nation in an archive of their own, made in tasks, and read back through it."""
+    amount = F.lpad((F.abs(F.col("s_acctbal").cast("decimal(18,2)")) % 1000).cast("decimal(5,2)").cast("string"), 6, "0")
+    line = F.format_string('"%s","1,%s",%d', "s_name", amount, "s_nationkey")
+    files = table(spark, sf_dir, "supplier").select("s_nationkey", "s_suppkey", line.alias("line")).groupBy("s_nationkey").applyInPandas(_archive, "path string, content binary")
+    rows = archive.member_rows(files.withColumn("modificationTime", F.lit("2025-10-03 18:00:00").cast("timestamp")))
+    df = archive.projected(rows, "GL", {"security": ("SECURITY",), "close": ("CLOSE_PRIC", "CLOSE_PRICE")}, keep=("archive",))
+    return df.select(F.regexp_extract("archive", "^/([^/]+)/", 1).alias("nation"), "trade_date", "row_seq", "security", coerce.number_text(F.col("close")).alias("close"), "extras")
 
 
-def _put(spark: SparkSession, local: str, target: str) -> None:
-    """A file of the driver's, copied by Hadoop to wherever ``target`` is."""
-    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
-    path = jvm.org.apache.hadoop.fs.Path(target)
-    path.getFileSystem(conf).copyFromLocalFile(False, True, jvm.org.apache.hadoop.fs.Path(f"file://{local}"), path)
+def _shared(spark: SparkSession) -> str:
+    return shared_dir(spark)
 
 
 @query(f"WITH {CANDLES_SQL}, newest AS (SELECT max(ts) AS last FROM events) SELECT ts, open::DOUBLE AS open, high::DOUBLE AS high, low::DOUBLE AS low, close::DOUBLE AS close, volume FROM candles, newest WHERE ts + INTERVAL 5 MINUTE <= last - INTERVAL 10 MINUTE")

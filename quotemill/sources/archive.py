@@ -28,7 +28,8 @@ def kind_of(member: Column) -> Column:
     return out
 
 
-def _rows(data: bytes, sniff: bool) -> Iterator[dict[str, str]]:
+def _rows(data: bytes, sniff: bool) -> list[dict[str, str]]:
+    """A member's rows in the first form that reads all of it; none if no form does."""
     for encoding, sep in FORMS if sniff else (("utf-8", ","),):
         try:
             text = data.decode(encoding, errors="strict" if sniff else "replace")
@@ -37,16 +38,19 @@ def _rows(data: bytes, sniff: bool) -> Iterator[dict[str, str]]:
             header = [h.strip().upper() for h in next(reader, [])]
             if sniff and len(header) < 2:
                 continue
-            for row in reader:
-                if len(row) == len(header):  # bad lines are skipped
-                    yield dict(zip(header, row, strict=True))
-            return
+            return [dict(zip(header, row, strict=True)) for row in reader if len(row) == len(header)]  # bad lines are skipped
         except (UnicodeDecodeError, csv.Error):
             continue
+    return []
 
 
 def members(spark: SparkSession, path: str, sniff: bool = False) -> DataFrame:
-    """Rows of all CSV members under a path or glob: archive, modified, member, row_seq, fields (map of upper-case header to text).
+    """Rows of all CSV members of the files under a path or glob."""
+    return member_rows(spark.read.format("binaryFile").load(path), sniff)
+
+
+def member_rows(files: DataFrame, sniff: bool = False) -> DataFrame:
+    """Rows of all CSV members of files (path, modificationTime, content): archive, modified, member, row_seq, fields (map of upper-case header to text).
 
     Files that aren't ZIP archives, by their first bytes, give no rows.
     """
@@ -56,17 +60,18 @@ def members(spark: SparkSession, path: str, sniff: bool = False) -> DataFrame:
             for name, at, content in zip(files["path"], files["modificationTime"], files["content"], strict=True):
                 with zipfile.ZipFile(io.BytesIO(content)) as z:
                     for member in sorted(m for m in z.namelist() if m.upper().endswith(".CSV")):
-                        rows = list(enumerate(_rows(z.read(member), sniff)))
-                        yield pd.DataFrame({"archive": name, "modified": at, "member": member, "row_seq": [k for k, _ in rows], "fields": [r for _, r in rows]})
+                        if rows := _rows(z.read(member), sniff):
+                            yield pd.DataFrame({"archive": name, "modified": at, "member": member, "row_seq": range(len(rows)), "fields": rows})
 
-    files = spark.read.format("binaryFile").load(path).where(F.substring("content", 1, 2) == b"PK")
+    files = files.where(F.substring("content", 1, 2) == b"PK")
     rows = files.select("path", "modificationTime", "content").mapInPandas(run, "archive string, modified timestamp, member string, row_seq long, fields map<string,string>")
     return rows.withColumn("kind", kind_of(F.col("member"))).withColumn("trade_date", file_date(F.regexp_extract("member", r"([^/\\]*)$", 1)))
 
 
-def newest(spark: SparkSession, path: str) -> DataFrame:
-    """path and modificationTime of the newest file."""
-    return spark.read.format("binaryFile").load(path).select("path", "modificationTime").orderBy(F.desc("modificationTime"), F.desc("path")).limit(1)
+def newest(files: DataFrame) -> DataFrame:
+    """The newest of files (path, modificationTime, ...): by the date in its name, then by time; a name without a date comes after all that have one."""
+    day = file_date(F.regexp_extract("path", r"([^/\\]*)$", 1))
+    return files.withColumn("file_day", day).orderBy(F.col("file_day").desc_nulls_last(), F.desc("modificationTime"), F.desc("path")).limit(1).drop("file_day")
 
 
 def field(*names: str) -> Column:
@@ -74,8 +79,8 @@ def field(*names: str) -> Column:
     return F.coalesce(*[F.element_at("fields", n) for n in names])
 
 
-def projected(rows: DataFrame, kind: str, spec: dict[str, tuple[str, ...]]) -> DataFrame:
+def projected(rows: DataFrame, kind: str, spec: dict[str, tuple[str, ...]], keep: tuple[str, ...] = ()) -> DataFrame:
     """Members of one kind as text columns, by synonyms; extras hold the other fields as JSON."""
     used = [n for names in spec.values() for n in names]
     extras = F.map_filter("fields", lambda k, _: ~k.isin(*used))
-    return rows.where(F.col("kind") == kind).select("trade_date", "member", "row_seq", *[field(*names).alias(c) for c, names in spec.items()], F.to_json(extras).alias("extras"))
+    return rows.where(F.col("kind") == kind).select("trade_date", "member", "row_seq", *keep, *[field(*names).alias(c) for c, names in spec.items()], F.to_json(extras).alias("extras"))

@@ -70,14 +70,14 @@ def candles(spark: SparkSession, sf_dir: str) -> DataFrame:
     return candles_of(rows)
 
 
-def candles_of(rows: DataFrame) -> DataFrame:
-    """ts, event_id, price -> ts (start of the window), open, high, low, close, volume, session."""
+def candles_of(rows: DataFrame, by: tuple[str, ...] = ()) -> DataFrame:
+    """ts, event_id, price, by -> by, ts (start of the window), open, high, low, close, volume, session."""
     start = F.window("ts", "5 minutes")["start"]
     order = F.struct("ts", "event_id")
-    out = rows.where("ts is not null and price is not null").groupBy(start.alias("start")).agg(
+    out = rows.where("ts is not null and price is not null").groupBy(*by, start.alias("start")).agg(
         F.min_by("price", order).alias("open"), F.max("price").alias("high"), F.min("price").alias("low"), F.max_by("price", order).alias("close"), F.count("*").alias("volume")
     )
-    return out.select(F.to_date("start").alias("session"), F.col("start").alias("ts"), "open", "high", "low", "close", "volume")
+    return out.select(*by, F.to_date("start").alias("session"), F.col("start").alias("ts"), "open", "high", "low", "close", "volume")
 
 
 CANDLES_SQL = """candles AS (

@@ -7,17 +7,25 @@ from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 
-def replaced(old: DataFrame, new: DataFrame, keys: list[str]) -> DataFrame:
-    """Upsert: rows of new win over rows of old with the same key."""
-    return old.join(new.select(*keys).distinct(), keys, "left_anti").unionByName(new.select(*old.columns))
+def last_of(rows: DataFrame, keys: list[str], order: tuple[str, ...] = ()) -> DataFrame:
+    """One row a key: the last by ``order``, ties and what has no order by all other columns."""
+    by = [*order, *[c for c in rows.columns if c not in keys and c not in order]]
+    nth = F.row_number().over(Window.partitionBy(*keys).orderBy(*[F.col(c).desc_nulls_last() for c in by] or [F.lit(1)]))
+    return rows.withColumn("nth_", nth).where("nth_ = 1").drop("nth_")
 
 
-def coalesced(old: DataFrame, new: DataFrame, keys: list[str], keep_old: tuple[str, ...]) -> DataFrame:
-    """Upsert that keeps an old value of the ``keep_old`` columns where the new one is null."""
+def replaced(old: DataFrame, new: DataFrame, keys: list[str], order: tuple[str, ...] = ()) -> DataFrame:
+    """Upsert: rows of new win over rows of old with the same key; of new rows with one key the last by ``order``."""
+    return old.join(new.select(*keys).distinct(), keys, "left_anti").unionByName(last_of(new, keys, order).select(*old.columns))
+
+
+def coalesced(old: DataFrame, new: DataFrame, keys: list[str], keep_old: tuple[str, ...], order: tuple[str, ...] = ()) -> DataFrame:
+    """Upsert that keeps an old value of the ``keep_old`` columns where the new one is null; of new rows with one key the last by ``order``."""
+    new = last_of(new, keys, order)
     a = old.select(*keys, F.lit(True).alias("in_old_"), *[F.col(c).alias(f"old_{c}") for c in old.columns if c not in keys])
     b = new.select(*keys, F.lit(True).alias("in_new_"), *[F.col(c).alias(f"new_{c}") for c in old.columns if c not in keys])
     df = a.join(b, keys, "full")
@@ -37,9 +45,9 @@ def absent(old: DataFrame, new: DataFrame, keys: list[str]) -> DataFrame:
     return new.dropDuplicates(keys).join(old.select(*keys).distinct(), keys, "left_anti")
 
 
-def updated(old: DataFrame, new: DataFrame, keys: list[str], columns: tuple[str, ...]) -> DataFrame:
-    """old with ``columns`` from new where new has the key."""
-    b = new.select(*keys, F.lit(True).alias("hit_"), *[F.col(c).alias(f"new_{c}") for c in columns])
+def updated(old: DataFrame, new: DataFrame, keys: list[str], columns: tuple[str, ...], order: tuple[str, ...] = ()) -> DataFrame:
+    """old with ``columns`` from new where new has the key; of new rows with one key the last by ``order``."""
+    b = last_of(new, keys, order).select(*keys, F.lit(True).alias("hit_"), *[F.col(c).alias(f"new_{c}") for c in columns])
     df = old.join(b, keys, "left")
     return df.select(*[F.when(F.col("hit_"), F.col(f"new_{c}")).otherwise(F.col(c)).alias(c) if c in columns else F.col(c) for c in old.columns])
 
@@ -68,4 +76,5 @@ def append(df: DataFrame, path: str, columns: list[str] | None = None) -> None:
 
 
 def write_csv(df: DataFrame, path: str) -> None:
-    df.coalesce(1).write.mode("overwrite").csv(path, header=True)
+    """df as a directory of CSV files, one a task."""
+    df.write.mode("overwrite").csv(path, header=True)

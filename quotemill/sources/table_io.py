@@ -1,4 +1,6 @@
-"""Parquet tables by directory and name."""
+"""Parquet tables by directory and name, and the folder for intermediate ones."""
+
+import tempfile
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -6,3 +8,17 @@ from pyspark.sql import DataFrame, SparkSession
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """The table ``name`` under ``sf_dir``; its path may be any that Spark's readers open."""
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+
+
+def shared_dir(spark: SparkSession) -> str:
+    """The folder that driver and executors share: the session's spark.checkpoint.dir.
+
+    Where that is unset, a session on one machine gets a folder of its own; on a cluster that is an error.
+    """
+    sc = spark.sparkContext
+    if sc.getCheckpointDir() is None:
+        path = spark.conf.get("spark.checkpoint.dir", None)
+        if path is None and not sc.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
+        sc.setCheckpointDir(path or tempfile.mkdtemp(prefix="checkpoints-"))
+    return sc.getCheckpointDir()

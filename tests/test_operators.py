@@ -147,6 +147,7 @@ def test_names_numbers_and_dates(spark):
     assert [one(spark, t, coerce.number_text) for t in (" 1,234.5% ", "", "-", None, "NaN")] == [1234.5, None, None, None, None]
     for name in ("PR031025.csv", "x20251003.csv", "x03102025.csv"):
         assert one(spark, name, names.file_date) == dt.date(2025, 10, 3)
+    assert one(spark, "x311299.csv", names.file_date) == dt.date(1999, 12, 31) and one(spark, "x010130.csv", names.file_date) == dt.date(2030, 1, 1)
     assert one(spark, "x123125.csv", names.file_date) == dt.date(2025, 12, 31) and one(spark, "none.csv", names.file_date) is None
     assert one(spark, "03-10-2025", names.loose_date) == dt.date(2025, 10, 3)
     assert [one(spark, t, coerce.canonical_json) for t in ('{"a": 1}', "plain", "", None, "{broken")] == ['{"a":1}', '"plain"', None, None, '"{broken"']
@@ -269,3 +270,57 @@ def test_stores(spark, tmp_path):
     assert sorted(r["v"] for r in spark.read.parquet(f"{root}-d").collect()) == [1, 9]
     store.append(days, f"{root}-a", ["v", "missing"])
     assert spark.read.parquet(f"{root}-a").columns == ["v"]
+
+
+def test_repeated_keys_in_an_upsert_leave_one_row_a_key(spark):
+    old = spark.createDataFrame([(1, 10.0, 1.0), (2, 20.0, 2.0)], "k int, stop double, score double")
+    new = spark.createDataFrame([(1, None, 5.0, 2), (1, 3.0, 4.0, 1), (3, 7.0, 1.0, 1), (3, 8.0, 2.0, 2)], "k int, stop double, score double, seq int")
+    assert sorted(map(tuple, store.replaced(old, new, ["k"], ("seq",)).collect()), key=str) == [(1, None, 5.0), (2, 20.0, 2.0), (3, 8.0, 2.0)]
+    assert sorted(map(tuple, store.coalesced(old, new, ["k"], ("stop",), ("seq",)).collect())) == [(1, 10.0, 5.0), (2, 20.0, 2.0), (3, 8.0, 2.0)]
+    assert sorted(map(tuple, store.updated(old, new, ["k"], ("score",), ("seq",)).collect())) == [(1, 10.0, 5.0), (2, 20.0, 2.0)]
+
+
+def test_a_member_that_a_form_cannot_read_gives_its_rows_once(spark):
+    import csv
+    import io
+    import zipfile
+
+    from quotemill.sources import archive
+
+    made = io.BytesIO()
+    with zipfile.ZipFile(made, "w") as z:
+        z.writestr("PR031025.csv", "SECURITY,CLOSE\na,1\nb,2\nc,\"" + "x" * (csv.field_size_limit() + 10) + "\"\n")
+        z.writestr("GL031025.csv", "SECURITY;CLOSE\na;1\nb;2\n")
+    files = spark.createDataFrame([("/in/PR031025.zip", dt.datetime(2025, 10, 3), bytearray(made.getvalue())), ("/in/none.zip", dt.datetime(2025, 10, 4), bytearray(b"no archive"))], "path string, modificationTime timestamp, content binary")
+    rows = archive.member_rows(files, sniff=True).collect()
+    assert [(r["kind"], r["row_seq"], r["fields"]["SECURITY"]) for r in rows if r["kind"] == "GL"] == [("GL", 0, "a"), ("GL", 1, "b")]
+    assert len([r for r in rows if r["kind"] == "PR"]) in (0, 2)
+    more = files.unionByName(spark.createDataFrame([("/in/PR021025.zip", dt.datetime(2026, 1, 1), bytearray(b""))], files.schema))
+    assert archive.newest(more).first()["path"] == "/in/PR031025.zip"
+
+
+def test_times_without_a_zone_are_utc_in_any_session(spark):
+    rows = [("2025-10-03 04:00:00", "1", "1", "1", "1", "2"), ("2025-10-03T04:00:00+02:00", "1", "1", "1", "1", "2"), ("1759464000", "1", "1", "1", "1", "2"), ("2025-10-03", "1", "1", "1", "1", "2")]
+    df = spark.createDataFrame(rows, "timestamp string, open string, high string, low string, close string, volume string")
+    zone = spark.conf.get("spark.sql.session.timeZone")
+    try:
+        for other in ("UTC", "America/New_York", "Asia/Tokyo"):
+            spark.conf.set("spark.sql.session.timeZone", other)
+            got = [r["ts"] for r in sessions.normal_candles(df).collect()]
+            assert got == [dt.datetime(2025, 10, 3, 9, 30), dt.datetime(2025, 10, 3, 7, 30), dt.datetime(2025, 10, 3, 9, 30), dt.datetime(2025, 10, 3, 5, 30)]
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", zone)
+
+
+def test_sessions_of_instruments_stay_apart(spark):
+    base = dt.datetime(2025, 10, 3, 9, 15)
+    rows = [(s, "d1", base + dt.timedelta(minutes=5 * k), p + k, p + k + 1, p + k - 1, p + k + 0.5, 10) for s, p in (("A", 100.0), ("B", 500.0)) for k in range(4)]
+    rows += [("A", "d2", base + dt.timedelta(days=1), 90.0, 91.0, 89.0, 90.5, 10)]
+    df = spark.createDataFrame(rows, "symbol string, session string, ts timestamp, open double, high double, low double, close double, volume long")
+    got = {(r["symbol"], r["session"]): r for r in sessions.session_summary(df).collect()}
+    assert {k: v["total_range"] for k, v in got.items()} == {("A", "d1"): 5.0, ("B", "d1"): 5.0, ("A", "d2"): 2.0}
+    for symbol in ("A", "B"):
+        own = sessions.session_summary(df.where(F.col("symbol") == symbol).drop("symbol")).orderBy("session").collect()
+        assert [tuple(r)[1:] for r in own] == [tuple(v)[2:] for k, v in sorted(got.items()) if k[0] == symbol]
+    gaps = {(r["symbol"], r["session"]): r["gap_hold"] for r in sessions.structure(df).collect()}
+    assert gaps == {("A", "d1"): None, ("B", "d1"): None, ("A", "d2"): "YES"}
