@@ -12,6 +12,7 @@ from __future__ import annotations
 
 import base64
 import zlib
+from collections import Counter
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -22,14 +23,16 @@ import tiktoken
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quotemill.llm.common import staged
+from quotemill.llm.common import free, staged
 
 CAPACITY = 1024
 END = 2
 GROUP_ROWS = 16384
-#: How many sizes a filling tries at each place, in one search after the other; and bins that a search may open beyond one descent.
-WIDTHS, SEARCH_STEPS = (6, 16, 48, 56), 256
+#: Fillings tried for a bin, in one search after the other; and steps that a search may take for each piece.
+WIDTHS, SEARCH_STEPS = (2, 8, 32), 16
 TOKENIZER = "byte_bpe_50k"
+#: Pieces of a frame that a task hands back.
+FRAME_ROWS = 2048
 
 
 @lru_cache(maxsize=2)
@@ -58,6 +61,8 @@ PIECES = "doc_id {id}, piece int, start long, length long, ids_crc32 long{ids}"
 def pieces(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", tokenizer: str = TOKENIZER, capacity: int = CAPACITY, with_ids: bool = False) -> DataFrame:
     """Each document's pieces; with_ids: and their ids, as little-endian unsigned 32-bit integers."""
 
+    cols = ["doc_id", "piece", "start", "length", "ids_crc32"] + ["ids"] * with_ids
+
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for rows in batches:
             out = []
@@ -66,10 +71,12 @@ def pieces(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", toke
                 data = ids.tobytes()
                 for k, (start, n) in enumerate(cuts(len(ids), capacity)):
                     part = data[4 * start : 4 * (start + n)]
-                    out.append((None if pd.isna(doc_id) else doc_id, k, start, n, zlib.crc32(part), part))
-            cols = ["doc_id", "piece", "start", "length", "ids_crc32", "ids"]
-            frame = pd.DataFrame(out, columns=cols).astype({"doc_id": object})
-            yield frame if with_ids else frame[cols[:-1]]
+                    out.append((None if pd.isna(doc_id) else doc_id, k, start, n, zlib.crc32(part)) + (part,) * with_ids)
+                if len(out) >= FRAME_ROWS:
+                    yield pd.DataFrame(out, columns=cols).astype({"doc_id": object})
+                    out = []
+            if out:
+                yield pd.DataFrame(out, columns=cols).astype({"doc_id": object})
 
     rows = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
     kind = dict(rows.dtypes)["doc_id"]
@@ -98,104 +105,193 @@ def best_fit(sizes: list[int], capacity: int = CAPACITY) -> list[list[int]]:
     return bins
 
 
-def fillings(counts: list[int], present: int, room: int, width: int) -> list[tuple[int, ...]]:
-    """Undominated fillings of ``room`` by sizes with counts[size] left (bit s of ``present``: some are), least waste first.
-
-    A filling is dominated by one whose sizes can stand in for its own: so a size that fits
-    exactly stands for all, and of those that start with the same size, fuller ones come first.
-    """
-    if present >> room & 1:
-        return [(room,)]
-    found: dict[int, tuple[int, ...]] = {}
-
-    def largest(limit: int) -> int:
-        return (present & ((1 << (limit + 1)) - 1)).bit_length() - 1
-
-    def go(taken: tuple[int, ...], left: int, limit: int, depth: int) -> bool:
-        size, tried = largest(min(left, limit)), 0
-        if size <= 0:
-            found.setdefault(left, taken)
-            return left == 0
-        while size > 0 and tried < width:
-            if taken.count(size) < counts[size]:
-                tried += 1
-                rest = left - size
-                if rest == 0 or (present >> rest & 1 and rest <= size and (rest != size or taken.count(size) + 1 < counts[size])):
-                    found[0] = (*taken, size, rest) if rest else (*taken, size)
+def reachable(counts: dict[int, int], sizes: list[int], room: int) -> list[int]:
+    """For each k, the sums up to ``room`` that the first k sizes make, as bits; each size s can be used counts[s] times."""
+    full, sums, out = (1 << (room + 1)) - 1, 1, [1]
+    for s in sizes:
+        if sums != full:
+            left, step = min(counts[s], room // s), 1
+            while left > 0:
+                n = min(step, left)
+                sums |= (sums << (s * n)) & full
+                left, step = left - n, 2 * step
+        out.append(sums)
+    return out
+
+
+def dominates(one: tuple[int, ...], other: tuple[int, ...], tries: int = 64) -> bool:
+    """Whether each piece of ``one`` can stand in for a set of the other's pieces, all of them in the end; no, if that isn't found soon."""
+    if sum(one) < sum(other) or (other and (not one or max(other) > max(one))):
+        return False
+    rooms, pieces = sorted(one, reverse=True), sorted(other, reverse=True)
+
+    def go(k: int) -> bool:
+        nonlocal tries
+        if k == len(pieces):
+            return True
+        tries -= 1
+        for i in range(len(rooms)):
+            if tries > 0 and rooms[i] >= pieces[k] and rooms[i] not in rooms[:i]:
+                rooms[i] -= pieces[k]
+                if go(k + 1):
                     return True
-                if depth > 1:
-                    if go((*taken, size), rest, size, depth - 1):
-                        return True
-                else:
-                    found.setdefault(rest, (*taken, size))
-            size = largest(size - 1)
-        if not tried:
-            found.setdefault(left, taken)
+                rooms[i] += pieces[k]
         return False
 
-    go((), room, room, 6)
-    return [found[w] for w in sorted(found)]
+    return go(0)
+
+
+class Budget:
+    """Steps that are left to a group's searches."""
+
+    def __init__(self, steps: int) -> None:
+        self.left = steps
+
+
+def fillings(counts: dict[int, int], room: int, width: int, budget: Budget, slack: int | None = None) -> list[tuple[int, ...]]:
+    """Up to ``width`` undominated fillings of ``room``, of any number of pieces, least waste first, and of equal waste those of larger pieces first.
+
+    The sums that the sizes can make are known beforehand, so that every step leads to a filling.
+    A size that fits exactly stands for all others. Fillings with more waste than ``slack`` aren't
+    asked for, nor any more when the budget is spent; the first one is always found.
+    """
+    if counts.get(room):
+        return [(room,)]
+    sizes = sorted(s for s in counts if s <= room)
+    sums = reachable(counts, sizes, room)
+    found: list[tuple[int, ...]] = []
+    fills = sums[-1]
+
+    def of(total: int, k: int) -> Iterator[tuple[int, ...]]:
+        """Fillings of exactly ``total`` by the first k sizes."""
+        if not total:
+            yield ()
+            return
+        while k and not sums[k - 1] >> total & 1 and sizes[k - 1] > total:
+            k -= 1
+        for at in range(k - 1, -1, -1):
+            budget.left -= 1
+            if found and budget.left <= 0:
+                return
+            s = sizes[at]
+            for n in range(min(counts[s], total // s), 0, -1):
+                if sums[at] >> (total - s * n) & 1:
+                    for rest in of(total - s * n, at):
+                        yield (s,) * n + rest
+            if not sums[at] >> total & 1:
+                return
+
+    while fills and len(found) < width:
+        total = fills.bit_length() - 1
+        if found and (budget.left <= 0 or slack is not None and room - total > slack):
+            break
+        seen = 0
+        for f in of(total, len(sizes)):
+            budget.left -= 1
+            seen += 1
+            if not any(dominates(g, f) for g in found):
+                found.append(f)
+            if len(found) >= width or budget.left <= 0 or seen >= 4 * width:
+                break
+        fills ^= 1 << total
+    return found
+
+
+def fewest(sizes: list[int], capacity: int = CAPACITY) -> int:
+    """A lower bound on the bins: for each size up to half a bin, how many the sizes from there on need at least.
+
+    Sizes over half a bin need one each; what they leave free takes the rest only where it can fit.
+    """
+    counts, total = [0] * (capacity + 1), -(-sum(sizes) // capacity)
+    for s in sizes:
+        counts[s] += 1
+    half, best = capacity // 2, total
+    over, free_room = sum(counts[half + 1 :]), sum(n * (capacity - s) for s, n in enumerate(counts) if s > half)
+    rest = sum(s * n for s, n in enumerate(counts[: half + 1]))
+    for least in range(1, half + 1):  # pieces of ``least`` and more only
+        best = max(best, over + max(0, -(-(rest - free_room) // capacity)))
+        rest -= least * counts[least]
+        free_room -= least * counts[capacity - least] if capacity - least > half else 0
+    return best
 
 
 def complete(sizes: list[int], capacity: int = CAPACITY, widths: tuple[int, ...] = WIDTHS, steps: int = SEARCH_STEPS) -> list[list[int]]:
     """Bins for the sizes: branch and bound over fillings around the largest size left.
 
-    A branch ends when its waste leaves no way to beat the incumbent; a search ends at the lower
-    bound (total size over capacity, rounded up) or after ``steps`` more bins than one descent.
-    Narrow searches keep to the largest sizes that fit, wide ones find fuller bins; each begins
-    with the best bins of those before as its incumbent, the first with best-fit decreasing.
+    The incumbent is the best packing so far: best-fit decreasing's, then that of the fullest
+    fillings one after the other. A branch ends when its waste leaves no way to beat the incumbent;
+    a search ends at the lower bound, or when it has used up ``steps`` for each piece.
     """
-    best = best_fit(sizes, capacity)
+    best, bound = best_fit(sizes, capacity), fewest(sizes, capacity)
+    if len(best) > bound:
+        best = min(best, _descent(sizes, capacity), key=len)
     for width in widths:
-        if len(best) > -(-sum(sizes) // capacity):
-            best = _search(sizes, best, capacity, width, steps)
+        if len(best) > bound:
+            best = _search(sizes, best, capacity, width, bound, Budget(steps * len(sizes) + 4096))
     return best
 
 
-def _search(sizes: list[int], best: list[list[int]], capacity: int, width: int, steps: int) -> list[list[int]]:
-    bound = -(-sum(sizes) // capacity)
-    counts, present = [0] * (capacity + 1), 0
-    for s in sizes:
-        counts[s] += 1
-        present |= 1 << s
+def _descent(sizes: list[int], capacity: int) -> list[list[int]]:
+    """The fullest filling around the largest size left, again and again."""
+    counts, bins = Counter(sizes), []
+    while counts:
+        first = max(counts)
+        counts -= Counter([first])
+        bins.append([first, *fillings(counts, capacity - first, 1, Budget(0))[0]])
+        counts -= Counter(bins[-1][1:])
+    return bins
+
+
+def _search(sizes: list[int], best: list[list[int]], capacity: int, width: int, bound: int, budget: Budget) -> list[list[int]]:
+    total = sum(sizes)
+    counts: dict[int, int] = dict(Counter(sizes))
 
     def take(bin_: list[int], sign: int) -> None:
-        nonlocal present
         for s in bin_:
-            counts[s] += sign
-            present = present | 1 << s if counts[s] else present & ~(1 << s)
-
-    total, path, waste, budget = sum(sizes), [], 0, steps + len(best)
+            n = counts.get(s, 0) + sign
+            if n:
+                counts[s] = n
+            else:
+                del counts[s]
+
+    path: list[list[int]] = []
+    waste = 0
     stack: list[Iterator[list[int]]] = []
 
+    def slack() -> int:
+        """Waste that may still be added by a packing that beats the incumbent."""
+        return (len(best) - 1) * capacity - total - waste
+
     def options() -> Iterator[list[int]]:
-        first = present.bit_length() - 1
+        first = max(counts)
         take([first], -1)
-        fills = fillings(counts, present, capacity - first, width) if first < capacity else [()]
+        fills = fillings(counts, capacity - first, width, budget, slack())
         take([first], 1)
         return iter([[first, *f] for f in fills])
 
+    def back() -> None:
+        nonlocal waste
+        waste -= capacity - sum(path[-1])
+        take(path.pop(), 1)
+
     stack.append(options())
-    while stack and budget:
-        budget -= 1
+    while stack and budget.left > 0:
         bin_ = next(stack[-1], None)
-        if bin_ is None or waste + capacity - sum(bin_) > (len(best) - 1) * capacity - total:
+        if bin_ is None or capacity - sum(bin_) > slack():
             stack.pop()  # options come with the least waste first, so that none of the others does better
             if path:
-                waste -= capacity - sum(path[-1])
-                take(path.pop(), 1)
+                back()
             continue
         take(bin_, -1)
         path.append(bin_)
         waste += capacity - sum(bin_)
-        if present:
+        if counts:
             stack.append(options())
             continue
         best = [list(b) for b in path]
         if len(best) <= bound:
             break
-        waste -= capacity - sum(path[-1])
-        take(path.pop(), 1)
+        back()
     return best
 
 
@@ -207,9 +303,10 @@ def pack(rows: DataFrame, capacity: int = CAPACITY, group_rows: int = GROUP_ROWS
     """
     table = staged(rows, "pieces")
     groups = max(1, -(-table.count() // group_rows))
+    place, group = free(rows, "place", "group")
 
     def run(key: tuple, part: pd.DataFrame) -> pd.DataFrame:
-        part = part.sort_values("place_", kind="stable").reset_index(drop=True)
+        part = part.sort_values(place, kind="stable").reset_index(drop=True)
         waiting: dict[int, list[int]] = {}
         for at, size in enumerate(part["length"].tolist()):
             waiting.setdefault(size, []).append(at)
@@ -221,17 +318,18 @@ def pack(rows: DataFrame, capacity: int = CAPACITY, group_rows: int = GROUP_ROWS
                 row = waiting[size].pop()
                 sequence[row], offset[row] = (int(key[0]) << 32) + k, at
                 at += size
-        return part.drop(columns=["place_", "group_"]).assign(sequence_id=sequence, offset=offset)
+        return part.drop(columns=[place, group]).assign(sequence_id=sequence, offset=offset)
 
-    dealt = table.withColumn("place_", F.monotonically_increasing_id()).withColumn("group_", F.pmod(F.xxhash64("place_"), F.lit(groups)))
+    dealt = table.withColumn(place, F.monotonically_increasing_id()).withColumn(group, F.pmod(F.xxhash64(place), F.lit(groups)))
     schema = ", ".join(f"`{c}` {t}" for c, t in rows.dtypes) + ", sequence_id long, offset long"
-    return dealt.groupBy("group_").applyInPandas(run, schema)
+    return dealt.groupBy(group).applyInPandas(run, schema)
 
 
 def packed_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", with_ids: bool = False) -> DataFrame:
     """Every piece of every document and its place: doc_id, piece, start, length, ids_crc32, sequence_id, offset (and ids).
 
     Null and empty texts are one piece of the end token. Rows with null or repeated ids are packed
-    like others. Other columns of docs aren't looked at.
+    like others. Other columns of docs aren't looked at, whatever their names. An empty table gives
+    an empty result.
     """
     return pack(pieces(docs, id_col, text_col, with_ids=with_ids))

@@ -5,7 +5,13 @@ import numpy as np
 import public_tokenizers
 from tokenizers import Tokenizer
 
-from quotemill.llm.packing import best_fit, complete, cuts, fillings, ids_of, packed_documents
+import time
+from collections import Counter
+
+from pyspark.sql import functions as F
+
+from quotemill.llm import packing
+from quotemill.llm.packing import Budget, best_fit, complete, cuts, dominates, fillings, ids_of, packed_documents, reachable
 
 
 def test_ids_are_those_of_the_tokenizers_library():
@@ -22,8 +28,7 @@ def test_cuts():
     assert cuts(1025) == [(0, 1), (1, 1024)] and cuts(3000) == [(0, 952), (952, 1024), (1976, 1024)]
 
 
-def fewest(sizes, capacity):
-    """By trying everything."""
+def by_trying_everything(sizes, capacity):
     sizes = sorted(sizes, reverse=True)
     best = len(sizes)
 
@@ -43,32 +48,78 @@ def fewest(sizes, capacity):
     return best
 
 
+def whole(bins, sizes, capacity):
+    assert sorted(s for b in bins for s in b) == sorted(sizes) and all(sum(b) <= capacity for b in bins)
+    return len(bins)
+
+
 def test_bin_completion_reaches_the_fewest_bins():
     rng, better = random.Random(7), 0
-    for trial in range(120):
+    for trial in range(160):
         capacity = rng.choice([20, 50, 100])
         sizes = [rng.randint(1, capacity) if trial % 2 else rng.randint(capacity // 5, capacity // 2) for _ in range(rng.randint(1, 11))]
-        bins = complete(sizes, capacity)
-        assert sorted(s for b in bins for s in b) == sorted(sizes) and all(sum(b) <= capacity for b in bins)
-        assert len(bins) == fewest(sizes, capacity) or len(bins) <= fewest(sizes, capacity) + 1
-        better += len(bins) < len(best_fit(sizes, capacity))
-        assert len(bins) <= len(best_fit(sizes, capacity))
-    assert better >= 0
+        least = by_trying_everything(sizes, capacity)
+        assert packing.fewest(sizes, capacity) <= least == whole(complete(sizes, capacity), sizes, capacity)
+        better += least < len(best_fit(sizes, capacity))
+    assert better > 0
 
 
 def test_completion_beats_best_fit_where_best_fit_fails():
-    sizes = [60, 50, 50, 40, 40, 30, 30]  # 300 in all
-    assert len(complete(sizes, 100)) == 3
+    sizes = [40, 40, 30, 30, 30, 30]  # 200 in all
+    assert len(best_fit(sizes, 100)) == 3 and len(complete(sizes, 100)) == 2
+
+
+def subsets(counts, room):
+    """All fillings of the room."""
+    out = [()]
+    for s, n in sorted(counts.items(), reverse=True):
+        out = [(*f, *(s,) * k) for f in out for k in range(n + 1) if sum(f) + s * k <= room]
+    return out
+
+
+def stands_for(one, other):
+    """By trying everything, whether the other's pieces can be dealt to the pieces of one."""
+    if not other:
+        return True
+    return any(one[i] >= other[0] and stands_for((*one[:i], one[i] - other[0], *one[i + 1 :]), other[1:]) for i in range(len(one)))
 
 
-def test_fillings_are_undominated():
-    counts = [0] * 101
-    for s in (10, 20, 30, 40):
-        counts[s] = 1
-    present = sum(1 << s for s in (10, 20, 30, 40))
-    assert fillings(counts, present, 40, 6) == [(40,)]
-    assert sum(fillings(counts, present, 50, 6)[0]) == 50
-    assert fillings(counts, present, 5, 6) == [()]
+def test_fillings_are_undominated_and_none_is_missing():
+    rng = random.Random(5)
+    for _ in range(60):
+        counts, room = Counter(rng.randint(3, 30) for _ in range(rng.randint(1, 8))), rng.randint(5, 60)
+        got, every = fillings(counts, room, 1000, Budget(10**6)), subsets(counts, room)
+        assert [sum(f) for f in got] == sorted((sum(f) for f in got), reverse=True)
+        assert all(sorted(f, reverse=True) == list(f) and f in every for f in got)
+        for f in every:
+            assert any(stands_for(g, f) for g in got)
+        assert not any(stands_for(g, f) for i, f in enumerate(got) for g in got[:i])
+        sizes = sorted(s for s in counts if s <= room)
+        sums = {sum(f) for f in every}
+        assert {s for s in range(room + 1) if reachable(counts, sizes, room)[-1] >> s & 1} == sums
+    assert fillings(Counter([10, 20, 30, 40]), 40, 6, Budget(99)) == [(40,)]
+    assert fillings(Counter([10, 20]), 5, 6, Budget(99)) == [()]
+
+
+def test_dominance():
+    assert dominates((50,), (30, 20)) and dominates((30, 20), (30, 10, 10)) and dominates((5,), ())
+    assert not dominates((30, 20), (50,)) and not dominates((26, 24), (25, 25)) and not dominates((), (1,))
+
+
+def test_large_groups_end_soon_and_near_the_bound():
+    rng = random.Random(1)
+    for sizes, more in (
+        ([rng.randint(30, 110) for _ in range(16384)], 0),
+        ([rng.randint(30, 110) for _ in range(3000)], 0),
+        ([rng.randint(1, 1023) for _ in range(16384)], 20),
+        ([rng.randint(1, 9) for _ in range(16384)] + [700] * 50, 0),
+        ([200, 210] * 8192, 140),
+        ([rng.choice([77, 300, 301, 450]) for _ in range(16384)], 400),
+    ):
+        began = time.time()
+        n = whole(complete(sizes), sizes, 1024)
+        assert n <= packing.fewest(sizes) + more and n <= len(best_fit(sizes))
+        assert time.time() - began < 30
 
 
 def check(rows, docs):
@@ -98,3 +149,15 @@ def test_packing_is_whole_and_gapless(spark, odd_docs):
 
 def test_empty_table(no_docs):
     assert packed_documents(no_docs).count() == 0
+
+
+def test_clashing_and_repeated_rows(spark):
+    df = spark.createDataFrame([(i % 3, "a few words " * (i % 5)) for i in range(40)], "doc_id long, text string")
+    df = df.withColumns({c: F.lit("mine") for c in ("place", "group", "length", "sequence_id", "offset", "piece")})
+    rows = packed_documents(df).collect()
+    assert len(rows) == 40 and check(rows, df) == 1
+    rows = df.select(F.lit(5).cast("long").alias("length"), F.lit(1).alias("place"), F.lit(2).alias("GROUP"))
+    out = packing.pack(rows)
+    assert out.columns == ["length", "place", "GROUP", "sequence_id", "offset"]
+    got = out.collect()
+    assert check(got, df) == 1 and {(r["place"], r["GROUP"]) for r in got} == {(1, 2)}
