@@ -33,23 +33,36 @@ UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 _LOWERED = str.maketrans(UPPER, LOWER)
 
 
-def fingerprint_of(text: str | None, shingle: int = 3) -> int:
-    """The fingerprint as an unsigned integer; 0 for a text without words."""
-    words = (text or "").translate(_LOWERED).encode("utf-8", "surrogatepass").split()  # bytes split at ASCII white space only
+def words_of(text: str | None) -> list[bytes]:
+    """The words of a text with A-Z lower-cased, as UTF-8."""
+    return (text or "").translate(_LOWERED).encode("utf-8", "surrogatepass").split()  # bytes split at ASCII white space only
+
+
+def shingle_hashes(words: list[bytes], shingle: int) -> np.ndarray:
+    """The XXH64 of each shingle of so many words, repeats included; a shorter text is one shingle, one without words none."""
     if not words:
-        return 0
+        return np.empty(0, np.uint64)
     ends = np.cumsum(np.fromiter(map(len, words), np.int64, len(words)) + 1)
     starts = np.concatenate(([0], ends[:-1]))
     k = min(shingle, len(words))
     joined = b" ".join(words)
     digest = xxhash.xxh64_intdigest
-    hashes = np.fromiter((digest(joined[a:b], SEED) for a, b in zip(starts[: len(words) - k + 1].tolist(), (ends[k - 1 :] - 1).tolist(), strict=True)), np.uint64, len(words) - k + 1)
+    return np.fromiter((digest(joined[a:b], SEED) for a, b in zip(starts[: len(words) - k + 1].tolist(), (ends[k - 1 :] - 1).tolist(), strict=True)), np.uint64, len(words) - k + 1)
+
+
+def majority(hashes: np.ndarray) -> int:
+    """The bits that are set in over half the hashes."""
     counts = np.zeros(64, np.int64)
     for at in range(0, len(hashes), 65536):
         counts += np.unpackbits(hashes[at : at + 65536].view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").sum(axis=0, dtype=np.int64)
     return int(np.packbits(counts * 2 > len(hashes), bitorder="little").view(np.uint64)[0])
 
 
+def fingerprint_of(text: str | None, shingle: int = 3) -> int:
+    """The fingerprint as an unsigned integer; 0 for a text without words."""
+    return majority(shingle_hashes(words_of(text), shingle))
+
+
 def fingerprint(text: Column, shingle: int = 3) -> Column:
     """The fingerprint as a signed long with the same bits."""
 
@@ -120,9 +133,9 @@ class BKTree:
         return found
 
 
-def _stars(values: list[int], radius: int) -> list[tuple[int, int]]:
-    """(value, smallest value of its group) for the values of one shard that have a link there."""
-    tree, parent = BKTree(), {v: v for v in values}
+def _stars(values: list[int], radius: int, direct: bool = False) -> list[tuple[int, int]]:
+    """(value, smallest value of its group) for the values of one shard that have a link there; direct: pairs within the radius that tie the groups."""
+    tree, parent, pairs = BKTree(), {v: v for v in values}, []
 
     def top(v: int) -> int:
         while parent[v] != v:
@@ -133,12 +146,14 @@ def _stars(values: list[int], radius: int) -> list[tuple[int, int]]:
     for v in values:
         for w in tree.within(v, radius):
             a, b = top(v), top(w)
+            if a != b:
+                pairs.append((v, w))
             parent[max(a, b)] = min(a, b)
         tree.add(v)
-    return [(v, r) for v in values if (r := top(v)) != v]
+    return pairs if direct else [(v, r) for v in values if (r := top(v)) != v]
 
 
-def _link(radius: int):
+def _link(radius: int, direct: bool):
     """Over rows sorted by shard, (a, b) pairs that tie each shard's groups together."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -147,7 +162,7 @@ def _link(radius: int):
         def done(rows: pd.DataFrame) -> pd.DataFrame:
             mask, bits, fp = (rows[c].to_numpy() for c in ("mask", "bits", "fp"))
             cuts = np.flatnonzero((mask[1:] != mask[:-1]) | (bits[1:] != bits[:-1])) + 1
-            pairs = [p for part in np.split(fp.view(np.uint64), cuts) if len(part) > 1 for p in _stars(part.tolist(), radius)]
+            pairs = [p for part in np.split(fp.view(np.uint64), cuts) if len(part) > 1 for p in _stars(part.tolist(), radius, direct)]
             return pd.DataFrame(np.array(pairs, np.uint64).reshape(-1, 2).view(np.int64), columns=["a", "b"])
 
         for rows in batches:
@@ -165,8 +180,8 @@ def _link(radius: int):
     return run
 
 
-def links(fingerprints: DataFrame, radius: int = 2, tree_rows: int = 2048) -> DataFrame:
-    """(a, b) over distinct fingerprints in column fp, enough pairs within the radius to connect all that the radius connects."""
+def links(fingerprints: DataFrame, radius: int = 2, tree_rows: int = 2048, direct: bool = False) -> DataFrame:
+    """(a, b) over distinct fingerprints in column fp, enough pairs to connect all that the radius connects; direct: only pairs within the radius."""
     steps = masks(radius)
     rows, ready = fingerprints.select("fp", F.lit(0).cast("long").alias("mask")), None
     for level, step in enumerate(steps):
@@ -180,7 +195,7 @@ def links(fingerprints: DataFrame, radius: int = 2, tree_rows: int = 2048) -> Da
         fit = (rows if last else rows.where(F.col("n") <= tree_rows)).select("mask", "bits", "fp")
         ready = fit if ready is None else ready.unionByName(fit)
         rows = rows.where(F.col("n") > tree_rows).select("fp", "mask")
-    return ready.repartition("mask", "bits").sortWithinPartitions("mask", "bits", "fp").mapInPandas(_link(radius), "a long, b long")
+    return ready.repartition("mask", "bits").sortWithinPartitions("mask", "bits", "fp").mapInPandas(_link(radius, direct), "a long, b long")
 
 
 def near_groups(rows: DataFrame, radius: int = 2, tree_rows: int = 2048) -> DataFrame:
