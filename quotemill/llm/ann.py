@@ -337,7 +337,8 @@ def search(vectors: DataFrame, queries: Column, id_col: str = "vec_id", vector_c
     posted = staged(entries.mapInPandas(_lists(graph, longest), f"key string, v {kinds['v']}, ids array<long>, list long"), "postings")
     ratio = choose_ratio(entries, posted, graph, longest, k, target=target)
     per_cell = max(1, round(lists * CELL_ROWS / n))
-    asked = staged(rows.where("is_query").dropDuplicates(["key"]).select("key", "v").repartition(max(spark.sparkContext.defaultParallelism, math.ceil(n / 200_000))), "asked")
+    tasks = max(spark.sparkContext.defaultParallelism, math.ceil(n / 200_000))  # walks are long for such short rows
+    asked = staged(rows.where("is_query").dropDuplicates(["key"]).select("key", "v").repartition(tasks), "asked")
     posted = posted.withColumn("cell", F.floor(F.col("list") / per_cell))
     of = lambda count: F.pmod(F.xxhash64("key"), F.col(count))
     every = lambda count: F.explode(F.sequence(F.lit(0).cast("long"), F.col(count) - 1))
@@ -360,7 +361,7 @@ def search(vectors: DataFrame, queries: Column, id_col: str = "vec_id", vector_c
 
     found = staged(nearest(compared(asked.withColumn("floor", F.lit(-math.inf)), True)), "found")
     floors = found.where(F.col("nth") == k + 1).select("q", F.col("score").alias("floor"))
-    others = asked.join(floors.withColumnRenamed("q", "key"), "key", "left").select("key", "v", F.coalesce("floor", F.lit(-math.inf)).alias("floor"))
+    others = asked.join(floors.withColumnRenamed("q", "key"), "key", "left").select("key", "v", F.coalesce("floor", F.lit(-math.inf)).alias("floor")).repartition(tasks)
     found = nearest(found.select("q", "score", "id").unionByName(compared(others, False)))
     found = found.groupBy("q").agg(F.sort_array(F.collect_list(F.struct("nth", "id", "score"))).alias("near"))
     # a query's results are its vector's, less itself
