@@ -60,3 +60,27 @@ def canonical_json(c: Column) -> Column:
     parsed = F.when(text.rlike(r"^\s*[\{\[]"), F.to_json(F.try_parse_json(text)))
     quoted = F.to_json(F.array(text))
     return F.coalesce(parsed, F.when(text.isNotNull(), quoted.substr(F.lit(2), F.length(quoted) - 2)))
+
+
+def object_fields(c: Column) -> Column:
+    """map<string,string> of a JSON object; one in single quotes is read as if they were double; empty for anything else."""
+    text = F.trim(c)
+    whole = text.startswith("{") & text.endswith("}")
+    fields = lambda t: F.from_json(t, "map<string,string>")
+    return F.coalesce(F.when(whole, F.coalesce(fields(text), fields(F.replace(text, F.lit("'"), F.lit('"'))))), F.create_map().cast("map<string,string>"))
+
+
+def security_in(fields: Column, names: tuple[str, ...] = ("SECURITY", "security", "Security", "SECURITY_NAME", "security_name")) -> Column:
+    """The security of a row's fields: the first of ``names`` that isn't blank, else the first value of more than three characters that is no number."""
+    named = F.coalesce(*[blank_to_null(F.element_at(fields, n)) for n in names])
+    text = F.filter(F.map_values(fields), lambda v: (F.length(F.trim(v)) > 3) & ~F.replace(F.trim(v), F.lit("."), F.lit("")).rlike(r"^\d+$"))
+    return F.coalesce(named, F.trim(F.get(text, F.lit(0))))
+
+
+def with_member(params: Column, name: str, member: Column) -> Column:
+    """The JSON object ``params`` with ``member`` (JSON) under ``name``, in place of one that is there; an empty object stands for anything else. Names in order, ``name`` last."""
+    parsed = F.try_parse_json(params)
+    others = F.when(F.schema_of_variant(parsed).startswith("OBJECT"), F.map_filter(parsed.cast("map<string,variant>"), lambda k, _: k != name))
+    none = F.create_map().cast("map<string,variant>")
+    entry = F.create_map(F.lit(name), F.coalesce(F.try_parse_json(member), F.parse_json(F.lit("{}"))))
+    return F.to_json(F.map_concat(F.coalesce(others, none), entry))

@@ -5,7 +5,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from quotemill.functions.coerce import number_text
 from quotemill.functions.names import light_key, name_key, symbol_key
+from quotemill.sources.archive import projected
 
 #: Order in which sources are merged.
 SOURCES = {"circuit": 0, "gainer_loser": 1, "top_turnover": 2}
@@ -47,16 +49,16 @@ def merged(parts: DataFrame) -> DataFrame:
     return df.select("trade_date", "symbol", F.array_join("reasons", ",").alias("reason_set"), F.col("reasons")[0].alias("primary_reason"), "pct", "prev_close", "last_price", "turnover", "status")
 
 
-def first_mapping(names: DataFrame, key=name_key) -> DataFrame:
-    """(name_key, symbol): the symbol of the first row (by row_seq) with each key; empty keys and symbols don't count."""
-    df = names.select(key(F.col("security")).alias("name_key"), symbol_key(F.col("symbol")).alias("symbol"), "row_seq").where("name_key <> '' and symbol <> ''")
-    return df.groupBy("name_key").agg(F.min_by("symbol", "row_seq").alias("symbol"))
+def first_mapping(names: DataFrame, key=name_key, by: tuple[str, ...] = ()) -> DataFrame:
+    """(by, name_key, symbol): the symbol of the first row (by row_seq) with each key; empty keys and symbols don't count."""
+    df = names.select(*by, key(F.col("security")).alias("name_key"), symbol_key(F.col("symbol")).alias("symbol"), "row_seq").where("name_key <> '' and symbol <> ''")
+    return df.groupBy(*by, "name_key").agg(F.min_by("symbol", "row_seq").alias("symbol"))
 
 
-def mapped(rows: DataFrame, names: DataFrame) -> DataFrame:
-    """rows (security) with symbol: the mapped one, else the name key itself."""
-    table = first_mapping(names)
-    df = rows.withColumn("name_key", name_key(F.col("security"))).join(table, "name_key", "left")
+def mapped(rows: DataFrame, names: DataFrame, by: tuple[str, ...] = ()) -> DataFrame:
+    """rows (security) with symbol: the mapped one (within ``by``), else the name key itself."""
+    table = first_mapping(names, by=by)
+    df = rows.withColumn("name_key", name_key(F.col("security"))).join(table, [*by, "name_key"], "left")
     return df.withColumn("symbol", F.coalesce("symbol", "name_key"))
 
 
@@ -90,3 +92,31 @@ def missing_from(master: DataFrame, candidates: DataFrame) -> DataFrame:
     """Symbols of the master that no candidate has."""
     known = lambda df: df.select(symbol_key(F.col("symbol")).alias("symbol")).distinct()
     return known(master).join(known(candidates), "symbol", "left_anti")
+
+
+#: Columns of the members of a daily archive, by synonyms.
+MOVERS = {"security": ("SECURITY",), "pct": ("PERCENT_CG", "PERCENT_CHG"), "last_price": ("CLOSE_PRIC", "CLOSE_PRICE"), "prev_close": ("PREV_CL_PR",)}
+HITTERS = {"security": ("SECURITY",), "status": ("NEW_STATUS", "NEW")}
+LEADERS = {"security": ("SECURITY",), "value": ("NET_TRDVAL", "NET_TRD_VAL"), "qty": ("NET_TRDQTY", "NET_TRD_QTY")}
+SYMBOLS = {"security": ("SECURITY",), "symbol": ("SYMBOL",)}
+
+
+def from_archive(members: DataFrame, master: DataFrame, threshold: float = 2.0, top: int = 50, leaders: int = 20) -> DataFrame:
+    """The candidates of each day, from its archive's members to those that the master has.
+
+    Names become symbols by the day's own list; movers, circuit hitters and turnover leaders are
+    chosen by security and merged by symbol.
+    """
+    kept = ("trade_date", "symbol", "reason", "row_seq", "pct", "last_price", "prev_close", "turnover", "status")
+    numbers = lambda df, *cols: df.withColumns({c: number_text(F.col(c)) for c in cols})
+    none = {"pct": "double", "last_price": "double", "prev_close": "double", "turnover": "double", "status": "string"}
+
+    def part(df: DataFrame, reason: str) -> DataFrame:
+        return df.withColumn("reason", F.lit(reason)).withColumns({c: F.lit(None).cast(t) for c, t in none.items() if c not in df.columns})
+
+    moved = movers(numbers(projected(members, "GL", MOVERS), "pct", "last_price", "prev_close"), threshold, top)
+    traded = turnover_leaders(numbers(projected(members, "TT", LEADERS), "value", "qty"), leaders).withColumn("turnover", F.col("value"))
+    parts = [part(projected(members, "HL", HITTERS), "circuit"), part(moved, "gainer_loser"), part(traded, "top_turnover")]
+    names = projected(members, "PD", SYMBOLS)
+    parts = [p.select("security", *[c for c in kept if c != "symbol"]) for p in parts]
+    return in_master(merged(mapped(parts[0].unionByName(parts[1]).unionByName(parts[2]), names, by=("trade_date",)).select(*kept)), master)

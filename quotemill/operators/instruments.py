@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from quotemill.functions.coerce import blank_to_null
+from quotemill.functions.coerce import blank_to_null, security_in
 from quotemill.functions.names import symbol_key
 
 MARKETS, SERIES = ("N",), ("EQ",)
@@ -46,6 +46,32 @@ def keep_latest(df: DataFrame, keys: list[str], *order: str) -> DataFrame:
     return df.withColumn("nth_", F.row_number().over(Window.partitionBy(*keys).orderBy(*[F.col(c).desc_nulls_first() for c in order]))).where("nth_ = 1").drop("nth_")
 
 
+def staged_members(members: DataFrame) -> DataFrame:
+    """Staging rows of the members of archives: symbol_raw, series_raw, market_type_raw, source_file, other_raw, is_etf, resolved.
+
+    The fields that have no column of their own are other_raw. A row without a symbol gets that of
+    its security by the archive's symbol list, the last one there, whatever the case. ETFs are told
+    by symbol or security. The first row of each symbol and file stays; rows that still have no
+    symbol stay once a file.
+    """
+    value = lambda *names: F.coalesce(*[blank_to_null(F.element_at("fields", n)) for n in names])
+    known = ("SYMBOL", "SC_CODE", "SERIES", "MKT")
+    file = F.regexp_extract("member", r"([^/\\]*)$", 1)
+    low = lambda c: F.lower(F.trim(c))
+    rows = members.select("archive", file.alias("source_file"), "kind", "row_seq", value("SYMBOL", "SC_CODE").alias("symbol_raw"), value("SERIES").alias("series_raw"), value("MKT").alias("market_type_raw"), F.map_filter("fields", lambda k, _: ~k.isin(*known)).alias("other"))
+    rows = rows.withColumn("security", low(security_in(F.col("other"))))
+    order = F.struct("source_file", "row_seq")
+    names = rows.where("kind = 'PD' and security <> '' and symbol_raw is not null").groupBy("archive", "security").agg(F.max_by("symbol_raw", order).alias("by_name"))
+    etf = rows.where("kind = 'ETF'")
+    etf_symbols = etf.where("symbol_raw is not null").select("archive", F.col("symbol_raw").alias("symbol"), F.lit(True).alias("etf_symbol")).distinct()
+    etf_names = etf.where("security <> ''").select("archive", "security", F.lit(True).alias("etf_name")).distinct()
+    rows = keep_first(rows, ["archive", "symbol_raw", "source_file"], "row_seq")
+    df = rows.join(names, ["archive", "security"], "left").withColumn("symbol", F.coalesce("symbol_raw", "by_name"))
+    df = df.join(etf_symbols, ["archive", "symbol"], "left").join(etf_names, ["archive", "security"], "left")
+    flag = F.coalesce("etf_symbol", F.lit(False)) | F.coalesce("etf_name", F.lit(False))
+    return df.select("archive", F.col("symbol").alias("symbol_raw"), "series_raw", "market_type_raw", "source_file", F.to_json("other").alias("other_raw"), flag.alias("is_etf"), (F.col("symbol_raw").isNull() & F.col("symbol").isNotNull()).alias("resolved"))
+
+
 def eligible(staging: DataFrame) -> DataFrame:
     """Rows that aren't ETFs, of an allowed market and series; the others stay pending."""
     return staging.where(~F.coalesce("is_etf", F.lit(False)) & F.upper(F.trim("market_type_raw")).isin(*MARKETS) & F.upper(F.trim("series_raw")).isin(*SERIES))

@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from quotemill.functions.coerce import scalar_json
+from quotemill.functions.coerce import number_text, scalar_json
 from quotemill.functions.names import symbol_key
 from quotemill.operators.indicators import previous, series
 from quotemill.operators.signals import main_board
@@ -106,3 +106,39 @@ def matching_entry(entries: DataFrame, file: Column, day: Column, by: str) -> Da
     rank = F.when(F.col("file") == file, 0).when(F.col("trading_date") == day, 1)
     nth = F.row_number().over(Window.partitionBy(by).orderBy("rank", "seq"))
     return entries.withColumn("rank", rank).where("rank is not null").withColumn("nth", nth).where("nth = 1").drop("rank", "nth")
+
+
+#: Columns that a file of candles must have.
+CANDLE_COLUMNS = ("Open", "High", "Low", "Close", "Volume")
+
+
+def candle_columns(df: DataFrame, keep: tuple[str, ...] = (), required: tuple[str, ...] = CANDLE_COLUMNS) -> DataFrame:
+    """The required columns of a table of text, and those of ``keep``, as numbers; commas go. A missing one is an error."""
+    if missing := [c for c in required if c not in df.columns]:
+        raise ValueError(f"no column for {', '.join(missing)}")
+    return df.select(*keep, *[number_text(F.col(c)).alias(c.lower()) for c in required])
+
+
+def candle_file(spark: SparkSession, path: str, keep: tuple[str, ...] = ()) -> DataFrame:
+    """Candles of CSV files with a header."""
+    return candle_columns(spark.read.csv(path, header=True), keep)
+
+
+def staging_by_status(staging: DataFrame, status: str = "PENDING", limit: int | None = None, *ties: str) -> DataFrame:
+    """Staging rows of a status, oldest first, the first ``limit`` of them if given."""
+    rows = staging.where(F.col("validation_status") == status).orderBy("created_at", *ties)
+    return rows if limit is None else rows.limit(limit)
+
+
+def signals_of(signals: DataFrame, day: str) -> DataFrame:
+    """Signals of one date; on a table partitioned by date only that partition is read."""
+    return signals.where(F.col("trade_date") == F.lit(day).cast("date"))
+
+
+def atr_at(means: DataFrame, asked: DataFrame) -> DataFrame:
+    """asked (symbol, ref_date) with atr: the last of means (symbol, trade_date, atr) before that date that isn't null."""
+    known = means.select("symbol", "trade_date", F.lit(1).alias("side"), "atr")
+    asked = asked.select("symbol", F.col("ref_date").alias("trade_date"), F.lit(0).alias("side"), F.lit(None).cast("double").alias("atr"))
+    order = Window.partitionBy("symbol").orderBy("trade_date", "side")  # what is asked for a date comes before its bar
+    rows = known.unionByName(asked).withColumn("atr", F.last("atr", True).over(order.rowsBetween(Window.unboundedPreceding, 0)))
+    return rows.where("side = 0").select("symbol", F.col("trade_date").alias("ref_date"), "atr")

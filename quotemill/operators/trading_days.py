@@ -43,3 +43,20 @@ def pending(dates: DataFrame, jobs: DataFrame) -> DataFrame:
     """Dates that no job finished, oldest first; a PARTIAL job counts as finished, a FAILED one doesn't."""
     done = jobs.where(F.col("status").isin("COMPLETED", "PARTIAL")).select("trade_date").distinct()
     return dates.select("trade_date").distinct().join(done, "trade_date", "left_anti").orderBy("trade_date")
+
+
+def resolution_log(pending: DataFrame, controls: DataFrame, stocks: DataFrame) -> DataFrame:
+    """Pending dates (trade_date) from the oldest to the first that is ready: step3_execution, stock_count, status and reason of each.
+
+    A date is ready if controls has it; how many stocks were selected for it doesn't matter. Dates
+    after the first ready one aren't looked at; where none is ready all are rejected.
+    """
+    have = controls.select("trade_date").distinct().withColumn("step3_execution", F.lit(True))
+    counts = stocks.groupBy("trade_date").agg(F.count("*").alias("stocks"))
+    df = pending.select("trade_date").distinct().join(have, "trade_date", "left").join(counts, "trade_date", "left")
+    ready = F.coalesce("step3_execution", F.lit(False))
+    first = F.min(F.when(ready, F.col("trade_date"))).over(Window.partitionBy(F.lit(0)))  # a row a date
+    df = df.withColumn("ready", ready).withColumn("first", first).where(F.col("first").isNull() | (F.col("trade_date") <= F.col("first")))
+    n = F.when(F.col("ready"), F.coalesce("stocks", F.lit(0))).otherwise(F.lit(0)).cast("long")
+    reason = F.when(~F.col("ready"), "Missing step3_execution_control").when(n == 0, "Valid trade_date with no STEP3 selections").otherwise("Valid trade_date with STEP3 output")
+    return df.select("trade_date", F.col("ready").alias("step3_execution"), n.alias("stock_count"), F.when(F.col("ready"), "SELECTED").otherwise("REJECTED").alias("status"), reason.alias("reason"))

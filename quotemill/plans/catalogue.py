@@ -842,9 +842,146 @@ def report_match(spark, sf_dir):
     return scans.matching_entry(entries, F.concat(F.lit("PR"), F.col("o_custkey"), F.lit(".zip")), F.col("day"), "o_orderkey").select("o_orderkey", "file", "trading_date")
 
 
+# what single steps of the reading jobs do
+
+
+@query(f"""WITH {FEATURES_SQL}, means AS (SELECT symbol, trade_date, trades, CASE WHEN count(range_skip) OVER w >= 7 THEN sum(range_skip) OVER w::DOUBLE / count(range_skip) OVER w END AS atr
+  FROM features WINDOW w AS (PARTITION BY symbol ORDER BY trade_date ROWS BETWEEN 13 PRECEDING AND CURRENT ROW)),
+  before AS (SELECT *, last_value(atr IGNORE NULLS) OVER (PARTITION BY symbol ORDER BY trade_date ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS known FROM means)
+  SELECT symbol, trade_date AS ref_date, known AS atr FROM before WHERE trades > 1""")
+def atr_at_date(spark, sf_dir):
+    """The ATR that is known before a date, for every bar of more than one trade."""
+    asked = bars(spark, sf_dir).where("trades > 1").select("symbol", F.col("trade_date").alias("ref_date"))
+    return scans.atr_at(_atr(spark, sf_dir, indicators.range_skip_null, 7), asked)
+
+
+@query("SELECT event_id, '{\"a\":' || event_id || ',\"b\":\"' || event_type || '\",\"liquidity\":{\"rank\":' || event_id % 7 || '}}' AS params FROM events WHERE event_id % 3 <> 2 UNION ALL SELECT event_id, '{\"liquidity\":{\"rank\":' || event_id % 7 || '}}' FROM events WHERE event_id % 3 = 2")
+def params_with_liquidity(spark, sf_dir):
+    """An old liquidity is replaced, and text that is no object counts as an empty one."""
+    rows = table(spark, sf_dir, "events")
+    whole = F.format_string('{"b":"%s","liquidity":{"rank":-1},"a":%d}', "event_type", "event_id")
+    params = F.when(F.col("event_id") % 3 == 0, whole).when(F.col("event_id") % 3 == 1, F.format_string('{"a":%d,"b":"%s"}', "event_id", "event_type")).otherwise(F.lit("[1, broken"))
+    return rows.select("event_id", coerce.with_member(params, "liquidity", F.format_string('{"rank":%d}', F.col("event_id") % 7)).alias("params"))
+
+
+@query("SELECT s_suppkey, CASE s_nationkey % 4 WHEN 0 THEN s_name WHEN 1 THEN s_name WHEN 2 THEN 'Firm ' || s_suppkey END AS security FROM supplier")
+def security_from_fields(spark, sf_dir):
+    """Named, in single quotes, by the first long text, and not at all."""
+    forms = ('{"SECURITY":" %s ","N":"1"}', "{'security':'%s','N':'1'}", '{"N":"1.25","X":"Firm %d","Y":"Other %d"}', "%s")
+    rows = table(spark, sf_dir, "supplier")
+    text = F.when(F.col("s_nationkey") % 4 == 0, F.format_string(forms[0], "s_name")).when(F.col("s_nationkey") % 4 == 1, F.format_string(forms[1], "s_name"))
+    text = text.when(F.col("s_nationkey") % 4 == 2, F.format_string(forms[2], "s_suppkey", "s_suppkey")).otherwise(F.format_string(forms[3], "s_name"))
+    return rows.select("s_suppkey", coerce.security_in(coerce.object_fields(text)).alias("security"))
+
+
+@query("SELECT o_orderkey, o_orderdate::DATE AS created_at FROM orders WHERE o_orderstatus = 'P' ORDER BY o_orderdate::DATE, o_orderkey LIMIT 50")
+def staging_pending(spark, sf_dir):
+    rows = table(spark, sf_dir, "orders").select("o_orderkey", F.to_date("o_orderdate").alias("created_at"), F.col("o_orderstatus").alias("validation_status"))
+    return scans.staging_by_status(rows, "P", 50, "o_orderkey").select("o_orderkey", "created_at")
+
+
+@query(f"WITH {SIGNALS_SQL.format(gap=GAP)} SELECT symbol, strategy FROM signals WHERE trade_date = DATE '1996-03-13'")
+def signals_for_date(spark, sf_dir):
+    found = signals.all_signals(features(spark, sf_dir), gap=GAP)
+    return scans.signals_of(found, "1996-03-13").select("symbol", "strategy")
+
+
+@query(
+    """WITH days AS (SELECT DISTINCT o_orderdate::DATE AS trade_date FROM orders), controls AS (SELECT DISTINCT o_orderdate::DATE AS trade_date FROM orders WHERE o_custkey % 50 = 7 AND year(o_orderdate) >= 1993),
+    stocks AS (SELECT o_orderdate::DATE AS trade_date, count(*) AS n FROM orders WHERE o_orderstatus = 'P' GROUP BY 1), first AS (SELECT min(trade_date) AS day FROM controls)
+    SELECT d.trade_date, c.trade_date IS NOT NULL AS step3_execution, CASE WHEN c.trade_date IS NULL THEN 0 ELSE coalesce(s.n, 0) END AS stock_count, CASE WHEN c.trade_date IS NULL THEN 'REJECTED' ELSE 'SELECTED' END AS status,
+    CASE WHEN c.trade_date IS NULL THEN 'Missing step3_execution_control' WHEN coalesce(s.n, 0) = 0 THEN 'Valid trade_date with no STEP3 selections' ELSE 'Valid trade_date with STEP3 output' END AS reason
+    FROM days d LEFT JOIN controls c USING (trade_date) LEFT JOIN stocks s USING (trade_date), first WHERE d.trade_date <= first.day"""
+)
+def date_resolution(spark, sf_dir):
+    rows = table(spark, sf_dir, "orders").select(F.to_date("o_orderdate").alias("trade_date"), "o_custkey", "o_orderstatus")
+    return trading_days.resolution_log(rows, rows.where((F.col("o_custkey") % 50 == 7) & (F.year("trade_date") >= 1993)), rows.where("o_orderstatus = 'P'"))
+
+
+@query(f"WITH {CANDLES_SQL} SELECT ts, open::DOUBLE AS open, high::DOUBLE AS high, low::DOUBLE AS low, close::DOUBLE AS close, volume::DOUBLE AS volume FROM candles")
+def candle_csv(spark, sf_dir):
+    """Candles written as CSV files and read back."""
+    rows = candles(spark, sf_dir)
+    path = f"{_shared(spark)}/candle-files-{os.urandom(8).hex()}"
+    store.write_csv(rows.select(F.date_format("ts", "yyyy-MM-dd HH:mm:ss").alias("Datetime"), *[F.col(c).cast("string").alias(c.title()) for c in OHLC], F.format_number("volume", 0).alias("Volume"), F.lit("x").alias("Other")), path)
+    return scans.candle_file(spark, path, keep=("Datetime",)).withColumn("ts", F.col("Datetime").cast("timestamp_ntz")).drop("Datetime")
+
+
 # archives and streams
 
 
+def _daily_archive(key, rows: pd.DataFrame) -> pd.DataFrame:
+    """A day's archive: movers, circuit hitters, turnover and the list of symbols."""
+    day = f"{key[0]:%d%m%y}"
+    table = lambda header, lines: "\n".join([header, *lines])
+    rows = rows.sort_values("symbol")
+    members = {
+        "GL": table("SECURITY,PERCENT_CG,CLOSE_PRIC,PREV_CL_PR", rows["gl"]),
+        "HL": table("SECURITY,NEW_STATUS", rows["hl"].dropna()),
+        "TT": table("SECURITY,NET_TRDVAL,NET_TRDQTY", rows["tt"]),
+        "PD": table("SYMBOL,SECURITY", rows["pd"]),
+    }
+    made = io.BytesIO()
+    with zipfile.ZipFile(made, "w") as z:
+        for kind, text in members.items():
+            z.writestr(f"{kind}{day}.csv", text)
+    return pd.DataFrame({"path": [f"/PR{day}.zip"], "content": [made.getvalue()]})
+
+
+@query(
+    f"""WITH {_PARTS_SQL} SELECT trade_date, symbol, string_agg(DISTINCT reason, ',' ORDER BY reason) AS reason_set, min(reason) AS primary_reason, max(pct) AS pct, max(prev_close) AS prev_close, max(last_price) AS last_price, max(turnover) AS turnover, max(status) AS status
+    FROM parts WHERE substr(symbol, 2)::INT % 3 <> 0 GROUP BY trade_date, symbol"""
+)
+def candidates_from_archive(spark, sf_dir):
+    """Every day's archive made in a task, and read to the candidates that the master has."""
+    moved = features(spark, sf_dir).withColumn("pct", coerce.ratio(F.col("close") - F.col("prev_close"), F.col("prev_close")) * 100)
+    text = lambda c: F.coalesce(F.col(c).cast("string"), F.lit(""))
+    name = F.concat(F.lit("Co. "), F.col("symbol"), F.lit(" Ltd."))
+    line = lambda *parts: F.concat_ws(",", *parts)
+    rows = moved.select(
+        "trade_date",
+        "symbol",
+        line(name, text("pct"), text("close"), text("prev_close")).alias("gl"),
+        F.when(F.col("high") > F.col("low"), line(name, F.when(F.col("pct") > 0, "H").otherwise("L"))).alias("hl"),
+        line(name, text("net_trdval"), text("trades")).alias("tt"),
+        line(F.col("symbol"), name).alias("pd"),
+    )
+    rows = rows.repartition(spark.sparkContext.defaultParallelism, "trade_date")  # few bytes, but an archive a day
+    files = rows.groupBy("trade_date").applyInPandas(_daily_archive, "path string, content binary").withColumn("modificationTime", F.lit("2025-10-03 18:00:00").cast("timestamp"))
+    master = moved.select("symbol").distinct().where(F.substring("symbol", 2, 18).cast("int") % 3 != 0)
+    members = f"{_shared(spark)}/members-{os.urandom(8).hex()}"  # read for each kind of member
+    archive.member_rows(files).write.parquet(members)
+    return candidates.from_archive(spark.read.parquet(members), master, 2000.0, 5, 3)
+
+
+def _staging_archive(key, rows: pd.DataFrame) -> pd.DataFrame:
+    """A nation's archive: a price file, in part without symbols, the list of symbols, and one of ETFs."""
+    rows = rows.sort_values("s_suppkey")
+    line = lambda *parts: ",".join(map(str, parts))
+    members = {
+        "PR031025.csv": ["SYMBOL,SECURITY,SERIES,MKT", *(line("" if k % 2 else f"SUP{k}", n, "EQ", "N") for k, n in zip(rows["s_suppkey"], rows["s_name"], strict=True))],
+        "PD031025.csv": ["SYMBOL,SECURITY", *(line(f"SUP{k}", n.upper()) for k, n in zip(rows["s_suppkey"], rows["s_name"], strict=True) if k % 4 != 3)],
+        "ETF031025.csv": ["SYMBOL,SECURITY", *(line(f"SUP{k}", "") for k in rows["s_suppkey"] if k % 5 == 0)],
+    }
+    made = io.BytesIO()
+    with zipfile.ZipFile(made, "w") as z:
+        for name, lines in members.items():
+            z.writestr(name, "\n".join(lines))
+    return pd.DataFrame({"path": [f"/{key[0]}/PR031025.zip"], "content": [made.getvalue()]})
+
+
+@query(
+    """WITH s AS (SELECT *, s_suppkey % 2 = 0 AS has, s_suppkey % 4 <> 3 AS listed, s_suppkey % 5 = 0 AS etf, row_number() OVER (PARTITION BY s_nationkey, s_suppkey % 2 ORDER BY s_suppkey) AS nth FROM supplier)
+    SELECT s_nationkey::VARCHAR AS nation, CASE WHEN has OR listed THEN 'SUP' || s_suppkey END AS symbol_raw, '{"SECURITY":"' || s_name || '"}' AS other_raw, etf AND (has OR listed) AS is_etf, NOT has AND listed AS resolved FROM s WHERE has OR nth = 1"""
+)
+def staging_from_archive(spark, sf_dir):
+    """Rows without a symbol are one key, as in the file itself, so that the first of them stays."""
+    files = table(spark, sf_dir, "supplier").select("s_nationkey", "s_suppkey", "s_name").groupBy("s_nationkey").applyInPandas(_staging_archive, "path string, content binary")
+    rows = instruments.staged_members(archive.member_rows(files.withColumn("modificationTime", F.lit("2025-10-03 18:00:00").cast("timestamp"))))
+    rows = rows.where("source_file = 'PR031025.csv'")
+    return rows.select(F.regexp_extract("archive", "^/([^/]+)/", 1).alias("nation"), "symbol_raw", "other_raw", "is_etf", "resolved")
+
+
 def _archive(key, rows: pd.DataFrame) -> pd.DataFrame:
     """A ZIP archive with a member of the rows' lines, one line that can't be read, and one member that is no table."""
     lines = ["Security ,close_price,prev_cl_pr", *rows.sort_values("s_suppkey")["line"], "broken line"]

@@ -78,3 +78,8 @@ def append(df: DataFrame, path: str, columns: list[str] | None = None) -> None:
 def write_csv(df: DataFrame, path: str) -> None:
     """df as a directory of CSV files, one a task."""
     df.write.mode("overwrite").csv(path, header=True)
+
+
+def write_log(df: DataFrame, path: str) -> None:
+    """Rows of a run's log or status, added to a directory of JSON lines."""
+    df.write.mode("append").json(path)
