@@ -2,8 +2,8 @@
 
 A candidate is a value of any length and characters assigned to a word that announces a secret, or
 a run of at least ``MIN_LENGTH`` letters, digits, ``+ / _ -`` with a digit, in a word of the text.
-Features: its length, shares of character classes, class changes between neighbouring characters, coverage by dictionary words, the path it was found under, and words
-before it. The forest is trained from labelled findings, to tell real secrets from hashes,
+Features: its length, shares of character classes, class changes between neighbouring characters,
+coverage by dictionary words, the path it was found under, and the words before and after it. The forest is trained from labelled findings, to tell real secrets from hashes,
 numbers, identifiers and placeholders, and then written out as one Column expression, so that
 scanning and masking stay inside each row: no join, no shuffle, no Python.
 """
@@ -12,7 +12,7 @@ from __future__ import annotations
 
 import re
 
-from pyspark.ml.classification import RandomForestClassifier
+from pyspark.ml.classification import RandomForestClassificationModel, RandomForestClassifier
 from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -45,7 +45,7 @@ UNCOMMON = (
     "lantern walnut ginger breeze meadow pirate anchor violet summer coffee turtle rabbit silver panther troubador pumpkin galaxy shadow wizard castle"
 ).split()
 
-FEATURES = ("length", "digits", "upper", "lower", "other", "symbols", "changes", "hex", "only_digits", "coverage", "known_prefix", "assigned", "near_secret", "near_hash", "near_contact", "path_test")
+FEATURES = ("length", "digits", "upper", "lower", "other", "symbols", "changes", "hex", "only_digits", "coverage", "known_prefix", "assigned", "near_secret", "near_hash", "near_contact", "hash_after", "contact_after", "path_test")
 
 #: Words that announce a secret, a digest, or contact and number data; paths of examples and tests; prefixes of known key formats.
 NEAR_SECRET = r"(?i)(pass(word|wd|phrase)?|pwd|secret|token|api[_-]?key|access[_-]?key|auth|bearer|credential|private[_-]?key|client[_-]?secret)"
@@ -67,7 +67,7 @@ def _share(value: Column, pattern: str) -> Column:
     return F.regexp_count(value, F.lit(pattern)) / F.length(value)
 
 
-def features(value: Column, left: Column, path: Column) -> list[Column]:
+def features(value: Column, left: Column, right: Column, path: Column) -> list[Column]:
     """In the order of FEATURES, all doubles."""
     covered = F.length(value) - F.length(F.regexp_replace(F.lower(value), "(" + "|".join(sorted(DICTIONARY, key=lambda w: (-len(w), w))) + ")", ""))
     flag = lambda c: c.cast("double")
@@ -87,13 +87,15 @@ def features(value: Column, left: Column, path: Column) -> list[Column]:
         flag(left.rlike(NEAR_SECRET)),
         flag(left.rlike(NEAR_HASH)),
         flag(left.rlike(NEAR_CONTACT)),
+        flag(right.rlike(NEAR_HASH)),
+        flag(right.rlike(NEAR_CONTACT)),
         flag(path.rlike(PATH_TEST)),
     )
     return [F.coalesce(c.cast("double"), F.lit(0.0)) for c in columns]
 
 
 def candidates(text: Column) -> Column:
-    """array<struct<value, left>>: each candidate, and the two words before it with what precedes it in its own.
+    """array<struct<value, left, right>>: each candidate, the two words before it with what precedes it in its own, and the two words after.
 
     An assigned value comes before the runs inside it, and a run that is the whole of it doesn't come again.
     """
@@ -101,6 +103,7 @@ def candidates(text: Column) -> Column:
 
     def found(words: Column) -> Column:
         before = lambda i: F.concat_ws(" ", F.get(words, i - 2), F.get(words, i - 1))
+        after = lambda i: F.concat_ws(" ", F.get(words, i + 1), F.get(words, i + 2))
         opens = lambda w: w.rlike("[:=]>?[\"'(<]*$") | w.rlike("(?i)bearer$")
         assigned = lambda w, i: (  # noqa: E731  what is assigned by, or in, the word
             F.when(w.rlike("[:=].") & w.rlike(_INSIDE), F.regexp_replace(w, rf"^.*?{_INSIDE}", ""))
@@ -114,7 +117,7 @@ def candidates(text: Column) -> Column:
         def each(x: Column) -> Column:
             runs = F.filter(F.regexp_extract_all(x["w"], F.lit(_RUN), F.lit(1)), lambda v: v.rlike("[0-9]") & ~v.eqNullSafe(x["v"]))
             values = F.concat(F.filter(F.array(x["v"]), lambda v: v.isNotNull()), runs)
-            return F.transform(values, lambda v: F.struct(v.alias("value"), F.concat_ws(" ", before(x["i"]), F.call_function("substring_index", x["w"], v, F.lit(1))).alias("left")))
+            return F.transform(values, lambda v: F.struct(v.alias("value"), F.concat_ws(" ", before(x["i"]), F.call_function("substring_index", x["w"], v, F.lit(1))).alias("left"), after(x["i"]).alias("right")))
 
         return F.flatten(F.transform(at, each))
 
@@ -122,7 +125,7 @@ def candidates(text: Column) -> Column:
 
 
 def labelled_findings(spark: SparkSession, per_kind: int = PER_KIND) -> DataFrame:
-    """value, left, path, label: findings made by rule, the same every time. 1: a secret; 0: a false positive."""
+    """kind, value, left, right, path, label: findings made by rule, the same every time. 1: a secret; 0: a false positive."""
     rnd = lambda tag, n: F.substring(F.concat(F.md5(F.concat(F.lit(tag), F.col("id"))), F.md5(F.concat(F.lit(f"{tag}+"), F.col("id"))), F.md5(F.concat(F.lit(f"{tag}-"), F.col("id")))), 1, n)
     b32 = lambda tag, n: F.translate(rnd(tag, n), "0123456789abcdef", "QW3RTYUI7PASDF5H")
     b64 = lambda tag, n: F.concat_ws("", *[F.translate(rnd(f"{tag}{k}", n // 4), "0123456789abcdef", alphabet) for k, alphabet in enumerate(("aQ3xW9zLmK0PvJ5t", "Bn7cRy2HsD8fGe4U", "iO1oTpZqX6AjwYk-", "lMrEhSb_CgNdVuI3"))])
@@ -132,6 +135,7 @@ def labelled_findings(spark: SparkSession, per_kind: int = PER_KIND) -> DataFram
     secret = ("password=", "api_key =", "token = \"", "secret:", "client_secret = '", "Authorization: Bearer", "access_key =", "pwd:")
     hashes = ("commit", "sha256:", "md5 checksum", "etag =", "uuid", "revision", "digest:", "build")
     contact = ("card number", "phone:", "order id", "call", "account", "pay with", "de", "que")
+    after, after_hash = ("the", "und die", "", "que did", "in order", "de la", "number of"), ("was merged", "is the checksum", "commit", "matches sha256", "build log")
     files = ("src/app.py", "conf/settings.yml", "web", "notes.txt")
     tests = ("tests/data.py", "docs/example.md", "samples/demo.txt", "fixtures/a.json")
     one = lambda tag, xs: F.element_at(F.array(*[F.lit(x) for x in xs]), (F.pmod(F.xxhash64(F.lit(tag), F.col("id")), F.lit(len(xs))) + 1).cast("int"))
@@ -187,19 +191,38 @@ def labelled_findings(spark: SparkSession, per_kind: int = PER_KIND) -> DataFram
         (digits("6", 16), secret[3:5], tests, 0),
     ]
     out = None
-    for value, lefts, paths, label in kinds:
+    for kind, (value, lefts, paths, label) in enumerate(kinds):
+        rights = after + (after_hash if lefts[: len(hashes)] == hashes else ())
         pick = lambda xs, salt: F.element_at(F.array(*[F.lit(x) for x in xs]), (F.pmod(F.xxhash64("id", F.lit(salt)), F.lit(len(xs))) + 1).cast("int"))
-        rows = spark.range(per_kind).select(value.alias("value"), pick(lefts, 1).alias("left"), pick(paths, 2).alias("path"), F.lit(label).alias("label"))
+        rows = spark.range(per_kind).select(F.lit(kind).alias("kind"), value.alias("value"), pick(lefts, 1).alias("left"), pick(rights, 3).alias("right"), pick(paths, 2).alias("path"), F.lit(label).alias("label"))
         out = rows if out is None else out.unionByName(rows)
     return out
 
 
+def training_rows(findings: DataFrame) -> DataFrame:
+    """label and the features as one vector."""
+    rows = findings.select(F.col("label").cast("double").alias("label"), *[c.alias(n) for n, c in zip(FEATURES, features(F.col("value"), F.col("left"), F.col("right"), F.col("path")), strict=True)]).coalesce(1)
+    return VectorAssembler(inputCols=list(FEATURES), outputCol="features").transform(rows)
+
+
+def trained(findings: DataFrame, trees: int = TREES, depth: int = DEPTH) -> RandomForestClassificationModel:
+    return RandomForestClassifier(numTrees=trees, maxDepth=depth, seed=SEED, featureSubsetStrategy="sqrt").fit(training_rows(findings))
+
+
 def forest(findings: DataFrame, trees: int = TREES, depth: int = DEPTH) -> str:
-    """The trained forest's trees in Spark's own printed form."""
-    rows = findings.select(F.col("label").cast("double").alias("label"), *[c.alias(n) for n, c in zip(FEATURES, features(F.col("value"), F.col("left"), F.col("path")), strict=True)]).coalesce(1)
-    data = VectorAssembler(inputCols=list(FEATURES), outputCol="features").transform(rows)
-    printed = RandomForestClassifier(numTrees=trees, maxDepth=depth, seed=SEED, featureSubsetStrategy="sqrt").fit(data).toDebugString
-    return printed.split("\n", 1)[1]  # without the name that Spark makes up
+    """The trained forest's trees in Spark's own printed form, without the name that Spark makes up."""
+    return trained(findings, trees, depth).toDebugString.split("\n", 1)[1]
+
+
+_KNOWN: dict[str, str] = {}
+
+
+def known_forest(spark: SparkSession) -> str:
+    """The forest of the findings made by rule, trained once in an application."""
+    app = spark.sparkContext.applicationId
+    if app not in _KNOWN:
+        _KNOWN[app] = forest(labelled_findings(spark))
+    return _KNOWN[app]
 
 
 def _tree(lines: list[str], at: int, field) -> tuple[Column, int]:
@@ -227,7 +250,7 @@ def findings_of(text: Column, path: Column, printed: str) -> Column:
     """array<struct<value, score>> for a text's candidates."""
 
     def scored(c: Column) -> Column:
-        row = F.struct(c["value"].alias("value"), *[f.alias(n) for n, f in zip(FEATURES, features(c["value"], c["left"], path), strict=True)])
+        row = F.struct(c["value"].alias("value"), *[f.alias(n) for n, f in zip(FEATURES, features(c["value"], c["left"], c["right"], path), strict=True)])
         return let(row, lambda x: F.struct(x["value"].alias("value"), forest_score(printed, lambda k: x[FEATURES[k]]).alias("score")))
 
     return F.transform(candidates(F.coalesce(text, F.lit(""))), scored)
@@ -236,18 +259,23 @@ def findings_of(text: Column, path: Column, printed: str) -> Column:
 def secret_findings(docs: DataFrame, findings: DataFrame | None = None, id_col: str = "doc_id", text_col: str = "text", path_col: str = "source") -> DataFrame:
     """A row for each candidate: doc_id, finding (from 0, in the order of the text), start, value, score, is_secret.
 
-    start: characters before the value's first occurrence. A null text has no candidates, a null
-    path counts as empty. Repeated rows give their findings each time.
+    start: characters before the value; of a value that is found several times, before its first,
+    second and further occurrence. A null text has no candidates, a null path counts as empty.
+    Repeated rows give their findings each time; other columns aren't looked at, whatever their
+    names; an empty table gives an empty result.
     """
-    printed = forest(labelled_findings(docs.sparkSession) if findings is None else findings)
+    printed = known_forest(docs.sparkSession) if findings is None else forest(findings)
     rows = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"), F.coalesce(F.col(path_col).cast("string"), F.lit("")).alias("path"))
-    rows = rows.select("doc_id", "text", F.posexplode(findings_of(F.col("text"), F.col("path"), printed)).alias("finding", "f"))
-    return rows.select("doc_id", "finding", (F.call_function("instr", F.col("text"), F.col("f.value")) - 1).cast("long").alias("start"), F.col("f.value").alias("value"), F.col("f.score").alias("score"), (F.col("f.score") >= 0.5).alias("is_secret"))
+    before = lambda f, k, fs: F.size(F.filter(F.slice(fs, F.lit(1), k), lambda x: x["value"] == f["value"])) + 1
+    placed = lambda fs: F.transform(fs, lambda f, k: F.struct(f["value"].alias("value"), f["score"].alias("score"), before(f, k, fs).alias("nth")))
+    rows = rows.select("doc_id", "text", F.posexplode(let(findings_of(F.col("text"), F.col("path"), printed), placed)).alias("finding", "f"))
+    start = F.length(F.call_function("substring_index", F.col("text"), F.col("f.value"), F.col("f.nth")))
+    return rows.select("doc_id", "finding", start.cast("long").alias("start"), F.col("f.value").alias("value"), F.col("f.score").alias("score"), (F.col("f.score") >= 0.5).alias("is_secret"))
 
 
 def mask_secrets(docs: DataFrame, findings: DataFrame | None = None, text_col: str = "text", path_col: str = "source") -> DataFrame:
     """docs with every value found to be a secret replaced by MASK, wherever it stands in its text; null texts stay null."""
-    printed = forest(labelled_findings(docs.sparkSession) if findings is None else findings)
+    printed = known_forest(docs.sparkSession) if findings is None else forest(findings)
     found = F.filter(findings_of(F.col(text_col), F.coalesce(F.col(path_col).cast("string"), F.lit("")), printed), lambda x: x["score"] >= 0.5)
     # a short value isn't masked inside of longer words
     quoted = lambda v: F.concat(F.lit(r"(?<![A-Za-z0-9])\Q"), F.call_function("replace", v, F.lit("\\E"), F.lit(r"\E\\E\Q")), F.lit(r"\E(?![A-Za-z0-9])"))
