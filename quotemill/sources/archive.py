@@ -58,10 +58,12 @@ def member_rows(files: DataFrame, sniff: bool = False) -> DataFrame:
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for files in batches:
             for name, at, content in zip(files["path"], files["modificationTime"], files["content"], strict=True):
+                out = []
                 with zipfile.ZipFile(io.BytesIO(content)) as z:
                     for member in sorted(m for m in z.namelist() if m.upper().endswith(".CSV")):
-                        if rows := _rows(z.read(member), sniff):
-                            yield pd.DataFrame({"archive": name, "modified": at, "member": member, "row_seq": range(len(rows)), "fields": rows})
+                        out += [(name, at, member, k, row) for k, row in enumerate(_rows(z.read(member), sniff))]
+                if out:
+                    yield pd.DataFrame(out, columns=["archive", "modified", "member", "row_seq", "fields"])
 
     files = files.where(F.substring("content", 1, 2) == b"PK")
     rows = files.select("path", "modificationTime", "content").mapInPandas(run, "archive string, modified timestamp, member string, row_seq long, fields map<string,string>")
