@@ -60,14 +60,31 @@ def log_ratios(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_
     ids = trusted_ids(labels).select(F.col("doc_id").alias("good_id"))
     rows = docs.select(F.col(id_col).alias("id"), pieces_of(F.coalesce(F.col(text_col), F.lit(""))).alias("pieces"))
     rows = rows.join(F.broadcast(ids), F.col("id") == F.col("good_id"), "left")  # TRUSTED_ROWS longs at most
-    grams = rows.select(F.col("good_id").isNotNull().cast("long").alias("good"), F.inline(_grams(F.col("pieces")))).toDF("good", "a", "b").where("a <> ''")
+    raw, good = bucket_counts(rows.select(F.col("good_id").isNotNull().cast("long").alias("good"), "pieces"))
+    scale = sum(good) / max(1, sum(raw))
+    return [math.log(g + SMOOTHING) - math.log(r * scale + SMOOTHING) for g, r in zip(good, raw, strict=True)]
+
+
+def bucket_counts(rows: DataFrame) -> tuple[list[int], list[int]]:
+    """How many unigrams and bigrams of rows (good, pieces) are in each bucket, and how many of them in rows with good = 1."""
+    grams = rows.select("good", F.inline(_grams(F.col("pieces")))).toDF("good", "a", "b").where("a <> ''")
     hashed = grams.select("good", F.explode(F.array(_bucket(F.col("a")), F.when(F.col("b").isNotNull(), _bucket(F.col("a"), F.col("b"))))).alias("bucket"))
     counts = hashed.where("bucket is not null").groupBy("bucket").agg(F.count("*").alias("n"), F.sum("good").alias("good")).collect()
     raw, good = [0] * BUCKETS, [0] * BUCKETS
     for row in counts:
         raw[row["bucket"]], good[row["bucket"]] = row["n"], row["good"]
-    scale = sum(good) / max(1, sum(raw))
-    return [math.log(g + SMOOTHING) - math.log(r * scale + SMOOTHING) for g, r in zip(good, raw, strict=True)]
+    return raw, good
+
+
+def mean_ratio(pieces: Column, ratios: list[float]) -> Column:
+    """The mean of the ratios of a text's unigrams and bigrams."""
+    table = F.split(F.lit(",".join(map(repr, ratios))), ",").cast("array<double>")
+
+    def each(x: Column, i: Column) -> Column:
+        after = F.get(pieces, i + 1)
+        return F.get(table, _bucket(x)) + F.when(after.isNotNull(), F.get(table, _bucket(x, after))).otherwise(0.0)
+
+    return F.aggregate(F.transform(pieces, each), F.lit(0.0), lambda a, x: a + x) / (F.size(pieces) * 2 - 1)  # as many bigrams as unigrams, less one
 
 
 def with_quality(docs: DataFrame, ratios: list[float], text_col: str = "text", threshold: float = THRESHOLD, names: dict[str, str] | None = None) -> DataFrame:
@@ -79,7 +96,6 @@ def with_quality(docs: DataFrame, ratios: list[float], text_col: str = "text", t
     out = {c: c for c in ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "score", "kept")} | (names or {})
     text, words = free(docs, "text_", "words_")
     t, w = F.col(text), F.col(words)
-    table = F.split(F.lit(",".join(map(repr, ratios))), ",").cast("array<double>")
     df = docs.withColumn(text, F.coalesce(F.col(text_col), F.lit(""))).withColumn(words, words_of(t))
     lines = F.filter(F.split(t, "\n"), lambda x: x.rlike(r"[^\x20\x09-\x0D]"))
     df = df.withColumns(
@@ -92,14 +108,7 @@ def with_quality(docs: DataFrame, ratios: list[float], text_col: str = "text", t
         }
     ).drop(words)
 
-    def scored(pieces: Column) -> Column:
-        def each(x: Column, i: Column) -> Column:
-            after = F.get(pieces, i + 1)
-            return F.get(table, _bucket(x)) + F.when(after.isNotNull(), F.get(table, _bucket(x, after))).otherwise(0.0)
-
-        return F.aggregate(F.transform(pieces, each), F.lit(0.0), lambda a, x: a + x) / (F.size(pieces) * 2 - 1)  # as many bigrams as unigrams, less one
-
-    mean = let(pieces_of(t), scored)
+    mean = let(pieces_of(t), lambda pieces: mean_ratio(pieces, ratios))
     n, r = F.col(out["n_words"]), F.col(out["n_repeat_words"])
     df = df.withColumn(out["base_failed"], (n < 50) | (r * 100 > n * 50)).withColumn(out["score"], F.when(n == 0, F.lit(0.0)).otherwise(mean))
     return df.withColumn(out["kept"], ~F.col(out["base_failed"]) & (F.col(out["score"]) >= threshold)).drop(text)

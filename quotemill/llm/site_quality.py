@@ -1,6 +1,9 @@
 """Quality by hierarchical empirical Bayes: what a text looks like, and what its host and path have held so far.
 
-A logistic classifier on a few figures of the text gives each document's own odds. Their mean over
+A document's own odds come from a logistic classifier: on how much likelier its hashed uni- and
+bigrams are in texts labelled good than in those labelled bad, and on a few figures of its form. The
+n-grams are counted over one half of the labelled rows, the classifier is fitted on the other, so
+that it weighs them by what they are worth on texts they weren't counted in. The mean odds over
 a path is shrunk toward its host's, and that toward the global one; how strongly, follows from how
 far hosts (and paths within hosts) really differ, by the method of moments. A sparse site so takes
 over the rate above it, a large one keeps its own. A document's posterior odds are its own odds
@@ -12,12 +15,14 @@ expression; figures and posteriors are over all documents. Only sums by path are
 
 from __future__ import annotations
 
+import math
+
 import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from quotemill.llm.common import staged
-from quotemill.llm.quality import words_of
+from quotemill.llm.common import let, staged
+from quotemill.llm.quality import bucket_counts, mean_ratio, pieces_of, words_of
 
 #: Labelled rows the classifier is fitted on, at most: those with the smallest hash of their id.
 TRAIN_ROWS = 16384
@@ -27,15 +32,29 @@ RIDGE, STEPS = 0.05, 40
 LEAST_WEIGHT, MOST_WEIGHT = 2.0, 1000.0
 #: A document's own odds stay within e to the power of plus and minus this.
 MOST_LOGIT = 12.0
-FIGURES = ("symbols", "capitals", "bangs", "bars", "repeats", "word_length", "length", "line_repeats")
+#: Both n-gram counts are smoothed by so much in every bucket.
+SMOOTHING = 1.0
+FIGURES = ("ngrams", "symbols", "capitals", "bangs", "bars", "repeats", "word_length", "length", "line_repeats")
+
+
+def ngram_ratios(rows: DataFrame) -> list[float]:
+    """ln p_good - ln p_bad by bucket, over rows (good, pieces)."""
+    every, good = bucket_counts(rows)
+    bad = [n - g for n, g in zip(every, good, strict=True)]
+    least = min(sum(good), sum(bad))  # both at the size of the smaller one
+    if not least:
+        return [0.0] * len(good)
+    by_good, by_bad = least / sum(good), least / sum(bad)
+    return [math.log(g * by_good + SMOOTHING) - math.log(b * by_bad + SMOOTHING) for g, b in zip(good, bad, strict=True)]
 
 
-def figures(text: Column, words: Column) -> list[Column]:
-    """In the order of FIGURES, all doubles; of an empty text all zero."""
+def figures(text: Column, words: Column, ratios: list[float]) -> list[Column]:
+    """In the order of FIGURES, all doubles; of an empty text all zero but the first."""
     n, size = F.greatest(F.length(text), F.lit(1)), F.greatest(F.size(words), F.lit(1))
     lines = F.filter(F.split(text, "\n"), lambda x: x != "")
     share = lambda pattern, of: F.regexp_count(text, F.lit(pattern)) / of
     return [
+        let(pieces_of(text), lambda pieces: mean_ratio(pieces, ratios)) * 4,
         F.least(share(r"[#*$%&<>]", size), F.lit(4.0)),
         share(r"[A-Z]", n) * 4,
         F.least(share(r"!", size), F.lit(4.0)),
@@ -89,10 +108,13 @@ def site_quality(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", tex
     """
     rows = docs.select(F.col(id_col).alias("doc_id"), F.col(host_col).cast("string").alias("host"), F.col(path_col).cast("string").alias("path"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
     rows = rows.withColumn("words", words_of(F.col("text")))
-    values = figures(F.col("text"), F.col("words"))
     good = labels.where("doc_id is not null and quality is not null").groupBy(F.col("doc_id").alias("known")).agg(F.min("quality").alias("quality"))
     good = good.orderBy(F.xxhash64("known"), "known").limit(TRAIN_ROWS)
-    train = rows.join(F.broadcast(good), F.col("doc_id") == F.col("known")).select("known", "quality", F.array(*values).alias("x"))  # TRAIN_ROWS pairs of numbers at most
+    good = staged(good, "labelled")
+    half = F.pmod(F.xxhash64("known", F.lit(1)), F.lit(2))
+    labelled = rows.join(F.broadcast(good), F.col("doc_id") == F.col("known"))  # TRAIN_ROWS pairs of numbers at most
+    values = figures(F.col("text"), F.col("words"), ngram_ratios(labelled.where(half == 0).select((F.col("quality") > 0).cast("long").alias("good"), pieces_of(F.col("text")).alias("pieces"))))
+    train = labelled.where(half == 1).select("known", "quality", F.array(*values).alias("x"))
     train = train.groupBy("known").agg(F.min("quality").alias("quality"), F.min("x").alias("x"))
     got = sorted((tuple(r["x"]), int(r["quality"] > 0)) for r in train.collect())
     weights = fit_logistic(np.array([x for x, _ in got]).reshape(-1, len(FIGURES)), np.array([y for _, y in got], float))
