@@ -9,16 +9,18 @@ LEAST, MOST = 1, 30
 
 
 def days_to_barrier(bars: DataFrame, target: float = 0.01, stop: float = 0.005, ahead: int = 30) -> DataFrame:
-    """symbol, trade_date, days: rows until a high reaches the close times 1+target, or a low the close times 1-stop; null beyond ``ahead``.
+    """symbol, trade_date, days: rows until a high reaches the close times 1+target, or a low the close times 1-stop; null beyond ``ahead``."""
+    return with_barrier(bars, target, stop, ahead).where("close > 0").select("symbol", "trade_date", "days")
 
-    The rows ahead are one window frame of at most ``ahead`` pairs, not a self join.
-    """
+
+def with_barrier(bars: DataFrame, target: float = 0.01, stop: float = 0.005, ahead: int = 30) -> DataFrame:
+    """bars with days, null where the close isn't above 0. The rows ahead are one window frame of at most ``ahead`` pairs, not a self join."""
     w = Window.partitionBy("symbol").orderBy("day").rowsBetween(1, ahead)
     nexts = F.collect_list(F.struct("high", "low")).over(w)
     up, down = F.col("close") * F.lit(str(1 + target)).cast("decimal(10,4)"), F.col("close") * F.lit(str(1 - stop)).cast("decimal(10,4)")
     hit = lambda x: (x["high"] >= up) | (x["low"] <= down)
     found = F.array_position(F.transform("nexts", hit), F.lit(True))
-    return bars.withColumn("nexts", nexts).where("close > 0").select("symbol", "trade_date", F.nullif(found, F.lit(0)).cast("bigint").alias("days"))
+    return bars.withColumn("nexts", nexts).withColumn("days", F.when(F.col("close") > 0, F.nullif(found, F.lit(0)).cast("bigint"))).drop("nexts")
 
 
 def clamp(days: Column) -> Column:
@@ -27,12 +29,12 @@ def clamp(days: Column) -> Column:
 
 def empirical_hold(bars: DataFrame, target: float = 0.01, stop: float = 0.005, lookback: int = 282, least_bars: int = 10, least_samples: int = 8) -> DataFrame:
     """symbol, samples, days: the median of days_to_barrier over the latest bars, rounded up; null with too few bars or samples."""
-    nth = F.row_number().over(Window.partitionBy("symbol").orderBy(F.desc("day")))
-    recent = bars.withColumn("nth", nth).where(F.col("nth") <= lookback)
-    sizes = recent.groupBy("symbol").agg(F.count("*").alias("bars"))
-    found = days_to_barrier(recent, target, stop).groupBy("symbol").agg(F.count("days").alias("samples"), F.percentile("days", F.lit(0.5)).alias("middle"))
+    w = Window.partitionBy("symbol")
+    nth, all_ = F.row_number().over(w.orderBy("day")), F.count("*").over(w)  # counted from the first, in the order that the search needs as well
+    recent = bars.withColumn("left", all_ - nth).where(F.col("left") < lookback)
+    found = with_barrier(recent, target, stop).groupBy("symbol").agg(F.count("*").alias("bars"), F.count("days").alias("samples"), F.percentile("days", F.lit(0.5)).alias("middle"))
     enough = (F.col("bars") >= least_bars) & (F.col("samples") >= least_samples)
-    return sizes.join(found, "symbol", "left").select("symbol", F.coalesce("samples", F.lit(0)).cast("bigint").alias("samples"), F.when(enough, clamp(F.ceil("middle"))).alias("days"))
+    return found.select("symbol", F.col("samples").cast("bigint").alias("samples"), F.when(enough, clamp(F.ceil("middle"))).alias("days"))
 
 
 def atr_hold(atr: Column, target: float = 3.0, factor: float = 1.0) -> Column:

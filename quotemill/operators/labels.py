@@ -19,8 +19,20 @@ def label_outcomes(signals: DataFrame, bars: DataFrame) -> DataFrame:
     A missing entry falls back to the bar's open. A side that isn't given follows from the target.
     A bar that reaches both stop and target is ambiguous: neutral, without an exit.
     """
-    day = bars.select("symbol", "trade_date", *[F.col(c).cast("double").alias(f"bar_{c}") for c in ("open", "high", "low", "close")], F.lit(True).alias("has_bar"))
-    df = signals.join(day, ["symbol", "trade_date"], "left")
+    day = with_bar(bars).select("symbol", "trade_date", *BAR)
+    return outcomes(signals.join(day, ["symbol", "trade_date"], "left"))
+
+
+BAR = ("bar_open", "bar_high", "bar_low", "bar_close", "has_bar")
+
+
+def with_bar(bars: DataFrame) -> DataFrame:
+    """bars with their prices as doubles under other names, and has_bar."""
+    return bars.withColumns({f"bar_{c}": F.col(c).cast("double") for c in ("open", "high", "low", "close")} | {"has_bar": F.lit(True)})
+
+
+def outcomes(df: DataFrame) -> DataFrame:
+    """label_outcomes() of signals that have their bar's columns (BAR)."""
     entry, stop, target = F.coalesce("entry_price", "bar_open"), F.col("stop_price"), F.col("target_price")
     high, low, close = F.col("bar_high"), F.col("bar_low"), F.col("bar_close")
     given = F.upper(F.trim("signal_type"))

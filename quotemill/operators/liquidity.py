@@ -67,6 +67,17 @@ def combined_score(signals: DataFrame, metrics: DataFrame, weights=(0.6, 0.3, 0.
     value = F.coalesce("avg_20d_val", "net_trdval", F.lit(0.0)) if "avg_20d_val" in metrics.columns else F.coalesce("net_trdval", F.lit(0.0))
     known = metrics.select("symbol", "trade_date", value.alias("value_of"), F.coalesce("avg_20d_vol", F.lit(0.0)).alias("volume_of"), "fno_flag")
     df = signals.join(known, ["symbol", "trade_date"], "left").fillna({"value_of": 0.0, "volume_of": 0.0, "fno_flag": False})
+    return scored(df, weights, boost)
+
+
+def with_figures(bars: DataFrame) -> DataFrame:
+    """bars with the figures of their metrics that scores are made of: value_of, volume_of, fno_flag."""
+    volume = F.coalesce(mean_of_days(F.col("net_trdqty"), series()), F.col("net_trdqty").cast("double"), F.lit(0.0))
+    return bars.withColumns({"value_of": F.coalesce(F.col("net_trdval").cast("double"), F.lit(0.0)), "volume_of": volume, "fno_flag": F.lit(False)})
+
+
+def scored(df: DataFrame, weights=(0.6, 0.3, 0.1), boost: float = 1.0) -> DataFrame:
+    """combined_score() of signals that have value_of, volume_of and fno_flag."""
     day = Window.partitionBy("trade_date")
     size = F.abs(F.coalesce("signal_score", F.lit(0.0)))
     parts = [ratio_or_zero(c, F.max(c).over(day)) for c in (size, F.col("value_of"), F.col("volume_of"))]

@@ -47,11 +47,11 @@ def with_risk(entries: DataFrame, features: DataFrame) -> DataFrame:
     return _risked(entries.join(features.select("symbol", "trade_date", "atr_14", "prev_close"), ["symbol", "trade_date"], "left"))
 
 
-def priced(features: DataFrame, **how) -> DataFrame:
-    """with_risk(with_entries(all_signals(features))) in one pass: the next day's open is the next row's, so that nothing is joined."""
+def priced(features: DataFrame, keep: tuple[str, ...] = (), **how) -> DataFrame:
+    """with_risk(with_entries(all_signals(features))) in one pass: the next day's open is the next row's, so that nothing is joined. Columns named in ``keep`` stay."""
     w = series()
     tomorrow = F.when(F.lead("trade_date").over(w) == F.date_add("trade_date", 1), F.lead("open").over(w))
-    df = all_signals(features.withColumn("next_open", tomorrow), keep=("next_open", "open", "close", "atr_14", "prev_close"), **how)
+    df = all_signals(features.withColumn("next_open", tomorrow), keep=("next_open", "open", "close", "atr_14", "prev_close", *keep), **how)
     df = _dated(df).withColumn("entry_open", F.when(_later(), F.col("next_open")).otherwise(F.col("open"))).withColumnRenamed("close", "trade_close")
     return _risked(_entered(df)).drop("next_open", "open")
 

@@ -274,7 +274,8 @@ def hold_days_cascade(spark, sf_dir):
 
 
 def _labels(spark, sf_dir) -> DataFrame:
-    return labels.label_outcomes(_priced(spark, sf_dir), bars(spark, sf_dir))
+    f = labels.with_bar(features(spark, sf_dir))
+    return labels.outcomes(doubles(risk.priced(f, labels.BAR, gap=GAP), "entry_price"))
 
 
 @query(f"WITH {LABELS_SQL.format(gap=GAP)} SELECT trade_date, symbol, strategy, side, entry_used, label, exit_price, exit_reason, ambiguous, realized_return FROM labels")
@@ -334,7 +335,8 @@ _SCORE_SQL = (
 
 
 def _scored(spark, sf_dir) -> DataFrame:
-    return liquidity.combined_score(_all(spark, sf_dir), liquidity.liquidity_metrics(bars(spark, sf_dir))).select("trade_date", "symbol", "strategy", "combined_score")
+    f = liquidity.with_figures(features(spark, sf_dir))
+    return liquidity.scored(signals.all_signals(f, gap=GAP, keep=("value_of", "volume_of", "fno_flag"))).select("trade_date", "symbol", "strategy", "combined_score")
 
 
 @query(f"WITH {_SCORE_SQL} SELECT * FROM scored")
