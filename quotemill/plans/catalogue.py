@@ -912,7 +912,7 @@ def candle_csv(spark, sf_dir):
 # archives and streams
 
 
-def _daily_archive(key, rows: pd.DataFrame) -> pd.DataFrame:
+def _daily_archive(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
     """A day's archive: movers, circuit hitters, turnover and the list of symbols."""
     day = f"{key[0]:%d%m%y}"
     table = lambda header, lines: "\n".join([header, *lines])
@@ -956,7 +956,7 @@ def candidates_from_archive(spark, sf_dir):
     return candidates.from_archive(spark.read.parquet(members), master, 2000.0, 5, 3)
 
 
-def _staging_archive(key, rows: pd.DataFrame) -> pd.DataFrame:
+def _staging_archive(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
     """A nation's archive: a price file, in part without symbols, the list of symbols, and one of ETFs."""
     rows = rows.sort_values("s_suppkey")
     line = lambda *parts: ",".join(map(str, parts))
@@ -984,7 +984,7 @@ def staging_from_archive(spark, sf_dir):
     return rows.select(F.regexp_extract("archive", "^/([^/]+)/", 1).alias("nation"), "symbol_raw", "other_raw", "is_etf", "resolved")
 
 
-def _archive(key, rows: pd.DataFrame) -> pd.DataFrame:
+def _archive(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
     """A ZIP archive with a member of the rows' lines, one line that can't be read, and one member that is no table."""
     lines = ["Security ,close_price,prev_cl_pr", *rows.sort_values("s_suppkey")["line"], "broken line"]
     made = io.BytesIO()

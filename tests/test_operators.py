@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from quotemill.functions import coerce, names
-from quotemill.operators import candidates, hold, indicators, instruments, labels, liquidity, risk, selection, sessions, signals, trading_days
+from quotemill.operators import candidates, hold, indicators, instruments, labels, liquidity, risk, scans, selection, sessions, signals, trading_days
 from quotemill.sources import store
 
 D0 = dt.date(2025, 1, 1)
@@ -324,3 +324,32 @@ def test_sessions_of_instruments_stay_apart(spark):
         assert [tuple(r)[1:] for r in own] == [tuple(v)[2:] for k, v in sorted(got.items()) if k[0] == symbol]
     gaps = {(r["symbol"], r["session"]): r["gap_hold"] for r in sessions.structure(df).collect()}
     assert gaps == {("A", "d1"): None, ("B", "d1"): None, ("A", "d2"): "YES"}
+
+
+def test_interval_names_candle_columns_and_logs(spark, tmp_path):
+    df = spark.createDataFrame([("5m",), (" 5Minute ",), ("15m",), (None,)], "i string")
+    assert [r[0] for r in df.select(scans.five_minutes(F.col("i"))).collect()] == [True, True, False, False]
+    rows = spark.createDataFrame([("1", "2", "0.5", "1.5", "1,200", "x")], "Open string, High string, Low string, Close string, Volume string, Other string")
+    assert [tuple(r) for r in scans.candle_columns(rows).collect()] == [(1.0, 2.0, 0.5, 1.5, 1200.0)]
+    with pytest.raises(ValueError, match="Volume"):
+        scans.candle_columns(rows.drop("Volume"))
+    for day in ("2025-10-03", "2025-10-04"):
+        store.write_log(spark.createDataFrame([(day, "SELECTED")], "trade_date string, status string"), f"{tmp_path}/log")
+    assert sorted(r["trade_date"] for r in spark.read.json(f"{tmp_path}/log").collect()) == ["2025-10-03", "2025-10-04"]
+
+
+def test_dates_are_looked_at_up_to_the_first_that_is_ready(spark):
+    dates = spark.createDataFrame([(dt.date(2025, 10, d),) for d in (1, 2, 3, 6)], "trade_date date")
+    ready = dates.where("trade_date >= '2025-10-03'")
+    log = [tuple(r)[1:4] for r in trading_days.resolution_log(dates, ready, dates.limit(0)).orderBy("trade_date").collect()]
+    assert log == [(False, 0, "REJECTED"), (False, 0, "REJECTED"), (True, 0, "SELECTED")]
+    assert trading_days.resolution_log(dates, ready.limit(0), dates).where("status = 'REJECTED'").count() == 4
+
+
+def test_fields_of_odd_objects(spark):
+    texts = ["{'a': 'x', 'SECURITY': ' y '}", '{"n": "12.5", "b": "long text"}', "no object", None, "[1]", '{"a": {"b": 1}}']
+    df = spark.createDataFrame([(t,) for t in texts], "t string")
+    got = df.select(coerce.object_fields(F.col("t")).alias("m"), coerce.security_in(coerce.object_fields(F.col("t"))).alias("s"), coerce.with_member(F.col("t"), "l", F.lit('{"k":1}')).alias("p")).collect()
+    assert [r["m"] for r in got] == [{"a": "x", "SECURITY": " y "}, {"n": "12.5", "b": "long text"}, {}, {}, {}, {"a": '{"b":1}'}]
+    assert [r["s"] for r in got][:3] == ["y", "long text", None]
+    assert [r["p"] for r in got] == ['{"l":{"k":1}}', '{"b":"long text","n":"12.5","l":{"k":1}}', '{"l":{"k":1}}', '{"l":{"k":1}}', '{"l":{"k":1}}', '{"a":{"b":1},"l":{"k":1}}']
