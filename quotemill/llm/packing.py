@@ -148,16 +148,17 @@ class Budget:
         self.left = steps
 
 
-def fillings(counts: dict[int, int], room: int, width: int, budget: Budget, slack: int | None = None) -> list[tuple[int, ...]]:
-    """Up to ``width`` undominated fillings of ``room``, of any number of pieces, least waste first, and of equal waste those of larger pieces first.
+def fillings(counts: dict[int, int], room: int, width: int, budget: Budget, slack: int | None = None, keep_small: bool = True) -> list[tuple[int, ...]]:
+    """Up to ``width`` undominated fillings of ``room``, of any number of pieces, least waste first.
 
-    The sums that the sizes can make are known beforehand, so that every step leads to a filling.
+    Of equal waste comes first, with keep_small, the one whose smallest piece is largest, so that small
+    pieces are left for rooms that nothing else fills; without, the one with the largest pieces. The sums that the sizes can make are known beforehand, so that every step leads to a filling.
     A size that fits exactly stands for all others. Fillings with more waste than ``slack`` aren't
     asked for, nor any more when the budget is spent; the first one is always found.
     """
     if counts.get(room):
         return [(room,)]
-    sizes = sorted(s for s in counts if s <= room)
+    sizes = sorted((s for s in counts if s <= room), reverse=keep_small)
     sums = reachable(counts, sizes, room)
     found: list[tuple[int, ...]] = []
     fills = sums[-1]
@@ -167,19 +168,18 @@ def fillings(counts: dict[int, int], room: int, width: int, budget: Budget, slac
         if not total:
             yield ()
             return
-        while k and not sums[k - 1] >> total & 1 and sizes[k - 1] > total:
-            k -= 1
-        for at in range(k - 1, -1, -1):
+        for at in range(k) if keep_small else range(k - 1, -1, -1):
+            s = sizes[at]
+            if s > total or not sums[at + 1] >> total & 1:
+                continue
             budget.left -= 1
             if found and budget.left <= 0:
                 return
-            s = sizes[at]
-            for n in range(min(counts[s], total // s), 0, -1):
+            most = min(counts[s], total // s)
+            for n in range(1, most + 1) if keep_small else range(most, 0, -1):
                 if sums[at] >> (total - s * n) & 1:
                     for rest in of(total - s * n, at):
-                        yield (s,) * n + rest
-            if not sums[at] >> total & 1:
-                return
+                        yield (*rest, *(s,) * n) if keep_small else (*(s,) * n, *rest)
 
     while fills and len(found) < width:
         total = fills.bit_length() - 1
@@ -218,31 +218,36 @@ def fewest(sizes: list[int], capacity: int = CAPACITY) -> int:
 def complete(sizes: list[int], capacity: int = CAPACITY, widths: tuple[int, ...] = WIDTHS, steps: int = SEARCH_STEPS) -> list[list[int]]:
     """Bins for the sizes: branch and bound over fillings around the largest size left.
 
-    The incumbent is the best packing so far: best-fit decreasing's, then that of the fullest
-    fillings one after the other. A branch ends when its waste leaves no way to beat the incumbent;
+    The incumbent is the best packing so far: best-fit decreasing's, then those of the fullest
+    fillings one after the other, in either order; searches go by the better one. A branch ends when its waste leaves no way to beat the incumbent;
     a search ends at the lower bound, or when it has used up ``steps`` for each piece.
     """
     best, bound = best_fit(sizes, capacity), fewest(sizes, capacity)
-    if len(best) > bound:
-        best = min(best, _descent(sizes, capacity), key=len)
+    keep_small, least = True, None
+    for order in (True, False):
+        if len(best) > bound:
+            found = _descent(sizes, capacity, order)
+            if least is None or len(found) < least:
+                keep_small, least = order, len(found)
+            best = min(best, found, key=len)
     for width in widths:
         if len(best) > bound:
-            best = _search(sizes, best, capacity, width, bound, Budget(steps * len(sizes) + 4096))
+            best = _search(sizes, best, capacity, width, bound, Budget(steps * len(sizes) + 4096), keep_small)
     return best
 
 
-def _descent(sizes: list[int], capacity: int) -> list[list[int]]:
+def _descent(sizes: list[int], capacity: int, keep_small: bool) -> list[list[int]]:
     """The fullest filling around the largest size left, again and again."""
     counts, bins = Counter(sizes), []
     while counts:
         first = max(counts)
         counts -= Counter([first])
-        bins.append([first, *fillings(counts, capacity - first, 1, Budget(0))[0]])
+        bins.append([first, *fillings(counts, capacity - first, 1, Budget(0), keep_small=keep_small)[0]])
         counts -= Counter(bins[-1][1:])
     return bins
 
 
-def _search(sizes: list[int], best: list[list[int]], capacity: int, width: int, bound: int, budget: Budget) -> list[list[int]]:
+def _search(sizes: list[int], best: list[list[int]], capacity: int, width: int, bound: int, budget: Budget, keep_small: bool) -> list[list[int]]:
     total = sum(sizes)
     counts: dict[int, int] = dict(Counter(sizes))
 
@@ -265,7 +270,7 @@ def _search(sizes: list[int], best: list[list[int]], capacity: int, width: int,
     def options() -> Iterator[list[int]]:
         first = max(counts)
         take([first], -1)
-        fills = fillings(counts, capacity - first, width, budget, slack())
+        fills = fillings(counts, capacity - first, width, budget, slack(), keep_small)
         take([first], 1)
         return iter([[first, *f] for f in fills])
 
