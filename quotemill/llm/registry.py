@@ -5,10 +5,13 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 import corpus_pipeline
+from quotemill.llm.alignment import aligned_documents
 from quotemill.llm.ann import search_report
+from quotemill.llm.centroids import CENTROIDS_SQL, clusters
 from quotemill.llm.common import read
 from quotemill.llm.mixing import MIX_REPORT_SQL, mix_report
 from quotemill.llm.packing import packed_documents
+from quotemill.llm.pii import personal_data
 from quotemill.llm.quality import quality_report
 from quotemill.llm.secrets import secret_report
 from quotemill.llm.sharding import shard_report
@@ -58,6 +61,18 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shard_report(read(spark, sf_dir, "documents"))
 
 
+def op11_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return personal_data(read(spark, sf_dir, "documents"))
+
+
+def op12_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return aligned_documents(read(spark, sf_dir, "documents"))
+
+
+def op13_centroids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return clusters(read(spark, sf_dir, "embeddings"))
+
+
 QUERIES = {
     "op1_site_quality": op1_site_quality,
     "op2_ann": op2_ann,
@@ -69,9 +84,13 @@ QUERIES = {
     "op8_toxicity": op8_toxicity,
     "op9_quality_rules": op9_quality_rules,
     "op10_sharding": op10_sharding,
+    "op11_pii": op11_pii,
+    "op12_alignment": op12_alignment,
+    "op13_centroids": op13_centroids,
     "pipeline": corpus_pipeline.run,
 }
 ORACLE: dict[str, str] = {
     "op4_url_filter": URL_SQL,
     "op5_mixing": MIX_REPORT_SQL,
+    "op13_centroids": CENTROIDS_SQL,
 }
