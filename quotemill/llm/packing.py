@@ -17,8 +17,8 @@ from collections.abc import Iterator
 from functools import lru_cache
 
 import numpy as np
-import pandas as pd
 import public_tokenizers
+import pyarrow as pa
 import tiktoken
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -61,26 +61,31 @@ PIECES = "doc_id {id}, piece int, start long, length long, ids_crc32 long{ids}"
 def pieces(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", tokenizer: str = TOKENIZER, capacity: int = CAPACITY, with_ids: bool = False) -> DataFrame:
     """Each document's pieces; with_ids: and their ids, as little-endian unsigned 32-bit integers."""
 
-    cols = ["doc_id", "piece", "start", "length", "ids_crc32"] + ["ids"] * with_ids
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            doc_ids = batch.column("doc_id")
+            out: list[tuple] = []
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for rows in batches:
-            out = []
-            for doc_id, text in zip(rows["doc_id"], rows["text"], strict=True):
+            def done() -> pa.RecordBatch:
+                row, piece, start, length, crc, *parts = (list(c) for c in zip(*out, strict=True))
+                held = {"doc_id": doc_ids.take(pa.array(row, pa.int64())), "piece": pa.array(piece, pa.int32()), "start": pa.array(start, pa.int64()), "length": pa.array(length, pa.int64()), "ids_crc32": pa.array(crc, pa.int64())}  # ids never leave Arrow: a float wouldn't hold them all
+                return pa.RecordBatch.from_pydict(held | ({"ids": pa.array(parts[0], pa.binary())} if with_ids else {}))
+
+            for row, text in enumerate(batch.column("text").to_pylist()):
                 ids = ids_of(text, tokenizer)
                 data = ids.tobytes()
                 for k, (start, n) in enumerate(cuts(len(ids), capacity)):
                     part = data[4 * start : 4 * (start + n)]
-                    out.append((None if pd.isna(doc_id) else doc_id, k, start, n, zlib.crc32(part)) + (part,) * with_ids)
+                    out.append((row, k, start, n, zlib.crc32(part)) + (part,) * with_ids)
                 if len(out) >= FRAME_ROWS:
-                    yield pd.DataFrame(out, columns=cols).astype({"doc_id": object})
+                    yield done()
                     out = []
             if out:
-                yield pd.DataFrame(out, columns=cols).astype({"doc_id": object})
+                yield done()
 
     rows = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
     kind = dict(rows.dtypes)["doc_id"]
-    return rows.mapInPandas(run, PIECES.format(id=kind, ids=", ids binary" if with_ids else ""))
+    return rows.mapInArrow(run, PIECES.format(id=kind, ids=", ids binary" if with_ids else ""))
 
 
 def best_fit(sizes: list[int], capacity: int = CAPACITY) -> list[list[int]]:
@@ -310,24 +315,25 @@ def pack(rows: DataFrame, capacity: int = CAPACITY, group_rows: int = GROUP_ROWS
     groups = max(1, -(-table.count() // group_rows))
     place, group = free(rows, "place", "group")
 
-    def run(key: tuple, part: pd.DataFrame) -> pd.DataFrame:
-        part = part.sort_values(place, kind="stable").reset_index(drop=True)
+    def run(key: tuple, part: pa.Table) -> pa.Table:
+        part = part.take(pa.array(np.argsort(part.column(place).to_numpy(), kind="stable")))
         waiting: dict[int, list[int]] = {}
-        for at, size in enumerate(part["length"].tolist()):
+        sizes = part.column("length").to_pylist()
+        for at, size in enumerate(sizes):
             waiting.setdefault(size, []).append(at)
-        bins = complete([s for s in part["length"].tolist() if s < capacity], capacity) + [[capacity] for _ in waiting.get(capacity, [])]
-        sequence, offset = np.zeros(len(part), np.int64), np.zeros(len(part), np.int64)
+        bins = complete([s for s in sizes if s < capacity], capacity) + [[capacity] for _ in waiting.get(capacity, [])]
+        sequence, offset = np.zeros(len(sizes), np.int64), np.zeros(len(sizes), np.int64)
         for k, bin_ in enumerate(bins):
             at = 0
             for size in bin_:
                 row = waiting[size].pop()
-                sequence[row], offset[row] = (int(key[0]) << 32) + k, at
+                sequence[row], offset[row] = (key[0].as_py() << 32) + k, at
                 at += size
-        return part.drop(columns=[place, group]).assign(sequence_id=sequence, offset=offset)
+        return part.drop_columns([place, group]).append_column("sequence_id", pa.array(sequence)).append_column("offset", pa.array(offset))
 
     dealt = table.withColumn(place, F.monotonically_increasing_id()).withColumn(group, F.pmod(F.xxhash64(place), F.lit(groups)))
     schema = ", ".join(f"`{c}` {t}" for c, t in rows.dtypes) + ", sequence_id long, offset long"
-    return dealt.groupBy(group).applyInPandas(run, schema)
+    return dealt.groupBy(group).applyInArrow(run, schema)
 
 
 def packed_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", with_ids: bool = False) -> DataFrame:

@@ -161,3 +161,12 @@ def test_clashing_and_repeated_rows(spark):
     assert out.columns == ["length", "place", "GROUP", "sequence_id", "offset"]
     got = out.collect()
     assert check(got, df) == 1 and {(r["place"], r["GROUP"]) for r in got} == {(1, 2)}
+
+
+def test_ids_no_float_holds_beside_a_null(spark):
+    big = [2**53 + 1, 2**53 + 3, 2**62 + 1]
+    docs = spark.createDataFrame([(big[0], "a b c"), (None, "d"), (big[1], None), (3, "e " * 3000), (big[2], "")], "doc_id long, text string").coalesce(1)
+    for with_ids in (False, True):
+        rows = packed_documents(docs, with_ids=with_ids).collect()
+        assert {r["doc_id"] for r in rows} == {*big, None, 3}
+        assert sum(r["length"] for r in rows if r["doc_id"] == big[0]) == len(ids_of("a b c"))
