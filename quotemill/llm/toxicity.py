@@ -26,6 +26,7 @@ from functools import lru_cache
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -293,13 +294,14 @@ def toxicity(docs: DataFrame, labels: DataFrame, examples: int = EXAMPLES, neigh
     rows = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
     model = docs.sparkSession.sparkContext.broadcast(fitted(rows, labels, examples, neighbours))
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         judge = model.value.judge
-        for rows in batches:
-            for lo in range(0, len(rows), PART):
-                part = rows.iloc[lo : lo + PART]
-                scores, near = judge(part["text"].tolist())
-                yield pd.DataFrame({"doc_id": part["doc_id"].to_numpy(), "held_out": part["held_out"].to_numpy(), "score": scores, "predicted": (scores >= 0.5).astype(np.int32), "evidence": near})
+        for batch in batches:
+            for lo in range(0, batch.num_rows, PART):
+                part = batch.slice(lo, PART)
+                scores, near = judge(part.column("text").to_pylist())
+                ids = part.column("doc_id")  # as they come: a float wouldn't hold them all
+                yield pa.RecordBatch.from_pydict({"doc_id": ids, "held_out": part.column("held_out"), "score": scores, "predicted": pa.array(scores >= 0.5).cast(pa.int32()), "evidence": pa.array(near, pa.list_(ids.type))})
 
     kind = dict(rows.dtypes)["doc_id"]
-    return rows.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "text").mapInPandas(run, f"doc_id {kind}, held_out boolean, score double, predicted int, evidence array<{kind}>")
+    return rows.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "text").mapInArrow(run, f"doc_id {kind}, held_out boolean, score double, predicted int, evidence array<{kind}>")

@@ -167,3 +167,12 @@ def test_scores_are_calibrated(spark):
         part = [r for r in got if lo <= r["score"] < hi]
         assert len(part) > 20
         assert abs(np.mean([r["score"] for r in part]) - np.mean([known[r["doc_id"]] for r in part])) < 0.15
+
+
+def test_ids_no_float_holds_beside_a_null(spark):
+    big = [2**53 + 1, 2**53 + 3, 2**62 + 1]
+    docs = spark.createDataFrame([(big[0], "you idiot"), (None, "a fine day"), (big[1], "a fine day"), (3, None), (big[2], "stupid idiot")], "doc_id long, text string").coalesce(1)
+    labels = spark.createDataFrame([(i, 1, int(i != big[1])) for i in big], "doc_id long, quality int, toxic int")
+    rows = toxicity(docs, labels).collect()
+    assert {r["doc_id"] for r in rows} == {*big, None, 3}
+    assert {i for r in rows for i in r["evidence"]} <= set(big)
