@@ -5,6 +5,7 @@ from __future__ import annotations
 import csv
 import io
 import zipfile
+import zlib
 from collections.abc import Iterator
 
 import pandas as pd
@@ -18,6 +19,9 @@ KINDS = ("ETF", "GL", "HL", "PR", "TT", "PD")
 #: Encodings and separators that are tried for members of unknown form.
 FORMS = (("utf-8", None), ("utf-8", ","), ("latin-1", ","), ("utf-8", ";"), ("latin-1", None))
 
+#: What a broken archive or member makes the reader raise.
+FAULTS = (zipfile.BadZipFile, zlib.error, EOFError, NotImplementedError, RuntimeError, ValueError)
+
 
 def kind_of(member: Column) -> Column:
     """The kind of a member by its base name, OTHER for the rest."""
@@ -29,7 +33,11 @@ def kind_of(member: Column) -> Column:
 
 
 def _rows(data: bytes, sniff: bool) -> list[dict[str, str]]:
-    """A member's rows in the first form that reads all of it; none if no form does."""
+    """A member's rows: those with fewer fields than the header lack the last ones, empty lines count for nothing.
+
+    A row with more fields is left out; when the form is being sniffed it means that the form is wrong,
+    and the next one is tried. No rows if no form reads the member.
+    """
     for encoding, sep in FORMS if sniff else (("utf-8", ","),):
         try:
             text = data.decode(encoding, errors="strict" if sniff else "replace")
@@ -38,7 +46,10 @@ def _rows(data: bytes, sniff: bool) -> list[dict[str, str]]:
             header = [h.strip().upper() for h in next(reader, [])]
             if sniff and len(header) < 2:
                 continue
-            return [dict(zip(header, row, strict=True)) for row in reader if len(row) == len(header)]  # bad lines are skipped
+            rows = [row for row in reader if row]
+            if sniff and any(len(row) > len(header) for row in rows):
+                continue
+            return [dict(zip(header, row, strict=False)) for row in rows if len(row) <= len(header)]
         except (UnicodeDecodeError, csv.Error):
             continue
     return []
@@ -50,23 +61,30 @@ def members(spark: SparkSession, path: str, sniff: bool = False) -> DataFrame:
 
 
 def member_rows(files: DataFrame, sniff: bool = False) -> DataFrame:
-    """Rows of all CSV members of files (path, modificationTime, content): archive, modified, member, row_seq, fields (map of upper-case header to text).
+    """Rows of all CSV members of files (path, modificationTime, content): archive, modified, member, row_seq, fields (map of upper-case header to text), fault.
 
-    Files that aren't ZIP archives, by their first bytes, give no rows.
+    Files that aren't ZIP archives, by their first bytes, give no rows. An archive or a member that can't be
+    opened gives one row without fields that tells why in ``fault``; it is null everywhere else.
     """
+    names = ["archive", "modified", "member", "row_seq", "fields", "fault"]
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        frame = lambda rows: pd.DataFrame(rows, columns=names).astype({"row_seq": "Int64"})
         for files in batches:
             for name, at, content in zip(files["path"], files["modificationTime"], files["content"], strict=True):
-                out = []
-                with zipfile.ZipFile(io.BytesIO(content)) as z:
-                    for member in sorted(m for m in z.namelist() if m.upper().endswith(".CSV")):
-                        out += [(name, at, member, k, row) for k, row in enumerate(_rows(z.read(member), sniff))]
-                if out:
-                    yield pd.DataFrame(out, columns=["archive", "modified", "member", "row_seq", "fields"])
+                try:
+                    with zipfile.ZipFile(io.BytesIO(content)) as z:
+                        for member in sorted(m for m in z.namelist() if m.upper().endswith(".CSV")):
+                            try:
+                                if rows := _rows(z.read(member), sniff):
+                                    yield frame([(name, at, member, k, row, None) for k, row in enumerate(rows)])
+                            except FAULTS as e:
+                                yield frame([(name, at, member, None, None, str(e) or type(e).__name__)])
+                except FAULTS as e:
+                    yield frame([(name, at, None, None, None, str(e) or type(e).__name__)])
 
     files = files.where(F.substring("content", 1, 2) == b"PK")
-    rows = files.select("path", "modificationTime", "content").mapInPandas(run, "archive string, modified timestamp, member string, row_seq long, fields map<string,string>")
+    rows = files.select("path", "modificationTime", "content").mapInPandas(run, "archive string, modified timestamp, member string, row_seq long, fields map<string,string>, fault string")
     return rows.withColumn("kind", kind_of(F.col("member"))).withColumn("trade_date", file_date(F.regexp_extract("member", r"([^/\\]*)$", 1)))
 
 

@@ -1,6 +1,7 @@
 """Parquet tables by directory and name, and the folder for intermediate ones."""
 
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -18,7 +19,19 @@ def shared_dir(spark: SparkSession) -> str:
     sc = spark.sparkContext
     if sc.getCheckpointDir() is None:
         path = spark.conf.get("spark.checkpoint.dir", None)
-        if path is None and not sc.master.startswith("local"):
+        if path is None and not (sc.master == "local" or sc.master.startswith("local[")):
             raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
         sc.setCheckpointDir(path or tempfile.mkdtemp(prefix="checkpoints-"))
     return sc.getCheckpointDir()
+
+
+def new_folder(spark: SparkSession, name: str) -> str:
+    """A path in the shared folder that nothing else has."""
+    return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
+
+
+def staged(df: DataFrame, name: str) -> DataFrame:
+    """df as a table in the shared folder, for plans that read it more than once; it stays as long as the folder does."""
+    path = new_folder(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
