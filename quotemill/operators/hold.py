@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from quotemill.operators.barriers import with_steps
+
 LEAST, MOST = 1, 30
 
 
@@ -13,14 +15,12 @@ def days_to_barrier(bars: DataFrame, target: float = 0.01, stop: float = 0.005,
     return with_barrier(bars, target, stop, ahead).where("close > 0").select("symbol", "trade_date", "days")
 
 
-def with_barrier(bars: DataFrame, target: float = 0.01, stop: float = 0.005, ahead: int = 30) -> DataFrame:
-    """bars with days, null where the close isn't above 0. The rows ahead are one window frame of at most ``ahead`` pairs, not a self join."""
-    w = Window.partitionBy("symbol").orderBy("day").rowsBetween(1, ahead)
-    nexts = F.collect_list(F.struct("high", "low")).over(w)
-    up, down = F.col("close") * F.lit(str(1 + target)).cast("decimal(10,4)"), F.col("close") * F.lit(str(1 - stop)).cast("decimal(10,4)")
-    hit = lambda x: (x["high"] >= up) | (x["low"] <= down)
-    found = F.array_position(F.transform("nexts", hit), F.lit(True))
-    return bars.withColumn("nexts", nexts).withColumn("days", F.when(F.col("close") > 0, F.nullif(found, F.lit(0)).cast("bigint"))).drop("nexts")
+def with_barrier(bars: DataFrame, target: float = 0.01, stop: float = 0.005, ahead: int | None = 30, width: str | None = None) -> DataFrame:
+    """bars with days, null where the close isn't above 0; ahead None: however far the barrier is. width: for series that are cut in chunks of so much time."""
+    above = F.when(F.col("close") > 0, F.col("close"))
+    up, down = above * F.lit(str(1 + target)).cast("decimal(10,4)"), above * F.lit(str(1 - stop)).cast("decimal(10,4)")
+    found = with_steps(bars, ["symbol"], "trade_date", "high", "low", up, down, width)
+    return found.withColumn("days", F.when(F.col("steps") <= ahead, F.col("steps")) if ahead else F.col("steps")).drop("steps")
 
 
 def clamp(days: Column) -> Column:

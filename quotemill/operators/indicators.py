@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
 from quotemill.functions.coerce import exact, ratio
+from quotemill.operators.segments import over_chunks
 
 
 def series(by: str = "symbol", order: str = "day") -> WindowSpec:
@@ -101,10 +102,14 @@ def long_features(features: DataFrame) -> DataFrame:
     return features.select("trade_date", "symbol", F.inline(F.filter(pairs, lambda x: x["value"].isNotNull())))
 
 
-def candle_indicators(candles: DataFrame, by: str = "instrument", order: str = "ts") -> DataFrame:
-    """Candles with sma_5, sma_20, rsi and atr; rows before all four exist are dropped. Indicators go on across sessions."""
-    w = series(by, order)
+def candle_indicators(candles: DataFrame, by: tuple[str, ...] = (), order: str = "ts", width: str = "7 days") -> DataFrame:
+    """Candles with sma_5, sma_20, rsi and atr; rows before all four exist are dropped. Indicators go on across sessions, and series are cut in chunks of time."""
     c = F.col("close")
-    df = candles.withColumn("true_range", range_propagate_null(F.col("high"), F.col("low"), previous(c, w)))
-    df = df.withColumns({"sma_5": rolling_mean(c, w, 5), "sma_20": rolling_mean(c, w, 20), "rsi": rsi_epsilon(c, w), "atr": rolling_mean(F.col("true_range"), w, 14)})
+
+    def with_all(rows: DataFrame, keys: list[str]) -> DataFrame:
+        w = Window.partitionBy(*keys).orderBy(order)
+        rows = rows.withColumn("true_range", range_propagate_null(F.col("high"), F.col("low"), previous(c, w)))
+        return rows.withColumns({"sma_5": rolling_mean(c, w, 5), "sma_20": rolling_mean(c, w, 20), "rsi": rsi_epsilon(c, w), "atr": rolling_mean(F.col("true_range"), w, 14)})
+
+    df = over_chunks(candles, list(by), 20, with_all, order, width)
     return df.drop("true_range").dropna(subset=["sma_5", "sma_20", "rsi", "atr", "open", "high", "low", "close"])

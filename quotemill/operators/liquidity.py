@@ -6,31 +6,30 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from quotemill.functions.coerce import ratio_or_zero
+from quotemill.operators import ranks
 from quotemill.operators.indicators import mean_of_days, series
+from quotemill.sources.table_io import staged
 
 #: Floors of the hard gate: mean value, mean volume, trades, close.
 FLOORS = {"avg_20d_val": 200_000.0, "avg_20d_vol": 20_000.0, "trades": 50.0, "close": 20.0}
 KEEP = 0.30
 
 
-def rank_share(c: Column, *by: str) -> Column:
-    """Average rank among the values that aren't null, over their number; null for null."""
-    day = Window.partitionBy(*by)
-    lower = F.rank().over(day.orderBy(c.asc_nulls_last()))
-    ties = F.count(c).over(Window.partitionBy(*by, c))
-    return F.when(c.isNotNull(), (lower + (ties - 1) / 2) / F.count(c).over(day))
-
-
 def liquidity_metrics(bars: DataFrame, with_avg_value: bool = False) -> DataFrame:
     """symbol, trade_date, net_trdval, net_trdqty, trades, close, avg_20d_vol, turnover_rank_pct, turnover_norm, vol_norm, fno_flag.
 
     with_avg_value adds avg_20d_val; without that column the hard gate never passes.
     """
-    w, day = series(), Window.partitionBy("trade_date")
+    w = series()
     df = bars.withColumn("avg_20d_vol", F.coalesce(mean_of_days(F.col("net_trdqty"), w), F.col("net_trdqty").cast("double")))
     names = ["avg_20d_vol"]
     if with_avg_value:
         df, names = df.withColumn("avg_20d_val", mean_of_days(F.col("net_trdval"), w)), [*names, "avg_20d_val"]
+    df = staged(df.select("symbol", "trade_date", "net_trdval", "net_trdqty", "trades", "close", *names), "turnover")
+    values = ranks.ranked(df, "trade_date", "net_trdval")
+    shares = values.select("trade_date", "net_trdval", ranks.rank_share().alias("turnover_rank_pct"))
+    most = df.groupBy("trade_date").agg(F.max("net_trdval").alias("most_value"), F.max("avg_20d_vol").alias("most_volume"))
+    df = df.join(shares, ["trade_date", "net_trdval"], "left").join(most, "trade_date")
     return df.select(
         "symbol",
         "trade_date",
@@ -39,9 +38,9 @@ def liquidity_metrics(bars: DataFrame, with_avg_value: bool = False) -> DataFram
         "trades",
         F.col("close").cast("double").alias("close"),
         *names,
-        rank_share(F.col("net_trdval"), "trade_date").alias("turnover_rank_pct"),
-        ratio_or_zero(F.col("net_trdval"), F.max("net_trdval").over(day)).alias("turnover_norm"),
-        ratio_or_zero(F.col("avg_20d_vol"), F.max("avg_20d_vol").over(day)).alias("vol_norm"),
+        "turnover_rank_pct",
+        ratio_or_zero(F.col("net_trdval"), F.col("most_value")).alias("turnover_norm"),
+        ratio_or_zero(F.col("avg_20d_vol"), F.col("most_volume")).alias("vol_norm"),
         F.lit(False).alias("fno_flag"),
     )
 
@@ -51,9 +50,11 @@ def with_gates(metrics: DataFrame, keep: float = KEEP, floors: dict[str, float]
     hard = F.lit(True)
     for name, floor in floors.items():
         hard = hard & ((F.coalesce(F.col(name), F.lit(0)) >= floor) if name in metrics.columns else F.lit(False))
-    bound = F.percentile("turnover_rank_pct", F.lit(1 - keep)).over(Window.partitionBy("trade_date"))
-    share = F.coalesce(F.coalesce("turnover_rank_pct", F.lit(0.0)) >= bound, F.lit(False))
-    return metrics.withColumns({"hard_pass": hard, "pct_pass": share}).withColumn("liquidity_pass", F.col("hard_pass") & F.col("pct_pass"))
+    metrics = staged(metrics, "metrics")
+    bounds = ranks.quantiles(ranks.ranked(metrics, "trade_date", "turnover_rank_pct"), "trade_date", "turnover_rank_pct", 1 - keep)
+    share = F.coalesce(F.coalesce("turnover_rank_pct", F.lit(0.0)) >= F.col("quantile"), F.lit(False))
+    metrics = metrics.join(bounds, "trade_date", "left")
+    return metrics.withColumns({"hard_pass": hard, "pct_pass": share}).withColumn("liquidity_pass", F.col("hard_pass") & F.col("pct_pass")).drop("quantile")
 
 
 def gated(metrics: DataFrame, mode: str = "tag", **how) -> DataFrame:

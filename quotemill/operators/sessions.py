@@ -126,8 +126,27 @@ def normal_candles(raw: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
     return df.withColumn("reason", reason.when(F.col("low") > F.col("high"), "low exceeds high")).withColumn("valid", F.col("reason").isNull())
 
 
-def patched(bulk: DataFrame, patch: DataFrame, key: str = "ts") -> DataFrame:
-    """bulk with the patch's values where it has any."""
-    other = patch.select(F.col(key), *[F.col(c).alias(f"patch_{c}") for c in patch.columns if c != key])
-    cols: list[Column] = [F.coalesce(F.col(f"patch_{c}"), F.col(c)).alias(c) if c in patch.columns and c != key else F.col(c) for c in bulk.columns]
+def patched(bulk: DataFrame, patch: DataFrame, key: str = "ts", within: int = 0) -> DataFrame:
+    """bulk with the patch's values in candles that have a null, wherever the patch has a value there; candles without a null stay as they are.
+
+    A candle's patch is the one nearest in time, at most ``within`` seconds off; of two as near the earlier
+    one. Both sides go into bins of time, so that a candle meets only its neighbours.
+    """
+    values = [c for c in bulk.columns if c != key]
+    gap = F.lit(False)
+    for c in values:
+        gap = gap | F.col(c).isNull()
+    shared = [c for c in values if c in patch.columns]
+    other = patch.where(F.col(key).isNotNull()).select(F.col(key).alias("patch_at"), F.struct(*[F.col(c).alias(c) for c in shared]).alias("patch"))
+    if within:
+        at = lambda c: F.unix_micros(F.col(c).cast("timestamp"))
+        width = within * 1_000_000
+        bin_ = lambda c: F.floor(at(c) / width).cast("long")
+        other = other.withColumn("bin", F.explode(F.array(*[bin_("patch_at") + k for k in (-1, 0, 1)])))
+        off = F.abs(at("patch_at") - at(key))
+        near = bulk.where(gap).select(key).distinct().withColumn("bin", bin_(key)).join(other, "bin").where(off <= width)
+        other = near.groupBy(key).agg(F.min_by("patch", F.struct(off.alias("off"), "patch_at")).alias("patch"))
+    else:
+        other = other.groupBy(F.col("patch_at").alias(key)).agg(F.first("patch").alias("patch"))
+    cols: list[Column] = [F.when(gap, F.coalesce(F.col(f"patch.{c}"), F.col(c))).otherwise(F.col(c)).alias(c) if c in shared else F.col(c) for c in bulk.columns]
     return bulk.join(other, key, "left").select(*cols)

@@ -5,7 +5,6 @@ from __future__ import annotations
 import io
 import os
 import zipfile
-from collections.abc import Callable
 
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, Window
@@ -14,29 +13,18 @@ from pyspark.sql import functions as F
 from quotemill.functions import coerce, names
 from quotemill.operators import candidates, hold, indicators, instruments, labels, liquidity, risk, scans, selection, sessions, signals, trading_days
 from quotemill.plans.fragments import CANDLES_SQL, FEATURES_SQL, LABELS_SQL, METRICS_SQL, OUTCOMES_SQL, PRICED_SQL, SELECTION_SQL, SIGNALS_SQL, VWAP_SQL
+from quotemill.plans.queries import ORACLE, QUERIES, query
 from quotemill.sources import archive, store
 from quotemill.sources.standin import BARS_SQL, bars, candles, candles_of
 from quotemill.sources.table_io import shared_dir, table
 from quotemill.streaming import candles as streams
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
-ORACLE: dict[str, str] = {}
 #: The stand-in prices jump, so that a gap of 2 percent would keep nearly every bar.
 GAP = 200.0
 #: The stand-in's barriers, for hold days that differ.
 TARGET, STOP = 3.0, 0.95
 
 
-def query(sql: str | None = None):
-    def add(f):
-        QUERIES[f.__name__] = f
-        if sql:
-            ORACLE[f.__name__] = sql
-        return f
-
-    return add
-
-
 def features(spark: SparkSession, sf_dir: str) -> DataFrame:
     return indicators.with_features(bars(spark, sf_dir))
 
@@ -45,8 +33,6 @@ def doubles(df: DataFrame, *cols: str) -> DataFrame:
     return df.withColumns({c: F.col(c).cast("double") for c in cols})
 
 
-
-
 def series():
     return indicators.series()
 
@@ -171,7 +157,7 @@ _CANDLE_SERIES = (
 
 @query(f"WITH {_CANDLE_SERIES} SELECT session, ts, close, sma_5, sma_20, round(rsi, 6) AS rsi, atr FROM full_ WHERE sma_20 IS NOT NULL AND rsi IS NOT NULL AND atr IS NOT NULL")
 def candle_indicators(spark, sf_dir):
-    df = indicators.candle_indicators(candles(spark, sf_dir).withColumn("instrument", F.lit("X")))
+    df = indicators.candle_indicators(candles(spark, sf_dir))
     return df.select("session", "ts", F.col("close").cast("double").alias("close"), "sma_5", "sma_20", F.round("rsi", 6).alias("rsi"), "atr")
 
 
@@ -429,13 +415,15 @@ def candle_normalised(spark, sf_dir):
 
 
 @query(
-    f"""WITH {CANDLES_SQL}, late AS (SELECT ts, max(value::DECIMAL(18,4)) AS high FROM (SELECT time_bucket(INTERVAL 5 MINUTE, ts) AS ts, value FROM events WHERE event_type = 'error') GROUP BY ts)
-    SELECT c.ts, coalesce(l.high, c.high)::DOUBLE AS high, c.low::DOUBLE AS low FROM candles c LEFT JOIN late l ON l.ts = c.ts"""
+    f"""WITH {CANDLES_SQL}, late AS (SELECT ts, max(value::DECIMAL(18,4)) AS high, min(value::DECIMAL(18,4)) AS low FROM (SELECT time_bucket(INTERVAL 5 MINUTE, ts) AS ts, value FROM events WHERE event_type = 'error') GROUP BY ts)
+    SELECT c.ts, CASE WHEN c.volume > 1 THEN c.high ELSE coalesce(l.high, c.high) END::DOUBLE AS high, CASE WHEN c.volume > 1 THEN c.low ELSE l.low END::DOUBLE AS low FROM candles c LEFT JOIN late l ON l.ts = c.ts"""
 )
 def gap_patch(spark, sf_dir):
-    errors = table(spark, sf_dir, "events").where("event_type = 'error'").select(F.window("ts", "5 minutes")["start"].alias("ts"), F.col("value").cast("decimal(18,4)").alias("high"))
-    patch = errors.groupBy("ts").agg(F.max("high").alias("high"))
-    return doubles(sessions.patched(candles(spark, sf_dir), patch), "high", "low").select("ts", "high", "low")
+    """Candles of one tick have lost their low, and only they are patched; patches are stamped 40 seconds late."""
+    errors = table(spark, sf_dir, "events").where("event_type = 'error'").select(F.window("ts", "5 minutes")["start"].alias("ts"), F.col("value").cast("decimal(18,4)").alias("price"))
+    patch = errors.groupBy("ts").agg(F.max("price").alias("high"), F.min("price").alias("low")).withColumn("ts", F.col("ts") + F.expr("INTERVAL 40 SECONDS"))
+    bulk = candles(spark, sf_dir).select("ts", "high", F.when(F.col("volume") > 1, F.col("low")).alias("low"))
+    return doubles(sessions.patched(bulk, patch, within=60), "high", "low").select("ts", "high", "low")
 
 
 @query(f"WITH {OUTCOMES_SQL} SELECT symbol, trade_date, up_pct, down_pct, range_pct, outcome FROM outcomes")
@@ -446,7 +434,7 @@ def stock_outcome(spark, sf_dir):
 # selection quality
 
 
-def _classified(spark, sf_dir) -> DataFrame:
+def classified(spark, sf_dir) -> DataFrame:
     rows = bars(spark, sf_dir)
     chosen = F.row_number().over(Window.partitionBy("trade_date").orderBy(F.desc("net_trdval"), "symbol")) <= 5
     return selection.classes(rows.select("trade_date", "symbol", chosen.alias("selected")), sessions.stock_outcome(rows.where("high > low")))
@@ -454,17 +442,17 @@ def _classified(spark, sf_dir) -> DataFrame:
 
 @query(f"WITH {SELECTION_SQL} SELECT trade_date, symbol, selected, outcome, classification FROM classified")
 def conversion_classes(spark, sf_dir):
-    return _classified(spark, sf_dir)
+    return classified(spark, sf_dir)
 
 
 @query(f"WITH {SELECTION_SQL} SELECT trade_date, symbol, 'STOCK_DATA_MISSING' AS issue_type FROM classified WHERE outcome IS NULL")
 def selection_data_gaps(spark, sf_dir):
-    return selection.data_gaps(_classified(spark, sf_dir))
+    return selection.data_gaps(classified(spark, sf_dir))
 
 
 @query(f"WITH {SELECTION_SQL} SELECT * FROM daily")
 def conversion_summary(spark, sf_dir):
-    return selection.summary(_classified(spark, sf_dir))
+    return selection.summary(classified(spark, sf_dir))
 
 
 @query(
@@ -472,7 +460,7 @@ def conversion_summary(spark, sf_dir):
     SELECT *, total_success::DOUBLE / total_selected AS conversion_rate, total_failure::DOUBLE / total_selected AS failure_rate, total_missed_opportunities::DOUBLE / total_candidates AS missed_opportunity_rate FROM t"""
 )
 def conversion_totals(spark, sf_dir):
-    return selection.totals(selection.summary(_classified(spark, sf_dir)))
+    return selection.totals(selection.summary(classified(spark, sf_dir)))
 
 
 _RULES_SQL = (
@@ -486,7 +474,7 @@ _RULES_SQL = (
 
 @query(f"WITH {_RULES_SQL} SELECT * FROM rules")
 def selection_suggestions(spark, sf_dir):
-    return selection.suggestions(selection.summary(_classified(spark, sf_dir)))
+    return selection.suggestions(selection.summary(classified(spark, sf_dir)))
 
 
 _S = selection.SENTENCES
@@ -500,7 +488,7 @@ _S = selection.SENTENCES
     CASE WHEN n > 0 THEN n || ' improvement opportunities identified.' END) AS summary_text FROM named"""
 )
 def selection_summary_text(spark, sf_dir):
-    return selection.summary_text(selection.summary(_classified(spark, sf_dir)))
+    return selection.summary_text(selection.summary(classified(spark, sf_dir)))
 
 
 @query(
@@ -985,8 +973,8 @@ def staging_from_archive(spark, sf_dir):
 
 
 def _archive(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
-    """A ZIP archive with a member of the rows' lines, one line that can't be read, and one member that is no table."""
-    lines = ["Security ,close_price,prev_cl_pr", *rows.sort_values("s_suppkey")["line"], "broken line"]
+    """A ZIP archive with a member of the rows' lines, an empty line, a line that is too long and one that is too short, and one member that is no table."""
+    lines = ["Security ,close_price,prev_cl_pr", "", "much,too,long,a line", *rows.sort_values("s_suppkey")["line"], "short line"]
     made = io.BytesIO()
     with zipfile.ZipFile(made, "w") as z:
         z.writestr("x/GL031025.csv", "\n".join(lines))
@@ -995,7 +983,8 @@ def _archive(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
 
 
 @query("""SELECT s_nationkey::VARCHAR AS nation, DATE '2025-10-03' AS trade_date, row_number() OVER (PARTITION BY s_nationkey ORDER BY s_suppkey) - 1 AS row_seq, s_name AS security,
-  (1000 + abs(s_acctbal::DECIMAL(18,2)) % 1000)::DOUBLE AS close, '{"PREV_CL_PR":"' || s_nationkey || '"}' AS extras FROM supplier""")
+  (1000 + abs(s_acctbal::DECIMAL(18,2)) % 1000)::DOUBLE AS close, '{"PREV_CL_PR":"' || s_nationkey || '"}' AS extras FROM supplier
+  UNION ALL SELECT s_nationkey::VARCHAR, DATE '2025-10-03', count(*), 'short line', NULL, '{}' FROM supplier GROUP BY s_nationkey""")
 def archive_scan(spark, sf_dir):
     """Suppliers of each nation in an archive of their own, made in tasks, and read back through it."""
     amount = F.lpad((F.abs(F.col("s_acctbal").cast("decimal(18,2)")) % 1000).cast("decimal(5,2)").cast("string"), 6, "0")
@@ -1006,6 +995,24 @@ def archive_scan(spark, sf_dir):
     return df.select(F.regexp_extract("archive", "^/([^/]+)/", 1).alias("nation"), "trade_date", "row_seq", "security", coerce.number_text(F.col("close")).alias("close"), "extras")
 
 
+def _damaged(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
+    """An archive that is whole, cut short, or has a member whose bytes were changed; or a file that is no archive."""
+    made = _archive(key, rows)
+    content, kind = made["content"][0], int(key[0]) % 4
+    at = content.index(b"Security ")
+    broken = (content, content[: len(content) // 2], content[: at + 40] + bytes(b ^ 1 for b in content[at + 40 : at + 60]) + content[at + 60 :], b"no archive")
+    return made.assign(content=[broken[kind]])
+
+
+@query("""SELECT s_nationkey::VARCHAR AS nation, s_nationkey % 4 = 2 AS in_member, s_nationkey % 4 <> 0 AS faulty, CASE WHEN s_nationkey % 4 = 0 THEN count(*) + 1 ELSE 0 END AS table_rows FROM supplier WHERE s_nationkey % 4 <> 3 GROUP BY s_nationkey""")
+def archive_faults(spark, sf_dir):
+    """Damaged archives are told in a column, and the others are read."""
+    files = table(spark, sf_dir, "supplier").withColumn("line", F.lit("a,1,2")).select("s_nationkey", "s_suppkey", "line").groupBy("s_nationkey").applyInPandas(_damaged, "path string, content binary")
+    rows = archive.member_rows(files.withColumn("modificationTime", F.lit("2025-10-03 18:00:00").cast("timestamp")))
+    rows = rows.groupBy(F.regexp_extract("archive", "^/([^/]+)/", 1).alias("nation")).agg(F.bool_or(F.col("fault").isNotNull() & F.col("member").isNotNull()).alias("in_member"), F.bool_or(F.col("fault").isNotNull()).alias("faulty"), F.count("fields").alias("table_rows"))
+    return rows
+
+
 def _shared(spark: SparkSession) -> str:
     return shared_dir(spark)
 

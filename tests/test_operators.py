@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from quotemill.functions import coerce, names
-from quotemill.operators import candidates, hold, indicators, instruments, labels, liquidity, risk, scans, selection, sessions, signals, trading_days
+from quotemill.operators import candidates, hold, indicators, instruments, labels, liquidity, ranks, risk, scans, selection, sessions, signals, trading_days
 from quotemill.sources import store
 
 D0 = dt.date(2025, 1, 1)
@@ -114,8 +114,10 @@ def test_labels(spark, side, prices, bar, want):
 
 
 def test_rank_share_averages_ties(spark):
-    df = spark.createDataFrame([(1, 1.0), (1, 2.0), (1, 2.0), (1, None), (1, 5.0)], "d int, v double").withColumn("r", liquidity.rank_share(F.col("v"), "d"))
-    assert sorted(((r["v"], r["r"]) for r in df.collect()), key=str) == sorted([(1.0, 0.25), (2.0, 0.625), (2.0, 0.625), (None, None), (5.0, 1.0)], key=str)
+    df = spark.createDataFrame([(1, 1.0), (1, 2.0), (1, 2.0), (1, None), (1, 5.0)], "d int, v double")
+    found = ranks.ranked(df, "d", "v")
+    assert sorted((r["v"], r["n"], r["r"]) for r in found.withColumn("r", ranks.rank_share()).collect()) == [(1.0, 1, 0.25), (2.0, 2, 0.625), (5.0, 1, 1.0)]
+    assert [r["quantile"] for r in ranks.quantiles(found, "d", "v", 0.7).collect()] == [pytest.approx(2.3)]
 
 
 def test_gates_without_average_value_never_pass_and_scores_of_nothing_are_zero(spark):
