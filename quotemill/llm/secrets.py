@@ -10,10 +10,13 @@ scanning and masking stay inside each row: no join, no shuffle, no Python.
 
 from __future__ import annotations
 
+import hashlib
 import re
+from functools import lru_cache
 
+import xxhash
 from pyspark.ml.classification import RandomForestClassificationModel, RandomForestClassifier
-from pyspark.ml.feature import VectorAssembler
+from pyspark.ml.linalg import Vectors
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -124,13 +127,34 @@ def candidates(text: Column) -> Column:
     return let(words_of(text), found)
 
 
+def _hash(*parts: str | tuple[int, int]) -> int:
+    """Spark's xxhash64 of texts and of integers of so many bytes."""
+    seed = 42
+    for x in parts:
+        seed = xxhash.xxh64_intdigest(x.encode() if isinstance(x, str) else x[0].to_bytes(x[1], "little"), seed)
+    return seed - (seed >> 63 << 64)
+
+
 def labelled_findings(spark: SparkSession, per_kind: int = PER_KIND) -> DataFrame:
     """kind, value, left, right, path, label: findings made by rule, the same every time. 1: a secret; 0: a false positive."""
-    rnd = lambda tag, n: F.substring(F.concat(F.md5(F.concat(F.lit(tag), F.col("id"))), F.md5(F.concat(F.lit(f"{tag}+"), F.col("id"))), F.md5(F.concat(F.lit(f"{tag}-"), F.col("id")))), 1, n)
-    b32 = lambda tag, n: F.translate(rnd(tag, n), "0123456789abcdef", "QW3RTYUI7PASDF5H")
-    b64 = lambda tag, n: F.concat_ws("", *[F.translate(rnd(f"{tag}{k}", n // 4), "0123456789abcdef", alphabet) for k, alphabet in enumerate(("aQ3xW9zLmK0PvJ5t", "Bn7cRy2HsD8fGe4U", "iO1oTpZqX6AjwYk-", "lMrEhSb_CgNdVuI3"))])
-    digits = lambda tag, n: F.translate(rnd(tag, n), "abcdef", "314159")
-    words = lambda tag, n: F.concat_ws("_", *[F.element_at(F.array(*[F.lit(w) for w in DICTIONARY]), (F.pmod(F.xxhash64(F.lit(tag), F.col("id"), F.lit(k)), F.lit(len(DICTIONARY))) + 1).cast("int")) for k in range(n)])
+    rows = [(kind, *_findings(k)[kind]) for kind in range(len(_findings(0))) for k in range(per_kind)]
+    return spark.createDataFrame(rows, "kind int, value string, left string, right string, path string, label int")
+
+
+@lru_cache(maxsize=256)
+def _findings(number: int) -> list[tuple[str, str, str, str, int]]:
+    """The finding of each kind with this number."""
+    md5 = lambda tag: hashlib.md5(f"{tag}{number}".encode()).hexdigest()
+    rnd = lambda tag, n: (md5(tag) + md5(f"{tag}+") + md5(f"{tag}-"))[:n]
+    swap = lambda text, a, b: text.translate(str.maketrans(a, b))
+    b32 = lambda tag, n: swap(rnd(tag, n), "0123456789abcdef", "QW3RTYUI7PASDF5H")
+    b64 = lambda tag, n: "".join(swap(rnd(f"{tag}{k}", n // 4), "0123456789abcdef", alphabet) for k, alphabet in enumerate(("aQ3xW9zLmK0PvJ5t", "Bn7cRy2HsD8fGe4U", "iO1oTpZqX6AjwYk-", "lMrEhSb_CgNdVuI3")))
+    digits = lambda tag, n: swap(rnd(tag, n), "abcdef", "314159")
+    words = lambda tag, n: "_".join(DICTIONARY[_hash(tag, (number, 8), (k, 4)) % len(DICTIONARY)] for k in range(n))
+    one = lambda tag, xs: xs[_hash(tag, (number, 8)) % len(xs)]
+    phrase = lambda tag, sep: sep.join(one(f"{tag}{k}", UNCOMMON) for k in range(4))
+    leet = lambda tag: swap(one(tag, UNCOMMON).capitalize(), "aeiost", "@31057")
+    mixed_case = lambda tag, n: swap(rnd(tag, n), "0123456789abcdef", "aQxWzLmKPvJtRyHe")  # noqa: E731  no digits
     plain = ("the value was", "see also", "und die", "de la", "of that", "")
     secret = ("password=", "api_key =", "token = \"", "secret:", "client_secret = '", "Authorization: Bearer", "access_key =", "pwd:")
     hashes = ("commit", "sha256:", "md5 checksum", "etag =", "uuid", "revision", "digest:", "build")
@@ -138,71 +162,62 @@ def labelled_findings(spark: SparkSession, per_kind: int = PER_KIND) -> DataFram
     after, after_hash = ("the", "und die", "", "que did", "in order", "de la", "number of"), ("was merged", "is the checksum", "commit", "matches sha256", "build log")
     files = ("src/app.py", "conf/settings.yml", "web", "notes.txt")
     tests = ("tests/data.py", "docs/example.md", "samples/demo.txt", "fixtures/a.json")
-    one = lambda tag, xs: F.element_at(F.array(*[F.lit(x) for x in xs]), (F.pmod(F.xxhash64(F.lit(tag), F.col("id")), F.lit(len(xs))) + 1).cast("int"))
-    phrase = lambda tag, sep: F.concat_ws(sep, *[one(f"{tag}{k}", UNCOMMON) for k in range(4)])
-    leet = lambda tag: F.translate(F.initcap(one(tag, UNCOMMON)), "aeiost", "@31057")
-    mixed_case = lambda tag, n: F.translate(rnd(tag, n), "0123456789abcdef", "aQxWzLmKPvJtRyHe")  # noqa: E731  no digits
     kinds = [
-        (F.concat(F.lit("AKIA"), b32("a", 16)), plain + secret, files, 1),
+        ("AKIA" + b32("a", 16), plain + secret, files, 1),
         (rnd("t", 40), secret, files, 1),
         (rnd("p", 18), secret, files, 1),
         (rnd("q", 32), secret, files, 1),
         (b64("u", 24), secret, files, 1),
         (b64("v", 40), secret, files, 1),
-        (F.concat(F.lit("ghp_"), b64("g", 36)), plain + secret, files, 1),
-        (F.concat(F.lit("sk_live_"), F.translate(b64("s", 24), "_-", "xy")), plain + secret, files, 1),
-        (F.concat(F.lit("xoxb-"), digits("x", 12), F.lit("-"), b64("y", 24)), plain + secret, files, 1),
-        (F.concat(leet("A"), digits("B", 2)), secret, files, 1),
-        (F.concat(one("C", UNCOMMON), digits("D", 1), F.lit("-"), digits("E", 4)), secret, files, 1),
-        (F.concat(F.initcap(one("F", UNCOMMON)), one("G", ("!", "@", "#", "$", "&")), digits("H", 4)), secret, files, 1),
+        ("ghp_" + b64("g", 36), plain + secret, files, 1),
+        ("sk_live_" + swap(b64("s", 24), "_-", "xy"), plain + secret, files, 1),
+        (f"xoxb-{digits('x', 12)}-{b64('y', 24)}", plain + secret, files, 1),
+        (leet("A") + digits("B", 2), secret, files, 1),
+        (f"{one('C', UNCOMMON)}{digits('D', 1)}-{digits('E', 4)}", secret, files, 1),
+        (one("F", UNCOMMON).capitalize() + one("G", ("!", "@", "#", "$", "&")) + digits("H", 4), secret, files, 1),
         (phrase("I", "_"), secret, files, 1),
         (phrase("J", "-"), secret, files, 1),
         (phrase("K", "."), secret, files, 1),
-        (F.concat(b64("L", 8), one("M", (".", "=", "!", "@", "&", "~")), b64("N", 8)), secret, files, 1),
+        (b64("L", 8) + one("M", (".", "=", "!", "@", "&", "~")) + b64("N", 8), secret, files, 1),
         (b64("O", 8), secret, files, 1),
         (b64("P", 12), secret, files, 1),
         (mixed_case("Q", 12), secret, files, 1),
         (mixed_case("R", 24), secret, files, 1),
-        (F.concat(rnd("S", 6), one("T", ("!", "~", ".", "&")), mixed_case("U", 5)), secret, files, 1),
+        (rnd("S", 6) + one("T", ("!", "~", ".", "&")) + mixed_case("U", 5), secret, files, 1),
         (one("V", DICTIONARY), secret, files, 0),
         (one("W", UNCOMMON), secret, files, 0),
         (one("X", ("null", "None", "true", "false", "required", "optional", "string", "xxxxxxxx", "********", "...", "str", "the", "der", "que", "les", "REDACTED", "changeme", "undefined")), secret, files, 0),
         (words("Y", 2), secret, files, 0),
-        (F.translate(words("Z", 2), "_", "."), secret, files, 0),
-        (F.translate(words("ab", 3), "_", "-"), secret, files, 0),
-        (F.concat(F.lit("${"), F.upper(words("ac", 2)), F.lit("}")), secret, files, 0),
-        (F.concat(F.lit("{{"), words("ad", 1), F.lit("}}")), secret, files, 0),
-        (F.concat(words("ae", 2), F.lit("()")), secret, files, 0),
-        (F.concat(F.lit("os.environ['"), F.upper(words("af", 2))), secret, files, 0),
+        (swap(words("Z", 2), "_", "."), secret, files, 0),
+        (swap(words("ab", 3), "_", "-"), secret, files, 0),
+        ("${" + words("ac", 2).upper() + "}", secret, files, 0),
+        ("{{" + words("ad", 1) + "}}", secret, files, 0),
+        (words("ae", 2) + "()", secret, files, 0),
+        ("os.environ['" + words("af", 2).upper(), secret, files, 0),
         (digits("ag", 3), secret, files, 0),
-        (F.concat(F.lit("https://"), words("ah", 1), F.lit("."), words("ai", 1), F.lit(".com/")), secret, files, 0),
+        (f"https://{words('ah', 1)}.{words('ai', 1)}.com/", secret, files, 0),
         (rnd("c", 40), hashes + plain, files, 0),
         (rnd("m", 32), hashes + plain, files, 0),
-        (F.concat_ws("-", rnd("d", 8), rnd("e", 4), rnd("f", 4), rnd("h", 4), rnd("i", 12)), hashes + plain + contact, files, 0),
+        ("-".join((rnd("d", 8), rnd("e", 4), rnd("f", 4), rnd("h", 4), rnd("i", 12))), hashes + plain + contact, files, 0),
         (digits("n", 16), contact + plain, files, 0),
         (digits("o", 20), contact + plain, files, 0),
-        (F.concat_ws("-", digits("j", 4), digits("k", 4), digits("l", 4), digits("r", 4)), contact + plain, files, 0),
-        (F.concat(words("w", 3), F.lit("_"), digits("z", 2)), plain + secret, files, 0),
-        (F.concat(F.lit("/"), F.translate(words("b", 3), "_", "/"), F.lit("/"), digits("0", 3)), plain + contact, files, 0),
-        (F.concat(F.lit("your_"), words("1", 2), F.lit("_here_"), digits("2", 3)), secret, files, 0),
-        (F.concat(F.lit("AKIA"), F.lit("EXAMPLE"), b32("3", 2), F.lit("1EXAMPLE")), secret, tests, 0),
+        ("-".join(digits(tag, 4) for tag in "jklr"), contact + plain, files, 0),
+        (words("w", 3) + "_" + digits("z", 2), plain + secret, files, 0),
+        (f"/{swap(words('b', 3), '_', '/')}/{digits('0', 3)}", plain + contact, files, 0),
+        (f"your_{words('1', 2)}_here_{digits('2', 3)}", secret, files, 0),
+        (f"AKIAEXAMPLE{b32('3', 2)}1EXAMPLE", secret, tests, 0),
         (rnd("4", 40), secret, tests, 0),
         (rnd("5", 18), secret, tests, 0),
         (digits("6", 16), secret[3:5], tests, 0),
     ]
-    out = None
-    for kind, (value, lefts, paths, label) in enumerate(kinds):
-        rights = after + (after_hash if lefts[: len(hashes)] == hashes else ())
-        pick = lambda xs, salt: F.element_at(F.array(*[F.lit(x) for x in xs]), (F.pmod(F.xxhash64("id", F.lit(salt)), F.lit(len(xs))) + 1).cast("int"))
-        rows = spark.range(per_kind).select(F.lit(kind).alias("kind"), value.alias("value"), pick(lefts, 1).alias("left"), pick(rights, 3).alias("right"), pick(paths, 2).alias("path"), F.lit(label).alias("label"))
-        out = rows if out is None else out.unionByName(rows)
-    return out
+    pick = lambda xs, salt: xs[_hash((number, 8), (salt, 4)) % len(xs)]
+    return [(value, pick(lefts, 1), pick(after + (after_hash if lefts[: len(hashes)] == hashes else ()), 3), pick(paths, 2), label) for value, lefts, paths, label in kinds]
 
 
 def training_rows(findings: DataFrame) -> DataFrame:
-    """label and the features as one vector."""
-    rows = findings.select(F.col("label").cast("double").alias("label"), *[c.alias(n) for n, c in zip(FEATURES, features(F.col("value"), F.col("left"), F.col("right"), F.col("path")), strict=True)]).coalesce(1)
-    return VectorAssembler(inputCols=list(FEATURES), outputCol="features").transform(rows)
+    """label and the features as one vector; findings are few, so their features are computed once and kept as rows of the plan."""
+    rows = findings.select(F.col("label").cast("double").alias("label"), F.array(*features(F.col("value"), F.col("left"), F.col("right"), F.col("path"))).alias("features")).collect()
+    return findings.sparkSession.createDataFrame([(r["label"], Vectors.dense(r["features"])) for r in rows], ["label", "features"]).coalesce(1)
 
 
 def trained(findings: DataFrame, trees: int = TREES, depth: int = DEPTH) -> RandomForestClassificationModel:
