@@ -124,7 +124,14 @@ def candidates(text: Column) -> Column:
 
         return F.flatten(F.transform(at, each))
 
-    return let(words_of(text), found)
+    kind = "array<struct<value:string,left:string,right:string>>"
+    return F.when(may_hold(text), let(words_of(text), found)).otherwise(F.array().cast(kind))
+
+
+def may_hold(text: Column) -> Column:
+    """Whether a text can have a candidate at all: something assigns, or there is a digit and a long run. Few texts do, and only those are cut in words."""
+    assigns = F.contains(text, F.lit(":")) | F.contains(text, F.lit("=")) | text.rlike("(?i)bearer")
+    return F.coalesce(assigns | text.rlike("[0-9]") & text.rlike(_RUN), F.lit(False))
 
 
 def _hash(*parts: str | tuple[int, int]) -> int:

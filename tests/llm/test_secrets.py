@@ -135,3 +135,39 @@ def test_words_after_and_clashing_columns(spark):
     assert secret_findings(df).count() == secret_findings(docs(spark)).count()
     got = spark.createDataFrame([(f"see {HEX} the checksum of it",)], "text string").select(module.candidates(F.col("text")).alias("c")).first()["c"]
     assert [(r["value"], r["left"], r["right"]) for r in got] == [(HEX, " see ", "the checksum")] or [(r["value"], r["right"]) for r in got] == [(HEX, "the checksum")]
+
+
+def plain_candidates(text):
+    """(value, start) of all candidates, word by word: assigned values first, then the runs inside."""
+    inside, assigned = (p.replace("(?i)", "") for p in (module._INSIDE, module._ASSIGNED))
+    out, words = [], [(m[0], m.start()) for m in re.finditer(r"[^\x20\x09-\x0D]+", text or "")]
+    word = lambda i: words[i][0] if 0 <= i < len(words) else None
+    for i, (w, at) in enumerate(words):
+        before = " ".join(x for x in (word(i - 2), word(i - 1)) if x is not None)
+        value = None
+        if re.search("[:=].", w) and re.search(inside, w, re.I):
+            value = re.sub(rf"^.*?{inside}", "", w, count=1, flags=re.I)
+        elif word(i - 1) and (re.search("[:=]>?[\"'(<]*$", word(i - 1)) or re.search("(?i)bearer$", word(i - 1))) and re.search(assigned, before, re.I) and re.search("[A-Za-z0-9]", w):
+            value = re.sub(module._OPENING, "", w)
+        value = re.sub(module._CLOSING, "", value) if value else None
+        if value:
+            out.append((value, at))
+        if len(w) >= module.MIN_LENGTH and re.search("[0-9]", w):
+            out += [(m[0], at) for m in re.finditer(module._RUN, w) if re.search("[0-9]", m[0]) and m[0] != value]
+    return [(v, text.index(v, at)) for v, at in out]
+
+
+def test_candidates_and_their_starts_against_a_plain_scanner(spark):
+    """Over the tables' texts and odd ones: every candidate, in order, at a place where the text has it."""
+    odd = [t for _, t in TEXTS] + ["pwd: hunter2-2024!", "Authorization: Bearer abcDEF123", "secret=(x) token=\"a b\" key=:", "a" * 40, "a" * 40 + "1", "1" * 15, "x=y", "password = tr0ub4dor&3, and", "api_key:", ":=", "ACCESS-KEY=>'q.w'", "ünïcode secret=ñ1 ñ1"]
+    rows = [(k, t) for k, t in enumerate(odd)] + [(1000 + r["doc_id"], r["text"]) for r in spark.read.parquet("/root/testdata/sf0.01/documents.parquet").collect()]
+    df = spark.createDataFrame([(i, t, "web") for i, t in rows], "doc_id long, text string, source string").repartition(4)
+    got = {}
+    for r in secret_findings(df).orderBy("doc_id", "finding").collect():
+        got.setdefault(r["doc_id"], []).append((r["value"], r["start"]))
+    texts = dict(rows)
+    for i, t in rows:
+        want = plain_candidates(t)
+        assert [v for v, _ in got.get(i, [])] == [v for v, _ in want], t
+        assert all(texts[i][s:].startswith(v) for v, s in got.get(i, []))
+    assert sum(map(len, got.values())) > 60
