@@ -4,8 +4,9 @@ Vectors are grouped around centroids. A vector near the boundary of its cell is
 lists of several centroids: those at most REPLICA_RATIO farther than its nearest. Centroids are searched on a graph of neighbouring
 centroids held in memory: a beam search finds the nearest, and a walk from those every list within
 a limit. A query reads the lists whose distance is at most a ratio of that of its ANCHOR-th nearest
-list. The ratio isn't guessed: PILOTS vectors are compared with all rows, and it is the least one
-under which they find the share TARGET of their true neighbours. So the number of lists read
+list. The ratio isn't guessed: pilots, a tenth as many as there are queries, are compared with all rows,
+and it is the least one under which they find the share TARGET of their true neighbours, and two standard
+errors more, since few pilots can be lucky. So the number of lists read
 follows the data and the query, and is not capped. Largest inner product becomes smallest distance
 by one more coordinate, that brings all vectors to the same length.
 
@@ -38,8 +39,8 @@ LISTS, LEAST_ROWS = 7.0, 12
 REPLICA_RATIO, REPLICAS = 1.01, 4
 #: Distances are taken in proportion to that of a query's list of this rank.
 ANCHOR = 32
-#: Vectors that are compared with all rows to choose the ratio, and the share of their neighbours to be found.
-PILOTS, TARGET = 512, 0.93
+#: Vectors that are compared with all rows to choose the ratio: one for so many queries, at least and at most so many; and the share of their neighbours to be found.
+PILOT_QUERIES, LEAST_PILOTS, PILOTS, TARGET = 10, 16, 512, 0.93
 #: Lists read first.
 FIRST = 8
 #: Entries of a cell aimed at, and the most of a block; queries of a block.
@@ -243,7 +244,7 @@ def _pilot_scores(vectors: np.ndarray, most: int):
 
 
 def choose_ratio(entries: DataFrame, posted: DataFrame, graph: CentroidGraph, longest: float, k: int, pilots: int = PILOTS, target: float = TARGET) -> float:
-    """The least ratio of distances under which pilots find the share ``target`` of their k true neighbours."""
+    """The least ratio of distances under which pilots find the share ``target`` of their k true neighbours, and two standard errors more."""
     sample = entries.orderBy(F.xxhash64(F.lit(3), "key"), "key").limit(pilots).select("key", "v").toPandas()
     vectors = _stack(sample["v"])
     true = entries.select("key", "v").mapInPandas(_pilot_scores(vectors, k + 1), "pilot int, key string, score double")
@@ -252,6 +253,7 @@ def choose_ratio(entries: DataFrame, posted: DataFrame, graph: CentroidGraph, lo
     where = true.join(posted.select("key", "list"), "key").groupBy("pilot", "key").agg(F.collect_list("list").alias("lists")).collect()  # PILOTS * NEIGHBOURS short rows at most
     if not where:
         return 1.0
+    target = min(0.995, target + 2 * math.sqrt(target * (1 - target) / len(where)))
     queries = _queries(vectors, longest)
     _, anchor = _anchors(graph, queries)
     far = _distances(queries, graph.points) / np.maximum(anchor, 1e-12)[:, None]
@@ -335,10 +337,11 @@ def search(vectors: DataFrame, queries: Column, id_col: str = "vec_id", vector_c
     lists = len(graph.points)
     kinds = dict(rows.dtypes)
     posted = staged(entries.mapInPandas(_lists(graph, longest), f"key string, v {kinds['v']}, ids array<long>, list long"), "postings")
-    ratio = choose_ratio(entries, posted, graph, longest, k, target=target)
     per_cell = max(1, round(lists * CELL_ROWS / n))
     tasks = max(spark.sparkContext.defaultParallelism, math.ceil(n / 200_000))  # walks are long for such short rows
     asked = staged(rows.where("is_query").dropDuplicates(["key"]).select("key", "v").repartition(tasks), "asked")
+    pilots = min(PILOTS, max(LEAST_PILOTS, asked.count() // PILOT_QUERIES))
+    ratio = choose_ratio(entries, posted, graph, longest, k, pilots, target)
     posted = posted.withColumn("cell", F.floor(F.col("list") / per_cell))
     of = lambda count: F.pmod(F.xxhash64("key"), F.col(count))
     every = lambda count: F.explode(F.sequence(F.lit(0).cast("long"), F.col(count) - 1))
