@@ -29,8 +29,8 @@ from quotemill.llm.simhash import SEED, links, majority, shingle_hashes, words_o
 SHINGLE, SIMILARITY = 5, 0.8
 RADIUS = 3
 BANDS, BAND_ROWS = 24, 5
-#: Nodes and shingles of a block; columns of a matrix.
-BLOCK_NODES, BLOCK_SHINGLES, COLUMNS = 1024, 1 << 20, 4096
+#: Nodes and shingles of a block; columns of a matrix; nodes of a band that stand in one row of neighbours.
+BLOCK_NODES, BLOCK_SHINGLES, COLUMNS, LINE_NODES = 1024, 1 << 20, 4096, 4096
 
 _RNG = np.random.default_rng(SEED)
 _FACTORS = _RNG.integers(0, 1 << 63, BANDS * BAND_ROWS, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -150,11 +150,15 @@ def near_copy_groups(sketches: DataFrame, texts, similarity: float = SIMILARITY,
     close = close.unionByName(prints.join(heads, "fp").select(F.struct("node", "n").alias("x"), F.col("head").alias("y")))
     # by bands
     rows = sketches.select("node", "n", F.explode("bands").alias("band")).distinct()
-    order = Window.partitionBy("band").orderBy(F.xxhash64("band", "node"), "node")  # other neighbours in every bucket
+    # a band's head is a grouped minimum, and its nodes stand in lines of about LINE_NODES, so that a large bucket is many tasks
     entry = F.struct("node", "n")
-    rows = rows.select("band", "node", "n", F.lag(entry).over(order).alias("before"), F.first(entry).over(order).alias("head"), F.lead("n").over(order).alias("after"))
-    members = staged(rows.where("before is not null or after is not null").drop("after"), "buckets")
-    near = members.where("before is not null").select(entry.alias("x"), F.explode(F.array_distinct(F.array("before", "head"))).alias("y")).unionByName(close)
+    held = rows.groupBy("band").agg(F.count("*").alias("m"), F.min(F.struct(F.xxhash64("band", "node").alias("h"), "node", "n")).alias("head")).where("m > 1")
+    rows = rows.join(held.select("band", "m", F.struct("head.node", "head.n").alias("head")), "band")
+    rows = rows.withColumn("line", F.pmod(F.xxhash64("node", F.lit(2)), F.ceil(F.col("m") / LINE_NODES)))
+    order = Window.partitionBy("band", "line").orderBy(F.xxhash64("band", "node"), "node")  # other neighbours in every bucket
+    rows = rows.select("band", "node", "n", F.coalesce(F.lag(entry).over(order), "head").alias("before"), "head")
+    members = staged(rows, "buckets")
+    near = members.select(entry.alias("x"), F.explode(F.array_distinct(F.array("before", "head"))).alias("y")).unionByName(close)
     near = near.where((F.col("x.node") != F.col("y.node")) & _alike(F.col("x.n"), F.col("y.n"), similarity))
     near = staged(near.select(F.least("x.node", "y.node").alias("a"), F.greatest("x.node", "y.node").alias("b")).distinct(), "pairs")
     nodes = members.select("node").union(near.select("a")).union(near.select("b")).distinct()

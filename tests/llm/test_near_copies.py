@@ -114,3 +114,22 @@ def test_large_buckets_are_compared_in_blocks(spark, monkeypatch):
     docs = spark.createDataFrame(list(rows.items()), "doc_id long, text string")
     got = near_copy_dedup(docs)
     assert sorted(r["doc_id"] for r in got.collect()) == sorted(kept_by_brute_force(rows))
+
+
+def test_lines_of_a_large_bucket_lose_no_link(spark, monkeypatch):
+    """With lines of three nodes the groups are those of one line a band."""
+    from quotemill.llm import near_copies as module
+    from quotemill.llm.near_copies import near_copy_dedup
+
+    words = [f"w{k}" for k in range(60)]
+    rows = []
+    for k in range(40):
+        own = list(words)
+        own[(k * 7) % 60] = f"x{k}"
+        rows.append((k, " ".join(own)))
+    rows += [(100 + k, " ".join(f"v{k}_{j}" for j in range(30))) for k in range(5)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    want = sorted(r["doc_id"] for r in near_copy_dedup(docs).collect())
+    monkeypatch.setattr(module, "LINE_NODES", 3)
+    assert sorted(r["doc_id"] for r in near_copy_dedup(docs).collect()) == want
+    assert want[-5:] == [100, 101, 102, 103, 104] and len(want) < 45
