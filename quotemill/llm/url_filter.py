@@ -4,8 +4,9 @@ The first filter has the listed keys. The second has the keys of the corpus that
 that the first lets through by mistake, the third the listed keys that the second mistakes, and so
 on until a filter makes no mistake over all keys of the corpus. Walking the filters then gives
 exact membership for every key of the corpus, without a join. Filters are a few bits for each
-listed key, whatever the number of pages; they travel as literals in the plan. A list of more than
-``MAX_KEYS`` keys is looked up by a join of the distinct keys instead.
+listed key, whatever the number of pages; they travel as literals in the plan. The keys of a list of
+more than ``MAX_KEYS`` are dealt by hash to many small cascades, rows of a table in the shared folder
+that the corpus's distinct keys meet by their number: the same filters, levels and verdicts.
 
 DataFrame functions only.
 """
@@ -28,6 +29,8 @@ LISTED = tuple(f"{name}.example.{end}" for name in ("ads-track", "adult-x", "cas
 #: Keys up to which the list is held in filters: some 4 MB of literals at 10 to 14 bits a key.
 MAX_KEYS = 2_500_000
 MAX_LEVELS = 64
+#: Listed keys of one of many cascades: a filter of about a kilobyte.
+PART_KEYS = 512
 
 
 def host_of(url: Column) -> Column:
@@ -49,10 +52,11 @@ def fitting_rule(host: Column, path: Column, rules=RULES) -> Column:
     return F.array_max(F.filter(F.array(*fits), lambda x: x.isNotNull()))
 
 
-def domains(host: Column) -> Column:
-    """The host and every domain above it; none for an empty host."""
+def domains(host: Column, most: int) -> Column:
+    """The host and the domains above it that have at most so many labels; none for an empty host."""
     labels = F.split(host, r"\.")
-    return F.when(host == "", F.array().cast("array<string>")).otherwise(F.transform(F.sequence(F.lit(1), F.size(labels)), lambda i: F.concat_ws(".", F.slice(labels, i, F.size(labels)))))
+    n = F.size(labels)
+    return F.when(host == "", F.array().cast("array<string>")).otherwise(F.transform(F.sequence(F.greatest(F.lit(1), n - (most - 1)), n), lambda i: F.concat_ws(".", F.slice(labels, i, F.size(labels)))))
 
 
 @dataclass(frozen=True)
@@ -113,6 +117,60 @@ def in_cascade(key: Column, levels: list[Level]) -> Column:
     return out
 
 
+def _of_parts(key: Column, at: Column, bits: Column, hashes: Column, words: Column) -> Column:
+    """Whether a key passes the filter in the columns."""
+
+    def bit(i: Column) -> Column:
+        place = F.pmod(F.xxhash64(key, at, i), bits)
+        return F.call_function("shiftright", F.get(words, F.shiftright(place, 6).cast("int")), place.bitwiseAND(F.lit(63)).cast("int")).bitwiseAND(F.lit(1).cast("long")) == 1
+
+    return F.forall(F.sequence(F.lit(0), hashes - 1), bit)
+
+
+def _filters(into: DataFrame, others: DataFrame, level: int) -> DataFrame:
+    """part, bits, hashes, words of a level's filters: of the keys in ``into``, against those in ``others``."""
+    n, m = (df.groupBy("part").agg(F.count("*").alias(c)) for df, c in ((into, "n"), (others, "m")))
+    rate = F.lit(0.5) if level else F.least(F.lit(0.5), F.greatest(F.col("n") / math.sqrt(2) / F.greatest(F.coalesce("m", F.lit(0)), F.lit(1)), F.lit(1e-9)))
+    sizes = n.join(m, "part", "left").select("part", "n", F.greatest(F.lit(1), F.ceil(-F.col("n") * F.ln(rate) / math.log(2) ** 2 / 64)).cast("long").alias("long"))
+    sizes = sizes.select("part", (F.col("long") * 64).alias("bits"), F.greatest(F.lit(1), F.round(F.col("long") * 64 / F.col("n") * math.log(2)).cast("int")).alias("hashes"))
+    places = into.join(sizes, "part").select("part", F.explode(F.transform(F.sequence(F.lit(0), F.col("hashes") - 1), lambda i: F.pmod(F.xxhash64("key", F.lit(level), i), F.col("bits")))).alias("place"))
+    bit = F.call_function("shiftleft", F.lit(1).cast("long"), F.col("place").bitwiseAND(F.lit(63)).cast("int"))
+    held = places.select("part", F.shiftright("place", 6).cast("int").alias("word"), bit.alias("bits_"))
+    none = sizes.select("part", F.explode(F.sequence(F.lit(0), (F.col("bits") / 64).cast("int") - 1)).alias("word"), F.lit(0).cast("long").alias("bits_"))
+    words = held.unionByName(none).groupBy("part", "word").agg(F.bit_or("bits_").alias("bits_")).groupBy("part").agg(F.array_sort(F.collect_list(F.struct("word", "bits_"))).alias("w"))
+    return sizes.join(words.select("part", F.col("w.bits_").alias("words")), "part")
+
+
+def build_cascades(keys: DataFrame, part_keys: int = PART_KEYS) -> tuple[DataFrame, int]:
+    """(part, levels of each, number of parts) for distinct ``key`` of the corpus with ``listed``; keys are dealt by hash."""
+    table = staged(keys.select("key", "listed"), "keys")
+    parts = max(1, math.ceil(table.where("listed").count() / part_keys))
+    dealt = table.withColumn("part", F.pmod(F.xxhash64(F.lit("part"), F.col("key")), F.lit(parts)))
+    into, others, levels = dealt.where("listed").select("part", "key"), dealt.where("not listed").select("part", "key"), []
+    while not into.isEmpty():
+        if len(levels) == MAX_LEVELS:
+            raise RuntimeError("the cascades did not end")
+        at = len(levels)
+        filters = staged(_filters(into, others, at), "filters")
+        levels.append(filters.withColumn("level", F.lit(at)))
+        wrong = others.join(filters, "part").where(_of_parts(F.col("key"), F.lit(at), F.col("bits"), F.col("hashes"), F.col("words"))).select("part", "key")
+        into, others = staged(wrong, "mistaken"), into
+    if not levels:
+        return table.sparkSession.createDataFrame([], "part long, levels array<struct<level:int,bits:bigint,hashes:int,words:array<bigint>>>"), parts
+    whole = levels[0]
+    for df in levels[1:]:
+        whole = whole.unionByName(df)
+    return staged(whole.groupBy("part").agg(F.array_sort(F.collect_list(F.struct("level", "bits", "hashes", "words"))).alias("levels")), "cascades"), parts
+
+
+def listed_keys(keys: DataFrame, cascades: DataFrame, parts: int) -> DataFrame:
+    """key: those of the corpus's keys that are listed, by the cascades of their parts."""
+    dealt = keys.select("key", F.pmod(F.xxhash64(F.lit("part"), F.col("key")), F.lit(parts)).alias("part")).join(cascades, "part")
+    stops = F.filter("levels", lambda x: ~_of_parts(F.col("key"), x["level"], x["bits"], x["hashes"], x["words"]))
+    first = F.array_min(F.transform(stops, lambda x: x["level"]))
+    return dealt.where(F.coalesce(first, F.size("levels")) % 2 == 1).select("key")
+
+
 def url_verdicts(pages: DataFrame, listed: DataFrame, id_col: str = "page_id", url_col: str = "url", rules=RULES, max_keys: int = MAX_KEYS) -> DataFrame:
     """One row for each row of pages: page_id, host, path, rule (null if none fits), verdict (allow or block).
 
@@ -124,13 +182,15 @@ def url_verdicts(pages: DataFrame, listed: DataFrame, id_col: str = "page_id", u
     rows = pages.select(F.col(id_col).alias("page_id"), host_of(F.col(url_col)).alias("host"), path_of(F.col(url_col)).alias("path"))
     hosts = rows.select("host").distinct()
     names = listed.where("key is not null and key <> ''").select("key").distinct()
-    keys = hosts.select(F.explode(domains(F.col("host"))).alias("key")).distinct()
+    most = names.agg(F.max(F.size(F.split("key", r"\.")))).first()[0] or 1  # what has more labels than any listed key isn't listed
+    keys = hosts.select(F.explode(domains(F.col("host"), most)).alias("key")).distinct()
     keys = keys.join(names.withColumn("listed", F.lit(True)), "key", "left").withColumn("listed", F.col("listed").isNotNull())
     if names.count() <= max_keys:
         levels = build_cascade(keys)
-        judged = rows.withColumn("blocked", F.exists(domains(F.col("host")), lambda k: in_cascade(k, levels)))
+        judged = rows.withColumn("blocked", F.exists(domains(F.col("host"), most), lambda k: in_cascade(k, levels)))
     else:
-        bad = hosts.select("host", F.explode(domains(F.col("host"))).alias("key")).join(names, "key", "left_semi").select("host").distinct()
+        cascades, parts = build_cascades(keys)
+        bad = hosts.select("host", F.explode(domains(F.col("host"), most)).alias("key")).join(listed_keys(keys, cascades, parts), "key", "left_semi").select("host").distinct()
         judged = rows.join(bad.withColumn("blocked", F.lit(True)), "host", "left").withColumn("blocked", F.col("blocked").isNotNull())
     fit = fitting_rule(F.col("host"), F.col("path"), rules)
     return judged.withColumn("fit", fit).select("page_id", "host", "path", F.col("fit.rule").alias("rule"), F.coalesce("fit.verdict", F.when(F.col("blocked"), "block").otherwise("allow")).alias("verdict"))

@@ -3,7 +3,6 @@ import random
 import duckdb
 from pyspark.sql import functions as F
 
-from quotemill.llm import url_filter
 from quotemill.llm.url_filter import LISTED, RULES, URL_SQL, build_cascade, default_list, in_cascade, url_verdicts
 
 URLS = [
@@ -75,4 +74,26 @@ def test_nothing_listed_and_no_pages(spark):
     assert url_verdicts(pages(spark).limit(0), default_list(spark)).count() == 0
     odd = spark.createDataFrame([(None,), ("",), ("example.com",), ("example.com",)], "key string")
     assert url_verdicts(pages(spark), odd).where("host = 'sub.example.com'").first()["verdict"] == "block"
-    assert url_filter.MAX_KEYS > 0
+
+
+def test_many_cascades_are_exact(spark):
+    """Keys dealt to cascades of a few: exactly the listed ones are told, whatever the parts."""
+    from quotemill.llm.url_filter import build_cascades, listed_keys
+
+    rows = [(f"h{k}.example.com", k % 7 == 0) for k in range(3000)]
+    keys = spark.createDataFrame(rows, "key string, listed boolean")
+    for size in (32, 10_000):
+        cascades, parts = build_cascades(keys, size)
+        assert parts == -(-sum(x for _, x in rows) // size)
+        assert {r["key"] for r in listed_keys(keys, cascades, parts).collect()} == {k for k, x in rows if x}
+    none, parts = build_cascades(keys.where("not listed"))
+    assert listed_keys(keys, none, parts).count() == 0
+    every, parts = build_cascades(keys.where("listed"), 64)
+    assert listed_keys(keys.where("listed"), every, parts).count() == sum(x for _, x in rows)
+
+
+def test_very_long_urls(spark):
+    pages = spark.createDataFrame([(1, "http://" + "a." * 20_000 + "example.net/en/" + "x" * 50_000), (2, "http://" + "b" * 100_000), (3, "x" * 100_000)], "page_id long, url string")
+    for most in (0, 100):
+        got = {r["page_id"]: (len(r["host"]), r["rule"], r["verdict"]) for r in url_verdicts(pages, default_list(spark), max_keys=most).collect()}
+        assert got == {1: (40_011, "example.net/en/", "allow"), 2: (100_000, None, "allow"), 3: (0, None, "allow")}
