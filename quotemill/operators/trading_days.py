@@ -14,7 +14,11 @@ HOLIDAYS = (
 
 def calendar(spark: SparkSession, start: str, end: str, holidays=tuple(HOLIDAYS)) -> DataFrame:
     """Every day from start to end: trade_date, is_weekend, is_holiday, is_open, last_weekday (itself, or the Friday before)."""
-    days = spark.range(1).select(F.explode(F.sequence(F.to_date(F.lit(start)), F.to_date(F.lit(end)))).alias("trade_date"))
+    return marked(spark.range(1).select(F.explode(F.sequence(F.to_date(F.lit(start)), F.to_date(F.lit(end)))).alias("trade_date")), holidays)
+
+
+def marked(days: DataFrame, holidays=tuple(HOLIDAYS)) -> DataFrame:
+    """days (trade_date) with is_weekend, is_holiday, is_open and last_weekday, as in calendar()."""
     weekend = F.weekday("trade_date") >= 5
     holiday = F.date_format("trade_date", "yyyy-MM-dd").isin(*holidays)
     friday = F.when(weekend, F.date_sub("trade_date", F.weekday("trade_date") - 4)).otherwise(F.col("trade_date"))

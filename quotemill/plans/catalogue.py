@@ -724,11 +724,14 @@ _DAYS = ", ".join(f"DATE '{d}'" for d in trading_days.HOLIDAYS)
 
 
 @query(
-    f"""SELECT d::DATE AS trade_date, isodow(d) >= 6 AS is_weekend, d::DATE IN ({_DAYS}) AS is_holiday, isodow(d) < 6 AND d::DATE NOT IN ({_DAYS}) AS is_open,
-    CASE WHEN isodow(d) >= 6 THEN d::DATE - (isodow(d) - 5)::INT ELSE d::DATE END AS last_weekday FROM generate_series(TIMESTAMP '2026-01-01', TIMESTAMP '2026-12-31', INTERVAL 1 DAY) t(d)"""
+    f"""WITH days AS (SELECT o_orderkey, make_date(2026, month(o_orderdate), day(o_orderdate)) AS d FROM orders WHERE NOT (month(o_orderdate) = 2 AND day(o_orderdate) = 29))
+    SELECT o_orderkey, d AS trade_date, isodow(d) >= 6 AS is_weekend, d IN ({_DAYS}) AS is_holiday, isodow(d) < 6 AND d NOT IN ({_DAYS}) AS is_open, CASE WHEN isodow(d) >= 6 THEN d - (isodow(d) - 5)::INT ELSE d END AS last_weekday FROM days"""
 )
 def trading_calendar(spark, sf_dir):
-    return trading_days.calendar(spark, "2026-01-01", "2026-12-31")
+    """Whether the day of each order would have been open in the year of the known holidays."""
+    day = F.make_date(F.lit(2026), F.month("o_orderdate"), F.dayofmonth("o_orderdate"))
+    rows = table(spark, sf_dir, "orders").where("not (month(o_orderdate) = 2 and day(o_orderdate) = 29)").select("o_orderkey", day.alias("trade_date"))
+    return rows.join(trading_days.marked(rows.select("trade_date").distinct()), "trade_date")
 
 
 @query(f"WITH {BARS_SQL} SELECT DISTINCT trade_date FROM bars WHERE trade_date NOT IN (SELECT o_orderdate::DATE FROM orders WHERE o_orderstatus IN ('F', 'P'))")

@@ -4,12 +4,13 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from quotemill.functions import names
 from quotemill.functions.coerce import exact, ratio
 from quotemill.operators import corrections, hold, indicators, labels, risk, rules, segments, selection
 from quotemill.plans.catalogue import GAP, OHLC, classified, doubles
 from quotemill.plans.fragments import CANDLES_SQL, FEATURES_SQL, LABELS_SQL, SELECTION_SQL
 from quotemill.plans.queries import query
-from quotemill.sources import manifest, store
+from quotemill.sources import archive, manifest, store
 from quotemill.sources.standin import BARS_SQL, bars, candles
 from quotemill.sources.table_io import new_folder, staged, table
 from quotemill.streaming import status
@@ -167,3 +168,65 @@ def rules_applied(spark, sf_dir):
     table_of_rules = spark.createDataFrame([(*x, None) for x in RULES], "metric string, nth int, how string, bound double, label string, sentence string")
     daily = selection.summary(classified(spark, sf_dir))
     return rules.applied(rules.unpivoted(daily, ["trade_date"], ["conversion_rate", "failure_rate", "missed_opportunity_rate"]), table_of_rules, ["trade_date"]).select("trade_date", "metric", "value", "label")
+
+
+# sinks, written and read back
+
+
+@query(
+    f"""WITH {BARS_SQL} SELECT symbol, trade_date, close::DOUBLE AS close FROM bars WHERE year(trade_date) = 1997
+    UNION ALL SELECT symbol, trade_date, close::DOUBLE FROM bars WHERE year(trade_date) = 1997 AND trades > 1"""
+)
+def sink_append(spark, sf_dir):
+    """Two batches added; of the second only the columns that the target knows."""
+    rows, path = doubles(bars(spark, sf_dir), "close").where("year(trade_date) = 1997").select("symbol", "trade_date", "close", "trades"), new_folder(spark, "appended")
+    store.append(rows.drop("trades"), path)
+    store.append(rows.where("trades > 1"), path, ["symbol", "trade_date", "close"])
+    return spark.read.parquet(path)
+
+
+@query(f"WITH {BARS_SQL} SELECT symbol, trade_date, CASE WHEN day(trade_date) = 5 THEN open ELSE close END::DOUBLE AS price FROM bars WHERE year(trade_date) = 1997 AND NOT (day(trade_date) = 5 AND trades > 1)")
+def sink_dates(spark, sf_dir):
+    """Dates replaced whole: rows of the day that the new ones lack are gone, other days stay; running it twice changes nothing."""
+    rows, path = doubles(bars(spark, sf_dir), "open", "close").where("year(trade_date) = 1997"), new_folder(spark, "dates")
+    store.write_dates(rows.select("symbol", F.col("close").alias("price"), "trade_date"), path)
+    new = rows.where("day(trade_date) = 5 and trades = 1").select("symbol", F.col("open").alias("price"), "trade_date")
+    for _ in range(2):
+        store.write_dates(new, path, files=2)
+    return spark.read.parquet(path).select("symbol", "trade_date", "price")
+
+
+@query(f"WITH {BARS_SQL} SELECT symbol, trade_date, high::DOUBLE AS price, 2 AS version FROM bars WHERE year(trade_date) = 1997")
+def sink_snapshot(spark, sf_dir):
+    """A snapshot, and a second one that readers see once the pointer names it."""
+    rows, path = doubles(bars(spark, sf_dir), "high", "low").where("year(trade_date) = 1997"), new_folder(spark, "snapshots")
+    for version, price in ((1, "low"), (2, "high")):
+        store.write_snapshot(rows.select("symbol", "trade_date", F.col(price).alias("price"), F.lit(version).alias("version")), path)
+    return store.read_snapshot(spark, path)
+
+
+@query(f"WITH {BARS_SQL}, days AS (SELECT symbol, trade_date, row_number() OVER (PARTITION BY symbol ORDER BY trade_date DESC) AS nth FROM bars) SELECT symbol, trade_date FROM days WHERE nth = 1")
+def sink_log(spark, sf_dir):
+    """Status of each symbol's days as JSON lines, added in two runs; the last line of a symbol counts."""
+    rows, path = bars(spark, sf_dir).select("symbol", "trade_date"), new_folder(spark, "log")
+    for odd in (0, 1):
+        store.write_log(rows.where(F.pmod(F.unix_date("trade_date"), F.lit(2)) == odd), path)
+    return store.last_of(spark.read.schema("symbol string, trade_date date").json(path), ["symbol"], ("trade_date",))
+
+
+@query("SELECT o_orderkey, CASE o_orderkey % 6 WHEN 5 THEN NULL ELSE o_orderdate::DATE END AS day FROM orders")
+def flexible_dates(spark, sf_dir):
+    """Dates in every form that is read, with blanks around them, and in one that isn't."""
+    forms = ("yyyy-MM-dd", "yyyy/MM/dd", "dd-MM-yyyy", "dd/MM/yyyy", "dd-MMM-yyyy", "'day' yyyyMMdd")
+    kind, text = F.col("o_orderkey") % 6, F.lit(None).cast("string")
+    for k, form in enumerate(forms):
+        text = F.when(kind == k, F.date_format("o_orderdate", form)).otherwise(text)
+    return table(spark, sf_dir, "orders").select("o_orderkey", names.loose_date(F.concat(F.lit(" "), text, F.lit(" "))).alias("day"))
+
+
+@query("SELECT o_custkey, max(o_orderdate::DATE) AS day FROM orders GROUP BY o_custkey")
+def newest_files(spark, sf_dir):
+    """The newest of each customer's files by the date in its name."""
+    files = table(spark, sf_dir, "orders").select("o_custkey", F.concat(F.lit("/x/PR"), F.date_format("o_orderdate", "yyyyMMdd"), F.lit(".zip")).alias("path"), F.lit("2025-10-03 18:00:00").cast("timestamp").alias("modificationTime"))
+    found = archive.newest_of(files, ["o_custkey"])
+    return found.select("o_custkey", names.file_date(F.regexp_extract("path", r"([^/]*)$", 1)).alias("day")).distinct()

@@ -94,6 +94,13 @@ def newest(files: DataFrame) -> DataFrame:
     return files.withColumn("file_day", day).orderBy(F.col("file_day").desc_nulls_last(), F.desc("modificationTime"), F.desc("path")).limit(1).drop("file_day")
 
 
+def newest_of(files: DataFrame, by: list[str]) -> DataFrame:
+    """newest() of every group, one row each."""
+    day = file_date(F.regexp_extract("path", r"([^/\\]*)$", 1))
+    best = F.max_by(F.struct(*[c for c in files.columns if c not in by]), F.struct(day.isNotNull(), day, "modificationTime", "path")).alias("best")
+    return files.groupBy(*by).agg(best).select(*by, "best.*")
+
+
 def field(*names: str) -> Column:
     """The first of the headers that a row has, by synonyms."""
     return F.coalesce(*[F.element_at("fields", n) for n in names])
