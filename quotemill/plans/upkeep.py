@@ -185,7 +185,10 @@ def sink_append(spark, sf_dir):
     return spark.read.parquet(path)
 
 
-@query(f"WITH {BARS_SQL} SELECT symbol, trade_date, CASE WHEN day(trade_date) = 5 THEN open ELSE close END::DOUBLE AS price FROM bars WHERE year(trade_date) = 1997 AND NOT (day(trade_date) = 5 AND trades > 1)")
+@query(
+    f"""WITH {BARS_SQL}, corrected AS (SELECT DISTINCT trade_date AS d FROM bars WHERE year(trade_date) = 1997 AND day(trade_date) = 5 AND trades = 1)
+    SELECT symbol, trade_date, CASE WHEN d IS NULL THEN close ELSE open END::DOUBLE AS price FROM bars LEFT JOIN corrected ON d = trade_date WHERE year(trade_date) = 1997 AND (d IS NULL OR trades = 1)"""
+)
 def sink_dates(spark, sf_dir):
     """Dates replaced whole: rows of the day that the new ones lack are gone, other days stay; running it twice changes nothing."""
     rows, path = doubles(bars(spark, sf_dir), "open", "close").where("year(trade_date) = 1997"), new_folder(spark, "dates")
