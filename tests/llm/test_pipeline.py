@@ -50,5 +50,5 @@ def test_empty_documents(spark, tmp_path):
 
 
 def test_every_operator_is_registered():
-    assert {n.split("_")[0] for n in QUERIES if n != "pipeline"} == {f"op{k}" for k in range(1, 11)}
+    assert {n.split("_")[0] for n in QUERIES if n != "pipeline"} == {f"op{k}" for k in range(1, 14)}
     assert set(ORACLE) <= set(QUERIES)
