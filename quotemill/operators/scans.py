@@ -91,13 +91,24 @@ def extras(df: DataFrame, canonical: tuple[str, ...]) -> Column:
     return F.concat(F.lit("{"), F.concat_ws(",", *parts), F.lit("}"))
 
 
-def report_entries(reports: DataFrame) -> DataFrame:
-    """reports (json text with CurrentDay, PreviousDay and FutureDay lists) as rows: file, trading_date, seq."""
+def _entries(json: Column) -> Column:
+    """The entries of a report list: its current day's, the previous day's and the future ones, in this order."""
     entry = "array<struct<file: string, tradingDate: string>>"
-    parsed = F.from_json("json", f"CurrentDay {entry}, PreviousDay {entry}, FutureDay {entry}")
+    parsed = F.from_json(json, f"CurrentDay {entry}, PreviousDay {entry}, FutureDay {entry}")
     none = F.array().cast(entry)
-    every = F.concat(*[F.coalesce(parsed[k], none) for k in ("CurrentDay", "PreviousDay", "FutureDay")])
-    rows = reports.select(*[c for c in reports.columns if c != "json"], F.posexplode(every).alias("seq", "e"))
+    return F.concat(*[F.coalesce(parsed[k], none) for k in ("CurrentDay", "PreviousDay", "FutureDay")])
+
+
+def listed(json: Column, file: Column, day: Column) -> Column:
+    """The entry of a report list with the file's name, else its first of the day; null if it has neither."""
+    named = lambda es: F.filter(es, lambda e: e["file"] == file)
+    dated = lambda es: F.filter(es, lambda e: e["tradingDate"] == F.date_format(day, "dd-MMM-yyyy"))
+    return F.get(F.transform(F.array(_entries(json)), lambda es: F.coalesce(F.get(named(es), F.lit(0)), F.get(dated(es), F.lit(0)))), F.lit(0))
+
+
+def report_entries(reports: DataFrame) -> DataFrame:
+    """reports (json text with CurrentDay, PreviousDay and FutureDay lists) as rows: file, trading_date, seq."""
+    rows = reports.select(*[c for c in reports.columns if c != "json"], F.posexplode(_entries(F.col("json"))).alias("seq", "e"))
     return rows.withColumns({"file": F.col("e.file"), "trading_date": F.try_to_date("e.tradingDate", "dd-MMM-yyyy")}).drop("e")
 
 

@@ -6,14 +6,14 @@ from pyspark.sql import functions as F
 
 from quotemill.functions import names
 from quotemill.functions.coerce import exact, ratio
-from quotemill.operators import corrections, hold, indicators, labels, risk, rules, segments, selection
+from quotemill.operators import corrections, hold, indicators, labels, risk, rules, segments, selection, trading_days
 from quotemill.plans.catalogue import GAP, OHLC, classified, doubles
 from quotemill.plans.fragments import CANDLES_SQL, FEATURES_SQL, LABELS_SQL, SELECTION_SQL
 from quotemill.plans.queries import query
 from quotemill.sources import archive, manifest, store
 from quotemill.sources.standin import BARS_SQL, bars, candles
 from quotemill.sources.table_io import new_folder, staged, table
-from quotemill.streaming import status
+from quotemill.streaming import polling, status
 
 #: Rules of the daily rates in the order they are tried: metric, place, comparison, bound, label; the last metric has a gap that no rule covers.
 RULES = (
@@ -64,6 +64,44 @@ def status_machine(spark, sf_dir):
     return store.read_batches(spark, folder).select("user_id", "target_date", "event_id", "at_us", "from_state", "proposed", "to_state", "accepted")
 
 
+# polls of report lists
+
+#: The known holidays, moved into a year that has orders.
+_CLOSED = tuple(f"1996{x[4:]}" for x in trading_days.HOLIDAYS)
+_CLOSED_SQL = ", ".join(f"DATE '{x}'" for x in _CLOSED)
+
+
+def _polls(spark, sf_dir):
+    """Every order is a poll of a list that holds its target's file by name, only by date, not at all, or that can't be read."""
+    rows = table(spark, sf_dir, "orders").select("o_orderkey", "o_orderstatus", "o_custkey", F.to_date("o_orderdate").alias("day"))
+    hour, kind = F.element_at(F.array(*[F.lit(h) for h in (7, 12, 19, 20, 21, 22)]), (F.col("o_orderkey") % 6 + 1).cast("int")), F.col("o_orderkey") % 7
+    at = F.to_timestamp_ntz(F.format_string("%s %02d:%02d:00", F.col("day").cast("string"), hour, F.col("o_custkey") % 60))
+    target = F.when(hour == 7, F.date_sub("day", 1)).otherwise(F.col("day"))
+    entry = lambda file, day: F.array(F.struct(file.alias("file"), F.date_format(day, "dd-MMM-yyyy").alias("tradingDate")))
+    other = entry(F.lit("other.zip"), F.when(kind == 1, F.date_add(target, 1)).otherwise(target))
+    named = F.when(kind > 2, entry(F.concat(F.lit("PR"), F.date_format(target, "ddMMyy"), F.lit(".zip")), target))
+    text = F.when(kind == 0, "[1, broken").otherwise(F.to_json(F.struct(other.alias("CurrentDay"), named.alias("FutureDay"))))
+    return rows.select(F.col("o_orderstatus").alias("source"), at.alias("poll_at"), F.col("o_orderkey").alias("poll_id"), text.alias("json"))
+
+
+@query(
+    f"""WITH polls AS (SELECT o_orderstatus AS source, o_orderkey AS poll_id, o_orderdate::DATE AS day, [7, 12, 19, 20, 21, 22][o_orderkey % 6 + 1] AS hour, o_custkey % 60 AS minute, o_orderkey % 7 AS kind FROM orders),
+    aimed AS (SELECT *, CASE WHEN hour = 7 THEN day - 1 WHEN hour BETWEEN 19 AND 21 THEN day END::DATE AS target FROM polls),
+    said AS (SELECT *, CASE WHEN day IN ({_CLOSED_SQL}) THEN 'skip_holiday' WHEN target IS NULL THEN 'skip_hour' WHEN target IN ({_CLOSED_SQL}) THEN 'holiday' WHEN kind = 0 THEN 'failed' WHEN kind = 1 THEN 'pending' ELSE 'downloaded' END AS said FROM aimed),
+    told AS (SELECT *, said <> 'skip_holiday' AND coalesce(min(CASE WHEN said = 'downloaded' AND target = day THEN row(hour, minute, poll_id) END) OVER (PARTITION BY source, day) < row(hour, minute, poll_id), false) AS late FROM said)
+    SELECT source, poll_id, CASE WHEN late OR said LIKE 'skip%' THEN NULL ELSE target END AS target_date, CASE WHEN late THEN 'skip_done' ELSE said END AS outcome,
+      CASE WHEN late OR said <> 'downloaded' THEN NULL WHEN kind = 2 THEN 'other.zip' ELSE 'PR' || strftime(target, '%d%m%y') || '.zip' END AS file FROM told"""
+)
+def report_polls(spark, sf_dir):
+    """A folder of report lists, polled until it has caught up, and again after the later hours' lists came: these know from the ledger which days are done."""
+    folder, rows = new_folder(spark, "polls"), _polls(spark, sf_dir)
+    for late in (False, True):
+        rows.where((F.hour("poll_at") >= 20) == late).write.mode("append").parquet(f"{folder}/lists")
+        lists = spark.readStream.schema(rows.schema).parquet(f"{folder}/lists")
+        polling.poll_reports(lists, ["source"], f"{folder}/decided", f"{folder}/state", _CLOSED).awaitTermination()
+    return store.read_batches(spark, f"{folder}/decided").select("source", "poll_id", "target_date", "outcome", "file")
+
+
 # corrections
 
 #: Bars from here on may have been corrected late; the earlier ones stand.
