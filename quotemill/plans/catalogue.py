@@ -993,7 +993,7 @@ def archive_scan(spark, sf_dir):
     amount = F.lpad((F.abs(F.col("s_acctbal").cast("decimal(18,2)")) % 1000).cast("decimal(5,2)").cast("string"), 6, "0")
     line = F.format_string('"%s","1,%s",%d', "s_name", amount, "s_nationkey")
     files = table(spark, sf_dir, "supplier").select("s_nationkey", "s_suppkey", line.alias("line")).groupBy("s_nationkey").applyInPandas(_archive, "path string, content binary")
-    rows = archive.member_rows(files.withColumn("modificationTime", F.lit("2025-10-03 18:00:00").cast("timestamp")))
+    rows = archive.member_rows(files.withColumn("modificationTime", F.lit("2025-10-03 18:00:00").cast("timestamp")), kinds=("GL",))
     df = archive.projected(rows, "GL", {"security": ("SECURITY",), "close": ("CLOSE_PRIC", "CLOSE_PRICE")}, keep=("archive",))
     return df.select(F.regexp_extract("archive", "^/([^/]+)/", 1).alias("nation"), "trade_date", "row_seq", "security", coerce.number_text(F.col("close")).alias("close"), "extras")
 

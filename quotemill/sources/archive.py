@@ -1,4 +1,8 @@
-"""Daily archives: ZIP files of CSV members, read where the files are, one task an archive."""
+"""Daily archives: ZIP files of CSV members, read where the files are.
+
+An archive's directory becomes a row a member first, by which kinds and days are chosen; only the
+packed bytes of the members that are wanted are then dealt to tasks, unpacked and parsed.
+"""
 
 from __future__ import annotations
 
@@ -9,6 +13,7 @@ import zlib
 from collections.abc import Iterator
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -32,6 +37,13 @@ def kind_of(member: Column) -> Column:
     return out
 
 
+#: Rows of a member that go to Spark at a time.
+CHUNK = 10_000
+#: What the central directory tells of a member, and where in the archive its packed bytes are; ``fault`` where that can't be told.
+ENTRY = "struct<member: string, first: long, packed: long, size: long, method: int, crc: long, fault: string>"
+_HEADER = 30
+
+
 def _rows(data: bytes, sniff: bool) -> list[dict[str, str]]:
     """A member's rows: those with fewer fields than the header lack the last ones, empty lines count for nothing.
 
@@ -60,32 +72,95 @@ def members(spark: SparkSession, path: str, sniff: bool = False) -> DataFrame:
     return member_rows(spark.read.format("binaryFile").load(path), sniff)
 
 
-def member_rows(files: DataFrame, sniff: bool = False) -> DataFrame:
-    """Rows of all CSV members of files (path, modificationTime, content): archive, modified, member, row_seq, fields (map of upper-case header to text), fault.
+def _why(e: Exception) -> str:
+    return str(e) or type(e).__name__
+
+
+def _directory(content: bytes) -> list[tuple]:
+    """An ENTRY for each CSV member in order of their names, for the last one of a name; or one without a member that tells why there are none."""
+    try:
+        with zipfile.ZipFile(io.BytesIO(content)) as z:
+            found = {m.filename: m for m in z.infolist() if m.filename.upper().endswith(".CSV")}
+    except FAULTS as e:
+        return [(None, None, None, None, None, None, _why(e))]
+    out = []
+    for name, m in sorted(found.items()):
+        head = content[m.header_offset : m.header_offset + _HEADER]
+        first = m.header_offset + _HEADER + int.from_bytes(head[26:28], "little") + int.from_bytes(head[28:30], "little")
+        whole = head[:4] == b"PK\x03\x04" and first + m.compress_size <= len(content)
+        fault = "encrypted" if m.flag_bits & 1 else None if whole else "the member isn't where the directory says"
+        out.append((name, first, m.compress_size, m.file_size, m.compress_type, m.CRC, fault))
+    return out
+
+
+def entries(files: DataFrame) -> DataFrame:
+    """A row a CSV member of files (path, modificationTime, content): archive, modified, kind, trade_date, the fields of ENTRY, and ``data``, its packed bytes.
 
-    Files that aren't ZIP archives, by their first bytes, give no rows. An archive or a member that can't be
-    opened gives one row without fields that tells why in ``fault``; it is null everywhere else.
+    Files that aren't ZIP archives, by their first bytes, give no rows; an archive whose directory
+    can't be read gives one with a fault alone. What is filtered out here isn't unpacked or moved.
     """
+
+    def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        names = [x.split(":")[0].strip() for x in ENTRY[len("struct<") : -1].split(",")]
+        kinds = [pa.string(), pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.string()]
+        kind = pa.list_(pa.struct(list(zip(names, kinds, strict=True))))
+        for contents in batches:
+            yield pa.array([[dict(zip(names, e, strict=True)) for e in _directory(c.as_py())] for c in contents], kind)
+
+    listed = F.arrow_udf(run, f"array<{ENTRY}>")
+    files = files.where(F.substring("content", 1, 2) == b"PK")
+    rows = files.select(F.col("path").alias("archive"), F.col("modificationTime").alias("modified"), "content", F.explode(listed("content")).alias("e"))
+    base = F.regexp_extract("e.member", r"([^/\\]*)$", 1)
+    data = F.when(F.col("e.fault").isNull(), F.substring("content", (F.col("e.first") + 1).cast("int"), F.col("e.packed").cast("int")))
+    return rows.select("archive", "modified", kind_of(F.col("e.member")).alias("kind"), file_date(base).alias("trade_date"), "e.*", data.alias("data"))
+
+
+def _unpacked(member: str, data: bytes, size: int, method: int, crc: int) -> bytes:
+    info = zipfile.ZipInfo(member)
+    info.compress_type, info.compress_size, info.file_size, info.CRC = method, len(data), size, crc
+    with zipfile.ZipExtFile(io.BytesIO(data), "r", info) as f:
+        out = f.read()
+    if len(out) != size:
+        raise zipfile.BadZipFile("the member ends early")
+    return out
+
+
+def parsed(rows: DataFrame, sniff: bool = False) -> DataFrame:
+    """Rows of the members of ``entries``, as in member_rows(). Members are dealt to tasks by archive and name, so that a large archive is no task's alone."""
     names = ["archive", "modified", "member", "row_seq", "fields", "fault"]
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         frame = lambda rows: pd.DataFrame(rows, columns=names).astype({"row_seq": "Int64"})
-        for files in batches:
-            for name, at, content in zip(files["path"], files["modificationTime"], files["content"], strict=True):
+        for part in batches:
+            for name, at, member, data, size, method, crc, fault in part.itertuples(index=False):
                 try:
-                    with zipfile.ZipFile(io.BytesIO(content)) as z:
-                        for member in sorted(m for m in z.namelist() if m.upper().endswith(".CSV")):
-                            try:
-                                if rows := _rows(z.read(member), sniff):
-                                    yield frame([(name, at, member, k, row, None) for k, row in enumerate(rows)])
-                            except FAULTS as e:
-                                yield frame([(name, at, member, None, None, str(e) or type(e).__name__)])
+                    found = _rows(_unpacked(member, data, int(size), int(method), int(crc)), sniff) if fault is None else None
                 except FAULTS as e:
-                    yield frame([(name, at, None, None, None, str(e) or type(e).__name__)])
-
-    files = files.where(F.substring("content", 1, 2) == b"PK")
-    rows = files.select("path", "modificationTime", "content").mapInPandas(run, "archive string, modified timestamp, member string, row_seq long, fields map<string,string>, fault string")
-    return rows.withColumn("kind", kind_of(F.col("member"))).withColumn("trade_date", file_date(F.regexp_extract("member", r"([^/\\]*)$", 1)))
+                    found, fault = None, _why(e)
+                if found is None:
+                    yield frame([(name, at, member, None, None, fault)])
+                    continue
+                for lo in range(0, len(found), CHUNK):
+                    yield frame([(name, at, member, lo + k, row, None) for k, row in enumerate(found[lo : lo + CHUNK])])
+
+    dealt = rows.select("archive", "modified", "member", "data", "size", "method", "crc", "fault")
+    dealt = dealt.repartition(int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")), "archive", "member")  # a number, since packed bytes say little of the work
+    out = dealt.mapInPandas(run, "archive string, modified timestamp, member string, row_seq long, fields map<string,string>, fault string")
+    return out.withColumn("kind", kind_of(F.col("member"))).withColumn("trade_date", file_date(F.regexp_extract("member", r"([^/\\]*)$", 1)))
+
+
+def member_rows(files: DataFrame, sniff: bool = False, kinds: tuple[str, ...] | None = None) -> DataFrame:
+    """Rows of the CSV members of files (path, modificationTime, content): archive, modified, member, row_seq, fields (map of upper-case header to text), fault.
+
+    kinds: only members of these kinds are unpacked, and only their faults are told; faults of whole
+    archives always are. Files that aren't ZIP archives, by their first bytes, give no rows. An
+    archive or a member that can't be opened gives one row without fields that tells why in
+    ``fault``; it is null everywhere else. Of members with one name the last counts.
+    """
+    rows = entries(files)
+    if kinds is not None:
+        rows = rows.where(F.col("kind").isin(*kinds) | F.col("member").isNull())
+    return parsed(rows, sniff)
 
 
 def newest(files: DataFrame) -> DataFrame:

@@ -308,6 +308,41 @@ def test_damaged_archives_are_told(spark):
     assert told == {"/0.zip": ("PR031025.csv", {"A": "1", "B": "2"}, False), "/1.zip": (None, None, True), "/2.zip": ("PR031025.csv", None, True), "/3.zip": (None, None, True)}
 
 
+def test_members_are_read_as_the_library_for_archives_does(spark):
+    """Every way of packing, folders, names that come twice, long members, bytes before the archive; encrypted ones are told."""
+    made, long = io.BytesIO(), "a,b\n" + "".join(f"{k},{k * k}\n" for k in range(archive.CHUNK + 5))
+    with zipfile.ZipFile(made, "w") as z:
+        for how in (zipfile.ZIP_STORED, zipfile.ZIP_DEFLATED, zipfile.ZIP_BZIP2, zipfile.ZIP_LZMA):
+            z.writestr(f"in/GL0{how}1025.csv", long, how)
+        z.writestr("pr.csv", "a\nold\n")
+        z.writestr("pr.CSV", "")
+        z.writestr("readme.txt", "a,b\n1,2\n")
+        with pytest.warns(UserWarning):
+            z.writestr("pr.csv", "a\nnew\n", zipfile.ZIP_DEFLATED)
+    content = made.getvalue()
+    with zipfile.ZipFile(io.BytesIO(content)) as z:
+        want = Counter((n, k, tuple(sorted(row.items()))) for n in set(z.namelist()) if n.upper().endswith(".CSV") for k, row in enumerate(archive._rows(z.read(n), False)))
+    locked = bytearray(zipped({"x.csv": "a\n1\n"}))
+    locked[locked.index(b"PK\x01\x02") + 8] |= 1
+    files = files_frame(spark, [content, b"PK before" + content, bytes(locked), zipped({})])
+    rows = archive.member_rows(files).collect()
+    assert {(r["archive"], r["member"], r["fault"]) for r in rows if r["fault"]} == {("/2.zip", "x.csv", "encrypted")}
+    for name in ("/0.zip", "/1.zip"):
+        assert Counter((r["member"], r["row_seq"], tuple(sorted(r["fields"].items()))) for r in rows if r["archive"] == name) == want
+    assert len(want) == 4 * (archive.CHUNK + 5) + 1
+
+
+def test_members_of_other_kinds_are_not_unpacked(spark):
+    whole = zipped({"GL031025.csv": "a\n1\n", "HL031025.csv": "a\n2\n"})
+    at = whole.index(b"a\n2")
+    files = files_frame(spark, [whole, whole[:at] + b"9" + whole[at + 1 :], whole[:30]])
+    got = lambda **how: Counter((r["archive"], r["kind"], r["fault"] is not None) for r in archive.member_rows(files, **how).collect())
+    assert got(kinds=("GL",)) == Counter({("/0.zip", "GL", False): 1, ("/1.zip", "GL", False): 1, ("/2.zip", "OTHER", True): 1})
+    assert got()["/1.zip", "HL", True] == 1
+    chosen = archive.entries(files).where("kind = 'HL' and trade_date = date'2025-10-03'")
+    assert chosen.count() == 2 and Counter(r["archive"] for r in archive.parsed(chosen).where("fault is null").collect()) == Counter({"/0.zip": 1})
+
+
 def test_only_candles_with_a_gap_are_patched(spark):
     at = lambda s: T0 + dt.timedelta(seconds=s)
     bulk = spark.createDataFrame([(at(0), 1, 1), (at(300), None, 2), (at(600), None, None), (at(900), 3, None), (at(1200), None, 4)], "ts timestamp, high int, low int")
