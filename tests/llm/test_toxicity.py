@@ -176,25 +176,3 @@ def test_ids_no_float_holds_beside_a_null(spark):
     rows = toxicity(docs, labels).collect()
     assert {r["doc_id"] for r in rows} == {*big, None, 3}
     assert {i for r in rows for i in r["evidence"]} <= set(big)
-
-
-def test_blocks_of_like_examples_spare_most_of_the_products():
-    """The order is one of all examples, groups that share their terms are apart, and a block whose bound is too low isn't scored; the nearest are those of all."""
-    rng = np.random.default_rng(4)
-    group = rng.integers(0, 8, 512)
-    vectors = [{int(t): 1.0 + rng.random() for t in (*(g * 40 + rng.choice(40, 8, replace=False)), *(320 + rng.choice(20, 2, replace=False)))} for g in group]
-    size = [len(v) for v in vectors]
-    edge, term = np.r_[0, np.cumsum(size)], np.concatenate([sorted(v) for v in vectors])
-    weight = np.concatenate([np.array([v[t] for t in sorted(v)]) / np.sqrt(sum(x * x for x in v.values())) for v in vectors])
-    order = module.alike(edge, term, weight, 64)
-    assert sorted(order) == list(range(512))
-    assert list(module.alike(np.array([0]), term[:0], weight[:0])) == []
-    assert sorted(module.alike(np.arange(201), np.zeros(200, np.int64), np.ones(200), 64)) == list(range(200))  # all alike
-    index = Index(edge, term, weight, group.tolist(), list(range(512)), 64, 512)
-    scores = index.scores(edge, term, weight, 15)
-    assert (scores >= 0).mean() < 0.5
-    full = np.zeros((512, 512))
-    full[np.repeat(np.arange(512), size), term] = weight
-    want = full @ full[index.ids].T
-    last = np.sort(want, axis=1)[:, [-15]]
-    assert (scores[want >= last] >= 0).all() and np.abs(scores - want)[scores >= 0].max() < 1e-6
