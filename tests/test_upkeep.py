@@ -81,6 +81,83 @@ def test_status_goes_on_from_its_checkpoint(spark, tmp_path):
     assert any(not x[6] for x in found) and any(x[1] is None for x in found)
 
 
+class Told:
+    """A slot's states in memory, with a count of calls."""
+
+    def __init__(self):
+        self.calls, self.values, self.timers = Counter(), {}, set()
+
+    def getListState(self, name, schema):
+        return Told.State(self, name, [])
+
+    def getValueState(self, name, schema):
+        return Told.State(self, name, None)
+
+    def getMapState(self, name, *schemas):
+        return Told.State(self, name, {})
+
+    def listTimers(self):
+        self.calls["timers"] += 1
+        return iter(sorted(self.timers))
+
+    def registerTimer(self, at):
+        self.calls["timers"] += 1
+        self.timers.add(at)
+
+    def deleteTimer(self, at):
+        self.calls["timers"] += 1
+        self.timers.discard(at)
+
+    def getCurrentWatermarkInMs(self):
+        return self.mark
+
+    class State:
+        def __init__(self, of, name, value):
+            self.of, self.name, self.value = of, name, value
+
+        def _call(self, value):
+            self.of.calls[self.name] += 1
+            return value
+
+        def exists(self):
+            return self._call(self.value is not None)
+
+        def get(self):
+            return self._call(self.value)
+
+        def update(self, value):
+            self.value = self._call(value)
+
+        put = update
+
+        def clear(self):
+            self.value = self._call([])
+
+        def appendValue(self, value):
+            self._call(self.value.append(value))
+
+        def getValue(self, key):
+            return self._call(self.value.get(key))
+
+        def updateValue(self, key, value):
+            self.value[key] = self._call(value)
+
+
+def test_calls_of_state_go_by_slot_and_page_and_not_by_job():
+    r, told, found = random.Random(4), Told(), []
+    events = [(f"j{r.randrange(500)}", 1_000 * r.randrange(30 * 3_600_000), k, r.choice(list(status.MOVES)[1:])) for k in range(3000)]
+    machine = status.JobStatus()
+    machine.init(told)
+    for part in range(3):  # batches that don't follow time
+        rows = pd.DataFrame(events[part::3], columns=["job", "at", "event_id", "proposed"])
+        machine.handleInputRows((0,), iter([rows[:500], rows[500:]]), None)
+    for told.mark in (5 * 3_600_000, 20 * 3_600_000, 40 * 3_600_000):
+        assert min(told.timers) <= told.mark
+        found += [tuple(None if pd.isna(v) else v for v in x) for df in machine.handleExpiredTimer((0,), told, None) for x in df.itertuples(index=False)]
+    assert Counter(found) == plain_status(events, 40 * 3_600_000_000 + 999)
+    assert not told.timers and sum(told.calls.values()) < 200
+
+
 def test_a_batch_that_died_before_its_ledger_entry_is_written_once(spark, tmp_path, monkeypatch):
     root = str(tmp_path / "t")
     batch = lambda k: spark.createDataFrame([(k, i) for i in range(3)], "k int, i int")
