@@ -10,9 +10,11 @@ neither a series nor those that ask for its peak have to fit into a task.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from quotemill.operators.segments import CHUNK, chunk_table, chunked
@@ -25,10 +27,10 @@ BLOCK = 64
 HIGHEST = np.iinfo(np.int64).max
 
 
-def _tables(high: np.ndarray, low: np.ndarray) -> tuple[list[np.ndarray], list[np.ndarray]]:
-    """The extremes of 1, 2, 4, ... rows from each row on; beyond the end there is nothing."""
+def _tables(high: np.ndarray, low: np.ndarray, most: int) -> tuple[list[np.ndarray], list[np.ndarray]]:
+    """The extremes of 1, 2, 4, ... rows from each row on, up to the first power that is ``most``; beyond the end there is nothing."""
     highs, lows, k = [high], [low], 1
-    while k < len(high):
+    while k < min(most, len(high)):
         beyond = np.full(k, HIGHEST)
         highs.append(np.maximum(highs[-1], np.r_[highs[-1][k:], -beyond]))
         lows.append(np.minimum(lows[-1], np.r_[lows[-1][k:], beyond]))
@@ -36,9 +38,9 @@ def _tables(high: np.ndarray, low: np.ndarray) -> tuple[list[np.ndarray], list[n
     return highs, lows
 
 
-def first_hits(high: np.ndarray, low: np.ndarray, at: np.ndarray, up: np.ndarray, down: np.ndarray) -> np.ndarray:
-    """For each query the first place from ``at`` on with high >= up or low <= down; the number of rows if there is none."""
-    highs, lows = _tables(high, low)
+def first_hits(high: np.ndarray, low: np.ndarray, at: np.ndarray, up: np.ndarray, down: np.ndarray, most: int | None = None) -> np.ndarray:
+    """For each query the first place from ``at`` on with high >= up or low <= down; the number of rows if there is none. most: rows that a search goes through, where that is known."""
+    highs, lows = _tables(high, low, len(high) if most is None else most)
     n, at = len(high), np.minimum(at, len(high)).copy()
     for k in [*range(len(highs)), *range(len(highs) - 1, -1, -1)]:
         live = np.flatnonzero(at < n)
@@ -55,38 +57,41 @@ def _maybe(values: np.ndarray, missing: np.ndarray) -> pa.Array:
     return pa.array(values, pa.int64(), mask=missing)
 
 
-def _own(order: str):
-    """A chunk's rows with place (from 0) and steps to the first hit in the chunk, null if there is none."""
-
-    def run(rows: pa.Table) -> pa.Table:
-        rows = rows.sort_by(order)
-        high, low, up, down = _longs(rows, "high_", "low_", "up_", "down_")
-        n = rows.num_rows
-        found = first_hits(high, low, np.arange(n) + 1, up, down)
-        return rows.append_column("place", pa.array(np.arange(n))).append_column("steps", _maybe(found - np.arange(n), found >= n))
-
-    return run
-
-
-def _later(rows: pa.Table, chunks: pa.Table) -> pa.Table:
-    """Rows with target: the number of the first later chunk that reaches a barrier."""
-    chunks = chunks.sort_by("at_nth")
-    high, low = _longs(chunks, "chunk_high", "chunk_low")
-    nth, up, down = _longs(rows, "nth", "up_", "down_")
-    found = first_hits(high, low, nth, up, down)  # numbers begin at 1, places at 0
-    return rows.append_column("target", _maybe(found + 1, found >= len(high)))
-
-
-def _there(rows: pa.Table, inside: pa.Table) -> pa.Table:
-    """Rows with steps, from the rows of their target."""
-    inside = inside.sort_by("place")
-    high, low = _longs(inside, "high_", "low_")
-    start, place, up, down = _longs(rows, "start", "place", "up_", "down_")
-    if not len(start):
-        return rows.select([c for c in rows.column_names if c != "steps"]).append_column("steps", pa.array([], pa.int64()))
-    found = first_hits(high, low, np.zeros(len(start), np.int64), up, down) + int(inside.column("start")[0].as_py())
-    at = rows.column_names.index("steps")
-    return rows.set_column(at, "steps", pa.array(found - start - place, pa.int64()))
+def _solved(rows: pa.Table) -> pa.Table:
+    """Whole series, one after another, with the tag of the first later row of its series that each one's search hits, null if there is none. A row of its own after each series stops every search."""
+    high, low, up, down, place, tag = _longs(rows, "high_", "low_", "up_", "down_", "place", "tag")
+    starts = np.flatnonzero(place == 0)
+    nth = np.cumsum(place == 0) - 1
+    at = np.arange(len(place)) + nth
+    total = len(place) + len(starts)
+    highs, lows, tags = np.full(total, HIGHEST), np.full(total, -HIGHEST), np.zeros(total, np.int64)
+    highs[at], lows[at], tags[at] = high, low, tag
+    stops = np.r_[at[starts[1:]] - 1, total - 1]
+    found = first_hits(highs, lows, at + 1, up, down, int(place.max()) + 2)
+    return rows.append_column("hit", _maybe(tags[found], found == stops[nth]))
+
+
+def _hits(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows in order of their series and place (from 0) with hit; the last series of a batch waits for the next one."""
+    held: list[pa.Table] = []
+    for batch in batches:
+        rows = pa.Table.from_batches([batch])
+        starts = np.flatnonzero(rows.column("place").to_numpy() == 0)
+        if len(starts):
+            if before := [t for t in (*held, rows.slice(0, starts[-1])) if t.num_rows]:
+                yield from _solved(pa.concat_tables(before).combine_chunks()).to_batches()
+            held, rows = [], rows.slice(starts[-1])
+        held.append(rows)
+    if any(t.num_rows for t in held):
+        yield from _solved(pa.concat_tables(held).combine_chunks()).to_batches()
+
+
+def _searched(df: DataFrame, keys: list[str], *order: str) -> DataFrame:
+    """df with place in the series of the keys, and hit. Series follow one another in a task, so that Python is called by batches of rows and not by series."""
+    place = (F.row_number().over(Window.partitionBy(*keys).orderBy(*order)) - 1).cast("long")
+    df = df.withColumn("place", place).sortWithinPartitions(*keys, *order)  # as the window leaves them
+    df = df if "tag" in df.columns else df.withColumn("tag", F.col("place"))
+    return df.mapInArrow(_hits, ", ".join(f"`{c}` {t}" for c, t in [*df.dtypes, ("hit", "long")]))
 
 
 def with_steps(rows: DataFrame, by: list[str], order: str, high: str, low: str, up: Column, down: Column, width: str | None = None) -> DataFrame:
@@ -98,24 +103,25 @@ def with_steps(rows: DataFrame, by: list[str], order: str, high: str, low: str,
     """
     whole = lambda c, missing: F.coalesce((c.cast("decimal(24,6)") * 10**SCALE).cast("long"), F.lit(missing))
     df = rows.withColumns({"high_": whole(F.col(high), -HIGHEST), "low_": whole(F.col(low), HIGHEST), "up_": whole(up, HIGHEST), "down_": whole(down, -HIGHEST)})
-    types = lambda d, **more: ", ".join(f"`{c}` {t}" for c, t in [*d.dtypes, *more.items()])
     if width is None:
-        return df.groupBy(*by).applyInArrow(_own(order), types(df, place="long", steps="long")).select(*rows.columns, "steps")
-    df = chunked(df, order, width)
-    own = staged(df.groupBy(*by, CHUNK).applyInArrow(_own(order), types(df, place="long", steps="long")), "barriers")
-    table = chunk_table(df, by, F.max("high_").alias("chunk_high"), F.min("low_").alias("chunk_low")).withColumn("start", F.col("upto") - F.col("n"))
+        return _searched(df, by, order).select(*rows.columns, (F.col("hit") - F.col("place")).alias("steps"))
+    own = staged(_searched(chunked(df, order, width), [*by, CHUNK], order), "barriers")
+    table = chunk_table(own, by, F.max("high_").alias("chunk_high"), F.min("low_").alias("chunk_low"))
+    table = table.select(*by, CHUNK, F.col("nth").cast("long").alias("nth"), (F.col("upto") - F.col("n")).alias("start"), "chunk_high", "chunk_low")
     block = F.floor((F.col("nth") - 1) / BLOCK)
-    asks = F.col("steps").isNull() & ((F.col("up_") < HIGHEST) | (F.col("down_") > -HIGHEST))
-    open_ = own.where(asks).join(table.select(*by, CHUNK, "nth", "start"), [*by, CHUNK]).withColumn("block", block)
-    blocks = table.groupBy(*[F.col(c).alias(f"of_{c}") for c in by]).agg(F.max(block).alias("last"))
-    shown = table.join(blocks, [F.col(c).eqNullSafe(F.col(f"of_{c}")) for c in by])
-    shown = shown.select(*[F.col(c).alias(f"to_{c}") for c in by], F.col("nth").alias("at_nth"), "chunk_high", "chunk_low", F.explode(F.sequence(F.lit(0).cast("long"), F.col("last"))).alias("to_block"))
-    aimed = open_.groupBy(*by, "block").cogroup(shown.groupBy(*[f"to_{c}" for c in by], "to_block")).applyInArrow(_later, types(open_, target="long")).where("target is not null")
-    aimed = staged(aimed, "aimed")
-    pairs = aimed.select(*by, F.col("target").alias("nth"), F.col("block").alias("to_block")).distinct()
+    asks = F.col("hit").isNull() & ((F.col("up_") < HIGHEST) | (F.col("down_") > -HIGHEST))
+    number = lambda n: F.lit(n).cast("long")
+    never_hit, never_ask = {"high_": number(-HIGHEST), "low_": number(HIGHEST)}, {"up_": number(HIGHEST), "down_": number(-HIGHEST)}
+    open_ = own.where(asks).join(table.select(*by, CHUNK, "nth", "start"), [*by, CHUNK])
+    open_ = open_.select(*rows.columns, "up_", "down_", (F.col("start") + F.col("place")).alias("row"), F.col("nth").alias("tag"), block.alias("block"), F.lit(True).alias("asks")).withColumns(never_hit)
+    blocks = table.groupBy(*by).agg(F.max(block).alias("last"))
+    shown = table.join(blocks, by).select(*by, F.col("nth").alias("tag"), F.col("chunk_high").alias("high_"), F.col("chunk_low").alias("low_"), F.explode(F.sequence(number(0), F.col("last"))).alias("block"), F.lit(False).alias("asks"))
+    aimed = _searched(open_.unionByName(shown.withColumns(never_ask), allowMissingColumns=True), [*by, "block"], "tag", "asks")  # a chunk, and then the rows of it that ask
+    aimed = staged(aimed.where("asks and hit is not null").drop("place", "tag").withColumnRenamed("hit", "target"), "aimed")
+    pairs = aimed.select(*by, F.col("target").alias("nth"), "block").distinct()
     inside = own.select(*by, CHUNK, "place", "high_", "low_").join(table.select(*by, CHUNK, "nth", "start"), [*by, CHUNK]).join(pairs, [*by, "nth"])
-    inside = inside.select(*[F.col(c).alias(f"to_{c}") for c in by], F.col("nth").alias("to_nth"), "to_block", "place", "high_", "low_", "start")
-    late = aimed.groupBy(*by, "target", "block").cogroup(inside.groupBy(*[f"to_{c}" for c in by], "to_nth", "to_block")).applyInArrow(_there, types(aimed))
-    key = [*by, order]
-    rest = own.join(late.select(*key), key, "left_anti")
-    return rest.select(*rows.columns, "steps").unionByName(late.select(*rows.columns, "steps"))
+    inside = inside.select(*by, F.col("nth").alias("target"), "block", (F.col("start") + F.col("place")).alias("tag"), "high_", "low_", F.lit(False).alias("asks"))
+    late = _searched(aimed.withColumn("tag", number(-1)).unionByName(inside.withColumns(never_ask), allowMissingColumns=True), [*by, "target", "block"], "tag")  # all that ask, and then the chunk
+    late = late.where("asks").select(*rows.columns, (F.col("hit") - F.col("row")).alias("steps"))
+    rest = own.join(aimed.select(*by, order), [*by, order], "left_anti")
+    return rest.select(*rows.columns, (F.col("hit") - F.col("place")).alias("steps")).unionByName(late)

@@ -30,8 +30,8 @@ def clamp(days: Column) -> Column:
 def empirical_hold(bars: DataFrame, target: float = 0.01, stop: float = 0.005, lookback: int = 282, least_bars: int = 10, least_samples: int = 8) -> DataFrame:
     """symbol, samples, days: the median of days_to_barrier over the latest bars, rounded up; null with too few bars or samples."""
     w = Window.partitionBy("symbol")
-    nth, all_ = F.row_number().over(w.orderBy("day")), F.count("*").over(w)  # counted from the first, in the order that the search needs as well
-    recent = bars.withColumn("left", all_ - nth).where(F.col("left") < lookback)
+    nth, all_ = F.row_number().over(w.orderBy("trade_date")), F.count("*").over(w)  # counted from the first, in the order that the search needs as well
+    recent = bars.select("symbol", "trade_date", "high", "low", "close").withColumn("left", all_ - nth).where(F.col("left") < lookback)
     found = with_barrier(recent, target, stop).groupBy("symbol").agg(F.count("*").alias("bars"), F.count("days").alias("samples"), F.percentile("days", F.lit(0.5)).alias("middle"))
     enough = (F.col("bars") >= least_bars) & (F.col("samples") >= least_samples)
     return found.select("symbol", F.col("samples").cast("bigint").alias("samples"), F.when(enough, clamp(F.ceil("middle"))).alias("days"))

@@ -189,7 +189,7 @@ def running_vwap(spark, sf_dir):
 )
 def days_to_any_barrier(spark, sf_dir):
     """How many bars ahead a barrier is, however far; series are cut in chunks of a year."""
-    return hold.with_barrier(bars(spark, sf_dir), 0.8, 0.9, None, "365 days").select("symbol", "trade_date", "days")
+    return hold.with_barrier(bars(spark, sf_dir).select("symbol", "trade_date", "high", "low", "close"), 0.8, 0.9, None, "365 days").select("symbol", "trade_date", "days")
 
 
 # rules as data

@@ -450,3 +450,17 @@ def test_the_first_row_of_a_key_and_updates_by_a_second_key(spark, tmp_path):
     for _ in range(2):
         store.write_dates(days, str(tmp_path / "d"), files=3)
         assert spark.read.parquet(str(tmp_path / "d")).count() == 200
+
+
+def test_barriers_in_later_chunks_of_many_series(spark):
+    """Rows that ask and the chunk that they ask for meet in one task, however many there are."""
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    spark.conf.set("spark.sql.shuffle.partitions", "16")
+    try:
+        rows = [(f"S{s}", D0 + dt.timedelta(days=40 * k), s, 10.0 * (k + 1)) for s in range(20) for k in range(5)]
+        bars = spark.createDataFrame(rows, "symbol string, trade_date date, day int, close double").withColumns({c: F.col("close").cast("decimal(18,2)") for c in ("high", "low", "close")})
+        found = {(x["symbol"], x["trade_date"]): x["days"] for x in hold.with_barrier(bars, 1.5, 0.9, None, "30 days").collect()}
+    finally:
+        spark.conf.unset("spark.sql.adaptive.enabled")
+        spark.conf.set("spark.sql.shuffle.partitions", "4")
+    assert found == {(s, at): {0: 2, 1: 3}.get(k) for s, at, k in ((x[0], x[1], round(x[3] / 10) - 1) for x in rows)}
