@@ -68,8 +68,12 @@ def bars_for_pairs(bars: DataFrame, pairs: DataFrame) -> DataFrame:
 
 def feature_lookup(features: DataFrame, pairs: DataFrame, names: tuple[str, ...]) -> DataFrame:
     """pairs (symbol, trade_date) with one column for each named feature of the long form; null where there is none."""
-    wide = features.where(F.col("feature_name").isin(*names)).groupBy("symbol", "trade_date").pivot("feature_name", list(names)).agg(F.max("value"))
-    return pairs.select("symbol", "trade_date").distinct().join(wide, ["symbol", "trade_date"], "left")
+    keys = ["symbol", "trade_date"]
+    value = lambda n: F.when(F.col("feature_name") == n, F.col("value"))
+    asked = pairs.select(*keys).distinct()
+    known = features.where(F.col("feature_name").isin(*names)).join(asked, keys, "left_semi")  # what isn't asked for is neither sorted nor kept
+    wide = known.groupBy(*keys).agg(*[F.max(value(n)).alias(n) for n in names])
+    return asked.join(wide, keys, "left")
 
 
 def last_dates(df: DataFrame, n: int, overlap: DataFrame | None = None) -> DataFrame:

@@ -81,7 +81,8 @@ def all_signals(features: DataFrame, top: int = 20, gap: float = 2.0, keep: tupl
     """The union of the three, in one pass: the features are computed once, and each row gives the signals it has."""
     rows = main_board(features).withColumns({"gap_pct": gap_percent(F.col("open"), F.col("prev_close")), "nth": F.row_number().over(_by_momentum())})
     found = F.array(F.when(F.col("mom_20").isNotNull() & (F.col("nth") <= top), _momentum()), F.when(F.abs("gap_pct") >= gap, _gap()), F.when(F.expr(BROKEN_OUT), _breakout()))
-    return _out(rows, F.filter(found, lambda x: x.isNotNull()), keep)
+    some = (F.col("mom_20").isNotNull() & (F.col("nth") <= top)) | (F.abs("gap_pct") >= gap) | F.expr(BROKEN_OUT)
+    return _out(rows.where(some), F.filter(found, lambda x: x.isNotNull()), keep)
 
 
 def repaired_type(score: Column) -> Column:

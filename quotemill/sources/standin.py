@@ -8,25 +8,31 @@ from pyspark.sql import functions as F
 from quotemill.sources.table_io import table
 
 CENTS = 10**14
+#: Rows that a task has of a shuffle by symbol, so that its memory doesn't grow with the tables.
+PART_ROWS = 500_000
 
 
 def bars(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Daily bars: lineitem by supplier and ship date.
 
-    The first and last price of a day are found with one fixed-width key (order, line, price in
-    cents) in a decimal, so that a hash aggregation with map-side partials does it; what follows
-    from the supplier is put on afterwards.
+    Few rows share a day, so that sums before the shuffle would save nothing: rows are dealt by symbol,
+    which the days and all windows of a symbol then go by without another shuffle. The first and last
+    price are those of the least and largest (order, line, price); rows are sorted for them by symbol
+    and day, as the windows want them, and no task holds its days in memory.
     """
-    rows = table(spark, sf_dir, "lineitem").select(
-        "l_suppkey",
-        F.to_date("l_shipdate").alias("trade_date"),
+    lines = table(spark, sf_dir, "lineitem")
+    parts = max(spark.sparkContext.defaultParallelism, -(-lines.count() // PART_ROWS))
+    rows = lines.select(
+        F.concat(F.lit("S"), F.col("l_suppkey")).alias("symbol"),
+        F.unix_date(F.to_date("l_shipdate")).alias("day"),
         F.col("l_extendedprice").cast("decimal(18,2)").alias("price"),
         F.col("l_quantity").cast("bigint").alias("qty"),
         (F.col("l_orderkey") * 8 + F.col("l_linenumber")).alias("seq"),
     )
-    key = (F.col("seq").cast("decimal(20,0)") * F.lit(CENTS).cast("decimal(15,0)") + (F.col("price") * 100).cast("decimal(15,0)")).cast("decimal(38,0)")
-    price_of = lambda c: (F.pmod(c, F.lit(CENTS).cast("decimal(15,0)")).cast("decimal(18,2)") / 100).cast("decimal(18,2)")
-    days = rows.groupBy("l_suppkey", "trade_date").agg(
+    cents = (F.col("price") * 100).cast("bigint")
+    key = F.when(F.col("seq").isNotNull() & cents.isNotNull(), F.struct("seq", cents.alias("cents")))
+    price_of = lambda c: (F.pmod(c["cents"], F.lit(CENTS)).cast("decimal(18,0)") / 100).cast("decimal(18,2)")
+    days = rows.repartition(parts, "symbol").groupBy("symbol", "day").agg(
         F.min(key).alias("first_key"),
         F.max(key).alias("last_key"),
         F.max("price").alias("high"),
@@ -35,10 +41,11 @@ def bars(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sum("qty").alias("net_trdqty"),
         F.count("*").alias("trades"),
     )
+    supplier = F.substring("symbol", 2, 20).cast("bigint")
     return days.select(
-        F.concat(F.lit("S"), F.col("l_suppkey")).alias("symbol"),
-        "trade_date",
-        F.unix_date("trade_date").alias("day"),
+        "symbol",
+        F.date_from_unix_date("day").alias("trade_date"),
+        "day",
         price_of(F.col("first_key")).alias("open"),
         "high",
         "low",
@@ -46,8 +53,8 @@ def bars(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("value").cast("decimal(24,2)").alias("net_trdval"),
         "net_trdqty",
         "trades",
-        F.when(F.col("l_suppkey") % 10 == 9, 1).otherwise(0).alias("mkt_flag"),
-        F.when(F.col("l_suppkey") % 7 == 6, "Y").otherwise("N").alias("ind_sec"),
+        F.when(supplier % 10 == 9, 1).otherwise(0).alias("mkt_flag"),
+        F.when(supplier % 7 == 6, "Y").otherwise("N").alias("ind_sec"),
     )
 
 

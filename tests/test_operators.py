@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from quotemill.functions import coerce, names
 from quotemill.operators import candidates, hold, indicators, instruments, labels, liquidity, ranks, risk, scans, selection, sessions, signals, trading_days
-from quotemill.sources import store
+from quotemill.sources import standin, store
 
 D0 = dt.date(2025, 1, 1)
 BAR = "symbol string, trade_date date, open decimal(18,2), high decimal(18,2), low decimal(18,2), close decimal(18,2), net_trdval decimal(24,2), net_trdqty long, trades long, mkt_flag int, ind_sec string"
@@ -355,3 +355,12 @@ def test_fields_of_odd_objects(spark):
     assert [r["m"] for r in got] == [{"a": "x", "SECURITY": " y "}, {"n": "12.5", "b": "long text"}, {}, {}, {}, {"a": '{"b":1}'}]
     assert [r["s"] for r in got][:3] == ["y", "long text", None]
     assert [r["p"] for r in got] == ['{"l":{"k":1}}', '{"b":"long text","n":"12.5","l":{"k":1}}', '{"l":{"k":1}}', '{"l":{"k":1}}', '{"l":{"k":1}}', '{"a":{"b":1},"l":{"k":1}}']
+
+
+def test_bars_are_dealt_by_symbol_once_in_tasks_of_so_many_rows(spark, monkeypatch):
+    monkeypatch.setattr(standin, "PART_ROWS", 500)
+    bars = standin.bars(spark, "/root/testdata/sf0.001")
+    rows = spark.read.parquet("/root/testdata/sf0.001/lineitem.parquet").count()
+    assert bars.rdd.getNumPartitions() == -(-rows // 500)
+    plan = indicators.with_features(bars)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange") == 1 and "HashAggregate" not in plan
