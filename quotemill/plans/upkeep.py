@@ -110,12 +110,12 @@ LATE = "2001-08-01"
 
 def _corrected(spark, sf_dir):
     """(bars as they were, bars as they are, the changes): of the late ones some had other prices, some weren't there and some have gone."""
-    now = bars(spark, sf_dir)
+    now = staged(bars(spark, sf_dir), "bars")  # read many times
     late, kind = F.col("trade_date") >= F.lit(LATE).cast("date"), F.pmod(F.crc32(F.concat("symbol", F.col("trade_date").cast("string")).cast("binary")), F.lit(5))
     old = now.where(~(late & (kind == 0))).withColumns({c: F.when(late & (kind == 1), (F.col(c) * 2).cast("decimal(18,2)")).otherwise(F.col(c)) for c in OHLC})
     gone = now.where(late & (kind == 2)).withColumns({"trade_date": F.date_add("trade_date", 200), "day": F.col("day") + 200})
     old = old.unionByName(gone.join(now.select("symbol", "trade_date"), ["symbol", "trade_date"], "left_anti").select(*old.columns))
-    return old, now, corrections.changed_keys(old.where(late), now.where(late), OHLC)
+    return old, now, staged(corrections.changed_keys(old.where(late), now.where(late), OHLC), "changed")
 
 
 @query(f"WITH {FEATURES_SQL} SELECT symbol, trade_date, prev_close::DOUBLE AS prev_close, mom_20, atr_14, rsi_14, prior_high::DOUBLE AS prior_high FROM features")

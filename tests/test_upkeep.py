@@ -464,3 +464,10 @@ def test_barriers_in_later_chunks_of_many_series(spark):
         spark.conf.unset("spark.sql.adaptive.enabled")
         spark.conf.set("spark.sql.shuffle.partitions", "4")
     assert found == {(s, at): {0: 2, 1: 3}.get(k) for s, at, k in ((x[0], x[1], round(x[3] / 10) - 1) for x in rows)}
+
+
+def test_corrections_make_their_bars_once(spark):
+    from quotemill.plans import upkeep
+
+    for df in upkeep._corrected(spark, "/root/testdata/sf0.001"):
+        assert "lineitem" not in df._jdf.queryExecution().executedPlan().toString()
