@@ -15,8 +15,8 @@ from quotemill.operators import candidates, hold, indicators, instruments, label
 from quotemill.plans.fragments import CANDLES_SQL, FEATURES_SQL, LABELS_SQL, METRICS_SQL, OUTCOMES_SQL, PRICED_SQL, SELECTION_SQL, SIGNALS_SQL, VWAP_SQL
 from quotemill.plans.queries import ORACLE, QUERIES, query
 from quotemill.sources import archive, store
-from quotemill.sources.standin import BARS_SQL, bars, candles, candles_of
-from quotemill.sources.table_io import shared_dir, table
+from quotemill.sources.standin import BARS_SQL, PART_ROWS, bars, candles, candles_of
+from quotemill.sources.table_io import shared_dir, staged, table
 from quotemill.streaming import candles as streams
 
 #: The stand-in prices jump, so that a gap of 2 percent would keep nearly every bar.
@@ -29,6 +29,11 @@ def features(spark: SparkSession, sf_dir: str) -> DataFrame:
     return indicators.with_features(bars(spark, sf_dir))
 
 
+def features_once(spark: SparkSession, sf_dir: str, *columns: str) -> DataFrame:
+    """Some columns of features in the shared folder, for plans that read them more than once."""
+    return staged(features(spark, sf_dir).select("symbol", "trade_date", *columns), "features")
+
+
 def doubles(df: DataFrame, *cols: str) -> DataFrame:
     return df.withColumns({c: F.col(c).cast("double") for c in cols})
 
@@ -927,7 +932,7 @@ def _daily_archive(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
 )
 def candidates_from_archive(spark, sf_dir):
     """Every day's archive made in a task, and read to the candidates that the master has."""
-    moved = features(spark, sf_dir).withColumn("pct", coerce.ratio(F.col("close") - F.col("prev_close"), F.col("prev_close")) * 100)
+    moved = features_once(spark, sf_dir, "high", "low", "close", "prev_close", "net_trdval", "trades").withColumn("pct", coerce.ratio(F.col("close") - F.col("prev_close"), F.col("prev_close")) * 100)
     text = lambda c: F.coalesce(F.col(c).cast("string"), F.lit(""))
     name = F.concat(F.lit("Co. "), F.col("symbol"), F.lit(" Ltd."))
     line = lambda *parts: F.concat_ws(",", *parts)
@@ -939,12 +944,12 @@ def candidates_from_archive(spark, sf_dir):
         line(name, text("net_trdval"), text("trades")).alias("tt"),
         line(F.col("symbol"), name).alias("pd"),
     )
-    rows = rows.repartition(spark.sparkContext.defaultParallelism, "trade_date")  # few bytes, but an archive a day
+    parts = max(spark.sparkContext.defaultParallelism, -(-moved.count() // PART_ROWS))
+    rows = rows.repartition(parts, "trade_date")  # an archive a day
     files = rows.groupBy("trade_date").applyInPandas(_daily_archive, "path string, content binary").withColumn("modificationTime", F.lit("2025-10-03 18:00:00").cast("timestamp"))
     master = moved.select("symbol").distinct().where(F.substring("symbol", 2, 18).cast("int") % 3 != 0)
-    members = f"{_shared(spark)}/members-{os.urandom(8).hex()}"  # read for each kind of member
-    archive.member_rows(files).write.parquet(members)
-    return candidates.from_archive(spark.read.parquet(members), master, 2000.0, 5, 3)
+    members = staged(archive.member_rows(files), "members")  # read for each kind of member
+    return candidates.from_archive(members, master, 2000.0, 5, 3)
 
 
 def _staging_archive(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:

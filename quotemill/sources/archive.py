@@ -11,8 +11,9 @@ import io
 import zipfile
 import zlib
 from collections.abc import Iterator
+from itertools import chain
 
-import pandas as pd
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -44,8 +45,8 @@ ENTRY = "struct<member: string, first: long, packed: long, size: long, method: i
 _HEADER = 30
 
 
-def _rows(data: bytes, sniff: bool) -> list[dict[str, str]]:
-    """A member's rows: those with fewer fields than the header lack the last ones, empty lines count for nothing.
+def _lines(data: bytes, sniff: bool) -> tuple[list[str], list[list[str]]]:
+    """A member's header and rows: those with fewer fields than the header lack the last ones, empty lines count for nothing.
 
     A row with more fields is left out; when the form is being sniffed it means that the form is wrong,
     and the next one is tried. No rows if no form reads the member.
@@ -61,10 +62,33 @@ def _rows(data: bytes, sniff: bool) -> list[dict[str, str]]:
             rows = [row for row in reader if row]
             if sniff and any(len(row) > len(header) for row in rows):
                 continue
-            return [dict(zip(header, row, strict=False)) for row in rows if len(row) <= len(header)]
+            return header, [row for row in rows if len(row) <= len(header)]
         except (UnicodeDecodeError, csv.Error):
             continue
-    return []
+    return [], []
+
+
+def _named(header: list[str], rows: list[list[str]]) -> list[dict[str, str]]:
+    return [dict(zip(header, row, strict=False)) for row in rows]
+
+
+def _rows(data: bytes, sniff: bool) -> list[dict[str, str]]:
+    """A member's rows by its header, one at a time."""
+    return _named(*_lines(data, sniff))
+
+
+def _maps(header: list[str], rows: list[list[str]]) -> pa.MapArray:
+    """Each row's fields by the header, made a column at a time; of headers with one name the last that the row reaches counts."""
+    if len(set(header)) < len(header):
+        found = _named(header, rows)
+        keys, values = pa.array([k for row in found for k in row], pa.string()), [v for row in found for v in row.values()]
+        held = np.fromiter(map(len, found), np.int64, len(found))
+    else:
+        held = np.fromiter(map(len, rows), np.int64, len(rows))
+        place = np.arange(held.sum()) - np.repeat(np.cumsum(held) - held, held)
+        keys, values = pa.array(header, pa.string()).take(pa.array(place)), list(chain.from_iterable(rows))
+    offsets = np.r_[0, np.cumsum(held)].astype(np.int32)
+    return pa.MapArray.from_arrays(pa.array(offsets), keys, pa.array(values, pa.string()))
 
 
 def members(spark: SparkSession, path: str, sniff: bool = False) -> DataFrame:
@@ -127,26 +151,31 @@ def _unpacked(member: str, data: bytes, size: int, method: int, crc: int) -> byt
 
 def parsed(rows: DataFrame, sniff: bool = False) -> DataFrame:
     """Rows of the members of ``entries``, as in member_rows(). Members are dealt to tasks by archive and name, so that a large archive is no task's alone."""
-    names = ["archive", "modified", "member", "row_seq", "fields", "fault"]
+    names, shared = ["archive", "modified", "member", "row_seq", "fields", "fault", "kind", "trade_date"], ("archive", "modified", "member", "kind", "trade_date")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def frame(batch: pa.RecordBatch, k: int, seq: list | np.ndarray, fields: pa.Array, fault: str | None = None) -> pa.RecordBatch:
+            out = {c: batch.column(c).take(pa.array(np.full(len(seq), k))) for c in shared}
+            out |= {"row_seq": pa.array(seq, pa.int64()), "fields": fields, "fault": pa.array([fault] * len(seq), pa.string())}
+            return pa.RecordBatch.from_pydict({c: out[c] for c in names})
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        frame = lambda rows: pd.DataFrame(rows, columns=names).astype({"row_seq": "Int64"})
         for part in batches:
-            for name, at, member, data, size, method, crc, fault in part.itertuples(index=False):
+            for k in range(part.num_rows):
+                member, data, size, method, crc, fault = (part.column(c)[k].as_py() for c in ("member", "data", "size", "method", "crc", "fault"))
                 try:
-                    found = _rows(_unpacked(member, data, int(size), int(method), int(crc)), sniff) if fault is None else None
+                    header, found = _lines(_unpacked(member, data, size, method, crc), sniff) if fault is None else ([], None)
                 except FAULTS as e:
                     found, fault = None, _why(e)
                 if found is None:
-                    yield frame([(name, at, member, None, None, fault)])
+                    yield frame(part, k, [None], pa.nulls(1, pa.map_(pa.string(), pa.string())), fault)
                     continue
                 for lo in range(0, len(found), CHUNK):
-                    yield frame([(name, at, member, lo + k, row, None) for k, row in enumerate(found[lo : lo + CHUNK])])
+                    rows = found[lo : lo + CHUNK]
+                    yield frame(part, k, np.arange(lo, lo + len(rows)), _maps(header, rows))
 
-    dealt = rows.select("archive", "modified", "member", "data", "size", "method", "crc", "fault")
+    dealt = rows.select("archive", "modified", "member", "data", "size", "method", "crc", "fault", "kind", "trade_date")  # told once a member
     dealt = dealt.repartition(int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")), "archive", "member")  # a number, since packed bytes say little of the work
-    out = dealt.mapInPandas(run, "archive string, modified timestamp, member string, row_seq long, fields map<string,string>, fault string")
-    return out.withColumn("kind", kind_of(F.col("member"))).withColumn("trade_date", file_date(F.regexp_extract("member", r"([^/\\]*)$", 1)))
+    return dealt.mapInArrow(run, "archive string, modified timestamp, member string, row_seq long, fields map<string,string>, fault string, kind string, trade_date date")
 
 
 def member_rows(files: DataFrame, sniff: bool = False, kinds: tuple[str, ...] | None = None) -> DataFrame:

@@ -409,6 +409,18 @@ def test_members_are_read_as_the_library_for_archives_does(spark):
     assert len(want) == 4 * (archive.CHUNK + 5) + 1
 
 
+def test_members_come_by_columns_and_not_by_row(spark, monkeypatch):
+    """Headers that come twice, short rows, quoted and empty fields, no rows and no header: as row by row, without a Python object a row."""
+    texts = ["a,b,a\n1\n1,2\n1,2,3\n", 'a,b\n"x,\ny",\n,\n5\n', "a,b\n", "", "a\n1,2\n"]
+    for text in texts:
+        assert [dict(x) for x in archive._maps(*archive._lines(text.encode(), False)).to_pylist()] == archive._rows(text.encode(), False)
+    rows = archive.parsed(archive.entries(files_frame(spark, [zipped({f"GL0{k}1025.csv": t for k, t in enumerate(texts, 1)})])))
+    plan = rows._jdf.queryExecution().executedPlan().toString()
+    assert "MapInArrow" in plan and "regexp_extract" not in plan[: plan.index("MapInArrow")]  # kind and day are told once a member
+    got = Counter((r["member"], r["row_seq"], tuple(sorted(r["fields"].items()))) for r in rows.collect())
+    assert got == Counter((f"GL0{k}1025.csv", n, tuple(sorted(row.items()))) for k, t in enumerate(texts, 1) for n, row in enumerate(archive._rows(t.encode(), False)))
+
+
 def test_members_of_other_kinds_are_not_unpacked(spark):
     whole = zipped({"GL031025.csv": "a\n1\n", "HL031025.csv": "a\n2\n"})
     at = whole.index(b"a\n2")
