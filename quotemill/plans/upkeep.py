@@ -161,6 +161,7 @@ _KEYS = ["trade_date", "symbol"]
 def merge_touched(spark, sf_dir):
     """Corrections of two months and new symbols, merged into a table of many files; only files of these keys are read and rewritten."""
     rows = doubles(bars(spark, sf_dir), "open", "low", "close").withColumn("month", F.date_format("trade_date", "yyyy-MM"))
+    rows = staged(rows.select("symbol", "trade_date", "month", "open", "low", "close", "trades"), "bars")  # read for the table and for what is merged
     folder = new_folder(spark, "merged")
     manifest.create(rows.select("symbol", "trade_date", "month", F.col("close").alias("price")), folder, "month", _KEYS, 2000)
     late = rows.where("trades > 1 and month in ('1996-05', '1998-02')")

@@ -263,6 +263,27 @@ def test_a_merge_leaves_other_files_as_they_are(spark, tmp_path, monkeypatch):
     check()
 
 
+def test_a_large_table_is_written_by_few_tasks_and_asked_by_cells(spark, tmp_path):
+    """Files of so many rows, several of them by one task; keys meet files by number, and find all and only those that hold them."""
+    root, n = str(tmp_path / "t"), 6000
+    rows = [("p" if k % 3 else "q", k * 7 % 5000 // 2, f"s{k}", k) for k in range(n)]
+    manifest.create(spark.createDataFrame(rows, "month string, k int, s string, v int"), root, "month", ["k", "s"], 100)
+    at = manifest.manifest(spark, root)
+    names = [r["file"] for r in at.select("file").distinct().collect()]
+    assert len({os.path.basename(f).split("-")[1] for f in names}) == 1 and len(names) == n // 100
+    held = spark.read.parquet(*names).withColumn("file", F.col("_metadata.file_path")).collect()
+    spans = {}
+    for r in held:
+        spans.setdefault((r["file"], r["month"]), []).append((r["k"], r["s"]))
+    assert {(r["file"], r["part"]): (tuple(r["least"]), tuple(r["most"]), r["n"]) for r in at.collect()} == {x: (min(v), max(v), len(v)) for x, v in spans.items()}
+    for part in (held[:1], held[5:900:150], held):
+        new = spark.createDataFrame([(r["month"], r["k"], r["s"]) for r in part], "month string, k int, s string")
+        got = {r["file"] for r in manifest.touched(new, at, "month", ["k", "s"]).collect()}
+        assert got >= {r["file"] for r in part} and len(got) <= len({r["file"] for r in part}) + 3
+    plan = manifest.touched(new, at, "month", ["k", "s"])._jdf.queryExecution().optimizedPlan().toString()
+    assert "Join Inner, ((part" in plan and "cell" in plan
+
+
 def test_merges_into_an_empty_table(spark, tmp_path):
     root, schema = str(tmp_path / "t"), "month string, k int, v int"
     manifest.create(spark.createDataFrame([], schema), root, "month", ["k"])
