@@ -34,6 +34,10 @@ def features_once(spark: SparkSession, sf_dir: str, *columns: str) -> DataFrame:
     return staged(features(spark, sf_dir).select("symbol", "trade_date", *columns), "features")
 
 
+#: What signals and their prices are made of.
+SIGNALLED = ("open", "close", "mkt_flag", "ind_sec", "prev_close", "mom_20", "atr_14", "prior_high")
+
+
 def doubles(df: DataFrame, *cols: str) -> DataFrame:
     return df.withColumns({c: F.col(c).cast("double") for c in cols})
 
@@ -218,7 +222,7 @@ def _priced(spark, sf_dir) -> DataFrame:
 @query(f"WITH {PRICED_SQL.format(gap=GAP)} SELECT trade_date, symbol, strategy, entry_date, entry_source, entry_price, stop_price, target_price FROM priced")
 def signal_prices_joined(spark, sf_dir):
     """The same prices by joins, for signals that come from elsewhere."""
-    f = features(spark, sf_dir)
+    f = features_once(spark, sf_dir, *SIGNALLED)
     df = doubles(risk.with_risk(risk.with_entries(signals.all_signals(f, gap=GAP), f), f), "entry_price")
     return df.select("trade_date", "symbol", "strategy", "entry_date", "entry_source", "entry_price", "stop_price", "target_price")
 

@@ -504,3 +504,10 @@ def test_corrections_make_their_bars_once(spark):
 
     for df in upkeep._corrected(spark, "/root/testdata/sf0.001"):
         assert "lineitem" not in df._jdf.queryExecution().executedPlan().toString()
+
+
+@pytest.mark.parametrize("name", ["signal_prices_joined"])
+def test_joins_read_features_that_were_made_once(spark, name):
+    from quotemill.plans import catalogue
+
+    assert "lineitem" not in catalogue.QUERIES[name](spark, "/root/testdata/sf0.001")._jdf.queryExecution().executedPlan().toString()
