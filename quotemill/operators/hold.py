@@ -46,9 +46,11 @@ def score_hold(score: Column, base: int = 7) -> Column:
     return F.when(score.isNotNull(), clamp(F.rint(F.lit(float(base)) * (1 - F.least(F.lit(0.6), F.abs(score) / 10)))))
 
 
-def hold_cascade(signals: DataFrame, empirical: DataFrame, features: DataFrame, default: int = 7) -> DataFrame:
-    """Signals with hold_days and hold_method: empirical, else by ATR, else by score, else the default."""
-    df = signals.join(empirical.select("symbol", "days"), "symbol", "left").join(features.select("symbol", "trade_date", "atr_14"), ["symbol", "trade_date"], "left")
+def hold_cascade(signals: DataFrame, empirical: DataFrame, features: DataFrame | None = None, default: int = 7) -> DataFrame:
+    """Signals with hold_days and hold_method: empirical, else by ATR, else by score, else the default. Without ``features`` the signals have atr_14 themselves."""
+    df = signals.join(empirical.select("symbol", "days"), "symbol", "left")
+    if features is not None:
+        df = df.join(features.select("symbol", "trade_date", "atr_14"), ["symbol", "trade_date"], "left")
     ways = (("empirical", F.col("days")), ("atr", atr_hold(F.col("atr_14"))), ("score", score_hold(F.col("signal_score"), default)), ("fallback", F.lit(default).cast("bigint")))
     method = F.coalesce(*[F.when(days.isNotNull(), F.lit(name)) for name, days in ways])
     return df.withColumn("hold_days", F.coalesce(*[d for _, d in ways])).withColumn("hold_method", method).drop("days", "atr_14")

@@ -263,9 +263,9 @@ def hold_days_empirical(spark, sf_dir):
     FROM signals s LEFT JOIN empirical e ON e.symbol = s.symbol LEFT JOIN features f ON f.symbol = s.symbol AND f.trade_date = s.trade_date"""
 )
 def hold_days_cascade(spark, sf_dir):
-    f = features(spark, sf_dir)
-    known = hold.empirical_hold(bars(spark, sf_dir), TARGET, STOP).withColumn("days", F.when(F.col("days") > 3, F.col("days")))  # some symbols fall through to the other ways
-    return hold.hold_cascade(signals.all_signals(f, gap=GAP), known, f).select("trade_date", "symbol", "strategy", "hold_days", "hold_method")
+    f = features_once(spark, sf_dir, *SIGNALLED, "high", "low")
+    known = hold.empirical_hold(f, TARGET, STOP).withColumn("days", F.when(F.col("days") > 3, F.col("days")))  # some symbols fall through to the other ways
+    return hold.hold_cascade(signals.all_signals(f, gap=GAP, keep=("atr_14",)), known).select("trade_date", "symbol", "strategy", "hold_days", "hold_method")
 
 
 def _labels(spark, sf_dir) -> DataFrame:
