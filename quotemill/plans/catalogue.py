@@ -211,7 +211,8 @@ def signal_type_repair(spark, sf_dir):
 
 @query(f"WITH {PRICED_SQL.format(gap=GAP)} SELECT trade_date, symbol, strategy, entry_date, entry_price, entry_source FROM entered")
 def signal_entry_prices(spark, sf_dir):
-    df = risk.with_entries(_all(spark, sf_dir), bars(spark, sf_dir))
+    f = features_once(spark, sf_dir, *SIGNALLED)
+    df = risk.with_entries(signals.all_signals(f, gap=GAP), f)
     return doubles(df, "entry_price").select("trade_date", "symbol", "strategy", "entry_date", "entry_price", "entry_source")
 
 

@@ -506,7 +506,7 @@ def test_corrections_make_their_bars_once(spark):
         assert "lineitem" not in df._jdf.queryExecution().executedPlan().toString()
 
 
-@pytest.mark.parametrize("name", ["signal_prices_joined", "hold_days_cascade"])
+@pytest.mark.parametrize("name", ["signal_prices_joined", "hold_days_cascade", "signal_entry_prices"])
 def test_joins_read_features_that_were_made_once(spark, name):
     from quotemill.plans import catalogue
 
