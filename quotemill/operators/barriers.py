@@ -25,6 +25,8 @@ SCALE = 6
 #: Chunks whose rows ask together.
 BLOCK = 64
 HIGHEST = np.iinfo(np.int64).max
+#: What a search reads of a row.
+SEARCHED = ("high_", "low_", "up_", "down_", "place", "tag")
 
 
 def _tables(high: np.ndarray, low: np.ndarray, most: int) -> tuple[list[np.ndarray], list[np.ndarray]]:
@@ -59,7 +61,7 @@ def _maybe(values: np.ndarray, missing: np.ndarray) -> pa.Array:
 
 def _solved(rows: pa.Table) -> pa.Table:
     """Whole series, one after another, with the tag of the first later row of its series that each one's search hits, null if there is none. A row of its own after each series stops every search."""
-    high, low, up, down, place, tag = _longs(rows, "high_", "low_", "up_", "down_", "place", "tag")
+    high, low, up, down, place, tag = _longs(rows, *SEARCHED)
     starts = np.flatnonzero(place == 0)
     nth = np.cumsum(place == 0) - 1
     at = np.arange(len(place)) + nth
@@ -71,32 +73,40 @@ def _solved(rows: pa.Table) -> pa.Table:
     return rows.append_column("hit", _maybe(tags[found], found == stops[nth]))
 
 
-def _hits(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows in order of their series and place (from 0) with hit; the last series of a batch waits for the next one."""
+def _hits(batches: Iterator[pa.RecordBatch], names: list[str]) -> Iterator[pa.RecordBatch]:
+    """The named columns of rows in order of their series and place (from 0) with hit; the last series of a batch waits for the next one."""
     held: list[pa.Table] = []
     for batch in batches:
         rows = pa.Table.from_batches([batch])
         starts = np.flatnonzero(rows.column("place").to_numpy() == 0)
         if len(starts):
             if before := [t for t in (*held, rows.slice(0, starts[-1])) if t.num_rows]:
-                yield from _solved(pa.concat_tables(before).combine_chunks()).to_batches()
+                yield from _solved(pa.concat_tables(before).combine_chunks()).select(names).to_batches()
             held, rows = [], rows.slice(starts[-1])
         held.append(rows)
     if any(t.num_rows for t in held):
-        yield from _solved(pa.concat_tables(held).combine_chunks()).to_batches()
+        yield from _solved(pa.concat_tables(held).combine_chunks()).select(names).to_batches()
 
 
-def _searched(df: DataFrame, keys: list[str], *order: str) -> DataFrame:
-    """df with place in the series of the keys, and hit. Series follow one another in a task, so that Python is called by batches of rows and not by series."""
+def _searched(df: DataFrame, keys: list[str], *order: str, keep: list[str] | None = None) -> DataFrame:
+    """df with place in the series of the keys, and hit. Series follow one another in a task, so that Python is called by batches of rows and not by series.
+
+    keep: the columns that are wanted with place and hit, so that no other goes through Python.
+    """
     place = (F.row_number().over(Window.partitionBy(*keys).orderBy(*order)) - 1).cast("long")
     df = df.withColumn("place", place).sortWithinPartitions(*keys, *order)  # as the window leaves them
     df = df if "tag" in df.columns else df.withColumn("tag", F.col("place"))
-    return df.mapInArrow(_hits, ", ".join(f"`{c}` {t}" for c, t in [*df.dtypes, ("hit", "long")]))
+    kept = [*(df.columns if keep is None else [*keep, "place"]), "hit"]
+    df = df if keep is None else df.select(*keep, *SEARCHED)
+    types = dict([*df.dtypes, ("hit", "long")])
+    return df.mapInArrow(lambda batches: _hits(batches, kept), ", ".join(f"`{c}` {types[c]}" for c in kept))
 
 
-def with_steps(rows: DataFrame, by: list[str], order: str, high: str, low: str, up: Column, down: Column, width: str | None = None) -> DataFrame:
+def with_steps(rows: DataFrame, by: list[str], order: str, high: str, low: str, up: Column, down: Column, width: str | None = None, keep: list[str] | None = None) -> DataFrame:
     """rows with steps: how many rows ahead in its series is the first whose high reaches ``up`` or whose low reaches ``down``; null if none does.
 
+    keep: the columns of rows that are wanted, all by default.
+
     width: a chunk's span of time in ``order``; without one a series is one chunk, as for daily bars.
     Rows without a barrier have no steps by it; a missing high or low reaches nothing. ``order`` is unique
     in a series and not null.
@@ -104,7 +114,7 @@ def with_steps(rows: DataFrame, by: list[str], order: str, high: str, low: str,
     whole = lambda c, missing: F.coalesce((c.cast("decimal(24,6)") * 10**SCALE).cast("long"), F.lit(missing))
     df = rows.withColumns({"high_": whole(F.col(high), -HIGHEST), "low_": whole(F.col(low), HIGHEST), "up_": whole(up, HIGHEST), "down_": whole(down, -HIGHEST)})
     if width is None:
-        return _searched(df, by, order).select(*rows.columns, (F.col("hit") - F.col("place")).alias("steps"))
+        return _searched(df, by, order, keep=keep).select(*rows.columns if keep is None else keep, (F.col("hit") - F.col("place")).alias("steps"))
     own = staged(_searched(chunked(df, order, width), [*by, CHUNK], order), "barriers")
     table = chunk_table(own, by, F.max("high_").alias("chunk_high"), F.min("low_").alias("chunk_low"))
     table = table.select(*by, CHUNK, F.col("nth").cast("long").alias("nth"), (F.col("upto") - F.col("n")).alias("start"), "chunk_high", "chunk_low")
@@ -124,4 +134,4 @@ def with_steps(rows: DataFrame, by: list[str], order: str, high: str, low: str,
     late = _searched(aimed.withColumn("tag", number(-1)).unionByName(inside.withColumns(never_ask), allowMissingColumns=True), [*by, "target", "block"], "tag")  # all that ask, and then the chunk
     late = late.where("asks").select(*rows.columns, (F.col("hit") - F.col("row")).alias("steps"))
     rest = own.join(aimed.select(*by, order), [*by, order], "left_anti")
-    return rest.select(*rows.columns, (F.col("hit") - F.col("place")).alias("steps")).unionByName(late)
+    return rest.select(*rows.columns, (F.col("hit") - F.col("place")).alias("steps")).unionByName(late).select(*rows.columns if keep is None else keep, "steps")

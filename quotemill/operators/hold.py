@@ -15,11 +15,11 @@ def days_to_barrier(bars: DataFrame, target: float = 0.01, stop: float = 0.005,
     return with_barrier(bars, target, stop, ahead).where("close > 0").select("symbol", "trade_date", "days")
 
 
-def with_barrier(bars: DataFrame, target: float = 0.01, stop: float = 0.005, ahead: int | None = 30, width: str | None = None) -> DataFrame:
-    """bars with days, null where the close isn't above 0; ahead None: however far the barrier is. width: for series that are cut in chunks of so much time."""
+def with_barrier(bars: DataFrame, target: float = 0.01, stop: float = 0.005, ahead: int | None = 30, width: str | None = None, keep: list[str] | None = None) -> DataFrame:
+    """bars with days, null where the close isn't above 0; ahead None: however far the barrier is. width: for series that are cut in chunks of so much time. keep: the columns of bars that are wanted, all by default."""
     above = F.when(F.col("close") > 0, F.col("close"))
     up, down = above * F.lit(str(1 + target)).cast("decimal(10,4)"), above * F.lit(str(1 - stop)).cast("decimal(10,4)")
-    found = with_steps(bars, ["symbol"], "trade_date", "high", "low", up, down, width)
+    found = with_steps(bars, ["symbol"], "trade_date", "high", "low", up, down, width, keep)
     return found.withColumn("days", F.when(F.col("steps") <= ahead, F.col("steps")) if ahead else F.col("steps")).drop("steps")
 
 
@@ -28,11 +28,11 @@ def clamp(days: Column) -> Column:
 
 
 def empirical_hold(bars: DataFrame, target: float = 0.01, stop: float = 0.005, lookback: int = 282, least_bars: int = 10, least_samples: int = 8) -> DataFrame:
-    """symbol, samples, days: the median of days_to_barrier over the latest bars, rounded up; null with too few bars or samples."""
+    """symbol, samples, days: the median of days_to_barrier over the latest bars, rounded up; null with too few bars or samples. Only bars with a close above 0 count."""
     w = Window.partitionBy("symbol")
     nth, all_ = F.row_number().over(w.orderBy("trade_date")), F.count("*").over(w)  # counted from the first, in the order that the search needs as well
     recent = bars.select("symbol", "trade_date", "high", "low", "close").withColumn("left", all_ - nth).where(F.col("left") < lookback)
-    found = with_barrier(recent, target, stop).groupBy("symbol").agg(F.count("*").alias("bars"), F.count("days").alias("samples"), F.percentile("days", F.lit(0.5)).alias("middle"))
+    found = with_barrier(recent.withColumn("priced", F.col("close") > 0), target, stop, keep=["symbol", "priced"]).where("priced").groupBy("symbol").agg(F.count("*").alias("bars"), F.count("days").alias("samples"), F.percentile("days", F.lit(0.5)).alias("middle"))
     enough = (F.col("bars") >= least_bars) & (F.col("samples") >= least_samples)
     return found.select("symbol", F.col("samples").cast("bigint").alias("samples"), F.when(enough, clamp(F.ceil("middle"))).alias("days"))
 

@@ -15,7 +15,7 @@ from quotemill.operators import candidates, hold, indicators, instruments, label
 from quotemill.plans.fragments import CANDLES_SQL, FEATURES_SQL, LABELS_SQL, METRICS_SQL, OUTCOMES_SQL, PRICED_SQL, SELECTION_SQL, SIGNALS_SQL, VWAP_SQL
 from quotemill.plans.queries import ORACLE, QUERIES, query
 from quotemill.sources import archive, store
-from quotemill.sources.standin import BARS_SQL, PART_ROWS, bars, candles, candles_of
+from quotemill.sources.standin import BARS_SQL, PART_ROWS, bars, candles, candles_of, symbol_of
 from quotemill.sources.table_io import shared_dir, staged, table
 from quotemill.streaming import candles as streams
 
@@ -253,7 +253,7 @@ _HOLD_SQL = (
 
 @query(f"WITH {_HOLD_SQL} SELECT symbol, samples, days FROM empirical")
 def hold_days_empirical(spark, sf_dir):
-    return hold.empirical_hold(bars(spark, sf_dir), TARGET, STOP)
+    return hold.empirical_hold(bars(spark, sf_dir, named=False), TARGET, STOP).withColumn("symbol", symbol_of("symbol"))
 
 
 @query(

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quotemill.sources.table_io import table
@@ -12,26 +12,33 @@ CENTS = 10**14
 PART_ROWS = 500_000
 
 
-def bars(spark: SparkSession, sf_dir: str) -> DataFrame:
+def symbol_of(supplier: str) -> Column:
+    """The symbol of a supplier's number."""
+    return F.concat(F.lit("S"), F.col(supplier))
+
+
+def bars(spark: SparkSession, sf_dir: str, named: bool = True) -> DataFrame:
     """Daily bars: lineitem by supplier and ship date.
 
     Few rows share a day, so that sums before the shuffle would save nothing: rows are dealt by symbol,
     which the days and all windows of a symbol then go by without another shuffle. The first and last
     price are those of the least and largest (order, line, price); rows are sorted for them by symbol
-    and day, as the windows want them, and no task holds its days in memory.
+    and day, as the windows want them, and no task holds its days in memory. Prices stay what they are:
+    only those that CENTS is too small for are counted in cents, and wrap. Without names symbol is the
+    supplier's number, which costs less to deal, to sort and to keep; symbol_of() names it in the result.
     """
     lines = table(spark, sf_dir, "lineitem")
     parts = max(spark.sparkContext.defaultParallelism, -(-lines.count() // PART_ROWS))
     rows = lines.select(
-        F.concat(F.lit("S"), F.col("l_suppkey")).alias("symbol"),
+        (symbol_of("l_suppkey") if named else F.col("l_suppkey")).alias("symbol"),
         F.unix_date(F.to_date("l_shipdate")).alias("day"),
         F.col("l_extendedprice").cast("decimal(18,2)").alias("price"),
         F.col("l_quantity").cast("bigint").alias("qty"),
         (F.col("l_orderkey") * 8 + F.col("l_linenumber")).alias("seq"),
     )
-    cents = (F.col("price") * 100).cast("bigint")
-    key = F.when(F.col("seq").isNotNull() & cents.isNotNull(), F.struct("seq", cents.alias("cents")))
-    price_of = lambda c: (F.pmod(c["cents"], F.lit(CENTS)).cast("decimal(18,0)") / 100).cast("decimal(18,2)")
+    key = F.when(F.col("seq").isNotNull() & F.col("price").isNotNull(), F.struct("seq", "price"))
+    wrapped = lambda p: (F.pmod((p * 100).cast("bigint"), F.lit(CENTS)).cast("decimal(18,0)") / 100).cast("decimal(18,2)")
+    price_of = lambda c: F.when((c["price"] >= 0) & (c["price"] < CENTS // 100), c["price"]).otherwise(wrapped(c["price"]))
     days = rows.repartition(parts, "symbol").groupBy("symbol", "day").agg(
         F.min(key).alias("first_key"),
         F.max(key).alias("last_key"),
@@ -41,7 +48,7 @@ def bars(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sum("qty").alias("net_trdqty"),
         F.count("*").alias("trades"),
     )
-    supplier = F.substring("symbol", 2, 20).cast("bigint")
+    supplier = F.substring("symbol", 2, 20).cast("bigint") if named else F.col("symbol")
     return days.select(
         "symbol",
         F.date_from_unix_date("day").alias("trade_date"),

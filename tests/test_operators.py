@@ -1,6 +1,7 @@
 """Edges worked out by hand: nulls, ties, zero denominators, minimum rows."""
 
 import datetime as dt
+from decimal import Decimal
 
 import pytest
 from pyspark.sql import functions as F
@@ -364,3 +365,27 @@ def test_bars_are_dealt_by_symbol_once_in_tasks_of_so_many_rows(spark, monkeypat
     assert bars.rdd.getNumPartitions() == -(-rows // 500)
     plan = indicators.with_features(bars)._jdf.queryExecution().executedPlan().toString()
     assert plan.count("Exchange") == 1 and "HashAggregate" not in plan
+
+
+def test_empirical_hold_counts_bars_with_a_close_and_sends_only_what_is_searched(spark):
+    rows = [(k, 10, 10 + k, 10, 0 if k < 3 else 10) for k in range(12)]
+    assert hold.empirical_hold(bars(spark, rows)).first()["days"] is None  # 9 bars with a close above 0
+    rows = [(k, 10, 10 + k, 10, 0 if k < 2 else 10) for k in range(12)]
+    assert tuple(hold.empirical_hold(bars(spark, rows)).first())[1:] == (9, 1)
+    assert hold.empirical_hold(bars(spark, [(0, 1, 1, 1, 0)])).count() == 0
+    plan = hold.empirical_hold(bars(spark, rows))._jdf.queryExecution().optimizedPlan().toString()
+    sent = plan.split("MapInArrow")[1].splitlines()
+    assert all(c not in sent[0] + sent[1] for c in ("trade_date", "close#", "high#"))
+
+
+def test_bars_by_number_are_the_named_ones_and_prices_stay_or_wrap(spark, tmp_path):
+    day = dt.datetime(2024, 1, 2)
+    lines = [(1, 1, 7, 1.0, 10.25, day), (1, 1, 7, 2.0, 9.5, day), (2, 1, 7, 1.0, -3.0, day), (3, 1, 9, 1.0, 2.5e12, day), (None, 1, 8, 1.0, 4.0, day), (4, 1, None, 1.0, 4.0, day), (5, 1, 6, 1.0, None, day)]
+    spark.createDataFrame(lines, "l_orderkey long, l_linenumber int, l_suppkey long, l_quantity double, l_extendedprice double, l_shipdate timestamp").write.parquet(f"{tmp_path}/lineitem.parquet")
+    named, numbered = standin.bars(spark, str(tmp_path)), standin.bars(spark, str(tmp_path), named=False)
+    assert dict(numbered.dtypes)["symbol"] == "bigint"
+    want = sorted(named.collect(), key=str)
+    assert sorted(numbered.withColumn("symbol", standin.symbol_of("symbol")).collect(), key=str) == want
+    assert {r["symbol"]: (r["open"], r["close"]) for r in want} == {"S7": (Decimal("9.50"), Decimal(10**12 - 3)), "S9": (Decimal("5E11"), Decimal("5E11")), "S8": (None, None), "S6": (None, None), None: (4, 4)}
+    plan = numbered._jdf.queryExecution().executedPlan().toString()
+    assert "concat" not in plan and plan.count("Exchange") == 1
