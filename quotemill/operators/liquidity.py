@@ -13,6 +13,8 @@ from quotemill.sources.table_io import staged
 #: Floors of the hard gate: mean value, mean volume, trades, close.
 FLOORS = {"avg_20d_val": 200_000.0, "avg_20d_vol": 20_000.0, "trades": 50.0, "close": 20.0}
 KEEP = 0.30
+#: Below it no two values of up to four places are one double, so that doubles rank them; beyond it decimals do, among equal doubles.
+EXACT_BELOW = 2**53 // 20_000
 
 
 def liquidity_metrics(bars: DataFrame, with_avg_value: bool = False) -> DataFrame:
@@ -25,18 +27,17 @@ def liquidity_metrics(bars: DataFrame, with_avg_value: bool = False) -> DataFram
     names = ["avg_20d_vol"]
     if with_avg_value:
         df, names = df.withColumn("avg_20d_val", mean_of_days(F.col("net_trdval"), w)), [*names, "avg_20d_val"]
-    df = staged(df.select("symbol", "trade_date", "net_trdval", "net_trdqty", "trades", "close", *names), "turnover")
-    values = ranks.ranked(df, "trade_date", "net_trdval")
-    shares = values.select("trade_date", "net_trdval", ranks.rank_share().alias("turnover_rank_pct"))
-    most = df.groupBy("trade_date").agg(F.max("net_trdval").alias("most_value"), F.max("avg_20d_vol").alias("most_volume"))
-    df = df.join(shares, ["trade_date", "net_trdval"], "left").join(most, "trade_date")
+    value = F.col("net_trdval")
+    fine = F.when(F.abs(value) >= EXACT_BELOW, value).alias("fine")
+    df = staged(df.select("symbol", "trade_date", value.cast("double").alias("net_trdval"), "net_trdqty", "trades", F.col("close").cast("double").alias("close"), *names, fine), "turnover")
+    df = ranks.with_shares(df, "trade_date", ["net_trdval", "fine"], "turnover_rank_pct", {"most_value": "net_trdval", "most_volume": "avg_20d_vol"})
     return df.select(
         "symbol",
         "trade_date",
-        F.col("net_trdval").cast("double").alias("net_trdval"),
+        "net_trdval",
         "net_trdqty",
         "trades",
-        F.col("close").cast("double").alias("close"),
+        "close",
         *names,
         "turnover_rank_pct",
         ratio_or_zero(F.col("net_trdval"), F.col("most_value")).alias("turnover_norm"),

@@ -298,7 +298,7 @@ def unprocessed_dates(spark, sf_dir):
 
 @query(f"WITH {METRICS_SQL} SELECT * EXCLUDE (avg_20d_val) FROM metrics")
 def liquidity_metrics(spark, sf_dir):
-    return liquidity.liquidity_metrics(bars(spark, sf_dir))
+    return liquidity.liquidity_metrics(bars(spark, sf_dir, named=False)).withColumn("symbol", symbol_of("symbol"))
 
 
 _GATE_SQL = f"""WITH {METRICS_SQL}, gates AS (SELECT *, coalesce(avg_20d_val, 0) >= 30000 AND coalesce(avg_20d_vol, 0) >= 20 AND trades >= 1 AND close >= 20 AS hard_pass,

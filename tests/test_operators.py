@@ -3,6 +3,7 @@
 import datetime as dt
 from decimal import Decimal
 
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
@@ -389,3 +390,31 @@ def test_bars_by_number_are_the_named_ones_and_prices_stay_or_wrap(spark, tmp_pa
     assert {r["symbol"]: (r["open"], r["close"]) for r in want} == {"S7": (Decimal("9.50"), Decimal(10**12 - 3)), "S9": (Decimal("5E11"), Decimal("5E11")), "S8": (None, None), "S6": (None, None), None: (4, 4)}
     plan = numbered._jdf.queryExecution().executedPlan().toString()
     assert "concat" not in plan and plan.count("Exchange") == 1
+
+
+def test_shares_are_the_same_for_groups_ranked_in_a_task_and_dealt_by_value(spark, monkeypatch):
+    rows = [(k % 3, float(k * 7 % 40), k) for k in range(200)] + [(1, None, 500), (4, None, 7), (None, 2.0, 9), (None, 1.0, 3)]
+    df = spark.createDataFrame(rows, "d int, v double, x long")
+    shares = lambda: sorted(map(tuple, ranks.with_shares(df, "d", ["v"], "share", {"top": "v", "most": "x"}).collect()), key=str)
+    in_tasks = shares()
+    monkeypatch.setattr(ranks, "GROUP_ROWS", 66)  # day 2 stays small
+    assert shares() == in_tasks and len(in_tasks) == len(rows)
+    plain = pd.DataFrame(rows, columns=["d", "v", "x"])
+    g = plain.groupby("d", dropna=False)
+    plain["share"], plain["top"], plain["most"] = g.v.rank(pct=True), g.v.transform("max"), g.x.transform("max")
+    got = pd.DataFrame(in_tasks, columns=["d", "v", "x", "share", "top", "most"]).astype(float)
+    order = lambda t: t[["d", "v", "x", "share", "top", "most"]].astype(float).sort_values(["x", "d", "v"]).to_numpy()
+    assert order(got) == pytest.approx(order(plain), nan_ok=True)
+
+
+@pytest.mark.parametrize("most", [500_000, 1])
+def test_metrics_of_days_that_fit_a_task_need_no_join_and_values_beyond_doubles_differ(spark, monkeypatch, most):
+    monkeypatch.setattr(ranks, "GROUP_ROWS", most)
+    value = Decimal(10**17)
+    rows = [(s, None if s == "N" else D0, value + Decimal(cents) / 100, 10, 5, Decimal(10), 1) for s, cents in (("A", 1), ("B", 2), ("C", 2), ("D", 0), ("N", 0))]
+    bars_ = spark.createDataFrame(rows, "symbol string, trade_date date, net_trdval decimal(24,2), net_trdqty long, trades long, close decimal(18,2), day int")
+    m = liquidity.liquidity_metrics(bars_)
+    assert {r["symbol"]: r["turnover_rank_pct"] for r in m.collect()} == {"A": 0.5, "B": 0.875, "C": 0.875, "D": 0.25, "N": 1.0}
+    if most > 1:
+        plan = m.select("*")._jdf.queryExecution().executedPlan().toString()
+        assert "Join" not in plan and plan.count("Exchange") == 1
